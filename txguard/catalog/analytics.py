@@ -339,9 +339,9 @@ def velocity_60s(spark, folder):
     return velocity.trailing_counts(transactions(spark, folder), "nameOrig", "ingested_at", 60)
 
 
-@query("velocity_1d", on_transactions(_trailing("nameDest", "86399.999999 seconds")))
-def velocity_1d(spark, folder):
-    return velocity.trailing_counts(transactions(spark, folder), "nameDest", "ingested_at", 86_400)
+@query("velocity_10d", on_transactions(_trailing("nameDest", "863999.999999 seconds")))
+def velocity_10d(spark, folder):
+    return velocity.trailing_counts(transactions(spark, folder), "nameDest", "ingested_at", 864_000)
 
 
 @query("velocity_by_type_60s", on_transactions(_trailing("type", "59.999999 seconds")))
@@ -352,29 +352,30 @@ def velocity_by_type_60s(spark, folder):
 
 # Steps through each account's events one by one, remembering the passed ones.
 def _limiter(account: str, limit: int, seconds: int) -> str:
-    return f"""RECURSIVE_PLACEHOLDER, ev AS (SELECT {account} AS key, ingested_at AS at, COUNT(*) AS n,
+    live = f"list_filter(r.kept, lambda t: t > e.seen - INTERVAL {seconds} SECOND)"
+    return f""", ev AS (SELECT {account} AS account, ingested_at AS seen, COUNT(*) AS n,
     ROW_NUMBER() OVER (PARTITION BY {account} ORDER BY ingested_at) AS i FROM tx GROUP BY 1, 2),
-run AS (SELECT key, i, at, n, LEAST(n, {limit}) AS allowed, list_resize([at], CAST(LEAST(n, {limit}) AS BIGINT), at) AS kept FROM ev WHERE i = 1
+run AS (SELECT account, i, seen, n, LEAST(n, {limit}) AS allowed, list_resize([seen], LEAST(n, {limit}), seen) AS kept
+  FROM ev WHERE i = 1
   UNION ALL
-  SELECT key, i, at, n, allowed, list_concat(live, list_resize(CASE WHEN allowed > 0 THEN [at] ELSE [] END, allowed, at)) FROM (
-    SELECT e.key, e.i, e.at, e.n, list_filter(r.kept, t -> t > e.at - INTERVAL {seconds} SECOND) AS live,
-      GREATEST(0, LEAST(e.n, {limit} - len(list_filter(r.kept, t -> t > e.at - INTERVAL {seconds} SECOND)))) AS allowed
-    FROM run r JOIN ev e ON e.key = r.key AND e.i = r.i + 1))
-SELECT key AS {account}, at AS ingested_at, n, allowed, n - allowed AS rejected,
+  SELECT account, i, seen, n, allowed, list_concat(live, list_resize([seen], allowed, seen)) FROM (
+    SELECT e.account, e.i, e.seen, e.n, {live} AS live, GREATEST(0, LEAST(e.n, {limit} - len({live}))) AS allowed
+    FROM run r JOIN ev e ON e.account = r.account AND e.i = r.i + 1))
+SELECT account AS {account}, seen AS ingested_at, n, allowed, n - allowed AS rejected,
   CAST(GREATEST({limit} - len(kept), 0) AS BIGINT) AS remaining FROM run"""
 
 
 def _recursive(sql: str) -> str:
-    return sql.replace("RECURSIVE_PLACEHOLDER", "").replace("WITH ", "WITH RECURSIVE ", 1)
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-LIMITER_BY_RECEIVER = _recursive(on_transactions(_limiter("nameDest", 2, 259_200)))
+LIMITER_BY_RECEIVER = _recursive(on_transactions(_limiter("nameDest", 2, 864_000)))
 
 
 @query("velocity_limiter", LIMITER_BY_RECEIVER)
 def velocity_limiter(spark, folder):
-    """At most two passed transactions per receiver in three days."""
-    return velocity.limit_rate(transactions(spark, folder), "nameDest", "ingested_at", 2, 259_200)
+    """At most two passed transactions per receiver in ten days."""
+    return velocity.limit_rate(transactions(spark, folder), "nameDest", "ingested_at", 2, 864_000)
 
 
 @query("velocity_limiter_60s", _recursive(on_transactions(_limiter("nameOrig", 100, 60))))

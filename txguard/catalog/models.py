@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
-
 from txguard import workspace
-from txguard.catalog.base import blacklist, on_transactions, query, transactions
+from txguard.catalog.base import blacklist, query, transactions
 from txguard.functions.features import mismatch
 from txguard.operators.frequency import encode_frequency
 from txguard.plans import anomaly, detection, training
@@ -92,7 +87,9 @@ def ml_residual(spark, folder):
 @query("anomaly_score")
 def anomaly_score(spark, folder):
     columns = ["amount", "type_freq", "balance_changed"]
-    rows = encode_frequency(transactions(spark, folder), "type", "type_freq").withColumn(
-        "balance_changed", mismatch("oldbalanceOrg", "newbalanceOrig")).select("tx_id", *columns)
+    tx = training.spread_out(transactions(spark, folder).withColumn(
+        "balance_changed", mismatch("oldbalanceOrg", "newbalanceOrig")))
+    rows = encode_frequency(tx, "type", "type_freq").select("tx_id", *columns)
     forest = anomaly.grow_forest(rows, columns, ["tx_id"])
-    return anomaly.flag_anomalies(anomaly.anomaly_scores(rows, forest, columns))
+    scored = anomaly.anomaly_scores(rows, forest, columns)
+    return anomaly.flag_anomalies(workspace.write_table(scored, workspace.new_path(spark, "scores")))

@@ -168,9 +168,9 @@ def fraud_only(spark, folder):
 
 
 @query("alert_json", on_detected("SELECT nameOrig AS key, nameOrig, nameDest, amount, type, is_fraud_detected, "
-                                 "blacklist_flag, rule_fraud_flag, ingested_at FROM fraud"))
+                                 "blacklist_flag, rule_fraud_flag, date_trunc('milliseconds', ingested_at) AS ingested_at FROM fraud"))
 def alert_json(spark, folder):
-    """Alerts as JSON, read back field by field."""
+    """Alerts as JSON, read back field by field; JSON keeps milliseconds."""
     schema = ("nameOrig string, nameDest string, amount double, type string, is_fraud_detected int, "
               "blacklist_flag int, rule_fraud_flag int, ingested_at timestamp_ntz")
     return messages.alerts(detected(spark, folder)).select(

@@ -135,13 +135,13 @@ def stream_sliding_1h(spark, folder):
 
 @query("stream_limiter", f"SELECT nameDest, ingested_at, n, allowed FROM ({LIMITER_BY_RECEIVER})")
 def stream_limiter(spark, folder):
-    """The limiter with state per receiver, on files in time order: at most two passed in three days."""
+    """The limiter with state per receiver, on files in time order: at most two passed in ten days."""
     root = workspace.new_path(spark, "limiter")
     rows = transactions(spark, folder).select("nameDest", "ingested_at").repartitionByRange(1, "ingested_at")
     workspace.write_table(rows.sortWithinPartitions("ingested_at"), f"{root}/rows")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
     table = LakeTable(spark, f"{root}/decisions")
-    limited = limiter.limit_stream(stream, "nameDest", "ingested_at", 2, 259_200)
+    limited = limiter.limit_stream(stream, "nameDest", "ingested_at", 2, 864_000)
     detection.run_to_end(
         limited.writeStream.foreachBatch(table.append).option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start())

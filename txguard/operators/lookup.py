@@ -28,56 +28,56 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *, spread: list[Column] | None = None,
-           broadcast_bytes: int = BROADCAST_BYTES, hot_limit: int = HOT_KEYS) -> DataFrame:
+           broadcast_bytes: int = BROADCAST_BYTES, hot_limit: int = HOT_KEYS, small: bool | None = None) -> DataFrame:
     """``df`` plus column ``value`` from ``table`` (unique in column ``key``), null where the key is unknown.
 
     ``df`` must hold ``key`` too. A table below the byte limit is broadcast, so ``df`` does not move at
     all. Above it, hot keys (at most ``hot_limit``) are looked up in a broadcast of just those keys and
     their rows, like the rows without a key, travel under spread-out join keys; every other key is
     small enough for a hash join. ``spread`` names columns that tell the copies of a hot key apart; by
-    default all columns of the row do.
+    default all columns of the row do. ``small`` says that the size has been checked already.
     """
-    if fits_broadcast(table, key, broadcast_bytes):
+    if fits_broadcast(table, key, broadcast_bytes) if small is None else small:
         return df.join(F.broadcast(table.select(key, value)), key, "left").select(*df.columns, value)
 
     hot = hot_keys(df, key, hot_limit)
-    hot_values = (
-        hot.join(table, key, "left")
-        .select(F.col(key).alias("__hot"), F.col(value).alias("__hot_value"))
-    )
+    known = table.select(key, value).join(F.broadcast(hot), key)
+    hot_values = hot.join(F.broadcast(known), key, "left").select(
+        F.col(key).alias("__hot"), F.col(value).alias("__hot_value"))
     mix = F.xxhash64(*(spread or [F.col(c) for c in df.columns]))
-    cold_key = F.when(F.col("__hot").isNull(), F.col(key))
-    # Hot rows keep a null key next to a spread number, so they match nothing and no task gets them all.
-    salt = F.when(cold_key.isNull(), mix).otherwise(F.lit(0))
+    # Hot rows and rows without a key get a spread-out key of their own, marked so that it matches nothing.
+    alone = F.col("__hot").isNotNull() | F.col(key).isNull()
+    travel = F.when(alone, F.concat(F.lit("-"), mix.cast("string"))).otherwise(
+        F.concat(F.lit("+"), F.col(key).cast("string")))
     marked = (
-        df.join(F.broadcast(hot_values), F.col(key) == F.col("__hot"), "left")
-        .withColumns({"__key": cold_key, "__salt": salt})
+        df.join(F.broadcast(hot_values), F.col(key) == F.col("__hot"), "left").withColumn("__key", travel)
     )
     cold = table.select(
-        F.col(key).alias("__key"), F.lit(0).cast("long").alias("__salt"), F.col(value).alias("__cold_value"))
+        F.concat(F.lit("+"), F.col(key).cast("string")).alias("__key"), F.col(value).alias("__cold_value"))
     return (
-        marked.join(cold, ["__key", "__salt"], "left")
+        marked.join(cold, "__key", "left")
         .withColumn(value, F.coalesce("__hot_value", "__cold_value"))
         .select(*df.columns, value)
     )
 
 
 def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str, *, member: str = "account",
-                 **options) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES, **options) -> DataFrame:
     """0/1 column ``flag``: is ``df[key]`` in ``members[member]``? A missing key is never a member."""
+    small = fits_broadcast(members, member, broadcast_bytes)
     table = members.select(F.col(member).alias(key)).where(F.col(key).isNotNull()).distinct()
-    found = lookup(df, table.withColumn(flag, F.lit(1)), key, flag, **options)
+    found = lookup(df, table.withColumn(flag, F.lit(1)), key, flag, small=small, **options)
     return found.withColumn(flag, F.coalesce(flag, F.lit(0)))
 
 
-def keep_members(df: DataFrame, members: DataFrame, key: str, *, member: str = "account", **options) -> DataFrame:
+def keep_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Semi form: only rows whose key is a member."""
-    return flag_members(df, members, key, "__member", member=member, **options).where("__member = 1").drop("__member")
+    return flag_members(df, members, key, "__member", **options).where("__member = 1").drop("__member")
 
 
-def drop_members(df: DataFrame, members: DataFrame, key: str, *, member: str = "account", **options) -> DataFrame:
+def drop_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Anti form: only rows whose key is not a member; rows without a key stay."""
-    return flag_members(df, members, key, "__member", member=member, **options).where("__member = 0").drop("__member")
+    return flag_members(df, members, key, "__member", **options).where("__member = 0").drop("__member")
 
 
 def unmatched(left: DataFrame, right: DataFrame) -> DataFrame:

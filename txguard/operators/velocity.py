@@ -11,9 +11,11 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from txguard import workspace
+
 MICROS = 1_000_000
 MIN_SLICE_SECONDS = 600
 
@@ -27,25 +29,21 @@ def from_micros(at: str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, `{at}`, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
 
 
-def _sliced(df: DataFrame, window: int, slice_width: int) -> DataFrame:
-    """Give each row its ``slice``, and a copy with ``own`` false to the next slice if its window reaches there."""
-    own = F.floor(F.col("at") / F.lit(slice_width)).cast("long")
-    reaches = F.pmod(F.col("at"), F.lit(slice_width)) >= slice_width - window
-    slices = F.when(reaches, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.withColumn("slice", F.explode(slices)).withColumn("own", F.col("slice") == own)
-
+def _sliced(df: DataFrame, width: int, before: int, after: int = 0) -> DataFrame:
+    """Give each row its ``slice`` and copies (``own`` false) to the neighbours that look at it.
 
-def _slice_width(window_seconds: int) -> int:
-    return max(window_seconds, MIN_SLICE_SECONDS) * MICROS
+    A slice sees ``before`` microseconds of the slice in front of it and ``after`` of the one behind it;
+    neither may exceed ``width``.
+    """
+    own = F.floor(F.col("at") / F.lit(width)).cast("long")
+    offset = F.pmod(F.col("at"), F.lit(width))
+    slices = F.array_compact(F.array(
+        own, F.when(offset >= width - before, own + 1), F.when(offset < after, own - 1)))
+    return df.withColumn("slice", F.explode(slices)).withColumn("own", F.col("slice") == own)
 
 
-def _trailing(df: DataFrame, value: Column, window: int, slice_width: int, name: str) -> DataFrame:
-    """Sum of ``value`` per key over ``(at - window, at]``, for every row of ``df(key, at, ...)``."""
-    frame = Window.partitionBy("key", "slice").orderBy("at").rangeBetween(-(window - 1), Window.currentRow)
-    return (
-        _sliced(df, window, slice_width).withColumn(name, F.sum(value).over(frame))
-        .where("own").drop("own", "slice")
-    )
+def _width(seconds: int) -> int:
+    return max(seconds, MIN_SLICE_SECONDS) * MICROS
 
 
 def _per_instant(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -53,56 +51,50 @@ def _per_instant(df: DataFrame, key: str, ts: str) -> DataFrame:
         F.count("*").alias("n"))
 
 
+def _in_slice(start: int, end: int) -> WindowSpec:
+    return Window.partitionBy("key", "slice").orderBy("at").rangeBetween(start, end)
+
+
 def trailing_counts(df: DataFrame, key: str, ts: str, window_seconds: int = 60) -> DataFrame:
     """Rows ``(key, ts, n, n_window)``: events at each instant and in the window that ends there.
 
     An event that is exactly ``window_seconds`` old has left the window.
     """
     window = window_seconds * MICROS
-    counted = _trailing(_per_instant(df, key, ts), F.col("n"), window, _slice_width(window_seconds), "n_window")
-    return counted.select(F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "n_window")
+    counted = (
+        _sliced(_per_instant(df, key, ts), _width(window_seconds), window)
+        .withColumn("n_window", F.sum("n").over(_in_slice(-(window - 1), 0))).where("own")
+    )
+    return counted.select(
+        F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "n_window")
 
 
-def _busy_segments(counted: DataFrame, window: int, slice_width: int, limit: int) -> DataFrame:
-    """Instants the limiter must replay, with the start of the segment they belong to.
+def _marked(df: DataFrame, key: str, ts: str, window: int, width: int, limit: int) -> DataFrame:
+    """Instants with their trailing count and whether a busy one (over the limit) is one window behind or ahead.
 
-    An event whose trailing count stays within the limit is always allowed, so only the others (busy)
-    depend on earlier decisions, and only within one window: a chain of busy instants ends where the next
-    one is a full window away. Segments also take the calm instants of the window before each busy one.
+    A slice sees two windows back, so that the counts one window back are whole, and one ahead. All
+    three windows share one shuffle and one sort.
     """
-    busy = counted.where(F.col("n_window") > limit)
-    near = _trailing(busy, F.lit(1), window, slice_width, "near")
-    starts = near.withColumn("start", F.when(F.col("near") == 1, F.col("at")))
-    # Carry the segment start forward: within a slice over rows, between slices over one row per slice.
-    starts = starts.withColumn("slice", F.floor(F.col("at") / F.lit(slice_width)).cast("long"))
-    by_slice = starts.groupBy("key", "slice").agg(F.max("start").alias("slice_start"))
-    earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = by_slice.select("key", "slice", F.max("slice_start").over(earlier).alias("carried"))
-    within = Window.partitionBy("key", "slice").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    marked = (
-        starts.alias("s").join(
-            carried.alias("c"),
-            F.col("s.key").eqNullSafe(F.col("c.key")) & (F.col("s.slice") == F.col("c.slice")))
-        .select("s.key", "s.at", "s.n", "s.slice", "s.start", "c.carried")
-        .withColumn("segment", F.coalesce(F.max("start").over(within), "carried"))
-    )
-    # The next busy instant within one window claims a calm one: look forward in the slice with a halo.
-    calm = counted.where(F.col("n_window") <= limit).select("key", "at", "n", F.lit(None).cast("long").alias("segment"))
-    both = marked.select("key", "at", "n", "segment").unionByName(calm)
-    forward = Window.partitionBy("key", "slice").orderBy("at").rangeBetween(1, window - 1)
-    mirrored = _sliced_back(both, window, slice_width)
-    claimed = mirrored.withColumn("next_segment", F.min("segment").over(forward)).where("own")
-    return claimed.select(
-        "key", "at", "n", F.col("segment").isNotNull().alias("busy"),
-        F.coalesce("segment", "next_segment").alias("segment")).where("segment IS NOT NULL")
-
-
-def _sliced_back(df: DataFrame, window: int, slice_width: int) -> DataFrame:
-    """Like ``_sliced``, but rows early in a slice are also copied into the slice before it."""
-    own = F.floor(F.col("at") / F.lit(slice_width)).cast("long")
-    reaches = F.pmod(F.col("at"), F.lit(slice_width)) < window
-    slices = F.when(reaches, F.array(own, own - 1)).otherwise(F.array(own))
-    return df.withColumn("slice", F.explode(slices)).withColumn("own", F.col("slice") == own)
+    sliced = _sliced(_per_instant(df, key, ts), width, 2 * window, window)
+    counted = sliced.withColumn("n_window", F.sum("n").over(_in_slice(-(window - 1), 0)))
+    busy = counted.withColumn("busy", F.col("n_window") > limit)
+    return busy.withColumns(
+        {
+            "after_busy": F.coalesce(F.max("busy").over(_in_slice(-(window - 1), 0)), F.lit(False)),
+            "before_busy": F.coalesce(F.max("busy").over(_in_slice(1, window - 1)), F.lit(False)),
+        }
+    ).where("own").drop("own", "busy")
+
+
+def _runs(replayed: DataFrame, window: int) -> DataFrame:
+    """``(key, slice, run)``: slices joined into runs; between two runs of a key lies a full window or more."""
+    by_slice = replayed.groupBy("key", "slice").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    # One row per key and slice: the clock bounds this window, not the number of events.
+    in_order = Window.partitionBy("key").orderBy("slice")
+    before = F.lag("last").over(in_order)
+    starts = by_slice.withColumn(
+        "start", F.when(before.isNull() | (F.col("first") - before >= window), F.col("slice")))
+    return starts.select("key", "slice", F.max("start").over(in_order).alias("run"))
 
 
 def admit(recent: deque, at: int, n: int, limit: int, window: int) -> int:
@@ -122,33 +114,42 @@ def limit_rate(df: DataFrame, key: str, ts: str, limit: int = 100, window_second
     """Exact limiter: an event passes iff fewer than ``limit`` *passed* events lie in the window before it.
 
     Rows ``(key, ts, n, allowed, rejected, remaining)`` per instant; of ``n`` events at one instant the
-    first ``allowed`` in arrival order pass. Only busy segments reach Python, sorted, as a stream of Arrow
-    batches with at most ``limit`` remembered instants, whatever the length of a segment.
+    first ``allowed`` in arrival order pass.
+
+    An instant whose trailing count stays within the limit passes whole whatever happened before, and
+    unless a busy instant lies in its window, nothing before it was rejected either. Only the others,
+    and the window in front of them, are replayed in Python: sorted, run by run, as a stream of Arrow
+    batches with at most ``limit`` remembered instants. One account that exceeds the limit without a
+    pause is one run and thus one task; its memory stays constant.
     """
-    window, slice_width = window_seconds * MICROS, _slice_width(window_seconds)
-    counted = _trailing(_per_instant(df, key, ts), F.col("n"), window, slice_width, "n_window")
-    segments = _busy_segments(counted, window, slice_width, limit)
+    window = window_seconds * MICROS
+    width = _width(10 * window_seconds)
+    spark = df.sparkSession
+    marked = workspace.write_table(
+        _marked(df, key, ts, window, width, limit), workspace.new_path(spark, "limiter"))
+    replayed = marked.where("after_busy OR before_busy")
+    runs = _runs(replayed, window)
+    same = F.col("m.key").eqNullSafe(F.col("r.key")) & (F.col("m.slice") == F.col("r.slice"))
+    in_runs = replayed.alias("m").join(runs.alias("r"), same).select("m.key", "r.run", "m.at", "m.n", "m.after_busy")
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, recent = None, deque()
         for batch in batches:
-            allowed = []
-            for key, segment, at, n in zip(batch["key"], batch["segment"], batch["at"], batch["n"]):
-                if (key, segment) != current:
-                    current, recent = (key, segment), deque()
+            allowed, remaining = [], []
+            for key, run, at, n in zip(batch["key"], batch["run"], batch["at"], batch["n"]):
+                if (key, run) != current:
+                    current, recent = (key, run), deque()
                 allowed.append(admit(recent, at, n, limit, window))
-            yield batch.assign(allowed=allowed).loc[batch["busy"], ["key", "at", "n", "allowed"]]
+                remaining.append(limit - sum(c for _, c in recent))
+            decided = batch.assign(allowed=allowed, remaining=remaining)
+            yield decided.loc[batch["after_busy"], ["key", "at", "n", "allowed", "remaining"]]
 
-    replayed = (
-        segments.repartition("key", "segment").sortWithinPartitions("key", "segment", "at")
-        .select("key", "segment", "at", "n", "busy")
-        .mapInPandas(replay, "key string, at long, n long, allowed long")
+    decided = (
+        in_runs.repartition("key", "run").sortWithinPartitions("key", "run", "at")
+        .mapInPandas(replay, "key string, at long, n long, allowed long, remaining long")
     )
-    # Calm instants pass whole; what remains after each instant follows from the passed events alone.
-    calm = counted.where(F.col("n_window") <= limit).select("key", "at", "n", F.col("n").alias("allowed"))
-    passed = calm.unionByName(replayed)
-    left = _trailing(passed, F.col("allowed"), window, slice_width, "used")
-    return left.select(
+    plain = marked.where("NOT after_busy").select(
+        "key", "at", "n", F.col("n").alias("allowed"), (F.lit(limit) - F.col("n_window")).alias("remaining"))
+    return plain.unionByName(decided).select(
         F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "allowed",
-        (F.col("n") - F.col("allowed")).alias("rejected"),
-        F.greatest(F.lit(limit) - F.col("used"), F.lit(0)).alias("remaining"))
+        (F.col("n") - F.col("allowed")).alias("rejected"), "remaining")

@@ -92,6 +92,9 @@ def anomaly_scores(df: DataFrame, forest: DataFrame, columns: list[str], subsamp
 
 
 def flag_anomalies(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
-    """``is_anomaly`` 1 for scores above the exact ``1 - contamination`` quantile."""
+    """``is_anomaly`` 1 for scores above the exact ``1 - contamination`` quantile.
+
+    Pass a stored table: the quantile reads the scores twice more.
+    """
     limit = exact_quantiles(scored, [], "anomaly_score", [1 - contamination]).select("quantile")
     return scored.withColumn("is_anomaly", (F.col("anomaly_score") > limit.scalar()).cast("int"))

@@ -22,9 +22,9 @@ def class_counts(df: DataFrame) -> DataFrame:
     return counted.withColumn("ratio", F.try_divide("normal_count", "fraud_count"))
 
 
-def with_class_weight(df: DataFrame) -> DataFrame:
-    """``classWeight``: the imbalance ratio for fraud, 1 for the rest."""
-    ratio = class_counts(df).select("ratio").scalar()
+def with_class_weight(df: DataFrame, ratio: float | None = None) -> DataFrame:
+    """``classWeight``: the imbalance ratio for fraud, 1 for the rest. The ratio is that of ``df`` unless given."""
+    ratio = class_counts(df).select("ratio").scalar() if ratio is None else F.lit(float(ratio))
     return df.withColumn("classWeight", (F.col("isFraud") * (ratio - 1) + 1).cast("double"))
 
 

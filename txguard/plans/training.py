@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from txguard.functions.features import is_risky_type, training_features
 from txguard.operators.sampling import split_by_id
-from txguard.plans.exploration import rule_residual, with_class_weight
+from txguard.plans.exploration import class_counts, rule_residual, with_class_weight
 from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES
 from txguard.sources import files
 
@@ -30,9 +30,22 @@ RUNS_SCHEMA = T.StructType(
 )
 
 
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer files than cores; a larger one is left as it is, without a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def training_rows(history: DataFrame) -> DataFrame:
-    """Risky transactions with all features and the class weight."""
-    return with_class_weight(training_features(history.where(is_risky_type())))
+    """Risky transactions with all features and the class weight.
+
+    The ratio behind the weight is fetched once; fitting passes over these rows several times.
+    """
+    risky = history.where(is_risky_type())
+    ratio = class_counts(risky).first()["ratio"]
+    if ratio is None:
+        raise ValueError("no fraud among the risky transactions to train on")
+    return with_class_weight(training_features(risky), ratio)
 
 
 def pipeline(trees: int = 100, depth: int = 10, seed: int = 42) -> Pipeline:
@@ -99,7 +112,7 @@ def metrics(predictions: DataFrame) -> dict[str, float]:
 def train(history: DataFrame, *, key: str | None = "tx_id", trees: int = 100, depth: int = 10,
           seed: int = 42) -> tuple[PipelineModel, dict[str, float]]:
     """Fit on 80 % and evaluate on 20 %. The predictions are kept once for all metrics."""
-    train_rows, test_rows = split(training_rows(history), key, seed)
+    train_rows, test_rows = split(training_rows(spread_out(history)), key, seed)
     model = pipeline(trees, depth, seed).fit(train_rows)
     predictions = model.transform(test_rows).select("isFraud", "prediction", "rawPrediction").persist()
     try:
@@ -119,7 +132,7 @@ def importance(model: PipelineModel, columns: list[str] = FEATURE_COLUMNS) -> Da
 
 def train_residual(history: DataFrame, *, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
     """Forest on what the rule misses, over the six raw columns."""
-    rows = rule_residual(history).na.fill(0.0, RESIDUAL_FEATURES)
+    rows = rule_residual(spread_out(history)).na.fill(0.0, RESIDUAL_FEATURES)
     return Pipeline(stages=[
         VectorAssembler(inputCols=RESIDUAL_FEATURES, outputCol="features"), _forest(trees, depth, seed)]).fit(rows)
 

@@ -10,6 +10,8 @@ from txguard.schema import TX_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
+EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
 # The payment view over the events table: fixed mapping that both engines of the check compute alike.
 _EVENT_COLUMNS = {
     "tx_id": "event_id",
@@ -44,7 +46,7 @@ def from_events(events: DataFrame) -> DataFrame:
 
 
 def read_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return from_events(spark.read.parquet(f"{folder}/events.parquet"))
+    return from_events(spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = TX_SCHEMA) -> DataFrame:
