@@ -10,6 +10,7 @@ from txguard.catalog.base import (
 from txguard.functions import features, protect
 from txguard.functions.rules import drain_rule
 from txguard.operators import explore, frequency, lookup, quality
+from txguard.operators.sampling import first_rows
 from txguard.plans import blacklist as blacklists
 from txguard.plans import dashboard, detection, exploration
 from txguard.schema import ALERT_COLUMNS, DISPLAY_NAMES, DISPLAY_TYPES, RECORD_DEFAULTS, TX_COLUMNS
@@ -28,11 +29,10 @@ def scan_csv(spark, folder):
     return source.read_csv(spark, path)
 
 
-@query("scan_limit", on_transactions("SELECT tx_id, type, amount, isFraud FROM tx ORDER BY step, tx_id LIMIT 300000"))
+@query("scan_limit", on_transactions("SELECT tx_id, type, amount, isFraud FROM tx ORDER BY tx_id LIMIT 300000"))
 def scan_limit(spark, folder):
     """The first 300,000 rows of four columns."""
-    return transactions(spark, folder).orderBy("step", "tx_id").limit(300_000).select(
-        "tx_id", "type", "amount", "isFraud")
+    return first_rows(transactions(spark, folder).select("tx_id", "type", "amount", "isFraud"), 300_000, "tx_id")
 
 
 def _message_mix(spark, folder, foreign: bool = True):

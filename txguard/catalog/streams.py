@@ -27,14 +27,14 @@ def _topic(spark, folder, name: str = "topic") -> str:
     return path
 
 
-def _run(spark, folder, blacklist: str | None = None) -> str:
-    """Work off the topic with all sinks and return the root of their tables."""
+def _run(spark, folder) -> tuple[str, detection.Sinks]:
+    """Work off the topic with all sinks; returns the root of their tables and the sinks."""
     root = workspace.new_path(spark, "detection")
+    sinks = detection.lake_sinks(spark, root)
     source = text_stream(spark, _topic(spark, folder), files_per_trigger=2)
     detection.run_to_end(detection.start_detection(
-        source, blacklist or blacklist_path(spark, folder), detection.lake_sinks(spark, root),
-        f"{root}/checkpoint", once=True))
-    return root
+        source, blacklist_path(spark, folder), sinks, f"{root}/checkpoint", once=True))
+    return root, sinks
 
 
 @query("stream_ingest", on_transactions(f"SELECT {_FIELDS}, TRUE AS stamped FROM tx"))
@@ -51,26 +51,25 @@ def stream_ingest(spark, folder):
 
 @query("stream_detect", on_detected(f"SELECT {_FIELDS}, {_VERDICTS} FROM det"))
 def stream_detect(spark, folder):
-    return LakeTable(spark, f"{_run(spark, folder)}/transactions", ["type"]).read().select(
-        *TX_COLUMNS, *DETECTION_COLUMNS)
+    _, sinks = _run(spark, folder)
+    return sinks.transactions.read().select(*TX_COLUMNS, *DETECTION_COLUMNS)
 
 
 @query("stream_dual_write", on_detected("""SELECT 'transactions' AS store, type, COUNT(*) AS n FROM det GROUP BY type
 UNION ALL SELECT 'fraud_transactions', type, COUNT(*) FROM fraud GROUP BY type"""))
 def stream_dual_write(spark, folder):
     """Rows per type in both tables one query has filled."""
-    root = _run(spark, folder)
+    _, sinks = _run(spark, folder)
     counts = [
-        LakeTable(spark, f"{root}/{store}").read().groupBy("type").agg(F.count("*").alias("n")).select(
-            F.lit(store).alias("store"), "type", "n")
-        for store in ("transactions", "fraud_transactions")]
+        table.read().groupBy("type").agg(F.count("*").alias("n")).select(F.lit(store).alias("store"), "type", "n")
+        for store, table in (("transactions", sinks.transactions), ("fraud_transactions", sinks.fraud))]
     return counts[0].unionByName(counts[1])
 
 
 @query("stream_fraud_sink", on_detected(f"SELECT {_FIELDS}, {_VERDICTS} FROM fraud"))
 def stream_fraud_sink(spark, folder):
-    return LakeTable(spark, f"{_run(spark, folder)}/fraud_transactions").read().select(
-        *TX_COLUMNS, *DETECTION_COLUMNS)
+    _, sinks = _run(spark, folder)
+    return sinks.fraud.read().select(*TX_COLUMNS, *DETECTION_COLUMNS)
 
 
 @query("stream_alerts", on_detected("SELECT nameOrig AS key, nameOrig, nameDest, amount, type, is_fraud_detected, "
@@ -79,7 +78,8 @@ def stream_alerts(spark, folder):
     """The alert messages, opened again."""
     schema = ("nameOrig string, nameDest string, amount double, type string, is_fraud_detected int, "
               "blacklist_flag int, rule_fraud_flag int")
-    sent = spark.read.schema("key string, value string").json(f"{_run(spark, folder)}/alerts/*")
+    root, _ = _run(spark, folder)
+    sent = spark.read.schema("key string, value string").json(f"{root}/alerts/*")
     return sent.select("key", F.from_json("value", schema).alias("alert")).select(
         "key", *[f"alert.{c}" for c in ALERT_COLUMNS if c != "ingested_at"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txguard import workspace
 from txguard.operators.lookup import lookup
 
 
@@ -20,8 +21,13 @@ def value_frequencies(df: DataFrame, column: str, name: str = "freq") -> DataFra
 
 
 def encode_frequency(df: DataFrame, column: str, name: str = "freq", **options) -> DataFrame:
-    """``df`` plus each row's value frequency; null stays null."""
-    return lookup(df, value_frequencies(df, column, name), column, name, **options)
+    """``df`` plus each row's value frequency; null stays null.
+
+    The frequencies are stored once, since both the size check and the lookup read them.
+    """
+    spark = df.sparkSession
+    table = workspace.write_table(value_frequencies(df, column, name), workspace.new_path(spark, "frequencies"))
+    return lookup(df, table, column, name, **options)
 
 
 def rare_rows(df: DataFrame, column: str, threshold: float = 0.05, **options) -> DataFrame:

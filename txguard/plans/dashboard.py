@@ -182,12 +182,13 @@ def ops_summary(detected: DataFrame, tie_break: str = "tx_id") -> DataFrame:
         rank = F.row_number().over(Window.orderBy(*order))
         return df.select(F.lit(name).alias("section"), rank.alias("rank"), *[c.alias(k) for k, c in filled.items()])
 
-    totals = headline(detected)
-    rate = F.round("fraud_rate", 3)
-    summary = section(totals, "totals", [F.lit(1)], n=F.col("total"), amount=rate,
-                      note=F.col("fraud_total").cast("string"))
-    fresh = section(freshness(detected), "freshness", [F.lit(1)],
-                    label=F.date_format("last_ingested", "yyyy-MM-dd HH:mm:ss"))
+    # One aggregation by type, reused for the totals, the freshness and the list of types.
+    cells = detected.groupBy("type").agg(
+        F.count("*").alias("rows"), F.count_if(_is_fraud()).alias("fraud"), F.max("ingested_at").alias("newest"))
+    whole = cells.agg(F.sum("rows").alias("rows"), F.sum("fraud").alias("fraud"), F.max("newest").alias("newest"))
+    rate = F.round(_percent(F.col("fraud"), F.col("rows")), 3)
+    summary = section(whole, "totals", [F.lit(1)], n=F.col("rows"), amount=rate, note=F.col("fraud").cast("string"))
+    fresh = section(whole, "freshness", [F.lit(1)], label=F.date_format("newest", "yyyy-MM-dd HH:mm:ss"))
     senders = only_fraud(detected).groupBy("nameOrig").agg(
         F.count("*").alias("fraud_count"), money_sum().alias("total_amount")
     ).orderBy(F.desc("fraud_count"), "nameOrig").limit(5)
@@ -198,6 +199,6 @@ def ops_summary(detected: DataFrame, tie_break: str = "tx_id") -> DataFrame:
                    label=F.concat_ws(" > ", mask_fixed(F.col("nameOrig")), mask_fixed(F.col("nameDest"))),
                    amount=F.col("amount"),
                    note=F.concat_ws(" ", "type", reason(), F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss")))
-    types = section(fraud_by_type(detected), "fraud_by_type", [F.desc("fraud_count"), F.col("type")],
-                    label=F.col("type"), n=F.col("fraud_count"))
+    types = section(cells.where("fraud > 0"), "fraud_by_type", [F.desc("fraud"), F.col("type")],
+                    label=F.col("type"), n=F.col("fraud"))
     return summary.unionByName(fresh).unionByName(top).unionByName(feed).unionByName(types)

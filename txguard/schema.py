@@ -31,6 +31,21 @@ DETECTION_COLUMNS = [
     "is_fraud_detected",
 ]
 
+# A detected transaction as the stream stores it.
+DETECTED_SCHEMA = T.StructType(
+    [
+        *TX_SCHEMA.fields,
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("balance_diff_orig", T.DoubleType()),
+        T.StructField("balance_diff_dest", T.DoubleType()),
+        T.StructField("is_transfer_or_cashout", T.IntegerType()),
+        T.StructField("amount_to_balance_ratio", T.DoubleType()),
+        T.StructField("blacklist_flag", T.IntegerType()),
+        T.StructField("rule_fraud_flag", T.IntegerType()),
+        T.StructField("is_fraud_detected", T.IntegerType()),
+    ]
+)
+
 ALERT_COLUMNS = [
     "nameOrig",
     "nameDest",

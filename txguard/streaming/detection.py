@@ -17,6 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from txguard.operators.quality import check, quarantined_rows, table_rules, valid_rows
 from txguard.plans import blacklist as blacklists
 from txguard.plans.detection import detect
+from txguard.schema import DETECTED_SCHEMA
 from txguard.sources import messages
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import CORRUPT, dead_letters, decode, readable
@@ -38,8 +39,8 @@ class Sinks:
 def lake_sinks(spark: SparkSession, root: str) -> Sinks:
     """All and flagged rows as lake tables, unreadable rows in quarantine, alerts as JSON files."""
     return Sinks(
-        transactions=LakeTable(spark, f"{root}/transactions", ["type"]),
-        fraud=LakeTable(spark, f"{root}/fraud_transactions"),
+        transactions=LakeTable(spark, f"{root}/transactions", ["type"], DETECTED_SCHEMA),
+        fraud=LakeTable(spark, f"{root}/fraud_transactions", schema=DETECTED_SCHEMA),
         quarantine=LakeTable(spark, f"{root}/quarantine"),
         alert=lambda rows, batch_id: messages.publish_files(rows, f"{root}/alerts/batch_id={batch_id}"),
     )
