@@ -141,7 +141,7 @@ def test_batch_without_fraud_skips_the_fraud_sinks(spark, topic, run):
     sinks = detection.lake_sinks(spark, run.root)
     sinks.alert = lambda rows, batch_id: calls.append(batch_id)
     run(sinks, counts.__setitem__)
-    assert counts == {0: {"rows": 1, "fraud": 0}} and calls == []
+    assert counts == {0: {"rows": 1, "fraud": 0, "quarantined": 0}} and calls == []
 
 
 def test_decode_keeps_whole_bad_texts(spark):

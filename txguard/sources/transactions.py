@@ -12,24 +12,25 @@ CORRUPT = "_corrupt_record"
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
-# The payment view over the events table: fixed mapping that both engines of the check compute alike.
+# The payment view over the events table: fixed mapping that both engines of the check compute alike. Balances are
+# whole ten-thousandths until the last division, so they are the exact decimal numbers rounded once.
 _EVENT_COLUMNS = {
     "tx_id": "event_id",
     "step": "CAST(timestampdiff(HOUR, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) + 1 AS BIGINT)",
     "type": "CASE event_type WHEN 'purchase' THEN 'TRANSFER' WHEN 'click' THEN 'PAYMENT' "
             "WHEN 'view' THEN 'CASH_IN' WHEN 'signup' THEN 'CASH_OUT' ELSE 'DEBIT' END",
-    "amount": "CAST(amt AS DOUBLE)",
+    "amount": "cents / 100D",
     "nameOrig": "'C' || CAST(1000000 + user_id * 100 + k AS STRING)",
-    "oldbalanceOrg": "CAST(CASE WHEN k % 10 = 0 THEN amt WHEN k % 10 = 1 THEN 0 WHEN k % 10 = 2 THEN amt * 1.02 "
-                     "WHEN k % 10 = 3 THEN amt * 1.25 ELSE amt * (k % 10) END AS DOUBLE)",
-    "newbalanceOrig": "CAST(CASE WHEN k % 10 <= 3 THEN 0 ELSE amt * (k % 10) - amt END AS DOUBLE)",
+    "oldbalanceOrg": "cents * CASE digit WHEN 0 THEN 100 WHEN 1 THEN 0 WHEN 2 THEN 102 WHEN 3 THEN 125 "
+                     "ELSE digit * 100 END / 10000D",
+    "newbalanceOrig": "cents * CASE WHEN digit <= 3 THEN 0 ELSE digit - 1 END / 100D",
     "nameDest": "CASE WHEN event_id % 5 = 0 THEN 'M' ELSE 'C' END || CAST(2000000 + event_id % 997 AS STRING)",
     "oldbalanceDest": "CAST(k * 1000 AS DOUBLE)",
-    "newbalanceDest": "CAST(CASE WHEN event_id % 7 = 0 THEN k * 1000 ELSE k * 1000 + amt END AS DOUBLE)",
-    "isFraud": "CASE WHEN event_type IN ('purchase', 'signup') AND k % 10 IN (0, 2) AND event_id % 4 <> 0 THEN 1 "
+    "newbalanceDest": "(k * 100000 + CASE WHEN event_id % 7 = 0 THEN 0 ELSE cents END) / 100D",
+    "isFraud": "CASE WHEN event_type IN ('purchase', 'signup') AND digit IN (0, 2) AND event_id % 4 <> 0 THEN 1 "
                "WHEN event_id % 500 = 7 THEN 1 ELSE 0 END",
-    "isFlaggedFraud": "CASE WHEN event_type IN ('purchase', 'signup') AND k % 10 = 0 AND event_id % 4 <> 0 "
-                      "AND amt > 200000 THEN 1 ELSE 0 END",
+    "isFlaggedFraud": "CASE WHEN event_type IN ('purchase', 'signup') AND digit = 0 AND event_id % 4 <> 0 "
+                      "AND cents > 20000000 THEN 1 ELSE 0 END",
     "ingested_at": "ts",
 }
 
@@ -39,9 +40,9 @@ def from_events(events: DataFrame) -> DataFrame:
     parsed = events.withColumns(
         {
             "k": F.get_json_object("props", "$.k").cast("int"),
-            "amt": (F.col("value") * 1000).cast("decimal(18,2)"),
+            "cents": F.expr("CAST(CAST(value * 1000 AS DECIMAL(18,2)) * 100 AS BIGINT)"),
         }
-    )
+    ).withColumn("digit", F.col("k") % 10)
     return parsed.selectExpr(*[f"{sql} AS {name}" for name, sql in _EVENT_COLUMNS.items()])
 
 
@@ -59,13 +60,13 @@ def decode(messages: DataFrame, schema: T.StructType = TX_SCHEMA, keep: list[str
 
     ``keep`` names message columns (key, offset, ...) to carry along.
     """
+    text = F.col("value").cast("string")
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col("value").cast("string"), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     # An empty message parses to nothing at all; it is as unreadable as a broken one.
-    opened = messages.select(*(keep or []), F.col("value").cast("string").alias("__text"), parsed.alias("data"))
-    broken = F.when(F.col("data").isNull(), F.col("__text")).otherwise(F.col(f"data.{CORRUPT}"))
-    return opened.select(
-        *(keep or []), *[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields], broken.alias(CORRUPT))
+    unreadable = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], text.alias(CORRUPT))
+    # ``inline`` parses each message once; plain field access would be copied into every later filter.
+    return messages.select(*(keep or []), F.inline(F.array(F.coalesce(parsed, unreadable))))
 
 
 def readable(decoded: DataFrame) -> DataFrame:

@@ -17,10 +17,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from txguard.operators.quality import check, quarantined_rows, table_rules, valid_rows
 from txguard.plans import blacklist as blacklists
 from txguard.plans.detection import detect
-from txguard.schema import DETECTED_SCHEMA
+from txguard.schema import DETECTED_SCHEMA, DETECTION_COLUMNS
 from txguard.sources import messages
 from txguard.sources.lake import LakeTable
-from txguard.sources.transactions import CORRUPT, dead_letters, decode, readable
+from txguard.sources.transactions import CORRUPT, decode
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -61,32 +61,35 @@ def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         blacklist = blacklists.read(spark, blacklist_path)
-        checked = check(readable(batch), table_rules())
+        unreadable = F.col(CORRUPT).isNotNull()
+        judged = check(detect(batch, blacklist), table_rules()).withColumn(
+            "failed_rules", F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.col("failed_rules")))
+        valid = F.size("failed_rules") == 0
         counts = Observation("batch")
-        detected = detect(valid_rows(checked), blacklist).observe(
-            counts, F.count("*").alias("rows"), F.count_if(F.col("is_fraud_detected") == 1).alias("fraud"))
-        # Kept for the life of the batch, so several sinks cost one evaluation; a lost executor recomputes.
-        detected = detected.persist()
+        # Kept for the life of the batch, so the sinks share one evaluation; a lost executor recomputes its part.
+        judged = judged.observe(
+            counts, F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
+            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")).persist()
         try:
+            detected = valid_rows(judged).drop(CORRUPT)
             sinks.transactions.append(detected, batch_id)
-            flagged = detected.where("is_fraud_detected = 1")
             # The counts come with the first write; an empty part needs no further jobs.
-            if counts.get["fraud"]:
+            found = counts.get
+            if found["fraud"]:
+                flagged = detected.where("is_fraud_detected = 1")
                 if sinks.fraud:
                     sinks.fraud.append(flagged, batch_id)
                 if sinks.alert:
                     sinks.alert(messages.alerts(flagged), batch_id)
-            if counts.get["rows"]:
+            if found["rows"]:
                 for sink in sinks.extra:
                     sink(detected, batch_id)
-            if sinks.quarantine:
-                broken = quarantined_rows(checked).unionByName(
-                    dead_letters(batch).withColumn("failed_rules", F.lit("unreadable")), allowMissingColumns=True)
-                sinks.quarantine.append(broken, batch_id)
+            if found["quarantined"] and sinks.quarantine:
+                sinks.quarantine.append(quarantined_rows(judged).drop(*DETECTION_COLUMNS), batch_id)
             if report:
-                report(batch_id, dict(counts.get))
+                report(batch_id, dict(found))
         finally:
-            detected.unpersist()
+            judged.unpersist()
 
     return write
 
