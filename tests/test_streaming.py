@@ -164,7 +164,10 @@ def test_windows_over_several_batches(spark):
         chunk.coalesce(1).write.mode("append").parquet(f"{root}/rows")
         stream = spark.readStream.schema(chunk.schema).parquet(f"{root}/rows")
         detection.run_to_end(windows.start_counts(
-            windows.windowed_counts(stream), table, f"{root}/checkpoint", once=True))
+            windows.minute_counts(stream), table, f"{root}/checkpoint", once=True))
     found = windows.latest_counts(table)
     totals = found.agg(F.count("*").alias("windows"), F.sum("total").alias("total"), F.sum("fraud").alias("fraud")).first()
     assert (totals.windows, totals.total, totals.fraud) == (100, 600, 150)
+    hours = windows.sliding_counts(found, "1 hour")
+    assert hours.count() == 100 + 59 and hours.agg(F.max("total")).first()[0] == 360
+    assert hours.agg(F.sum("total")).first()[0] == 600 * 60

@@ -74,6 +74,11 @@ def test_scoring_flags_only_risky_types(spark, fitted, history, tx):
     assert detection.score(tx({"type": "GIFT"}), model).first().ml_fraud_flag == 0
 
 
+def test_formatted_plan_names_the_scan(history):
+    text = training.formatted_plan(training.training_features(history))
+    assert "== Physical Plan ==" in text and "Scan parquet" in text
+
+
 def test_importance_is_ranked(fitted):
     rows = training.importance(fitted[0]).collect()
     assert len(rows) == 14 and sum(r.importance for r in rows) == pytest.approx(1)

@@ -103,24 +103,26 @@ def stream_blacklist_refresh(spark, folder):
     return sinks.transactions.read().select(*TX_COLUMNS, "blacklist_flag")
 
 
-def _counted(spark, folder, name: str, width: str, slide: str | None):
-    """Detected rows as a stream of files, counted per window."""
-    root = workspace.new_path(spark, name)
+def _minutes(spark, folder):
+    """Counts per minute of the detected rows, read as a stream of files."""
+    root = workspace.new_path(spark, "minutes")
     rows = workspace.write_table(
         detected(spark, folder).select("ingested_at", "is_fraud_detected"), f"{root}/rows")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
     table = LakeTable(spark, f"{root}/counts")
-    detection.run_to_end(windows.start_counts(
-        windows.windowed_counts(stream, width=width, slide=slide), table, f"{root}/checkpoint", once=True))
-    zoneless = {c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")}
-    return windows.latest_counts(table).withColumns(zoneless)
+    detection.run_to_end(windows.start_counts(windows.minute_counts(stream), table, f"{root}/checkpoint", once=True))
+    return windows.latest_counts(table)
+
+
+def _zoneless(counts):
+    return counts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
 @query("stream_minute_counts", on_detected("""SELECT date_trunc('minute', ingested_at) AS start,
   date_trunc('minute', ingested_at) + INTERVAL 1 MINUTE AS "end", COUNT(*) AS total,
   CAST(SUM(is_fraud_detected) AS BIGINT) AS fraud FROM det GROUP BY 1"""))
 def stream_minute_counts(spark, folder):
-    return _counted(spark, folder, "minutes", "1 minute", None)
+    return _zoneless(_minutes(spark, folder))
 
 
 def _sliding(hours: int) -> str:
@@ -130,7 +132,17 @@ FROM (SELECT date_trunc('minute', ingested_at) - to_minutes(UNNEST(range(0, {60
 
 @query("stream_sliding_1h", on_detected(_sliding(1)))
 def stream_sliding_1h(spark, folder):
-    return _counted(spark, folder, "sliding", "1 hour", "1 minute")
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "1 hour"))
+
+
+@query("stream_sliding_2h", on_detected(_sliding(2)))
+def stream_sliding_2h(spark, folder):
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "2 hours"))
+
+
+@query("stream_sliding_3h", on_detected(_sliding(3)))
+def stream_sliding_3h(spark, folder):
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "3 hours"))
 
 
 @query("stream_limiter", f"SELECT nameDest, ingested_at, n, allowed FROM ({LIMITER_BY_RECEIVER})")

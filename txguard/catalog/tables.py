@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txguard import workspace
-from txguard.catalog.base import blacklist, detected, on_detected, on_transactions, query, transactions
-from txguard.operators.sampling import hash_order, sample_rows, split_by_id
+from txguard.catalog.base import detected, on_detected, on_transactions, query, transactions
+from txguard.operators.sampling import sample_rows, split_by_id
 from txguard.plans import jobs
 from txguard.schema import TX_COLUMNS
+from txguard.sources import jdbc
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import read_csv
 
@@ -56,6 +57,19 @@ def lake_schema_evolve(spark, folder):
     return table.read()
 
 
+@query("relational_retry", on_detected(
+    "SELECT tx_id, type, amount, is_fraud_detected, 7::BIGINT AS batch_id FROM det WHERE type <> 'TRANSFER'"))
+def relational_retry(spark, folder):
+    """What the relational sink writes when an earlier attempt at batch 7 committed the transfers only.
+
+    Reading and writing a store needs a database, which no query here starts; its committed rows are a table.
+    """
+    batch = detected(spark, folder).select("tx_id", "type", "amount", "is_fraud_detected")
+    committed = jdbc.rows_to_write(batch.where("type = 'TRANSFER'"), 7, None)
+    stored = workspace.write_table(committed, workspace.new_path(spark, "store"))
+    return jdbc.rows_to_write(batch, 7, stored)
+
+
 @query("save_sample")
 def save_sample(spark, folder):
     path = workspace.new_path(spark, "sample")

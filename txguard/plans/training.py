@@ -77,6 +77,12 @@ def split(rows: DataFrame, key: str | None = None, seed: int = 42) -> tuple[Data
     return marked.where("split = 'train'").drop("split"), marked.where("split = 'test'").drop("split")
 
 
+def formatted_plan(df: DataFrame) -> str:
+    """The physical plan as text, to log next to a run."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 def confusion(predictions: DataFrame) -> DataFrame:
     """Counts by label and prediction: at most four rows, one pass."""
     return predictions.groupBy(F.col("isFraud").cast("double").alias("label"), "prediction").agg(

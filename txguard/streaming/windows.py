@@ -11,16 +11,13 @@ from txguard.sources.lake import LakeTable
 COUNTS = ["total", "fraud"]
 
 
-def windowed_counts(stream: DataFrame, ts: str = "ingested_at", width: str = "1 minute",
-                    slide: str | None = None, late: str = "10 minutes") -> DataFrame:
-    """Rows and flagged rows per tumbling (or, with ``slide``, sliding) window.
+def minute_counts(stream: DataFrame, ts: str = "ingested_at", late: str = "10 minutes") -> DataFrame:
+    """Rows and flagged rows per minute.
 
-    State is one row per open window; the watermark closes windows ``late`` after the newest event. A
-    sliding row counts in ``width / slide`` windows, which are summed per task before the shuffle.
+    State is one row per open minute; the watermark closes minutes ``late`` after the newest event.
     """
     timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late)
-    window = F.window("event_time", width, slide) if slide else F.window("event_time", width)
-    return timed.groupBy(window.alias("window")).agg(
+    return timed.groupBy(F.window("event_time", "1 minute").alias("window")).agg(
         F.count("*").alias("total"), F.count_if(F.col("is_fraud_detected") == 1).alias("fraud")
     ).select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *COUNTS)
 
@@ -37,3 +34,14 @@ def start_counts(counts: DataFrame, table: LakeTable, checkpoint: str, *, once:
 def latest_counts(table: LakeTable) -> DataFrame:
     newest = F.max_by(F.struct(*COUNTS), "batch_id").alias("c")
     return table.read().groupBy("start", "end").agg(newest).select("start", "end", "c.*")
+
+
+def sliding_counts(minutes: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Counts per window of ``width`` that starts at each minute, from the counts per minute.
+
+    Sliding over minutes instead of events: an event is counted once, not once per window it lies in, and
+    the stream keeps one row of state per minute for every width.
+    """
+    windows = minutes.groupBy(F.window("start", width, "1 minute").alias("window"))
+    return windows.agg(*[F.sum(c).alias(c) for c in COUNTS]).select(
+        F.col("window.start").alias("start"), F.col("window.end").alias("end"), *COUNTS)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="txguard-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a local one only for local masters."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="txguard-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
