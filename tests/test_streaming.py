@@ -168,6 +168,6 @@ def test_windows_over_several_batches(spark):
     found = windows.latest_counts(table)
     totals = found.agg(F.count("*").alias("windows"), F.sum("total").alias("total"), F.sum("fraud").alias("fraud")).first()
     assert (totals.windows, totals.total, totals.fraud) == (100, 600, 150)
-    hours = windows.sliding_counts(found, "1 hour")
+    hours = windows.sliding_counts(found, 60)
     assert hours.count() == 100 + 59 and hours.agg(F.max("total")).first()[0] == 360
     assert hours.agg(F.sum("total")).first()[0] == 600 * 60

@@ -132,17 +132,17 @@ FROM (SELECT date_trunc('minute', ingested_at) - to_minutes(UNNEST(range(0, {60
 
 @query("stream_sliding_1h", on_detected(_sliding(1)))
 def stream_sliding_1h(spark, folder):
-    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "1 hour"))
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), 60))
 
 
 @query("stream_sliding_2h", on_detected(_sliding(2)))
 def stream_sliding_2h(spark, folder):
-    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "2 hours"))
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), 120))
 
 
 @query("stream_sliding_3h", on_detected(_sliding(3)))
 def stream_sliding_3h(spark, folder):
-    return _zoneless(windows.sliding_counts(_minutes(spark, folder), "3 hours"))
+    return _zoneless(windows.sliding_counts(_minutes(spark, folder), 180))
 
 
 @query("stream_limiter", f"SELECT nameDest, ingested_at, n, allowed FROM ({LIMITER_BY_RECEIVER})")

@@ -36,12 +36,16 @@ def latest_counts(table: LakeTable) -> DataFrame:
     return table.read().groupBy("start", "end").agg(newest).select("start", "end", "c.*")
 
 
-def sliding_counts(minutes: DataFrame, width: str = "1 hour") -> DataFrame:
-    """Counts per window of ``width`` that starts at each minute, from the counts per minute.
+def sliding_counts(minutes: DataFrame, width: int = 60) -> DataFrame:
+    """Counts per window of ``width`` minutes that starts at each minute, from the counts per minute.
 
     Sliding over minutes instead of events: an event is counted once, not once per window it lies in, and
     the stream keeps one row of state per minute for every width.
     """
-    windows = minutes.groupBy(F.window("start", width, "1 minute").alias("window"))
-    return windows.agg(*[F.sum(c).alias(c) for c in COUNTS]).select(
-        F.col("window.start").alias("start"), F.col("window.end").alias("end"), *COUNTS)
+    first = F.col("start") - F.expr(f"INTERVAL {int(width) - 1} MINUTES")
+    starts = F.explode(F.sequence(first, F.col("start"), F.expr("INTERVAL 1 MINUTE")))
+    return (
+        minutes.select(starts.alias("start"), *COUNTS)
+        .groupBy("start").agg(*[F.sum(c).alias(c) for c in COUNTS])
+        .select("start", (F.col("start") + F.expr(f"INTERVAL {int(width)} MINUTES")).alias("end"), *COUNTS)
+    )
