@@ -17,3 +17,24 @@ def test_credentials_come_from_the_environment_only():
 def test_working_tables_lie_in_the_shared_folder(spark):
     path = workspace.new_path(spark, "x")
     assert path.startswith(workspace.shared_root(spark)) and path != workspace.new_path(spark, "x")
+
+
+def test_worker_functions_run_without_the_package(tmp_path):
+    """Executors have Spark, pandas and numpy, but not this package."""
+    import subprocess
+    import sys
+    from collections import deque
+
+    from pyspark import cloudpickle
+
+    from txguard.operators.velocity import admit
+    from txguard.plans.anomaly import _grow
+
+    blob = cloudpickle.dumps((admit, _grow(["x"], 2, 1), deque([(0, 1)])))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "admit, grow, recent = pickle.loads(sys.stdin.buffer.read())\n"
+        "nodes = grow(pd.DataFrame({'tree': [0, 0], 'x': [1.0, 2.0]}))\n"
+        "print(admit(recent, 10, 5, 3, 60), len(nodes), 'txguard' in sys.modules)")
+    done = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd=tmp_path, check=True)
+    assert done.stdout.decode().split() == ["2", "3", "False"]
