@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.operators.sampling import split_by_id
-from txguard.plans import anomaly, detection, jobs, training
+from txguard.plans import anomaly, blacklist, detection, jobs, training
 from txguard.plans.exploration import class_counts, full_totals, labelled_residual, rule_confusion, with_class_weight
-from txguard.sources.transactions import from_events
+from txguard.schema import SCORED_SCHEMA
+from txguard.sources import messages
+from txguard.sources.transactions import from_events, text_stream
+from txguard.streaming import detection as streaming
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -150,3 +153,23 @@ def test_isolation_forest_finds_outliers(spark):
 
 def test_split_column(spark):
     assert split_by_id(spark.range(10).withColumnRenamed("id", "tx_id"), "tx_id").where("split = 'test'").count() == 2
+
+
+def test_stream_with_model_equals_batch(spark, history):
+    root = workspace.new_path(spark, "registry-test")
+    jobs.retrain(spark, history, root, "week-1", trees=3, depth=3)
+    blacklist.publish(blacklist.build(history, 360), f"{root}/blacklist")
+    messages.envelopes(history).select("value").write.text(f"{root}/topic")
+    sinks = streaming.lake_sinks(spark, root, with_model=True)
+    streaming.run_to_end(streaming.start_detection(
+        text_stream(spark, f"{root}/topic"), f"{root}/blacklist", sinks, f"{root}/checkpoint", once=True, registry=root))
+    columns = [c for c in SCORED_SCHEMA.names if c != "ingested_at"]
+    stored = sinks.transactions.read().select(columns)
+    expected = detection.detect_with_model(
+        history, blacklist.read(spark, f"{root}/blacklist"), training.champion_model(spark, root)).select(columns)
+    assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
+
+
+def test_stream_without_a_promoted_model_stops(spark):
+    with pytest.raises(ValueError, match="no promoted model"):
+        streaming.Champion(spark, workspace.new_path(spark, "registry-test")).current()

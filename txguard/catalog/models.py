@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from txguard import workspace
-from txguard.catalog.base import blacklist, query, transactions
+from txguard.catalog.base import blacklist, blacklist_path, query, transactions
+from txguard.catalog.streams import topic
 from txguard.functions.features import mismatch
 from txguard.operators.frequency import encode_frequency
 from txguard.plans import anomaly, detection, training
 from txguard.schema import RESIDUAL_FEATURES
+from txguard.sources.transactions import text_stream
+from txguard.streaming import detection as streaming
 
 _registries: dict[tuple[str, str], str] = {}
 
@@ -56,6 +59,18 @@ def detect_with_model(spark, folder):
     return detection.detect_with_model(transactions(spark, folder), blacklist(spark, folder), model)
 
 
+@query("stream_detect_with_model")
+def stream_detect_with_model(spark, folder):
+    """The detection stream with the promoted model as third layer."""
+    root = workspace.new_path(spark, "detection")
+    sinks = streaming.lake_sinks(spark, root, with_model=True)
+    source = text_stream(spark, topic(spark, folder), files_per_trigger=2)
+    streaming.run_to_end(streaming.start_detection(
+        source, blacklist_path(spark, folder), sinks, f"{root}/checkpoint", once=True,
+        registry=registry(spark, folder)))
+    return sinks.transactions.read().drop("ingested_at", "batch_id")
+
+
 @query("ml_latest_run")
 def ml_latest_run(spark, folder):
     return training.latest_run(training.read_runs(spark, registry(spark, folder)))

@@ -19,7 +19,7 @@ _VERDICTS = ", ".join(DETECTION_COLUMNS)
 FILES = 4
 
 
-def _topic(spark, folder, name: str = "topic") -> str:
+def topic(spark, folder, name: str = "topic") -> str:
     """A folder of message files in the order of the steps."""
     path = workspace.new_path(spark, name)
     ordered = transactions(spark, folder).repartitionByRange(FILES, "step", "tx_id").sortWithinPartitions("step", "tx_id")
@@ -31,7 +31,7 @@ def _run(spark, folder) -> tuple[str, detection.Sinks]:
     """Work off the topic with all sinks; returns the root of their tables and the sinks."""
     root = workspace.new_path(spark, "detection")
     sinks = detection.lake_sinks(spark, root)
-    source = text_stream(spark, _topic(spark, folder), files_per_trigger=2)
+    source = text_stream(spark, topic(spark, folder), files_per_trigger=2)
     detection.run_to_end(detection.start_detection(
         source, blacklist_path(spark, folder), sinks, f"{root}/checkpoint", once=True))
     return root, sinks
@@ -42,7 +42,7 @@ def stream_ingest(spark, folder):
     """Messages decoded, stamped and stored."""
     root = workspace.new_path(spark, "ingest")
     table = LakeTable(spark, f"{root}/rows")
-    source = detection.stamped(text_stream(spark, _topic(spark, folder), files_per_trigger=2))
+    source = detection.stamped(text_stream(spark, topic(spark, folder), files_per_trigger=2))
     detection.run_to_end(
         source.writeStream.foreachBatch(table.append).option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start())
@@ -93,13 +93,13 @@ SELECT {_FIELDS}, CASE WHEN nameOrig IN (SELECT account FROM late) THEN 1 ELSE 0
 def stream_blacklist_refresh(spark, folder):
     """The list is replaced between two runs of one query; later batches see the new one."""
     tx = transactions(spark, folder)
-    root, topic, listed = (workspace.new_path(spark, n) for n in ("detection", "topic", "blacklist"))
+    root, sent, listed = (workspace.new_path(spark, n) for n in ("detection", "topic", "blacklist"))
     sinks = detection.lake_sinks(spark, root)
     for part, until in ((tx.where("step <= 360"), 180), (tx.where("step > 360"), 360)):
         blacklists.publish(blacklists.build(tx, until), listed)
-        messages.envelopes(part).select("value").write.mode("append").text(topic)
+        messages.envelopes(part).select("value").write.mode("append").text(sent)
         detection.run_to_end(detection.start_detection(
-            text_stream(spark, topic), listed, sinks, f"{root}/checkpoint", once=True))
+            text_stream(spark, sent), listed, sinks, f"{root}/checkpoint", once=True))
     return sinks.transactions.read().select(*TX_COLUMNS, "blacklist_flag")
 
 

@@ -14,22 +14,25 @@ def unpivot(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: count, mean, std, min, quartiles, max."""
-    long = unpivot(df, columns, "double")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    """One row per column: count, mean, std, min, quartiles, max.
+
+    The moments of all columns come from one pass over the rows as they are; only the quartiles need the
+    long form, a row per column and value.
+    """
+    def moments(column: str):
+        value = F.col(column).cast("double")
+        return F.struct(
+            F.lit(column).alias("column"), F.count(value).alias("count"), F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+
+    summary = df.agg(*[moments(c).alias(c) for c in columns]).select(F.inline(F.array(*columns)))
     quartiles = (
-        exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75])
+        exact_quantiles(unpivot(df, columns, "double"), ["column"], "value", [0.25, 0.5, 0.75])
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
                for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     )
-    return moments.join(F.broadcast(quartiles), "column", "left").select(
+    return summary.join(F.broadcast(quartiles), "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

@@ -186,6 +186,12 @@ def promote(spark: SparkSession, root: str, metric: str = "f1_score") -> bool:
     return True
 
 
+def champion_path(spark: SparkSession, root: str) -> str | None:
+    """Where the promoted model lies."""
+    row = latest_run(read_runs(spark, root), "PROMOTED").select("model_path").first()
+    return row["model_path"] if row else None
+
+
 def champion_model(spark: SparkSession, root: str) -> PipelineModel | None:
-    row = latest_run(read_runs(spark, root), "PROMOTED").first()
-    return PipelineModel.load(row["model_path"]) if row else None
+    path = champion_path(spark, root)
+    return PipelineModel.load(path) if path else None

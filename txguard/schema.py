@@ -46,6 +46,15 @@ DETECTED_SCHEMA = T.StructType(
     ]
 )
 
+SCORED_SCHEMA = T.StructType(
+    [
+        *DETECTED_SCHEMA.fields,
+        T.StructField("ml_fraud_flag", T.IntegerType()),
+        T.StructField("ml_probability", T.DoubleType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
 ALERT_COLUMNS = [
     "nameOrig",
     "nameDest",

@@ -10,15 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from txguard.operators.quality import check, quarantined_rows, table_rules, valid_rows
 from txguard.plans import blacklist as blacklists
-from txguard.plans.detection import detect
-from txguard.schema import DETECTED_SCHEMA, DETECTION_COLUMNS
-from txguard.sources import messages
+from txguard.plans import training
+from txguard.plans.detection import detect, detect_with_model
+from txguard.schema import DETECTED_SCHEMA, SCORED_SCHEMA
+from txguard.sources import jdbc, messages
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import CORRUPT, decode
 
@@ -36,16 +38,44 @@ class Sinks:
     extra: list[BatchSink] = field(default_factory=list)
 
 
-def lake_sinks(spark: SparkSession, root: str) -> Sinks:
+def lake_sinks(spark: SparkSession, root: str, with_model: bool = False) -> Sinks:
     """All and flagged rows as lake tables, unreadable rows in quarantine, alerts as JSON files."""
+    schema = SCORED_SCHEMA if with_model else DETECTED_SCHEMA
     return Sinks(
-        transactions=LakeTable(spark, f"{root}/transactions", ["type"], DETECTED_SCHEMA),
-        fraud=LakeTable(spark, f"{root}/fraud_transactions", schema=DETECTED_SCHEMA),
+        transactions=LakeTable(spark, f"{root}/transactions", ["type"], schema),
+        fraud=LakeTable(spark, f"{root}/fraud_transactions", schema=schema),
         quarantine=LakeTable(spark, f"{root}/quarantine"),
         alert=lambda rows, batch_id: messages.publish_files(rows, f"{root}/alerts/batch_id={batch_id}"),
     )
 
 
+def relational_sinks(url: str, schema: str = "shop", **options: str) -> list[BatchSink]:
+    """All and flagged rows as tables of a relational store, for ``Sinks.extra``."""
+    def write_all(rows: DataFrame, batch_id: int) -> None:
+        jdbc.append_batch(rows, batch_id, url, f"{schema}.transactions", **options)
+
+    def write_fraud(rows: DataFrame, batch_id: int) -> None:
+        jdbc.append_batch(
+            rows.where("is_fraud_detected = 1"), batch_id, url, f"{schema}.fraud_transactions", **options)
+
+    return [write_all, write_fraud]
+
+
+class Champion:
+    """The promoted model of a registry; a promotion takes effect with the next batch."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.path, self.model = spark, root, None, None
+
+    def current(self) -> PipelineModel:
+        path = training.champion_path(self.spark, self.root)
+        if path is None:
+            raise ValueError(f"no promoted model in {self.root}")
+        if path != self.path:
+            self.path, self.model = path, PipelineModel.load(path)
+        return self.model
+
+
 def stamped(source: DataFrame) -> DataFrame:
     """Decoded messages with the ingest time.
 
@@ -55,14 +85,16 @@ def stamped(source: DataFrame) -> DataFrame:
     return decode(source).withColumn("ingested_at", F.current_timestamp())
 
 
-def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks,
+def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks, *, registry: str | None = None,
                  report: Callable[[int, dict], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """The work on one micro-batch: quarantine, detect against today's blacklist, write each sink."""
+    """The work on one micro-batch: detect against today's blacklist (and model), quarantine, write each sink."""
+    champion = Champion(spark, registry) if registry else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         blacklist = blacklists.read(spark, blacklist_path)
+        found = detect_with_model(batch, blacklist, champion.current()) if champion else detect(batch, blacklist)
         unreadable = F.col(CORRUPT).isNotNull()
-        judged = check(detect(batch, blacklist), table_rules()).withColumn(
+        judged = check(found, table_rules()).withColumn(
             "failed_rules", F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.col("failed_rules")))
         valid = F.size("failed_rules") == 0
         counts = Observation("batch")
@@ -74,32 +106,36 @@ def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks,
             detected = valid_rows(judged).drop(CORRUPT)
             sinks.transactions.append(detected, batch_id)
             # The counts come with the first write; an empty part needs no further jobs.
-            found = counts.get
-            if found["fraud"]:
+            size = counts.get
+            if size["fraud"]:
                 flagged = detected.where("is_fraud_detected = 1")
                 if sinks.fraud:
                     sinks.fraud.append(flagged, batch_id)
                 if sinks.alert:
                     sinks.alert(messages.alerts(flagged), batch_id)
-            if found["rows"]:
+            if size["rows"]:
                 for sink in sinks.extra:
                     sink(detected, batch_id)
-            if found["quarantined"] and sinks.quarantine:
-                sinks.quarantine.append(quarantined_rows(judged).drop(*DETECTION_COLUMNS), batch_id)
+            if size["quarantined"] and sinks.quarantine:
+                sinks.quarantine.append(quarantined_rows(judged).select(*batch.columns, "failed_rules"), batch_id)
             if report:
-                report(batch_id, dict(found))
+                report(batch_id, dict(size))
         finally:
             judged.unpersist()
 
     return write
 
 
-def start_detection(source: DataFrame, blacklist_path: str, sinks: Sinks, checkpoint: str, *,
-                    once: bool = False, report: Callable[[int, dict], None] | None = None) -> StreamingQuery:
-    """Start the query; ``once`` works off what is there and stops, else it runs until stopped."""
-    spark = source.sparkSession
+def start_detection(source: DataFrame, blacklist_path: str, sinks: Sinks, checkpoint: str, *, once: bool = False,
+                    registry: str | None = None,
+                    report: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+    """Start the query; ``once`` works off what is there and stops, else it runs until stopped.
+
+    With a model ``registry`` the promoted model is the third layer of the verdict.
+    """
+    work = batch_writer(source.sparkSession, blacklist_path, sinks, registry=registry, report=report)
     writer = (
-        stamped(source).writeStream.foreachBatch(batch_writer(spark, blacklist_path, sinks, report))
+        stamped(source).writeStream.foreachBatch(work)
         .outputMode("append").option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
