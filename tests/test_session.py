@@ -27,14 +27,15 @@ def test_worker_functions_run_without_the_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    from txguard.operators.velocity import admit
+    from txguard.operators.velocity import decide
     from txguard.plans.anomaly import _grow
 
-    blob = cloudpickle.dumps((admit, _grow(["x"], 2, 1), deque([(0, 1)])))
+    blob = cloudpickle.dumps((decide, _grow(["x"], 2, 1), deque([(0, 1)])))
     code = (
         "import pickle, sys, pandas as pd\n"
-        "admit, grow, recent = pickle.loads(sys.stdin.buffer.read())\n"
+        "import numpy as np\n"
+        "decide, grow, recent = pickle.loads(sys.stdin.buffer.read())\n"
         "nodes = grow(pd.DataFrame({'tree': [0, 0], 'x': [1.0, 2.0]}))\n"
-        "print(admit(recent, 10, 5, 3, 60), len(nodes), 'txguard' in sys.modules)")
+        "print(decide(recent, np.array([10]), np.array([5]), 3, 60)[0][0], len(nodes), 'txguard' in sys.modules)")
     done = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd=tmp_path, check=True)
     assert done.stdout.decode().split() == ["2", "3", "False"]

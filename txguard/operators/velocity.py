@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -97,17 +98,27 @@ def _runs(replayed: DataFrame, window: int) -> DataFrame:
     return starts.select("key", "slice", F.max("start").over(in_order).alias("run"))
 
 
-def admit(recent: deque, at: int, n: int, limit: int, window: int) -> int:
-    """How many of ``n`` events at instant ``at`` pass, given the passed ones remembered in ``recent``.
+def decide(recent: deque, at: np.ndarray, n: np.ndarray, limit: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Passed events and what remains of the limit, for one account's instants in time order.
 
-    ``recent`` holds ``(instant, passed)`` pairs, at most ``limit`` of them, and is updated.
+    ``recent`` holds the passed events of the last window as ``(instant, passed)``, at most ``limit`` pairs,
+    and is updated. With the limit used up, all instants before the oldest pair expires are rejected in one
+    step, so the loop runs per passed event, of which the clock allows only so many, not per rejected one.
     """
-    while recent and at - recent[0][0] >= window:
-        recent.popleft()
-    passed = max(0, min(n, limit - sum(c for _, c in recent)))
-    if passed:
-        recent.append((at, passed))
-    return passed
+    allowed, remaining = np.zeros(len(at), "int64"), np.zeros(len(at), "int64")
+    used, i = sum(passed for _, passed in recent), 0
+    while i < len(at):
+        while recent and at[i] - recent[0][0] >= window:
+            used -= recent.popleft()[1]
+        if used == limit:
+            i = int(np.searchsorted(at, recent[0][0] + window))
+            continue
+        passed = min(int(n[i]), limit - used)
+        recent.append((int(at[i]), passed))
+        used += passed
+        allowed[i], remaining[i] = passed, limit - used
+        i += 1
+    return allowed, remaining
 
 
 def limit_rate(df: DataFrame, key: str, ts: str, limit: int = 100, window_seconds: int = 60) -> DataFrame:
@@ -120,7 +131,8 @@ def limit_rate(df: DataFrame, key: str, ts: str, limit: int = 100, window_second
     unless a busy instant lies in its window, nothing before it was rejected either. Only the others,
     and the window in front of them, are replayed in Python: sorted, run by run, as a stream of Arrow
     batches with at most ``limit`` remembered instants. One account that exceeds the limit without a
-    pause is one run and thus one task; its memory stays constant.
+    pause is one run: a chain of decisions that no split can break. Its instants pass through one task,
+    with constant memory and work per passed event only; ``streaming.limiter`` takes them in micro-batches.
     """
     window = window_seconds * MICROS
     width = _width(10 * window_seconds)
@@ -134,22 +146,24 @@ def limit_rate(df: DataFrame, key: str, ts: str, limit: int = 100, window_second
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, recent = None, deque()
-        for batch in batches:
-            allowed, remaining = [], []
-            for key, run, at, n in zip(batch["key"], batch["run"], batch["at"], batch["n"]):
-                if (key, run) != current:
-                    current, recent = (key, run), deque()
-                allowed.append(admit(recent, at, n, limit, window))
-                remaining.append(limit - sum(c for _, c in recent))
-            decided = batch.assign(allowed=allowed, remaining=remaining)
-            yield decided.loc[batch["after_busy"], ["key", "at", "n", "allowed", "remaining"]]
-
-    decided = (
+        for batch in filter(len, batches):
+            keys, runs_, at, n = (batch[c].to_numpy() for c in ("key", "run", "at", "n"))
+            turns = np.flatnonzero((keys[1:] != keys[:-1]) | (runs_[1:] != runs_[:-1])) + 1
+            parts = []
+            for low, high in zip([0, *turns], [*turns, len(at)]):
+                if (keys[low], runs_[low]) != current:
+                    current, recent = (keys[low], runs_[low]), deque()
+                parts.append(decide(recent, at[low:high], n[low:high], limit, window))
+            allowed, remaining = (np.concatenate(c) for c in zip(*parts))
+            found = batch.assign(allowed=allowed, remaining=remaining)
+            yield found.loc[batch["after_busy"], ["key", "at", "n", "allowed", "remaining"]]
+
+    judged = (
         in_runs.repartition("key", "run").sortWithinPartitions("key", "run", "at")
         .mapInPandas(replay, "key string, at long, n long, allowed long, remaining long")
     )
     plain = marked.where("NOT after_busy").select(
         "key", "at", "n", F.col("n").alias("allowed"), (F.lit(limit) - F.col("n_window")).alias("remaining"))
-    return plain.unionByName(decided).select(
+    return plain.unionByName(judged).select(
         F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "allowed",
         (F.col("n") - F.col("allowed")).alias("rejected"), "remaining")

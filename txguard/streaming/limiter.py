@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from txguard.operators.velocity import MICROS, admit, micros
+from txguard.operators.velocity import MICROS, decide, micros
 
 OUTPUT = "key string, at long, n long, allowed long"
 STATE = "at array<long>, passed array<long>"
@@ -26,24 +26,22 @@ def limit_stream(stream: DataFrame, key: str, ts: str, limit: int = 100, window_
     """
     window = window_seconds * MICROS
 
-    def decide(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def judge(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         recent = deque(zip(*state.get)) if state.exists else deque()
-        arrived: dict[int, int] = {}
-        for batch in batches:
-            for at, n in batch.groupby("at").size().items():
-                arrived[at] = arrived.get(at, 0) + int(n)
-        rows = [(group[0], at, n, admit(recent, at, n, limit, window)) for at, n in sorted(arrived.items())]
+        arrived = pd.concat([batch["at"].value_counts() for batch in batches]).groupby(level=0).sum().sort_index()
+        at, n = arrived.index.to_numpy("int64"), arrived.to_numpy("int64")
+        allowed, _ = decide(recent, at, n, limit, window)
         if recent:
-            state.update(([a for a, _ in recent], [p for _, p in recent]))
+            state.update(([moment for moment, _ in recent], [passed for _, passed in recent]))
             expires = (recent[-1][0] + window) // 1000 + 1
             state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(rows, columns=["key", "at", "n", "allowed"])
+        yield pd.DataFrame({"key": group[0], "at": at, "n": n, "allowed": allowed})
 
     timed = stream.select(
         F.col(key).cast("string").alias("key"), micros(ts).alias("at"),
         F.col(ts).cast("timestamp").alias("event_time")).withWatermark("event_time", late)
     return timed.groupBy("key").applyInPandasWithState(
-        decide, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        judge, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
