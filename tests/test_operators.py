@@ -37,9 +37,16 @@ def test_quantiles_equal_numpy(spark, shape, accuracy):
 
 
 def test_quantiles_by_group_ignore_missing(spark):
-    rows = [("a", float(i)) for i in range(101)] + [("b", None), ("b", 5.0)]
+    rows = [("a", float(i)) for i in range(101)] + [("b", None), ("b", 5.0), (None, 1.0), (None, 2.0)]
     found = quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], 1000)
     assert found[("a", 0.25)] == 25.0 and found[("a", 0.9)] == 90.0 and found[("b", 0.5)] == 5.0
+    assert found[(None, 0.5)] == 1.5
+
+
+def test_quantiles_refuse_unbounded_groups(spark):
+    rows = spark.range(10_001).select(F.col("id").alias("g"), F.lit(1.0).alias("v"))
+    with pytest.raises(ValueError, match="groups"):
+        exact_quantiles(rows, ["g"], "v", [0.5])
 
 
 def test_profiles_equal_pandas(spark):

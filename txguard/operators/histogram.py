@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,7 @@ def histogram(df: DataFrame, value: Column, by: Column, bins: int, *, low: float
         ranged.withColumns({"bin": F.least(cell, F.lit(bins - 1)).cast("int"), "width": width})
         .groupBy("label", "bin").agg(F.count("*").alias("n"), F.max("width").alias("width"))
     )
-    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), "label").select(
+    # The window sees cells, at most ``bins`` per label, never rows.
+    total = F.sum("n").over(Window.partitionBy("label"))
+    return counts.withColumn("total", total).select(
         "label", "bin", "n", F.try_divide(F.col("n"), F.col("total") * F.col("width")).alias("density"))

@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txguard import workspace
+from txguard.functions.features import all_of
+
+MAX_GROUPS = 10_000
 ACCURACY = 100_000  # ranks from the sketch are off by at most rows/ACCURACY
 
 
@@ -17,17 +21,23 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities:
                     accuracy: int = ACCURACY) -> DataFrame:
     """Rows ``(*groups, p, quantile)`` with linear interpolation between neighbouring ranks.
 
-    Missing values are ignored. The number of groups must be small: their brackets are broadcast.
-    What is ordered per group is at most ``4 * len(probabilities) * rows / accuracy`` distinct values.
+    Missing values are ignored. The brackets of all groups are stored, counted and broadcast, so there may be
+    at most ``MAX_GROUPS`` groups. What is ordered per group is at most ``4 * len(probabilities) * rows / accuracy`` distinct values.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL")
     slack = 2.0 / accuracy
     edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-slack, slack)]
     sketch = data.groupBy(*groups).agg(F.percentile_approx("__v", edges, accuracy).alias("__edges"))
 
-    keys = groups or None
-    with_edges = (
-        data.join(F.broadcast(sketch), keys) if keys else data.withColumn("__edges", sketch.scalar()))
+    if groups:
+        spark = df.sparkSession
+        brackets = workspace.write_table(sketch, workspace.new_path(spark, "brackets"))
+        if brackets.count() > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups")
+        same = all_of([F.col(f"d.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups])
+        with_edges = data.alias("d").join(F.broadcast(brackets).alias("b"), same).select("d.*", "b.__edges")
+    else:
+        with_edges = data.withColumn("__edges", sketch.scalar())
     lows = [F.col("__edges")[2 * i] for i in range(len(probabilities))]
     highs = [F.col("__edges")[2 * i + 1] for i in range(len(probabilities))]
     slot = sum((F.when(edge < F.col("__v"), 1).otherwise(0) for edge in lows + highs), F.lit(0))

@@ -33,8 +33,12 @@ def append_batch(batch: DataFrame, batch_id: int, url: str, table: str, *, conne
 
     Each task commits on its own, so a failed attempt may have left part of the batch. The rows of this
     batch id are read back (a filter the store answers from an index on batch_id) and only the rest is
-    written. ``connections`` bounds the load on the store.
+    written. ``connections`` bounds the load on the store. The table has the columns of the batch and
+    ``batch_id``; a missing one is created.
     """
-    reader = batch.sparkSession.read.format("jdbc").options(url=url, dbtable=table, **options)
-    rest = rows_to_write(batch, batch_id, reader.load())
-    rest.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+    store = {"url": url, "dbtable": table, **options}
+    empty = rows_to_write(batch.limit(0), batch_id, None)
+    empty.write.format("jdbc").options(**store).mode("append").save()
+    committed = batch.sparkSession.read.format("jdbc").options(**store).load()
+    rest = rows_to_write(batch, batch_id, committed)
+    rest.coalesce(connections).write.format("jdbc").options(**store).mode("append").save()
