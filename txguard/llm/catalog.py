@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txguard.llm import decontaminate, license_scan, url_filter
+from txguard.llm import (
+    bpe, decontaminate, embedding_dedup, html_text, jaccard_forest, language, license_scan, quality, url_filter, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +58,75 @@ def op8(spark, folder):
 @query("op9_license_scan")
 def op9(spark, folder):
     return license_scan.scan(table(spark, folder, "documents"))
+
+
+def _components_sql(links: str, nodes: str, name: str) -> str:
+    """Shared tail: number of links, smallest reachable id."""
+    return f"""
+reach AS (SELECT a AS x, a AS y FROM ({nodes}) UNION SELECT reach.x, l.b FROM reach JOIN {links} l ON l.a = reach.y),
+least AS (SELECT x, min(y) AS component FROM reach GROUP BY x),
+n AS (SELECT a, count(*) AS n FROM {links} GROUP BY a)"""
+
+
+BASE32 = ("array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + "
+          "((CAST('0x' || substr(sha1({0}), 1 + 5 * (i // 4), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '')")
+
+
+@query("op1_embedding_dedup", f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q
+  ON p.vec_id <> q.vec_id AND list_cosine_similarity(p.e, q.e) >= 0.9),{_components_sql('links', 'SELECT vec_id AS a FROM embeddings', 'vec_id')}
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component AS component_id, vec_id = component AS kept
+FROM embeddings JOIN least ON x = vec_id LEFT JOIN n ON n.a = vec_id""")
+def op1(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op2_quality")
+def op2(spark, folder):
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_jaccard_join", f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM d, LATERAL unnest(range(1, len(w) - least(len(w), 5) + 2)) t(i) WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+pairs AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common FROM s p JOIN s q ON p.g = q.g GROUP BY ALL),
+alike AS (SELECT a, b, common, x.size AS m, y.size AS k FROM pairs JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE a <> b AND common >= 0.8 * (x.size + y.size - common)),
+links AS (SELECT a, b FROM alike),
+copies AS (SELECT a, min(b) AS copy FROM alike WHERE common = m AND common = k GROUP BY a),{_components_sql('links', 'SELECT doc_id AS a FROM documents', 'doc_id')}
+SELECT doc_id, least(doc_id, coalesce(copy, doc_id)) AS copy_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+  component AS class_id, doc_id = component AS kept
+FROM documents JOIN least ON x = doc_id LEFT JOIN n ON n.a = doc_id LEFT JOIN copies ON copies.a = doc_id""")
+def op3(spark, folder):
+    return jaccard_forest.near_duplicates(table(spark, folder, "documents")).drop("text_key")
+
+
+@query("op5_language")
+def op5(spark, folder):
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query("op6_warc", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+r AS (SELECT page_id, payload, max(page_id) OVER (PARTITION BY payload) AS largest FROM p)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, {BASE32.format('payload')} AS payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> largest THEN largest END AS refers_to FROM r""")
+def op6(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query("op7_html_text")
+def op7(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op10_bpe")
+def op10(spark, folder):
+    import public_tokenizers
+
+    return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
