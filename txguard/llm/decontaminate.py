@@ -82,8 +82,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
     Whether a row is contaminated depends on its text alone, so the verdicts travel as MD5 keys of the texts: copies
     of a text are one key, and a null text is clean.
     """
-    bad = scan(docs, benchmark, doc, text, **options).where("contaminated").select(F.col("text_key").alias("__bad"))
-    return docs.join(bad.distinct(), F.md5(F.encode(text, "UTF-8")) == F.col("__bad"), "left_anti")
+    bad = scan(docs, benchmark, doc, text, **options).where("contaminated").select("text_key").distinct()
+    return docs.join(bad, F.md5(F.encode(docs[text], "UTF-8")) == bad["text_key"], "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -95,11 +95,13 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
     hit = hits.groupBy("__key").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("end") - 1)))).alias("__hit"))
     any_case = native.WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
-    between = F.split(F.col(text), any_case, -1)
-    own = F.regexp_extract_all(F.col(text), F.lit(any_case), F.lit(0))
-    joined = docs.withColumn("__key", key).join(hit, "__key", "left")
+    between = F.split(F.col("text"), any_case, -1)
+    own = F.regexp_extract_all(F.col("text"), F.lit(any_case), F.lit(0))
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), text, key.alias("__key"))
+    joined = whole.toDF("__row", "text", "__key").join(hit, "__key", "left")
     with_parts = joined.withColumn("__between", between).withColumn("__own", own)
     kept = F.transform("__own", lambda w, i: F.when(F.array_contains("__hit", i), F.lit("")).otherwise(w))
     cleaned = F.array_join(F.zip_with(
         "__between", F.concat(kept, F.array(F.lit(""))), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
-    return with_parts.withColumn(text, F.when(F.col("__hit").isNull(), F.col(text)).otherwise(cleaned)).select(docs.columns)
+    new = F.when(F.col("__hit").isNull(), F.col("text")).otherwise(cleaned)
+    return with_parts.select(*[new.alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns])

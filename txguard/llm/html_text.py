@@ -24,7 +24,7 @@ from txguard import workspace
 SAMPLE = 4000  # pages that the potentials are counted on, at most
 SLOTS = 4096  # features and tags are hashed into so many
 SEED_WEIGHT = 20  # a hand-labelled page counts as so many others
-SMOOTH = 0.5
+SMOOTH = 10.0  # pages of each state that are taken to show every feature
 
 # How HTML treats these elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,7 +60,7 @@ SEEDS = (
     "Imprint and terms.</p></div></body>",
     "<body><article data-label=1><header><h1>Heading of an article</h1></header><p>It begins with a sentence of some words. It goes on."
     "</p><div class='body'><p>More of the same, in a block of its own. It has an end.</p></div></article><section class='comments reader "
-    "replies discussion'><article class=comment><p>A reader wrote this. It is long, too, and has sentences.</p></article></section><div "
+    "replies discussion'><div class=comment><p>A reader wrote this. It is long, too, and has sentences.</p></div></section><div "
     "class='newsletter subscribe signup popup'>Get our letter.</div></body>",
 )
 

@@ -233,13 +233,11 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     verdict = rows.alias("r").join(chosen.withColumn("__chosen", F.lit(True)).alias("c"), same, "left").select(
         F.col("r.__id").alias("__id"), F.col("r.__key").alias("__key"), "__n", "__chosen")
     verdict = workspace.write_table(verdict, workspace.new_path(spark, "verdict"))
-    own = F.md5(F.encode(text, "UTF-8"))
-    match = F.col(doc).eqNullSafe(F.col("__id")) & (own == F.col("__key"))
+    key = F.md5(F.encode(docs[text], "UTF-8"))
     gone = verdict.where("__chosen IS NULL OR __n > 1").select("__id", "__key")
-    passed = docs.join(gone, match, "left_anti")
+    passed = docs.join(gone, docs[doc].eqNullSafe(gone["__id"]) & (key == gone["__key"]), "left_anti")
     repeated = verdict.where("__chosen AND __n > 1").select("__id", "__key")
     if not repeated.limit(1).count():
         return passed
-    one = docs.withColumn("__own", own).join(
-        repeated, F.col(doc).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left_semi")
-    return passed.unionByName(one.dropDuplicates([doc, "__own"]).select(docs.columns))
+    one = docs.join(repeated, docs[doc].eqNullSafe(repeated["__id"]) & (key == repeated["__key"]), "left_semi")
+    return passed.unionByName(one.dropDuplicates([doc, text]))

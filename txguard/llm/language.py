@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.llm import textarrays as ta
-from txguard.llm.quality import held_out
+from txguard.llm.quality import fresh, held_out
 
 SIZE = 4  # bytes in an n-gram
 MIN_RATE = 2e-5  # an n-gram belongs to a language from this share of its n-grams on: at most 1 / MIN_RATE of them
@@ -151,7 +151,7 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
-def _guesser(shared, text: str, names: list[str]):
+def _guesser(shared, text: str, names: list[str], out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = Filters(**shared.value) if shared.value else None
         for batch in batches:
@@ -170,21 +170,21 @@ def _guesser(shared, text: str, names: list[str]):
                         score.append(0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=names + ["__lang", "__sure"])
+                names=names + out)
 
     return run
 
 
-def guess(docs: DataFrame, filters: Filters | None, text: str = "text") -> DataFrame:
-    """``docs`` plus ``__lang`` and ``__sure``: the language of the whole text and its certainty.
+def guess(docs: DataFrame, filters: Filters | None, text: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """``docs`` plus two columns (``names``, not taken yet): the language of the whole text and its certainty.
 
     ``und`` with 0 for null, for texts without a letter, and if nothing was learnt.
     """
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     shared = docs.sparkSession.sparkContext.broadcast(vars(filters) if filters else None)  # bounded by 1 / MIN_RATE n-grams per language
-    schema = StructType(list(docs.schema.fields)).add("__lang", StringType()).add("__sure", DoubleType())
-    return docs.mapInArrow(_guesser(shared, text, docs.columns), schema)
+    schema = StructType(list(docs.schema.fields)).add(names[0], StringType()).add(names[1], DoubleType())
+    return docs.mapInArrow(_guesser(shared, text, docs.columns, list(names)), schema)
 
 
 def identify(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -194,12 +194,13 @@ def identify(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str
     """
     filters = fit(docs, ~held_out(doc, 3, 1), text, lang)
     rows = docs.select(F.col(doc).alias("doc_id"), held_out(doc, 3, 1).alias("held_out"), F.col(text).alias("text"))
-    return guess(rows, filters).select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__sure").alias("score"))
+    return guess(rows, filters, names=("lang_pred", "score")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang",
                min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without rows of unknown or uncertain language; all columns stay as they are."""
     filters = fit(docs, ~held_out(doc, 3, 1), text, lang)
-    found = guess(docs, filters, text)
-    return found.where((F.col("__lang") != UNKNOWN) & (F.col("__sure") >= min_score)).select(docs.columns)
+    names = (fresh("lang_pred", docs.columns), fresh("lang_score", docs.columns))
+    found = guess(docs, filters, text, names)
+    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score)).select(docs.columns)

@@ -212,24 +212,31 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, doc: st
     return Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), slope, shift)
 
 
-def _scorer(shared, text: str, names: list[str]):
+def fresh(base: str, taken: list[str]) -> str:
+    """A column name that is not taken."""
+    while base.lower() in {t.lower() for t in taken}:
+        base += "_"
+    return base
+
+
+def _scorer(shared, text: str, names: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
         for batch in batches:
             scores = [model.score(*features(data, offsets)) for _, _, data, offsets in ta.chunks(batch.column(text))]
             column = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [column], names=names + ["__score"])
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [column], names=[*names, name])
 
     return run
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` plus ``name``, the probability of class 1 of the whole text. Null and empty texts get that of no n-gram."""
+    """``docs`` plus column ``name`` (not taken yet), the probability of class 1 of the whole text. Null and empty texts get that of no n-gram."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # two numbers per slot: a fixed size
     from pyspark.sql.types import DoubleType, StructType
 
-    schema = StructType(list(docs.schema.fields)).add("__score", DoubleType())
-    return docs.mapInArrow(_scorer(shared, text, docs.columns), schema).withColumnRenamed("__score", name)
+    schema = StructType(list(docs.schema.fields)).add(name, DoubleType())
+    return docs.mapInArrow(_scorer(shared, text, docs.columns, name), schema)
 
 
 def held_out(doc: str, parts: int, part: int) -> Column:
@@ -251,5 +258,5 @@ def classify(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str
 def keep_good(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose score is below the threshold; all columns stay."""
     model = fit(docs, labels, ~held_out(doc, 4, 2), doc, text)
-    scored = score(docs, model, text, "__quality")
-    return scored.where(F.col("__quality") >= THRESHOLD).select(docs.columns)
+    name = fresh("quality_score", docs.columns)
+    return score(docs, model, text, name).where(F.col(name) >= THRESHOLD).select(docs.columns)
