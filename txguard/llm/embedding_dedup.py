@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.llm import textarrays as ta
-from txguard.llm.blocks import block_pairs, sorted_groups
+from txguard.llm.blocks import block_pairs
 from txguard.llm.links import named_links
 
 COSINE = 0.9
-TABLES, ROTATIONS, PROBES = 8, 3, 6  # a pair at cosine 0.9 of 64 numbers is missed about once in a thousand
+TABLES, ROTATIONS, PROBES = 12, 4, 8  # a pair at cosine 0.9 of 64 numbers is missed about once in a thousand
 CANDIDATES = 4  # corners of a rotation that probes choose from
 BLOCK = 1024  # vectors of a block
+SMALL = 32  # groups up to this size are compared many at a time
+PAIRS_AT_ONCE = 20_000
 ROUND_ROWS = 512
+GROUP = ["bucket", "low", "high"]
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -98,53 +101,114 @@ def _codes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 codes = bucket_codes(_unit(own["vector"]))
                 table = np.arange(codes.shape[1], dtype=np.uint64)[None, :, None]
                 named = ta.mix(ta.mix(codes.astype(np.uint64) * np.uint64(64) + table) + np.uint64(size)).astype(np.int64)
-                yield pd.DataFrame({"key": own["key"].to_numpy(), "buckets": [list(map(int, r)) for r in named.reshape(len(own), -1)]})
-
-
-def _first_shared(mine: np.ndarray, theirs: np.ndarray, bucket: int) -> np.ndarray:
-    """Which of ``theirs`` share ``bucket`` with ``mine`` as the first of all buckets they share (rows x tables x probes)."""
-    left = np.ones(len(theirs), bool)
-    table = int(np.flatnonzero((mine == bucket).any(axis=1))[0])
-    for t in range(table):
-        some = np.flatnonzero(left)
-        if not len(some):
-            return left
-        left[some] = ~(theirs[some, t][:, :, None] == mine[t][None, None, :]).any(axis=(1, 2))
-    some = np.flatnonzero(left)
-    equal = (theirs[some, table][:, :, None] == mine[table][None, None, :]).any(axis=1)
-    least = np.where(equal, mine[table][None, :], np.iinfo(np.int64).max).min(axis=1)
-    left[some] = least == bucket
+                flat = named.reshape(len(own), -1)
+                yield pd.DataFrame({"key": own["key"].to_numpy(), "buckets": list(flat), "codes": [r.tobytes() for r in flat]})
+
+
+def _first_shared(mine: np.ndarray, theirs: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """For each pair of rows (``pairs x tables x probes``), whether ``bucket`` is the first of all buckets they share."""
+    left = np.ones(len(mine), bool)
+    for at in range(0, len(mine), PAIRS_AT_ONCE):
+        one, two, name = mine[at:at + PAIRS_AT_ONCE], theirs[at:at + PAIRS_AT_ONCE], bucket[at:at + PAIRS_AT_ONCE]
+        equal = (one[:, :, :, None] == two[:, :, None, :]).any(axis=3)
+        table = equal.any(axis=2).argmax(axis=1)
+        rows = np.arange(len(one))
+        least = np.where(equal[rows, table], one[rows, table], np.iinfo(np.int64).max).min(axis=1)
+        left[at:at + PAIRS_AT_ONCE] = least == name
     return left
 
 
+def _near_pairs(x: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one group at the cosine; rows of a group are neighbours, ``group`` numbers them from 0."""
+    left, right = [], []
+    small = sizes[group] <= SMALL
+    for step in range(1, min(SMALL, len(x))):
+        a = np.flatnonzero((group[step:] == group[:-step]) & small[step:])
+        if not len(a):
+            break
+        for at in range(0, len(a), PAIRS_AT_ONCE):
+            part = a[at:at + PAIRS_AT_ONCE]
+            near = part[np.einsum("ij,ij->i", x[part], x[part + step]) >= COSINE]
+            left.append(near)
+            right.append(near + step)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    for g in np.flatnonzero(sizes > SMALL):
+        own = x[starts[g]:starts[g + 1]]
+        for at in range(0, len(own), 256):
+            a, b = np.nonzero(own[at:at + 256] @ own.T >= COSINE)
+            later = b > a + at
+            left.append(starts[g] + at + a[later])
+            right.append(starts[g] + b[later])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def _spanning(left: np.ndarray, right: np.ndarray) -> dict[int, int]:
+    """A root for every row that has a link."""
+    root: dict[int, int] = {}
+
+    def find(n: int) -> int:
+        while (up := root.setdefault(n, n)) != n:
+            root[n] = n = root[up]
+        return n
+
+    for a, b in zip(left.tolist(), right.tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in list(root)}
+
+
+def _linked(rows: pd.DataFrame) -> pd.DataFrame | None:
+    """Verified links among whole groups: for each key with how many vectors it links, and edges that span its links."""
+    rows = rows.drop_duplicates([*GROUP, "key"]).reset_index(drop=True)
+    if len(rows) < 2:
+        return None
+    x = _unit(rows["vector"])
+    keys = rows[GROUP].to_numpy()
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+    group = np.cumsum(new) - 1
+    a, b = _near_pairs(x, group, np.bincount(group))
+    if len(a):
+        block, across = rows["block"].to_numpy(), rows["low"].to_numpy() != rows["high"].to_numpy()
+        kept = ~(across[a] & (block[a] == block[b]))
+        a, b = a[kept], b[kept]
+    if len(a):
+        codes = np.frombuffer(b"".join(rows["codes"]), np.int64).reshape(len(rows), TABLES, -1)
+        kept = np.concatenate([_first_shared(codes[p], codes[q], rows["bucket"].to_numpy()[p]) for p, q in (
+            (a[at:at + PAIRS_AT_ONCE], b[at:at + PAIRS_AT_ONCE]) for at in range(0, len(a), PAIRS_AT_ONCE))])
+        a, b = a[kept], b[kept]
+    if not len(a):
+        return None
+    copies, links = rows["copies"].to_numpy(), np.zeros(len(rows), np.int64)
+    np.add.at(links, a, copies[b])
+    np.add.at(links, b, copies[a])
+    root, key = _spanning(a, b), rows["key"].to_numpy()
+    some = np.array(sorted(root))
+    return pd.DataFrame({"key": key[some], "links": links[some], "near": key[[root[i] for i in some]]})
+
+
 def _links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Verified links of each group: for each key how many vectors it links with, and edges that span its links."""
-    for group in sorted_groups(frames, ["bucket", "low", "high"]):
-        group = group.drop_duplicates("key")
-        if len(group) < 2:
+    """The links of a stream sorted by group; groups that are complete are worked on together."""
+    held = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        last = (frame[GROUP] == frame[GROUP].iloc[-1]).all(axis=1).to_numpy()
+        first_of_last = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if held and first_of_last == 0 and (held[-1][GROUP].iloc[-1] == frame[GROUP].iloc[0]).all():
+            held.append(frame)
             continue
-        bucket = int(group["bucket"].iloc[0])
-        x = _unit(group["vector"])
-        codes = np.stack(group["buckets"].to_numpy()).reshape(len(group), TABLES, -1)
-        copies, block = group["copies"].to_numpy(), group["block"].to_numpy()
-        across = group["low"].iloc[0] != group["high"].iloc[0]
-        links, root = np.zeros(len(group), np.int64), np.arange(len(group))
-        for i in range(1, len(group)):
-            near = np.flatnonzero(x[:i] @ x[i] >= COSINE)
-            if across:
-                near = near[block[near] != block[i]]
-            if len(near):
-                near = near[_first_shared(codes[i], codes[near], bucket)]
-            if len(near):
-                links[i] += copies[near].sum()
-                links[near] += copies[i]
-                old = np.unique(np.append(root[near], root[i]))
-                if len(old) > 1:
-                    root[np.isin(root, old)] = old[0]
-        some = np.flatnonzero(links)
-        if len(some):
-            keys = group["key"].to_numpy()
-            yield pd.DataFrame({"key": keys[some], "links": links[some], "near": keys[root[some]]})
+        done = pd.concat([*held, frame.iloc[:first_of_last]])
+        held = [frame.iloc[first_of_last:]]
+        for size, part in done.groupby(done["vector"].map(len)) if len(done) else ():
+            found = _linked(part)
+            if found is not None:
+                yield found
+    if held:
+        found = _linked(pd.concat(held))
+        if found is not None:
+            yield found
 
 
 def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -165,16 +229,16 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
             F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")),
         workspace.new_path(spark, "classes"))
     codes = workspace.write_table(
-        classes.select("key", "vector").mapInPandas(_codes, "key binary, buckets array<long>"), workspace.new_path(spark, "codes"))
+        classes.select("key", "vector").mapInPandas(_codes, "key binary, buckets array<long>, codes binary"), workspace.new_path(spark, "codes"))
 
     places = codes.select("key", F.explode(F.array_distinct("buckets")).alias("bucket"))
     shared = places.groupBy("bucket").agg(F.count("*").alias("weight")).where("weight > 1")
     shared = workspace.write_table(shared, workspace.new_path(spark, "shared"))
     members = places.join(shared.select("bucket"), "bucket", "left_semi")
     narrow = block_pairs(members, shared, "bucket", "key", BLOCK)
-    full = narrow.join(classes.select("key", "copies", "vector").join(codes, "key"), "key")
+    full = narrow.join(classes.select("key", "copies", "vector").join(codes.select("key", "codes"), "key"), "key")
     found = (
-        full.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+        full.repartition(*GROUP).sortWithinPartitions(*GROUP)
         .mapInPandas(_links, "key binary, links long, near binary")
     )
     found = workspace.write_table(found, workspace.new_path(spark, "links"))
