@@ -135,6 +135,43 @@ def test_a_refreshed_blacklist_is_seen_by_the_next_batch(spark, topic, run):
     assert flags == {1: 0, 2: 1}
 
 
+def test_a_retry_keeps_the_list_of_its_first_attempt(spark, topic, run):
+    """The list changes between the attempts, and what had alerts must have none that no verdict stands behind."""
+    topic(message(nameOrig="A", type="PAYMENT"), message(nameOrig="B", type="PAYMENT"))
+    calls = []
+
+    def flaky(rows, batch_id):
+        calls.append(sorted(r.nameOrig for r in rows.where("is_fraud_detected = 1").collect()))
+        if len(calls) == 1:
+            blacklist.publish(accounts(spark, "Z"), run.listed)
+            raise RuntimeError("sink is down")
+
+    sinks = detection.lake_sinks(spark, run.root)
+    sinks.extra = [flaky]
+    with pytest.raises(Exception, match="sink is down"):
+        run(sinks, names=("A",))
+    run(sinks)
+    assert calls == [["A"], ["A"]]
+    verdicts = {r.nameOrig: r.is_fraud_detected for r in LakeTable(spark, f"{run.root}/transactions").read().collect()}
+    assert verdicts == {"A": 1, "B": 0}
+    assert [r.nameOrig for r in sinks.fraud.read().collect()] == ["A"]
+    assert [r.key for r in spark.read.json(f"{run.root}/alerts/*").collect()] == ["A"]
+
+
+def test_a_retry_that_turns_empty_leaves_nothing(spark, topic, run):
+    topic(message(nameOrig="A", type="PAYMENT"))
+    sinks, root = detection.lake_sinks(spark, run.root), run.root
+    rows = detection.stamped(spark.createDataFrame([(message(nameOrig="A", type="PAYMENT"),)], "value string"))
+    for names in (["A"], ["Z"]):
+        blacklist.publish(accounts(spark, *names), run.listed)
+        if names == ["Z"]:  # as if the first attempt had been judged by another list
+            spark.createDataFrame([(blacklist.newest(spark, run.listed), None)], detection.PIN).coalesce(1).write.mode(
+                "overwrite").parquet(f"{root}/work/pins/batch_id=0")
+        detection.batch_writer(spark, run.listed, sinks)(rows, 0)
+    assert sinks.transactions.read().count() == 1 and sinks.fraud.read().isEmpty()
+    assert spark.read.schema("key string, value string").json(f"{root}/alerts/*").isEmpty()
+
+
 def test_batch_without_fraud_skips_the_fraud_sinks(spark, topic, run):
     topic(message(type="PAYMENT"))
     counts, calls = {}, []
@@ -153,18 +190,18 @@ def test_decode_keeps_whole_bad_texts(spark):
 
 
 def test_windows_over_several_batches(spark):
-    """Files in time order, state and watermark between them; the last word on each window is complete."""
+    """Three batches, the last with the oldest events: none comes too late."""
     root = workspace.new_path(spark, "windows-test")
     rows = spark.range(600).select(
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 10).cast("timestamp_ntz").alias("ingested_at"),
         (F.col("id") % 4 == 0).cast("int").alias("is_fraud_detected"), "id")
     table = LakeTable(spark, f"{root}/counts")
-    for part in range(3):
+    for part in (1, 2, 0):
         chunk = rows.where(F.floor(F.col("id") / 200) == part).drop("id")
         chunk.coalesce(1).write.mode("append").parquet(f"{root}/rows")
         stream = spark.readStream.schema(chunk.schema).parquet(f"{root}/rows")
         detection.run_to_end(windows.start_counts(
-            windows.minute_counts(stream), table, f"{root}/checkpoint", once=True))
+            stream, table, f"{root}/checkpoint", once=True))
     found = windows.latest_counts(table)
     totals = found.agg(F.count("*").alias("windows"), F.sum("total").alias("total"), F.sum("fraud").alias("fraud")).first()
     assert (totals.windows, totals.total, totals.fraud) == (100, 600, 150)

@@ -168,13 +168,13 @@ def fraud_only(spark, folder):
 
 
 @query("alert_json", on_detected("SELECT nameOrig AS key, nameOrig, nameDest, amount, type, is_fraud_detected, "
-                                 "blacklist_flag, rule_fraud_flag, date_trunc('milliseconds', ingested_at) AS ingested_at FROM fraud"))
+                                 "blacklist_flag, rule_fraud_flag, ingested_at FROM fraud"))
 def alert_json(spark, folder):
-    """Alerts as JSON, read back field by field; JSON keeps milliseconds."""
+    """Alerts as JSON, read back field by field, times to the microsecond."""
     schema = ("nameOrig string, nameDest string, amount double, type string, is_fraud_detected int, "
               "blacklist_flag int, rule_fraud_flag int, ingested_at timestamp_ntz")
     return messages.alerts(detected(spark, folder)).select(
-        "key", F.from_json("value", schema).alias("alert")).select("key", *[f"alert.{c}" for c in ALERT_COLUMNS])
+        "key", F.from_json("value", schema, messages.TIME_FORMATS).alias("alert")).select("key", *[f"alert.{c}" for c in ALERT_COLUMNS])
 
 
 @query("publish_envelope", on_transactions(f"SELECT nameOrig AS key, {_FIELDS} FROM tx WHERE {RISKY}"))

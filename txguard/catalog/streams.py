@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.catalog.analytics import LIMITER_BY_RECEIVER
-from txguard.catalog.base import TX, blacklist_path, detected, on_detected, on_transactions, query, transactions
+from txguard.catalog.base import DETECTED, TX, blacklist_path, detected, on_detected, on_transactions, query, transactions
 from txguard.plans import blacklist as blacklists
 from txguard.schema import ALERT_COLUMNS, DETECTION_COLUMNS, TX_COLUMNS
-from txguard.sources import messages
+from txguard.sources import files, jdbc, messages
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import text_stream
 from txguard.streaming import detection, limiter, windows
 
 _FIELDS = ", ".join(TX_COLUMNS)
 _VERDICTS = ", ".join(DETECTION_COLUMNS)
-FILES = 4
+PARTS = 4  # subfolders, so that even a small table comes in several files
 
 
 def topic(spark, folder, name: str = "topic") -> str:
-    """A folder of message files in the order of the steps."""
+    """A folder of message files; every file has messages of all times."""
     path = workspace.new_path(spark, name)
-    ordered = transactions(spark, folder).repartitionByRange(FILES, "step", "tx_id").sortWithinPartitions("step", "tx_id")
-    messages.envelopes(ordered).select("value").write.text(path)
+    sent = messages.envelopes(transactions(spark, folder)).select("value")
+    sent = sent.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(PARTS)))
+    sent.hint("rebalance", F.col("part")).write.partitionBy("part").text(path)
     return path
 
 
@@ -31,7 +36,7 @@ def _run(spark, folder) -> tuple[str, detection.Sinks]:
     """Work off the topic with all sinks; returns the root of their tables and the sinks."""
     root = workspace.new_path(spark, "detection")
     sinks = detection.lake_sinks(spark, root)
-    source = text_stream(spark, topic(spark, folder), files_per_trigger=2)
+    source = text_stream(spark, topic(spark, folder), files_per_trigger=2).select("value")
     detection.run_to_end(detection.start_detection(
         source, blacklist_path(spark, folder), sinks, f"{root}/checkpoint", once=True))
     return root, sinks
@@ -42,7 +47,7 @@ def stream_ingest(spark, folder):
     """Messages decoded, stamped and stored."""
     root = workspace.new_path(spark, "ingest")
     table = LakeTable(spark, f"{root}/rows")
-    source = detection.stamped(text_stream(spark, topic(spark, folder), files_per_trigger=2))
+    source = detection.stamped(text_stream(spark, topic(spark, folder), files_per_trigger=2).select("value"))
     detection.run_to_end(
         source.writeStream.foreachBatch(table.append).option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start())
@@ -104,13 +109,13 @@ def stream_blacklist_refresh(spark, folder):
 
 
 def _minutes(spark, folder):
-    """Counts per minute of the detected rows, read as a stream of files."""
+    """Counts per minute of the detected rows, read as a stream of files that each hold rows of all times."""
     root = workspace.new_path(spark, "minutes")
-    rows = workspace.write_table(
-        detected(spark, folder).select("ingested_at", "is_fraud_detected"), f"{root}/rows")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
+    rows = detected(spark, folder).select("ingested_at", "is_fraud_detected", F.pmod(F.col("tx_id"), F.lit(PARTS)).alias("part"))
+    rows.hint("rebalance", F.col("part")).write.partitionBy("part").parquet(f"{root}/rows")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/rows")
     table = LakeTable(spark, f"{root}/counts")
-    detection.run_to_end(windows.start_counts(windows.minute_counts(stream), table, f"{root}/checkpoint", once=True))
+    detection.run_to_end(windows.start_counts(stream, table, f"{root}/checkpoint", once=True))
     return windows.latest_counts(table)
 
 
@@ -145,17 +150,59 @@ def stream_sliding_3h(spark, folder):
     return _zoneless(windows.sliding_counts(_minutes(spark, folder), 180))
 
 
+_EARLY = "bl AS (SELECT DISTINCT nameOrig AS account FROM tx WHERE isFraud = 1 AND step <= 180)"
+
+
+@query("stream_retry_refresh", f"""WITH {TX}, {_EARLY}, {DETECTED}
+SELECT 'transactions' AS store, type, nameOrig, is_fraud_detected, COUNT(*) AS n FROM det GROUP BY ALL
+UNION ALL SELECT 'fraud_transactions', type, nameOrig, is_fraud_detected, COUNT(*) FROM fraud GROUP BY ALL
+UNION ALL SELECT 'alerts', type, nameOrig, is_fraud_detected, COUNT(*) FROM fraud GROUP BY ALL
+UNION ALL SELECT 'relational', type, nameOrig, is_fraud_detected, COUNT(*) FROM det GROUP BY ALL""")
+def stream_retry_refresh(spark, folder):
+    """The last sink fails, the blacklist is replaced, the batch is repeated: every sink keeps the verdicts of its first attempt."""
+    tx, root, listed = transactions(spark, folder), workspace.new_path(spark, "detection"), workspace.new_path(spark, "blacklist")
+    blacklists.publish(blacklists.build(tx, 180), listed)
+    sinks, failures = detection.lake_sinks(spark, root), ["the store is down"]
+
+    def relational(rows, batch_id):
+        committed = spark.read.parquet(f"{root}/store") if not failures else None
+        rest = jdbc.rows_to_write(rows, batch_id, committed)
+        if failures:
+            rest.where("type = 'TRANSFER'").write.parquet(f"{root}/store")
+            raise RuntimeError(failures.pop())
+        rest.write.mode("append").parquet(f"{root}/store")
+
+    sinks.extra = [relational]
+    source = text_stream(spark, topic(spark, folder)).select("value")
+    try:
+        detection.run_to_end(detection.start_detection(source, listed, sinks, f"{root}/checkpoint", once=True))
+    except StreamingQueryException:
+        blacklists.publish(blacklists.build(tx, 360), listed)
+    detection.run_to_end(detection.start_detection(source, listed, sinks, f"{root}/checkpoint", once=True))
+    alert = spark.read.schema("key string, value string").json(f"{root}/alerts/*").select(
+        F.from_json("value", "type string, nameOrig string, is_fraud_detected int").alias("a")).select("a.*")
+    stores = {"transactions": sinks.transactions.read(), "fraud_transactions": sinks.fraud.read(), "alerts": alert,
+              "relational": spark.read.parquet(f"{root}/store")}
+    counts = [rows.groupBy("type", "nameOrig", "is_fraud_detected").agg(F.count("*").alias("n")).select(
+        F.lit(store).alias("store"), "type", "nameOrig", "is_fraud_detected", "n") for store, rows in stores.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 @query("stream_limiter", f"SELECT nameDest, ingested_at, n, allowed FROM ({LIMITER_BY_RECEIVER})")
 def stream_limiter(spark, folder):
-    """The limiter with state per receiver, on files in time order: at most two passed in ten days."""
+    """The limiter with state per receiver, on slices in time order: at most two passed in ten days."""
     root = workspace.new_path(spark, "limiter")
-    rows = transactions(spark, folder).select("nameDest", "ingested_at").repartitionByRange(1, "ingested_at")
-    workspace.write_table(rows.sortWithinPartitions("ingested_at"), f"{root}/rows")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
+    slices = transactions(spark, folder).select("nameDest", "ingested_at", F.floor((F.col("step") - 1) * PARTS / 721).alias("slice"))
+    rows = slices.drop("slice")
+    slices.hint("rebalance", F.col("slice")).write.partitionBy("slice").parquet(f"{root}/slices")
     table = LakeTable(spark, f"{root}/decisions")
-    limited = limiter.limit_stream(stream, "nameDest", "ingested_at", 2, 864_000)
-    detection.run_to_end(
-        limited.writeStream.foreachBatch(table.append).option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True).start())
+    for name in sorted(files.folders(spark, f"{root}/slices"), key=lambda n: int(n.split("=")[1])):
+        # A slice is one micro-batch of files that many tasks read; the next one comes after it.
+        spark.read.schema(rows.schema).parquet(f"{root}/slices/{name}").write.mode("append").parquet(f"{root}/rows")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
+        limited = limiter.limit_stream(stream, "nameDest", "ingested_at", 2, 864_000)
+        detection.run_to_end(
+            limited.writeStream.foreachBatch(table.append).option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True).start())
     return table.read().select(F.col("key").alias("nameDest"), F.expr(
         "timestampadd(MICROSECOND, at, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("ingested_at"), "n", "allowed")

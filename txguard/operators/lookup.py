@@ -80,15 +80,17 @@ def drop_members(df: DataFrame, members: DataFrame, key: str, **options) -> Data
     return flag_members(df, members, key, "__member", **options).where("__member = 0").drop("__member")
 
 
-def unmatched(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` beyond the copies ``right`` already has, all columns compared, nulls equal.
+def unmatched(left: DataFrame, right: DataFrame, on: list[str] | None = None) -> DataFrame:
+    """Rows of ``left`` beyond the copies ``right`` already has, compared in ``on`` (by default all columns), nulls equal.
 
-    Copies are counted before the shuffle and the missing number is spelled out after it.
+    Columns outside ``on`` must follow from those in it. Copies are counted before the shuffle and the missing number is
+    spelled out after it.
     """
-    columns = left.columns
-    have = right.select(columns).groupBy(columns).agg(F.count("*").alias("__have"))
-    need = left.groupBy(columns).agg(F.count("*").alias("__need"))
-    same = all_of([F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in columns])
+    columns, on = left.columns, on or left.columns
+    have = right.select(on).groupBy(on).agg(F.count("*").alias("__have"))
+    rest = [c for c in columns if c not in on]
+    need = left.groupBy(on).agg(F.count("*").alias("__need"), *[F.any_value(c).alias(c) for c in rest])
+    same = all_of([F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in on])
     missing = F.col("__need") - F.coalesce("__have", F.lit(0))
     return (
         need.alias("n").join(have.alias("h"), same, "left")

@@ -41,19 +41,36 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if files.exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The newest published version; listing it again on every call is what makes a refresh visible."""
-    published = versions(spark, path)
-    if not published:
+def newest(spark: SparkSession, path: str) -> int:
+    """The newest published version, 0 if there is none; looks back from the newest folder only."""
+    names = [n for n in files.folders(spark, path) if n.startswith("version=")]
+    for version in sorted((int(n.split("=")[1]) for n in names), reverse=True):
+        if files.exists(spark, f"{path}/version={version}/_SUCCESS"):
+            return version
+    return 0
+
+
+def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A published version, by default the newest; looking again on every call is what makes a refresh visible."""
+    version = newest(spark, path) if version is None else version
+    if version == 0:
         return spark.createDataFrame([], BLACKLIST_SCHEMA)
-    return spark.read.schema(BLACKLIST_SCHEMA).parquet(f"{path}/version={published[-1]}")
+    return spark.read.schema(BLACKLIST_SCHEMA).parquet(f"{path}/version={version}")
+
+
+def expire(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
+    """Remove all but the newest ``keep`` versions; a batch in flight holds one of the newest."""
+    old = versions(spark, path)[:-keep]
+    for version in old:
+        files.remove(spark, f"{path}/version={version}")
+    return old
 
 
 def publish(accounts: DataFrame, path: str, mode: str = "replace") -> DataFrame:
     """Write the next version, as a replacement or added to the current one; readers keep what they opened."""
     spark = accounts.sparkSession
     rows = accounts if mode == "replace" else extend(read(spark, path), accounts)
-    target = max(versions(spark, path), default=0) + 1
+    target = newest(spark, path) + 1
     rows.write.mode("overwrite").parquet(f"{path}/version={target}")
     return read(spark, path)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.operators.lookup import unmatched
+from txguard.schema import DETECTION_COLUMNS
 
 
 def read_table(spark: SparkSession, url: str, table: str, *, column: str, lower: int, upper: int,
@@ -19,12 +20,17 @@ def read_table(spark: SparkSession, url: str, table: str, *, column: str, lower:
 
 
 def rows_to_write(batch: DataFrame, batch_id: int, committed: DataFrame | None) -> DataFrame:
-    """The batch with its id, less what an earlier attempt at the same id has already committed."""
+    """The batch with its id, less what an earlier attempt at the same id has already committed.
+
+    Records are matched by what came in, not by what was found out about them: a committed record is never written
+    again, whatever its verdict.
+    """
     tagged = batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
     if committed is None:
         return tagged
-    done = committed.where(F.col("batch_id") == int(batch_id)).select(tagged.columns)
-    return tagged if done.isEmpty() else unmatched(tagged, done)
+    record = [c for c in tagged.columns if c not in DETECTION_COLUMNS]
+    done = committed.where(F.col("batch_id") == int(batch_id)).select(record)
+    return tagged if done.isEmpty() else unmatched(tagged, done, record)
 
 
 def append_batch(batch: DataFrame, batch_id: int, url: str, table: str, *, connections: int = 16,

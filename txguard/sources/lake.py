@@ -2,12 +2,13 @@
 
 Layout of a table folder::
 
-    appends/batch_id=<n>/[type=<t>/]   one folder per micro-batch, replaced as a whole on a retry
-    snapshots/<k>/[type=<t>/]          compacted rows, batch_id kept as a column
-    pointers/                          one row per compaction: which snapshot covers batches up to where
+    appends/batch_id=<n>/attempt=<k>/[type=<t>/]   a micro-batch; the newest attempt with ``_SUCCESS`` counts
+    snapshots/<k>/[type=<t>/]                      compacted batches, batch_id kept as a column
+    pointers/                                      one row per compaction: which snapshot goes up to which batch
 
-A reader takes the snapshot of the newest pointer and the appends behind it. Where a Delta connector is
-on the classpath, ``delta_append``, ``delta_optimize`` and ``delta_vacuum`` use that instead.
+A reader takes the snapshots up to the newest pointer and the committed appends behind it, so it sees a batch whole or not
+at all. Where a Delta connector is on the classpath, ``delta_append``, ``delta_optimize`` and ``delta_vacuum`` use that
+instead.
 """
 
 from __future__ import annotations
@@ -41,24 +42,42 @@ class LakeTable:
     schema: T.StructType | None = None
 
     def append(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch; the same id again replaces it.
+        """Write one batch; the same id again replaces it, unless it has been compacted, which is an error.
 
         ``rebalance`` merges small and splits large output partitions, so a type that holds most rows is
         written by many tasks and no task writes a sliver of every type.
         """
-        self._write(df, f"{self.path}/appends/batch_id={int(batch_id)}")
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        self._balanced(df).write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        current = self.pointer()
+        if current and batch_id <= current[1]:
+            raise ValueError(f"batch {batch_id} of {self.path} is closed: compacted up to {current[1]}")
+        folder = f"{self.path}/appends/batch_id={int(batch_id)}"
+        attempts = sorted(int(n.split("=")[1]) for n in files.folders(self.spark, folder))
+        target = attempts[-1] + 1 if attempts else 0
+        self._balanced(df).write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{folder}/attempt={target}")
+        # The attempt before stays for readers that have just opened it.
+        for old in attempts[:-1]:
+            files.remove(self.spark, f"{folder}/attempt={old}")
+
+    def committed(self) -> dict[int, str | None]:
+        """Batch ids of the appends, each with the folder of its newest complete attempt (None: it has none yet)."""
+        found = {}
+        for name in files.folders(self.spark, f"{self.path}/appends"):
+            folder = f"{self.path}/appends/{name}"
+            attempts = sorted((int(n.split("=")[1]) for n in files.folders(self.spark, folder)), reverse=True)
+            done = (f"{folder}/attempt={k}" for k in attempts if files.exists(self.spark, f"{folder}/attempt={k}/_SUCCESS"))
+            found[int(name.split("=")[1])] = next(done, None)
+        return found
 
     def _balanced(self, df: DataFrame) -> DataFrame:
         return df.hint("rebalance", *[F.col(c) for c in self.partition_by])
 
-    def _scan(self, path: str) -> DataFrame:
-        reader = self.spark.read
+    def _scan(self, base: str, paths: list[str]) -> DataFrame:
+        reader = self.spark.read.option("basePath", base)
         if self.schema is None:
-            return reader.option("mergeSchema", True).parquet(path)
-        return reader.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+            rows = reader.option("mergeSchema", True).parquet(*paths)
+        else:
+            rows = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(*paths)
+        return rows.withColumn("batch_id", F.col("batch_id").cast("long")).drop("attempt")
 
     def pointer(self) -> tuple[int, int] | None:
         """Newest ``(snapshot, through)``."""
@@ -74,53 +93,54 @@ class LakeTable:
         Columns added by later batches are null in earlier ones.
         """
         current = self.pointer()
-        parts = []
-        if current:
-            parts.append(self._scan(f"{self.path}/snapshots/{current[0]}"))
-        if files.folders(self.spark, f"{self.path}/appends"):
-            appends = self._scan(f"{self.path}/appends").withColumn("batch_id", F.col("batch_id").cast("long"))
-            parts.append(appends.where(F.col("batch_id") > current[1]) if current else appends)
+        snapshots = [f"{self.path}/snapshots/{k}" for k in range(1, current[0] + 1)] if current else []
+        appends = [p for i, p in sorted(self.committed().items())
+                   if p and (current is None or i > current[1]) and (as_of is None or i <= as_of)]
+        parts = [self._scan(p, [p]) for p in snapshots]
+        if appends:
+            parts.append(self._scan(f"{self.path}/appends", appends))
         if not parts:
             raise ValueError(f"no data in {self.path}")
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part, allowMissingColumns=True)
         return rows if as_of is None else rows.where(F.col("batch_id") <= as_of)
 
-    def compact(self, sort_by: list[str] | None = None) -> None:
-        """Rewrite everything up to the newest batch into files of the advisory size, then point at it.
+    def compact(self, sort_by: list[str] | None = None, keep_open: int = 1) -> None:
+        """Write the closed batches since the last compaction as a snapshot of advisory-size files, then point at it.
 
-        Readers keep the old snapshot until the pointer row is there. Sorting inside the files gives the
-        Parquet statistics a time filter can skip by.
+        The newest ``keep_open`` batches stay as they are, because a stream may still repeat them; so does everything from
+        the first batch without a complete attempt on. What was compacted before is not touched. Readers see the appends
+        until the pointer row is there. Sorting inside the files gives the Parquet statistics a time filter can skip by.
         """
         current = self.pointer()
-        folders = files.folders(self.spark, f"{self.path}/appends")
-        ids = {int(name.split("=")[1]): name for name in folders}
-        fresh = [i for i in ids if current is None or i > current[1]]
-        done = [i for i in fresh if files.exists(self.spark, f"{self.path}/appends/{ids[i]}/_SUCCESS")]
-        if not done:
+        fresh = {i: p for i, p in self.committed().items() if current is None or i > current[1]}
+        closed = []
+        for i in sorted(fresh)[:len(fresh) - keep_open]:
+            if fresh[i] is None:
+                break
+            closed.append(i)
+        if not closed:
             return
-        through = max(done)
         snapshot = current[0] + 1 if current else 1
-        rows = self._balanced(self.read(as_of=through))
+        rows = self._balanced(self._scan(f"{self.path}/appends", [fresh[i] for i in closed]))
         if sort_by:
             rows = rows.sortWithinPartitions(*self.partition_by, *sort_by)
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/snapshots/{snapshot}")
         now = dt.datetime.now()
-        self.spark.createDataFrame([(snapshot, through, now)], POINTER).coalesce(1).write.mode("append").parquet(
+        self.spark.createDataFrame([(snapshot, closed[-1], now)], POINTER).coalesce(1).write.mode("append").parquet(
             f"{self.path}/pointers")
 
     def vacuum(self, retain_hours: float = RETAIN_HOURS, now: dt.datetime | None = None) -> list[str]:
-        """Remove folders a compaction replaced longer ago than the limit; returns what was removed."""
+        """Remove appends a compaction replaced longer ago than the limit; returns what was removed."""
         if not files.exists(self.spark, f"{self.path}/pointers"):
             return []
         limit = (now or dt.datetime.now()) - dt.timedelta(hours=retain_hours)
-        pointers = self.spark.read.schema(POINTER).parquet(f"{self.path}/pointers").orderBy("snapshot").collect()
-        settled = [p for p in pointers if p["created_at"] <= limit]
-        if not settled:
+        settled = self.spark.read.schema(POINTER).parquet(f"{self.path}/pointers").where(F.col("created_at") <= limit)
+        through = settled.agg(F.max("through")).first()[0]
+        if through is None:
             return []
-        keep_from, through = settled[-1]["snapshot"], settled[-1]["through"]
-        stale = [f"snapshots/{n}" for n in files.folders(self.spark, f"{self.path}/snapshots") if int(n) < keep_from]
-        stale += [f"appends/{n}" for n in files.folders(self.spark, f"{self.path}/appends")
-                  if int(n.split("=")[1]) <= through]
+        stale = [f"appends/{n}" for n in files.folders(self.spark, f"{self.path}/appends") if int(n.split("=")[1]) <= through]
         for name in stale:
             files.remove(self.spark, f"{self.path}/{name}")
         return stale

@@ -9,6 +9,10 @@ from txguard.functions.features import is_risky_type
 from txguard.schema import ALERT_COLUMNS, TX_SCHEMA
 
 
+TIME_FORMATS = {  # to the microsecond
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def envelopes(df: DataFrame) -> DataFrame:
     """``(key, value)``: the sender and the record as JSON, every field in its declared type."""
     record = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TX_SCHEMA.fields])
@@ -23,7 +27,7 @@ def ordered_envelopes(df: DataFrame, tie_break: list[str]) -> DataFrame:
 def alerts(detected: DataFrame) -> DataFrame:
     """``(key, value)`` of flagged rows: the sender and eight fields as JSON."""
     return detected.where("is_fraud_detected = 1").select(
-        F.col("nameOrig").cast("string").alias("key"), F.to_json(F.struct(*ALERT_COLUMNS)).alias("value"))
+        F.col("nameOrig").cast("string").alias("key"), F.to_json(F.struct(*ALERT_COLUMNS), TIME_FORMATS).alias("value"))
 
 
 def publish_files(messages: DataFrame, path: str) -> None:

@@ -1,8 +1,9 @@
 """The detection stream: one query reads the source once and feeds every sink.
 
-Each sink is idempotent by ``batch_id``: the lake tables and the alert files replace the batch's folder,
-the relational table adds only what an earlier attempt did not commit. A retried batch therefore leaves
-one copy, and a restart goes on from the checkpoint.
+A batch is judged by the blacklist version and the model that its first attempt has recorded, so a retry after a refresh
+gives the same verdicts. Each sink is idempotent by ``batch_id``: the lake tables and the alert files replace the batch's
+folder, also with nothing, and the relational table adds only records that an earlier attempt did not commit. A retried
+batch therefore leaves one copy in agreement with all other sinks, and a restart goes on from the checkpoint.
 """
 
 from __future__ import annotations
@@ -11,27 +12,36 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from txguard import workspace
 from txguard.operators.quality import check, quarantined_rows, table_rules, valid_rows
 from txguard.plans import blacklist as blacklists
 from txguard.plans import training
 from txguard.plans.detection import detect, detect_with_model
-from txguard.schema import DETECTED_SCHEMA, SCORED_SCHEMA
-from txguard.sources import jdbc, messages
+from txguard.schema import DETECTED_SCHEMA, SCORED_SCHEMA, TX_SCHEMA
+from txguard.sources import files, jdbc, messages
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import CORRUPT, decode
 
 BatchSink = Callable[[DataFrame, int], None]
+PIN = "version int, model string"
+RAW_SCHEMA = T.StructType([*TX_SCHEMA.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("ingested_at", T.TimestampType())])
+QUARANTINE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("failed_rules", T.ArrayType(T.StringType()))])
 
 
 @dataclass
 class Sinks:
-    """Where a batch goes. ``alert`` and ``extra`` take ``(rows, batch_id)`` and must tolerate a repeat."""
+    """Where a batch goes. ``alert`` and ``extra`` take ``(rows, batch_id)`` and must tolerate a repeat.
+
+    ``work`` is a folder for what belongs to a batch in flight: what it is judged by, and its judged rows.
+    """
 
     transactions: LakeTable
+    work: str
     fraud: LakeTable | None = None
     quarantine: LakeTable | None = None
     alert: BatchSink | None = None
@@ -43,13 +53,14 @@ def lake_sinks(spark: SparkSession, root: str, with_model: bool = False) -> Sink
     schema = SCORED_SCHEMA if with_model else DETECTED_SCHEMA
     return Sinks(
         transactions=LakeTable(spark, f"{root}/transactions", ["type"], schema),
+        work=f"{root}/work",
         fraud=LakeTable(spark, f"{root}/fraud_transactions", schema=schema),
-        quarantine=LakeTable(spark, f"{root}/quarantine"),
+        quarantine=LakeTable(spark, f"{root}/quarantine", schema=QUARANTINE_SCHEMA),
         alert=lambda rows, batch_id: messages.publish_files(rows, f"{root}/alerts/batch_id={batch_id}"),
     )
 
 
-def relational_sinks(url: str, schema: str = "shop", **options: str) -> list[BatchSink]:
+def relational_sinks(url: str, schema: str, **options: str) -> list[BatchSink]:
     """All and flagged rows as tables of a relational store, for ``Sinks.extra``."""
     def write_all(rows: DataFrame, batch_id: int) -> None:
         jdbc.append_batch(rows, batch_id, url, f"{schema}.transactions", **options)
@@ -61,21 +72,33 @@ def relational_sinks(url: str, schema: str = "shop", **options: str) -> list[Bat
     return [write_all, write_fraud]
 
 
-class Champion:
-    """The promoted model of a registry; a promotion takes effect with the next batch."""
+class Models:
+    """Loads models by path and keeps the last one."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.path, self.model = spark, root, None, None
+    def __init__(self):
+        self.path, self.model = None, None
 
-    def current(self) -> PipelineModel:
-        path = training.champion_path(self.spark, self.root)
-        if path is None:
-            raise ValueError(f"no promoted model in {self.root}")
+    def load(self, path: str) -> PipelineModel:
         if path != self.path:
             self.path, self.model = path, PipelineModel.load(path)
         return self.model
 
 
+def pinned(spark: SparkSession, work: str, batch_id: int, blacklist_path: str, registry: str | None) -> tuple[int, str | None, bool]:
+    """Blacklist version and model path of a batch, recorded by its first attempt; and whether this is a retry."""
+    path = f"{work}/pins/batch_id={int(batch_id)}"
+    if files.exists(spark, f"{path}/_SUCCESS"):
+        row = spark.read.schema(PIN).parquet(path).first()
+        return row["version"], row["model"], True
+    model = training.champion_path(spark, registry) if registry else None
+    if registry and model is None:
+        raise ValueError(f"no promoted model in {registry}")
+    version = blacklists.newest(spark, blacklist_path)
+    files.remove(spark, f"{work}/pins/batch_id={int(batch_id) - 2}")  # two batches back nothing can be repeated
+    spark.createDataFrame([(version, model)], PIN).coalesce(1).write.mode("overwrite").parquet(path)
+    return version, model, False
+
+
 def stamped(source: DataFrame) -> DataFrame:
     """Decoded messages with the ingest time.
 
@@ -87,41 +110,40 @@ def stamped(source: DataFrame) -> DataFrame:
 
 def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks, *, registry: str | None = None,
                  report: Callable[[int, dict], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """The work on one micro-batch: detect against today's blacklist (and model), quarantine, write each sink."""
-    champion = Champion(spark, registry) if registry else None
+    """The work on one micro-batch: detect against the recorded blacklist (and model), quarantine, write each sink."""
+    models = Models()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        blacklist = blacklists.read(spark, blacklist_path)
-        found = detect_with_model(batch, blacklist, champion.current()) if champion else detect(batch, blacklist)
+        version, model, retried = pinned(spark, sinks.work, batch_id, blacklist_path, registry)
+        blacklist = blacklists.read(spark, blacklist_path, version)
+        found = detect_with_model(batch, blacklist, models.load(model)) if model else detect(batch, blacklist)
         unreadable = F.col(CORRUPT).isNotNull()
         judged = check(found, table_rules()).withColumn(
             "failed_rules", F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.col("failed_rules")))
+        # Stored once for all sinks, in the folder that executors share, for as long as the batch takes.
+        stage = f"{sinks.work}/judged/batch_id={int(batch_id)}"
+        judged = workspace.write_table(judged, stage)
         valid = F.size("failed_rules") == 0
-        counts = Observation("batch")
-        # Kept for the life of the batch, so the sinks share one evaluation; a lost executor recomputes its part.
-        judged = judged.observe(
-            counts, F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
-            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")).persist()
-        try:
-            detected = valid_rows(judged).drop(CORRUPT)
-            sinks.transactions.append(detected, batch_id)
-            # The counts come with the first write; an empty part needs no further jobs.
-            size = counts.get
-            if size["fraud"]:
-                flagged = detected.where("is_fraud_detected = 1")
-                if sinks.fraud:
-                    sinks.fraud.append(flagged, batch_id)
-                if sinks.alert:
-                    sinks.alert(messages.alerts(flagged), batch_id)
-            if size["rows"]:
-                for sink in sinks.extra:
-                    sink(detected, batch_id)
-            if size["quarantined"] and sinks.quarantine:
-                sinks.quarantine.append(quarantined_rows(judged).select(*batch.columns, "failed_rules"), batch_id)
-            if report:
-                report(batch_id, dict(size))
-        finally:
-            judged.unpersist()
+        size = judged.agg(
+            F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
+            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")).first().asDict()
+        detected = valid_rows(judged).drop(CORRUPT)
+        flagged = detected.where("is_fraud_detected = 1")
+        sinks.transactions.append(detected, batch_id)
+        # A first attempt with nothing for a sink skips it; a retry writes even nothing over what may be there.
+        if size["fraud"] or retried:
+            if sinks.fraud:
+                sinks.fraud.append(flagged, batch_id)
+            if sinks.alert:
+                sinks.alert(messages.alerts(flagged), batch_id)
+        if (size["quarantined"] or retried) and sinks.quarantine:
+            sinks.quarantine.append(quarantined_rows(judged).select(*batch.columns, "failed_rules"), batch_id)
+        if size["rows"] or retried:
+            for sink in sinks.extra:
+                sink(detected, batch_id)
+        if report:
+            report(batch_id, size)
+        files.remove(spark, stage)
 
     return write
 

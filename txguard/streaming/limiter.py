@@ -16,32 +16,26 @@ OUTPUT = "key string, at long, n long, allowed long"
 STATE = "at array<long>, passed array<long>"
 
 
-def limit_stream(stream: DataFrame, key: str, ts: str, limit: int = 100, window_seconds: int = 60,
-                 late: str = "10 minutes") -> DataFrame:
+def limit_stream(stream: DataFrame, key: str, ts: str, limit: int = 100, window_seconds: int = 60) -> DataFrame:
     """Rows ``(key, at, n, allowed)`` for the instants of each micro-batch, decided in time order.
 
-    An account keeps at most ``limit`` instants and is forgotten once the watermark has passed its last
-    window. Events of one instant must arrive in one micro-batch; an event older than the newest one
-    already decided for its account is judged against the state as it then is.
+    An account keeps at most ``limit`` instants, so the state grows with the accounts, not with the events; keep it in the
+    RocksDB store. Every row gets a verdict, however late: there is no watermark to drop it. Events of one
+    instant must arrive in one micro-batch; an event older than the newest one already decided for its account is judged
+    against the state as it then is.
     """
     window = window_seconds * MICROS
 
     def judge(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         recent = deque(zip(*state.get)) if state.exists else deque()
         arrived = pd.concat([batch["at"].value_counts() for batch in batches]).groupby(level=0).sum().sort_index()
         at, n = arrived.index.to_numpy("int64"), arrived.to_numpy("int64")
         allowed, _ = decide(recent, at, n, limit, window)
         if recent:
             state.update(([moment for moment, _ in recent], [passed for _, passed in recent]))
-            expires = (recent[-1][0] + window) // 1000 + 1
-            state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"key": group[0], "at": at, "n": n, "allowed": allowed})
 
     timed = stream.select(
-        F.col(key).cast("string").alias("key"), micros(ts).alias("at"),
-        F.col(ts).cast("timestamp").alias("event_time")).withWatermark("event_time", late)
+        F.col(key).cast("string").alias("key"), micros(ts).alias("at")).where("at IS NOT NULL")
     return timed.groupBy("key").applyInPandasWithState(
-        judge, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        judge, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)

@@ -11,29 +11,30 @@ from txguard.sources.lake import LakeTable
 COUNTS = ["total", "fraud"]
 
 
-def minute_counts(stream: DataFrame, ts: str = "ingested_at", late: str = "10 minutes") -> DataFrame:
-    """Rows and flagged rows per minute.
+def minute_counts(rows: DataFrame, ts: str = "ingested_at") -> DataFrame:
+    """Rows and flagged rows per minute."""
+    start = F.date_trunc("minute", F.col(ts).cast("timestamp"))
+    counts = rows.groupBy(start.alias("start")).agg(
+        F.count("*").alias("total"), F.count_if(F.col("is_fraud_detected") == 1).alias("fraud"))
+    return counts.where("start IS NOT NULL").select("start", (F.col("start") + F.expr("INTERVAL 1 MINUTE")).alias("end"), *COUNTS)
 
-    State is one row per open minute; the watermark closes minutes ``late`` after the newest event.
-    """
-    timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late)
-    return timed.groupBy(F.window("event_time", "1 minute").alias("window")).agg(
-        F.count("*").alias("total"), F.count_if(F.col("is_fraud_detected") == 1).alias("fraud")
-    ).select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *COUNTS)
 
+def start_counts(stream: DataFrame, table: LakeTable, checkpoint: str, *, ts: str = "ingested_at",
+                 once: bool = False) -> StreamingQuery:
+    """Store the counts of each micro-batch; ``latest_counts`` adds them up.
 
-def start_counts(counts: DataFrame, table: LakeTable, checkpoint: str, *, once: bool = False) -> StreamingQuery:
-    """Write changed windows of each batch; ``latest_counts`` reads the last word on every window."""
+    A batch is counted by itself, so there is no state to keep and no event comes too late to be counted. A repeated batch
+    replaces its counts.
+    """
     writer = (
-        counts.writeStream.foreachBatch(lambda batch, batch_id: table.append(batch, batch_id))
-        .outputMode("update").option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(lambda batch, batch_id: table.append(minute_counts(batch, ts), batch_id))
+        .option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def latest_counts(table: LakeTable) -> DataFrame:
-    newest = F.max_by(F.struct(*COUNTS), "batch_id").alias("c")
-    return table.read().groupBy("start", "end").agg(newest).select("start", "end", "c.*")
+    return table.read().groupBy("start", "end").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def sliding_counts(minutes: DataFrame, width: int = 60) -> DataFrame:
