@@ -10,7 +10,8 @@ from txguard.operators.frequency import encode_frequency, rare_rows, value_frequ
 from txguard.operators.histogram import histogram
 from txguard.operators.profile import duplicate_count, missing_counts, numeric_profile, string_profile
 from txguard.operators.quantiles import exact_quantiles
-from txguard.operators.sampling import sample_fraction, sample_rows, split_by_id
+from txguard.operators.explore import page, page_after
+from txguard.operators.sampling import first_rows, sample_fraction, sample_rows, split_by_id
 from txguard.schema import DISPLAY_NAMES
 
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -43,10 +44,11 @@ def test_quantiles_by_group_ignore_missing(spark):
     assert found[(None, 0.5)] == 1.5
 
 
-def test_quantiles_refuse_unbounded_groups(spark):
-    rows = spark.range(10_001).select(F.col("id").alias("g"), F.lit(1.0).alias("v"))
-    with pytest.raises(ValueError, match="groups"):
-        exact_quantiles(rows, ["g"], "v", [0.5])
+def test_quantiles_of_many_groups(spark):
+    """More groups than are broadcast meet their rows in a shuffle."""
+    rows = spark.range(30_003).select((F.col("id") % 10_001).alias("g"), F.col("id").cast("double").alias("v"))
+    found = exact_quantiles(rows, ["g"], "v", [0.5])
+    assert found.count() == 10_001 and found.where("quantile <> g + 10001").isEmpty()
 
 
 def test_profiles_equal_pandas(spark):
@@ -187,3 +189,36 @@ def test_expectations_stop_the_job(spark):
     quality.require(rows(1))
     with pytest.raises(RuntimeError, match="rows"):
         quality.require(rows(0))
+
+
+def test_first_rows_with_ties_and_missing_keys(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 > 0, F.col("id") % 7).alias("k"), "id")
+    known = rows.where("k IS NOT NULL").count()
+    for n in (1, 8_000, known, known + 5, 100_000):
+        found = first_rows(rows, n, "k")
+        assert found.count() == min(n, 60_000)
+        kept = sorted(r.k for r in found.where("k IS NOT NULL").collect())
+        assert kept == sorted(r.k for r in rows.where("k IS NOT NULL").collect())[:min(n, known)]
+
+
+def test_first_rows_by_counting(spark):
+    rows = spark.range(300_000).select(F.xxhash64("id").alias("h"), "id").repartition(6)
+    expected = {r.id for r in rows.orderBy("h").limit(90_000).collect()}
+    assert {r.id for r in first_rows(rows, 90_000, "h").collect()} == expected
+
+
+def test_pages_with_missing_values(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 4), (3, None), (4, None)], "tx_id long, step int")
+    for descending, first in ((True, [1, 2]), (False, [2, 1])):
+        page_one = page(rows, 1, sort_by="step", descending=descending, size=2).collect()
+        assert [r.tx_id for r in page_one] == first
+        after = page_after(rows, page_one[-1].step, page_one[-1].tx_id, sort_by="step", descending=descending, size=2)
+        assert [r.tx_id for r in after.collect()] == [3, 4]
+        assert [r.tx_id for r in page_after(rows, None, 3, sort_by="step", descending=descending, size=2).collect()] == [4]
+
+
+def test_histogram_of_odd_numbers(spark):
+    rows = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "v double")
+    cells = histogram(rows, F.col("v"), F.lit("all"), 2).collect()
+    assert sorted((r.bin, r.n) for r in cells) == [(0, 1), (1, 1)]

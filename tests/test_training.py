@@ -93,7 +93,7 @@ def test_promotion_needs_a_better_score(spark):
     assert training.promote(spark, root) is False and training.champion_model(spark, root) is None
     outcomes = []
     for minute, (run, score) in enumerate([("a", 0.5), ("b", 0.4), ("c", 0.5), ("d", 0.6)]):
-        training.log_run(spark, root, run, f"{root}/{run}", {"f1_score": score}, at=dt.datetime(2024, 1, 1, 0, minute))
+        training.log_run(spark, root, run, f"{root}/{run}", {"fraud_f1_score": score}, at=dt.datetime(2024, 1, 1, 0, minute))
         outcomes.append(training.promote(spark, root))
     assert outcomes == [True, False, False, True]
     assert training.latest_run(training.read_runs(spark, root), "PROMOTED").first().run == "d"
@@ -171,5 +171,20 @@ def test_stream_with_model_equals_batch(spark, history):
 
 
 def test_stream_without_a_promoted_model_stops(spark):
+    root = workspace.new_path(spark, "registry-test")
     with pytest.raises(ValueError, match="no promoted model"):
-        streaming.Champion(spark, workspace.new_path(spark, "registry-test")).current()
+        streaming.pinned(spark, f"{root}/work", 0, f"{root}/blacklist", root)
+
+
+def test_history_with_missing_values_trains_and_scores(spark, history):
+    holes = history.withColumn("oldbalanceOrg", F.when(F.col("tx_id") % 3 > 0, F.col("oldbalanceOrg"))).withColumn(
+        "amount", F.when(F.col("tx_id") % 11 > 0, F.col("amount")).otherwise(F.lit(float("nan"))))
+    model, values = training.train(holes, trees=3, depth=3)
+    assert 0 <= values["fraud_f1_score"] <= 1
+    assert detection.score(holes, model).where("ml_probability IS NULL").isEmpty()
+
+
+def test_split_without_an_id_does_not_depend_on_partitions(history):
+    rows = history.drop("tx_id")
+    one, two = (training.split(r)[0].count() for r in (rows.repartition(1), rows.repartition(7)))
+    assert one == two and 0.7 < one / rows.count() < 0.9

@@ -7,7 +7,8 @@ import os
 
 from txguard.plans import jobs
 from txguard.session import build_session, object_store_conf
-from txguard.sources import messages
+from txguard.schema import DETECTED_SCHEMA
+from txguard.sources import files, messages
 from txguard.sources.lake import LakeTable
 from txguard.sources.transactions import kafka_stream, read_csv, text_stream
 from txguard.streaming import detection
@@ -18,7 +19,7 @@ def parser() -> argparse.ArgumentParser:
     sub = top.add_subparsers(dest="job", required=True)
 
     job = sub.add_parser("blacklist", help="rebuild the blacklist from labelled history")
-    job.add_argument("--history", required=True, help="CSV file or folder with a header")
+    job.add_argument("--history", required=True, help="lake table of the detection job, or CSV with a header")
     job.add_argument("--to", required=True)
     job.add_argument("--until-step", type=int)
 
@@ -26,19 +27,20 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--history", required=True)
     job.add_argument("--to", help="folder for message files")
     job.add_argument("--servers", help="Kafka servers instead of a folder")
-    job.add_argument("--topic", default="transactions-data")
+    job.add_argument("--topic", help="Kafka topic of the messages")
 
     job = sub.add_parser("detect", help="run the detection stream")
     job.add_argument("--messages", help="folder with one JSON message per line")
     job.add_argument("--servers", help="Kafka servers instead of a folder")
-    job.add_argument("--topic", default="transactions-data")
-    job.add_argument("--alert-topic", default="fraud-alerts")
+    job.add_argument("--topic", help="Kafka topic of the messages")
+    job.add_argument("--alert-topic", help="Kafka topic of the alerts")
     job.add_argument("--per-trigger", type=int, help="files or offsets per micro-batch")
     job.add_argument("--blacklist", required=True)
     job.add_argument("--root", required=True, help="folder of the lake tables")
     job.add_argument("--checkpoint", required=True, help="folder that survives restarts")
     job.add_argument("--registry", help="model registry; adds the promoted model to the verdict")
     job.add_argument("--jdbc-url", help="also fill tables of a relational store (user and password from the environment)")
+    job.add_argument("--jdbc-schema", help="schema of those tables")
     job.add_argument("--once", action="store_true", help="work off what is there and stop")
 
     job = sub.add_parser("train", help="train, record and, if it is better, promote a model")
@@ -54,6 +56,13 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def history_of(spark, path: str):
+    """Labelled history: the detection job's table of all rows, or CSV with a header."""
+    if files.exists(spark, f"{path}/appends") or files.exists(spark, f"{path}/snapshots"):
+        return LakeTable(spark, path, ["type"], DETECTED_SCHEMA).read()
+    return read_csv(spark, path)
+
+
 def detect(spark, args) -> None:
     sinks = detection.lake_sinks(spark, args.root, with_model=bool(args.registry))
     if args.servers:
@@ -63,18 +72,23 @@ def detect(spark, args) -> None:
         source = text_stream(spark, args.messages, args.per_trigger)
     if args.jdbc_url:
         login = {k: os.environ[f"JDBC_{k.upper()}"] for k in ("user", "password", "driver") if f"JDBC_{k.upper()}" in os.environ}
-        sinks.extra = detection.relational_sinks(args.jdbc_url, **login)
+        sinks.extra = detection.relational_sinks(args.jdbc_url, args.jdbc_schema, **login)
     detection.run_to_end(detection.start_detection(
         source, args.blacklist, sinks, args.checkpoint, once=args.once, registry=args.registry))
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    top = parser()
+    args = top.parse_args(argv)
+    if getattr(args, "servers", None) and not args.topic:
+        top.error("--servers needs --topic")
+    if args.job == "detect" and ((args.servers and not args.alert_topic) or (args.jdbc_url and not args.jdbc_schema)):
+        top.error("--servers needs --alert-topic, --jdbc-url needs --jdbc-schema")
     spark = build_session(f"txguard-{args.job}", **object_store_conf())
     if args.job == "blacklist":
-        jobs.refresh_blacklist(read_csv(spark, args.history), args.to, args.until_step).show()
+        jobs.refresh_blacklist(history_of(spark, args.history), args.to, args.until_step).show()
     elif args.job == "publish":
-        ordered = messages.ordered_envelopes(read_csv(spark, args.history), ["nameOrig", "amount"])
+        ordered = messages.ordered_envelopes(history_of(spark, args.history), ["nameOrig", "amount"])
         if args.servers:
             messages.publish_kafka(ordered, args.servers, args.topic)
         else:
@@ -82,11 +96,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "detect":
         detect(spark, args)
     elif args.job == "train":
-        history = read_csv(spark, args.history)
+        history = history_of(spark, args.history)
         promoted = jobs.retrain(spark, history, args.registry, args.run, key=None, trees=args.trees, depth=args.depth)
         print("promoted" if promoted else "not promoted")
     elif args.job == "tidy":
-        tables = [LakeTable(spark, f"{args.root}/transactions", ["type"]), LakeTable(spark, f"{args.root}/fraud_transactions")]
+        tables = [LakeTable(spark, f"{args.root}/transactions", ["type"], DETECTED_SCHEMA),
+                  LakeTable(spark, f"{args.root}/fraud_transactions", schema=DETECTED_SCHEMA)]
         print(jobs.tidy_lake(tables, ["ingested_at"], args.retain_hours))
 
 

@@ -1,14 +1,19 @@
-"""Queries that train or apply a model. Forests are random in detail, so there is no SQL to compare with."""
+"""Queries that train or apply a model.
+
+Forests are random in detail; what does not depend on the fit has SQL: test rows, verdicts, names and totals.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from txguard import workspace
-from txguard.catalog.base import blacklist, blacklist_path, query, transactions
+from txguard.catalog.base import RISKY, blacklist, blacklist_path, on_transactions, query, transactions
 from txguard.catalog.streams import topic
 from txguard.functions.features import mismatch
 from txguard.operators.frequency import encode_frequency
 from txguard.plans import anomaly, detection, training
-from txguard.schema import RESIDUAL_FEATURES
+from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES
 from txguard.sources.transactions import text_stream
 from txguard.streaming import detection as streaming
 
@@ -64,7 +69,7 @@ def stream_detect_with_model(spark, folder):
     """The detection stream with the promoted model as third layer."""
     root = workspace.new_path(spark, "detection")
     sinks = streaming.lake_sinks(spark, root, with_model=True)
-    source = text_stream(spark, topic(spark, folder), files_per_trigger=2)
+    source = text_stream(spark, topic(spark, folder), files_per_trigger=2).select("value")
     streaming.run_to_end(streaming.start_detection(
         source, blacklist_path(spark, folder), sinks, f"{root}/checkpoint", once=True,
         registry=registry(spark, folder)))
@@ -81,10 +86,11 @@ def ml_promote(spark, folder):
     """A smaller challenger against the champion: the run table says who holds the title."""
     root = workspace.new_path(spark, "registry")
     tx = transactions(spark, folder)
+    _, test_rows = training.split(training.training_rows(tx), "tx_id")
     for run, trees, depth in (("small", 5, 3), ("large", 20, 10)):
         model, values = training.train(tx, trees=trees, depth=depth)
         training.log_run(spark, root, run, training.save_model(model, root, run), values)
-        training.promote(spark, root)
+        training.promote(spark, root, test_rows=test_rows)
     return training.read_runs(spark, root).select("run", "status", "metric", "value")
 
 
@@ -102,9 +108,42 @@ def ml_residual(spark, folder):
 @query("anomaly_score")
 def anomaly_score(spark, folder):
     columns = ["amount", "type_freq", "balance_changed"]
-    tx = training.spread_out(transactions(spark, folder).withColumn(
-        "balance_changed", mismatch("oldbalanceOrg", "newbalanceOrig")))
+    tx = transactions(spark, folder).withColumn("balance_changed", mismatch("oldbalanceOrg", "newbalanceOrig"))
     rows = encode_frequency(tx, "type", "type_freq").select("tx_id", *columns)
     forest = anomaly.grow_forest(rows, columns, ["tx_id"])
     scored = anomaly.anomaly_scores(rows, forest, columns)
     return anomaly.flag_anomalies(workspace.write_table(scored, workspace.new_path(spark, "scores")))
+
+
+@query("ml_test_rows", on_transactions(f"SELECT CAST(isFraud AS DOUBLE) AS label, COUNT(*) AS n FROM tx WHERE {RISKY} AND tx_id % 10 >= 8 GROUP BY 1"))
+def ml_test_rows(spark, folder):
+    """Every test row is predicted once, whatever the prediction."""
+    return ml_metrics(spark, folder).groupBy("label").agg(F.sum("n").alias("n"))
+
+
+@query("ml_run_metrics", "SELECT * FROM (VALUES " + ", ".join(f"('run-1', '{s}', '{m}')" for s, m in [
+    *(("FINISHED", m) for m in ("auprc", "auc_roc", "f1_score", "precision", "recall", "fraud_f1_score", "fraud_precision", "fraud_recall")),
+    ("PROMOTED", "fraud_f1_score")]) + ") v(run, status, metric)")
+def ml_run_metrics(spark, folder):
+    """Which values the run table holds, all of them between 0 and 1."""
+    return ml_runs(spark, folder).where("value BETWEEN 0 AND 1").select("run", "status", "metric")
+
+
+@query("ml_importance_names", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', 1.0::DOUBLE)" for c in FEATURE_COLUMNS) + ") v(feature, total)")
+def ml_importance_names(spark, folder):
+    """Every input has its importance, and together they make one."""
+    rows = ml_importance(spark, folder)
+    total = rows.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return rows.select("feature", total.scalar().alias("total"))
+
+
+@query("ml_verdicts", on_transactions("""SELECT type, COUNT(*) AS rows, 0::BIGINT AS wrong,
+  0::BIGINT AS flagged_outside FROM tx GROUP BY type"""))
+def ml_verdicts(spark, folder):
+    """The verdict is the OR of three flags, and the model flags risky types only."""
+    rows = detect_with_model(spark, folder)
+    verdict = F.greatest("rule_fraud_flag", "blacklist_flag", "ml_fraud_flag")
+    outside = ~F.col("type").isin("TRANSFER", "CASH_OUT") & (F.col("ml_fraud_flag") == 1)
+    return rows.groupBy("type").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("is_fraud_detected") != verdict).alias("wrong"),
+        F.count_if(outside).alias("flagged_outside"))

@@ -45,7 +45,7 @@ def _order(sort_by: str, descending: bool, tie_break: str) -> list[Column]:
     if sort_by not in SORT_COLUMNS:
         raise ValueError(f"cannot sort by {sort_by!r}; allowed: {sorted(SORT_COLUMNS)}")
     column = F.col(sort_by)
-    return [column.desc() if descending else column.asc(), F.col(tie_break).asc()]
+    return [column.desc_nulls_last() if descending else column.asc_nulls_last(), F.col(tie_break).asc()]
 
 
 def page(df: DataFrame, number: int, *, sort_by: str = "ingested_at", descending: bool = True,
@@ -56,10 +56,17 @@ def page(df: DataFrame, number: int, *, sort_by: str = "ingested_at", descending
 
 def page_after(df: DataFrame, last_value, last_tie, *, sort_by: str = "ingested_at", descending: bool = True,
                tie_break: str = "tx_id", size: int = PAGE_SIZE) -> DataFrame:
-    """The page behind a known last row: a pushed-down filter instead of skipped rows, at any depth."""
-    column, value = F.col(sort_by), F.lit(last_value)
-    beyond = column < value if descending else column > value
-    rest = df.where(beyond | ((column == value) & (F.col(tie_break) > last_tie)))
+    """The page behind a known last row: a pushed-down filter instead of skipped rows, at any depth.
+
+    Missing sort values come last; ``last_value`` is None behind a row that has none.
+    """
+    column, behind = F.col(sort_by), F.col(tie_break) > last_tie
+    if last_value is None:
+        rest = df.where(column.isNull() & behind)
+    else:
+        value = F.lit(last_value)
+        beyond = column < value if descending else column > value
+        rest = df.where(beyond | ((column == value) & behind) | column.isNull())
     return rest.orderBy(*_order(sort_by, descending, tie_break)).limit(size)
 
 

@@ -11,10 +11,10 @@ def histogram(df: DataFrame, value: Column, by: Column, bins: int, *, low: float
     """Rows ``(label, bin, n, density)`` over ``bins`` equal cells between ``low`` and ``high``.
 
     Open limits come from the data in one scalar pass shared by all classes. The last cell includes its
-    upper edge; values outside the limits are left out of the counts and of the density. The value is
+    upper edge; values outside the limits, NaN and infinite ones are left out of the counts and of the density. The value is
     computed once per row: behind an ``explode`` it is not copied into every condition on it.
     """
-    data = df.select(F.explode(F.array(value.cast("double"))).alias("v"), by.alias("label")).where("v IS NOT NULL")
+    data = df.select(F.explode(F.array(value.cast("double"))).alias("v"), by.alias("label")).where("v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('infinity')")
     lo = F.lit(float(low)) if low is not None else data.agg(F.min("v")).scalar()
     hi = F.lit(float(high)) if high is not None else data.agg(F.max("v")).scalar()
     ranged = data.withColumns({"lo": lo, "hi": hi}).where("v BETWEEN lo AND hi")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from txguard import workspace
 from txguard.functions.features import all_of
 
-MAX_GROUPS = 10_000
+BROADCAST_GROUPS = 10_000  # brackets of so many groups are broadcast; more meet their rows in a shuffle
 ACCURACY = 100_000  # ranks from the sketch are off by at most rows/ACCURACY
 
 
@@ -21,8 +21,8 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities:
                     accuracy: int = ACCURACY) -> DataFrame:
     """Rows ``(*groups, p, quantile)`` with linear interpolation between neighbouring ranks.
 
-    Missing values are ignored. The brackets of all groups are stored, counted and broadcast, so there may be
-    at most ``MAX_GROUPS`` groups. What is ordered per group is at most ``4 * len(probabilities) * rows / accuracy`` distinct values.
+    Missing values are ignored. The brackets of all groups are stored and counted; a small table of them is broadcast. What
+    is ordered per group is at most ``4 * len(probabilities) * rows / accuracy`` distinct values.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL")
     slack = 2.0 / accuracy
@@ -32,10 +32,9 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities:
     if groups:
         spark = df.sparkSession
         brackets = workspace.write_table(sketch, workspace.new_path(spark, "brackets"))
-        if brackets.count() > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups")
+        few = brackets.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
         same = all_of([F.col(f"d.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups])
-        with_edges = data.alias("d").join(F.broadcast(brackets).alias("b"), same).select("d.*", "b.__edges")
+        with_edges = data.alias("d").join((F.broadcast(brackets) if few else brackets).alias("b"), same).select("d.*", "b.__edges")
     else:
         with_edges = data.withColumn("__edges", sketch.scalar())
     lows = [F.col("__edges")[2 * i] for i in range(len(probabilities))]

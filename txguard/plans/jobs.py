@@ -16,14 +16,15 @@ def refresh_blacklist(history: DataFrame, path: str, until_step: int | None = No
 
 
 def retrain(spark: SparkSession, history: DataFrame, root: str, run: str, **options) -> bool:
-    """Weekly: check the input, train, save, record the run, promote the model if it is better."""
+    """Weekly: check the input, train, save, record the run, promote the model if it is better on today's test rows."""
     require(expectation(history, "history_present", F.count("*"), lambda v: v > 0))
     model, values = training.train(history, **options)
     path = training.save_model(model, root, run)
     training.log_run(spark, root, run, path, values)
     runs = training.read_runs(spark, root)
     require(expectation(runs, "run_recorded", F.count_if(F.col("run") == run), lambda v: v > 0))
-    return training.promote(spark, root)
+    _, test_rows = training.split(training.training_rows(history), options.get("key", "tx_id"))
+    return training.promote(spark, root, test_rows=test_rows)
 
 
 def tidy_lake(tables: list[LakeTable], sort_by: list[str] | None = None, retain_hours: float = RETAIN_HOURS) -> dict[str, list[str]]:

@@ -7,15 +7,16 @@ import datetime as dt
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txguard import workspace
 from txguard.functions.features import is_risky_type, training_features
 from txguard.operators.sampling import split_by_id
 from txguard.plans.exploration import class_counts, rule_residual, with_class_weight
-from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES
+from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES, TX_SCHEMA
 from txguard.sources import files
 
 RUNS_SCHEMA = T.StructType(
@@ -30,12 +31,6 @@ RUNS_SCHEMA = T.StructType(
 )
 
 
-def spread_out(rows: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer files than cores; a larger one is left as it is, without a shuffle."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def training_rows(history: DataFrame) -> DataFrame:
     """Risky transactions with all features and the class weight.
 
@@ -54,25 +49,35 @@ def pipeline(trees: int = 100, depth: int = 10, seed: int = 42) -> Pipeline:
     Index order is by name, not by frequency, so a retrain on other data keeps the meaning of the column;
     types that were not trained on get an index of their own.
     """
+    numbers = [c for c in FEATURE_COLUMNS if c != "type_idx"]
     return Pipeline(stages=[
         StringIndexer(inputCol="type", outputCol="type_idx", stringOrderType="alphabetAsc", handleInvalid="keep"),
-        VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="raw_features", handleInvalid="keep"),
+        _filled(numbers),
+        VectorAssembler(inputCols=[c if c == "type_idx" else f"filled_{c}" for c in FEATURE_COLUMNS], outputCol="raw_features",
+                        handleInvalid="keep"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         _forest(trees, depth, seed, weight="classWeight"),
     ])
 
 
+def _filled(columns: list[str]) -> SQLTransformer:
+    """Adds ``filled_`` copies of columns, missing and NaN values as 0; part of the model, so scoring does the same."""
+    copies = ", ".join(f"coalesce(nanvl(CAST({c} AS DOUBLE), 0D), 0D) AS filled_{c}" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {copies} FROM __THIS__")
+
+
 def _forest(trees: int, depth: int, seed: int, weight: str | None = None) -> RandomForestClassifier:
     forest = RandomForestClassifier(
         labelCol="isFraud", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
     return forest.setWeightCol(weight) if weight else forest
 
 
-def split(rows: DataFrame, key: str | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """80/20 by the id where there is one, else at random."""
+def split(rows: DataFrame, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """80/20 by the id where there is one, else by a hash of the record: the same rows on any cluster."""
     if key is None:
-        train, test = rows.randomSplit([0.8, 0.2], seed=seed)
-        return train, test
+        record = [f.name for f in TX_SCHEMA.fields if f.name in rows.columns] or rows.columns
+        of_record = F.pmod(F.xxhash64(*record), F.lit(10))
+        return rows.where(of_record < 8), rows.where(of_record >= 8)
     marked = split_by_id(rows, key)
     return marked.where("split = 'train'").drop("split"), marked.where("split = 'test'").drop("split")
 
@@ -115,16 +120,24 @@ def metrics(predictions: DataFrame) -> dict[str, float]:
     return {**result, **weighted}
 
 
+def evaluate(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
+    """Metrics of a model on rows with features; its predictions are stored once for all of them."""
+    predictions = model.transform(rows).select("isFraud", "prediction", "rawPrediction")
+    return metrics(workspace.write_table(predictions, workspace.new_path(rows.sparkSession, "predictions")))
+
+
+def stored_rows(history: DataFrame) -> DataFrame:
+    """The training rows with all features, stored: fitting passes over them several times."""
+    rows = training_rows(history).hint("rebalance")
+    return workspace.write_table(rows, workspace.new_path(history.sparkSession, "features"))
+
+
 def train(history: DataFrame, *, key: str | None = "tx_id", trees: int = 100, depth: int = 10,
           seed: int = 42) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit on 80 % and evaluate on 20 %. The predictions are kept once for all metrics."""
-    train_rows, test_rows = split(training_rows(spread_out(history)), key, seed)
+    """Fit on 80 % and evaluate on 20 %."""
+    train_rows, test_rows = split(stored_rows(history), key)
     model = pipeline(trees, depth, seed).fit(train_rows)
-    predictions = model.transform(test_rows).select("isFraud", "prediction", "rawPrediction").persist()
-    try:
-        return model, metrics(predictions)
-    finally:
-        predictions.unpersist()
+    return model, evaluate(model, test_rows)
 
 
 def importance(model: PipelineModel, columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
@@ -138,7 +151,7 @@ def importance(model: PipelineModel, columns: list[str] = FEATURE_COLUMNS) -> Da
 
 def train_residual(history: DataFrame, *, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
     """Forest on what the rule misses, over the six raw columns."""
-    rows = rule_residual(spread_out(history)).na.fill(0.0, RESIDUAL_FEATURES)
+    rows = rule_residual(history).na.fill(0.0, RESIDUAL_FEATURES)
     return Pipeline(stages=[
         VectorAssembler(inputCols=RESIDUAL_FEATURES, outputCol="features"), _forest(trees, depth, seed)]).fit(rows)
 
@@ -172,15 +185,23 @@ def latest_run(runs: DataFrame, status: str = "FINISHED") -> DataFrame:
     return done.where(F.struct("finished_at", "run") == newest.scalar()).select("run", "model_path", "metric", "value")
 
 
-def promote(spark: SparkSession, root: str, metric: str = "f1_score") -> bool:
-    """Make the newest finished run the champion if it beats the current one; says whether it did."""
+def promote(spark: SparkSession, root: str, metric: str = "fraud_f1_score", test_rows: DataFrame | None = None) -> bool:
+    """Make the newest finished run the champion if it beats the current one; says whether it did.
+
+    With ``test_rows`` (training rows with features) both models are measured on these; else the recorded values count.
+    The fraud class decides by default, since the weighted score is dominated by the normal class.
+    """
     runs = read_runs(spark, root)
 
     def best(status: str):
         return latest_run(runs, status).where(F.col("metric") == metric).first()
 
+    def value(row) -> float:
+        return evaluate(PipelineModel.load(row["model_path"]), test_rows)[metric] if test_rows is not None else row["value"]
+
     challenger, champion = best("FINISHED"), best("PROMOTED")
-    if challenger is None or (champion is not None and challenger["value"] <= champion["value"]):
+    if challenger is None or (champion is not None and (
+            champion["run"] == challenger["run"] or value(challenger) <= value(champion))):
         return False
     log_run(spark, root, challenger["run"], challenger["model_path"], {metric: challenger["value"]}, "PROMOTED")
     return True
