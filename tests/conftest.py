@@ -5,14 +5,19 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from txguard import workspace  # noqa: E402
 from txguard.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", 4, spark__ui__enabled="false", spark__driver__memory="4g")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session(
+        "tests", "local[4]", 4, spark__ui__enabled="false", spark__driver__memory="4g",
+        spark__checkpoint__dir=f"file://{shared}/checkpoints", spark__sql__warehouse__dir=f"file://{shared}/warehouse")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    workspace.clean(session)
     session.stop()
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.functions.features import all_of
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000  # a key is hot from 1/1000 of the rows on, so there are at most 1000 of them
+HOT_KEYS = 1000  # a key is hot from 1/1000 of the rows on ...
+TASK_ROWS = 5_000_000  # ... and from as many rows as one task should hold
 
 
 def fits_broadcast(table: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> bool:
@@ -18,24 +19,23 @@ def fits_broadcast(table: DataFrame, key: str, limit: int = BROADCAST_BYTES) ->
 
 
 def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys holding at least ``1/limit`` of all rows, hence never more than ``limit`` rows.
+    """Keys with at least ``1/limit`` of all rows or ``TASK_ROWS`` rows: never more than ``limit`` plus ``rows / TASK_ROWS``.
 
     The count is partial before its shuffle, so a hot key costs one row per map task.
     """
     counts = df.select(key).where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
     total = df.agg(F.count("*").alias("__total"))
-    return counts.where(F.col("__n") * limit >= total.scalar()).select(key)
+    return counts.where((F.col("__n") * limit >= total.scalar()) | (F.col("__n") >= TASK_ROWS)).select(key)
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *, spread: list[Column] | None = None,
+def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *,
            broadcast_bytes: int = BROADCAST_BYTES, hot_limit: int = HOT_KEYS, small: bool | None = None) -> DataFrame:
     """``df`` plus column ``value`` from ``table`` (unique in column ``key``), null where the key is unknown.
 
     ``df`` must hold ``key`` too. A table below the byte limit is broadcast, so ``df`` does not move at
-    all. Above it, hot keys (at most ``hot_limit``) are looked up in a broadcast of just those keys and
-    their rows, like the rows without a key, travel under spread-out join keys; every other key is
-    small enough for a hash join. ``spread`` names columns that tell the copies of a hot key apart; by
-    default all columns of the row do. ``small`` says that the size has been checked already.
+    all. Above it, hot keys are looked up in a broadcast of just those keys and their rows, like the rows
+    without a key, travel under join keys of their own, dealt out by the row's number; every other key is
+    small enough for a hash join. ``small`` says that the size has been checked already.
     """
     if fits_broadcast(table, key, broadcast_bytes) if small is None else small:
         return df.join(F.broadcast(table.select(key, value)), key, "left").select(*df.columns, value)
@@ -44,7 +44,7 @@ def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *, spread: lis
     known = table.select(key, value).join(F.broadcast(hot), key)
     hot_values = hot.join(F.broadcast(known), key, "left").select(
         F.col(key).alias("__hot"), F.col(value).alias("__hot_value"))
-    mix = F.xxhash64(*(spread or [F.col(c) for c in df.columns]))
+    mix = F.xxhash64(F.monotonically_increasing_id())  # any number does: it meets nothing
     # Hot rows and rows without a key get a spread-out key of their own, marked so that it matches nothing.
     alone = F.col("__hot").isNotNull() | F.col(key).isNull()
     travel = F.when(alone, F.concat(F.lit("-"), mix.cast("string"))).otherwise(
@@ -70,14 +70,23 @@ def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str, *, memb
     return found.withColumn(flag, F.coalesce(flag, F.lit(0)))
 
 
+def _by_membership(df: DataFrame, members: DataFrame, key: str, how: str, wanted: int, member: str = "account",
+                   broadcast_bytes: int = BROADCAST_BYTES, **options) -> DataFrame:
+    if fits_broadcast(members, member, broadcast_bytes):
+        table = members.select(F.col(member).alias(key)).where(F.col(key).isNotNull())
+        return df.join(F.broadcast(table), key, how)
+    flagged = flag_members(df, members, key, "__member", member=member, broadcast_bytes=broadcast_bytes, **options)
+    return flagged.where(F.col("__member") == wanted).drop("__member")
+
+
 def keep_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Semi form: only rows whose key is a member."""
-    return flag_members(df, members, key, "__member", **options).where("__member = 1").drop("__member")
+    return _by_membership(df, members, key, "left_semi", 1, **options)
 
 
 def drop_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Anti form: only rows whose key is not a member; rows without a key stay."""
-    return flag_members(df, members, key, "__member", **options).where("__member = 0").drop("__member")
+    return _by_membership(df, members, key, "left_anti", 0, **options)
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: list[str] | None = None) -> DataFrame:
