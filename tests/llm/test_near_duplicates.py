@@ -136,7 +136,9 @@ def test_the_shuffled_text_path_gives_the_same(documents, monkeypatch):
     assert sorted((r["doc_id"], r["copy_id"], r["n_links"], r["class_id"], r["kept"]) for r in found) == texts_by_hand(rows)
 
 
-def test_one_of_each_group_stays(documents, clashing):
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_one_of_each_group_stays(documents, clashing, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(jaccard_forest, "BROADCAST_ROWS", broadcast_rows)
     rows = some_texts() + [(None, "only without an id, both of these rows"), (None, "only without an id, both of these rows")]
     docs = clashing(documents(*rows))
     kept = jaccard_forest.keep_one(docs)

@@ -235,9 +235,15 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     verdict = workspace.write_table(verdict, workspace.new_path(spark, "verdict"))
     key = F.md5(F.encode(docs[text], "UTF-8"))
     gone = verdict.where("__chosen IS NULL OR __n > 1").select("__id", "__key")
+    # Ids and keys of 32 characters: broadcast up to a bound, so that no text moves; beyond it both sides are shuffled.
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     passed = docs.join(gone, docs[doc].eqNullSafe(gone["__id"]) & (key == gone["__key"]), "left_anti")
     repeated = verdict.where("__chosen AND __n > 1").select("__id", "__key")
-    if not repeated.limit(1).count():
+    some = repeated.limit(BROADCAST_ROWS + 1).count()
+    if not some:
         return passed
+    if some <= BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
     one = docs.join(repeated, docs[doc].eqNullSafe(repeated["__id"]) & (key == repeated["__key"]), "left_semi")
     return passed.unionByName(one.dropDuplicates([doc, text]))
