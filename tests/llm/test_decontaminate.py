@@ -64,7 +64,9 @@ def test_empty_tables(documents, items):
     assert [tuple(r) for r in decontaminate.scan(documents((1, ITEM)), items([])).select("n_hit", "contaminated").collect()] == [(0, False)]
 
 
-def test_documents_are_removed_with_all_columns_kept(documents, items, clashing):
+@pytest.mark.parametrize("keys", [500_000, 0])
+def test_documents_are_removed_with_all_columns_kept(documents, items, clashing, monkeypatch, keys):
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", keys)
     docs = clashing(documents(*DOCS))
     kept = decontaminate.remove_documents(docs, items(ITEMS))
     bad = {r[0] for r in by_hand(DOCS, ITEMS) if r[5]}

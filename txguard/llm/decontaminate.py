@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txguard import workspace
 from txguard.llm import native
 
 WINDOW = 13
 SHARE = 20  # contaminated from one hit word in so many on
+BROADCAST_KEYS = 500_000  # keys of contaminated texts
 
 
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -83,7 +85,10 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
     of a text are one key, and a null text is clean.
     """
     bad = scan(docs, benchmark, doc, text, **options).where("contaminated").select("text_key").distinct()
-    return docs.join(bad, F.md5(F.encode(docs[text], "UTF-8")) == bad["text_key"], "left_anti")
+    bad = workspace.write_table(bad, workspace.new_path(docs.sparkSession, "contaminated"))
+    # Keys of 32 characters: a broadcast of bounded size, so that no text moves; beyond it both sides are shuffled.
+    small = bad.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(bad) if small else bad, F.md5(F.encode(docs[text], "UTF-8")) == bad["text_key"], "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
