@@ -69,53 +69,65 @@ def bucket_codes(x: np.ndarray, tables: int = TABLES, rotations: int = ROTATIONS
     return out
 
 
-def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row id, and a key for equal vectors (null for those that link with nothing) with the vector itself."""
-    for batch in batches:
-        keys, vectors = [], []
-        for value in batch.column("vector").to_pylist():
-            key = None
-            if value is not None and len(value) and all(v is not None for v in value):
-                own = np.array(value, np.float64)
-                with np.errstate(all="ignore"):
-                    length = np.linalg.norm(own)
-                if np.isfinite(own).all() and np.isfinite(length) and length > 0:
-                    key = hashlib.blake2b((own + 0.0).tobytes(), digest_size=16).digest()
-            keys.append(key)
-            vectors.append(None if key is None else (own + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(vectors, pa.binary())], names=["vec_id", "key", "vector"])
-
-
-def _unit(values) -> np.ndarray:
-    x = np.stack([np.frombuffer(v, np.float64) for v in values])
+def _usable(stored: str):
+    """Row id, and a key for equal vectors (null for those that link with nothing) with the vector's numbers as ``stored``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, vectors = [], []
+            for value in batch.column("vector").to_pylist():
+                key = raw = None
+                if value is not None and len(value) and all(v is not None for v in value):
+                    own = np.array(value, np.float64) + 0.0
+                    with np.errstate(all="ignore"):
+                        length = np.linalg.norm(own)
+                    if np.isfinite(own).all() and np.isfinite(length) and length > 0:
+                        raw = own.astype(stored).tobytes()
+                        key = hashlib.blake2b(raw, digest_size=16).digest()
+                keys.append(key)
+                vectors.append(raw)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(vectors, pa.binary())], names=["vec_id", "key", "vector"])
+
+    return run
+
+
+def _unit(values, stored: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(values), stored).reshape(len(values), -1).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _codes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        sizes = frame["vector"].map(len)
-        for size, part in frame.groupby(sizes):
-            for at in range(0, len(part), ROUND_ROWS):
-                own = part.iloc[at:at + ROUND_ROWS]
-                codes = bucket_codes(_unit(own["vector"]))
-                table = np.arange(codes.shape[1], dtype=np.uint64)[None, :, None]
-                named = ta.mix(ta.mix(codes.astype(np.uint64) * np.uint64(64) + table) + np.uint64(size)).astype(np.int64)
-                flat = named.reshape(len(own), -1)
-                yield pd.DataFrame({"key": own["key"].to_numpy(), "buckets": list(flat), "codes": [r.tobytes() for r in flat]})
-
-
-def _first_shared(mine: np.ndarray, theirs: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """For each pair of rows (``pairs x tables x probes``), whether ``bucket`` is the first of all buckets they share."""
-    left = np.ones(len(mine), bool)
-    for at in range(0, len(mine), PAIRS_AT_ONCE):
-        one, two, name = mine[at:at + PAIRS_AT_ONCE], theirs[at:at + PAIRS_AT_ONCE], bucket[at:at + PAIRS_AT_ONCE]
-        equal = (one[:, :, :, None] == two[:, :, None, :]).any(axis=3)
-        table = equal.any(axis=2).argmax(axis=1)
-        rows = np.arange(len(one))
-        least = np.where(equal[rows, table], one[rows, table], np.iinfo(np.int64).max).min(axis=1)
-        left[at:at + PAIRS_AT_ONCE] = least == name
-    return left
+def _code_type(size: int) -> type:
+    """The smallest kind of number that holds a bucket's code for vectors of ``size`` numbers."""
+    wide = max(2, 1 << (size - 1).bit_length())
+    return np.int32 if (2 * wide) ** ROTATIONS < 1 << 31 else np.int64
+
+
+def _names(codes: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
+    """Buckets by name: of code, table and vector size."""
+    return ta.mix(ta.mix(codes.astype(np.uint64) * np.uint64(64) + table.astype(np.uint64)) + np.uint64(size)).astype(np.int64)
+
+
+def _codes(stored: str):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sizes = frame["vector"].map(len) // np.dtype(stored).itemsize
+            for size, part in frame.groupby(sizes):
+                for at in range(0, len(part), ROUND_ROWS):
+                    own = part.iloc[at:at + ROUND_ROWS]
+                    codes = bucket_codes(_unit(own["vector"], stored))
+                    named = _names(codes, np.arange(codes.shape[1])[None, :, None], size).reshape(len(own), -1)
+                    packed = codes.astype(_code_type(size)).reshape(len(own), -1)
+                    yield pd.DataFrame({"key": own["key"].to_numpy(), "buckets": list(named), "codes": [r.tobytes() for r in packed]})
+
+    return run
+
+
+def _first_shared(one: np.ndarray, two: np.ndarray, bucket: np.ndarray, size: int) -> np.ndarray:
+    """For each pair of rows of codes (``pairs x tables x probes``), whether ``bucket`` is the first that they share."""
+    equal = (one[:, :, :, None] == two[:, :, None, :]).any(axis=3)
+    table, rows = equal.any(axis=2).argmax(axis=1), np.arange(len(one))
+    least = np.where(equal[rows, table], one[rows, table], np.iinfo(one.dtype).max).min(axis=1)
+    return _names(least, table, size) == bucket
 
 
 def _near_pairs(x: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +171,15 @@ def _spanning(left: np.ndarray, right: np.ndarray) -> dict[int, int]:
     return {n: find(n) for n in list(root)}
 
 
-def _linked(rows: pd.DataFrame) -> pd.DataFrame | None:
-    """Verified links among whole groups: for each key with how many vectors it links, and edges that span its links."""
+def _linked(rows: pd.DataFrame, stored: str) -> pd.DataFrame | None:
+    """Verified links among whole groups: for each key with how many vectors it links, and edges that span its links.
+
+    The vectors have one size.
+    """
     rows = rows.drop_duplicates([*GROUP, "key"]).reset_index(drop=True)
     if len(rows) < 2:
         return None
-    x = _unit(rows["vector"])
+    x = _unit(rows["vector"], stored)
     keys = rows[GROUP].to_numpy()
     new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
     group = np.cumsum(new) - 1
@@ -174,8 +189,9 @@ def _linked(rows: pd.DataFrame) -> pd.DataFrame | None:
         kept = ~(across[a] & (block[a] == block[b]))
         a, b = a[kept], b[kept]
     if len(a):
-        codes = np.frombuffer(b"".join(rows["codes"]), np.int64).reshape(len(rows), TABLES, -1)
-        kept = np.concatenate([_first_shared(codes[p], codes[q], rows["bucket"].to_numpy()[p]) for p, q in (
+        size = x.shape[1]
+        codes = np.frombuffer(b"".join(rows["codes"]), _code_type(size)).reshape(len(rows), TABLES, -1)
+        kept = np.concatenate([_first_shared(codes[p], codes[q], rows["bucket"].to_numpy()[p], size) for p, q in (
             (a[at:at + PAIRS_AT_ONCE], b[at:at + PAIRS_AT_ONCE]) for at in range(0, len(a), PAIRS_AT_ONCE))])
         a, b = a[kept], b[kept]
     if not len(a):
@@ -188,27 +204,30 @@ def _linked(rows: pd.DataFrame) -> pd.DataFrame | None:
     return pd.DataFrame({"key": key[some], "links": links[some], "near": key[[root[i] for i in some]]})
 
 
-def _links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _links(stored: str):
     """The links of a stream sorted by group; groups that are complete are worked on together."""
-    held = []
-    for frame in frames:
-        if not len(frame):
-            continue
-        last = (frame[GROUP] == frame[GROUP].iloc[-1]).all(axis=1).to_numpy()
-        first_of_last = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
-        if held and first_of_last == 0 and (held[-1][GROUP].iloc[-1] == frame[GROUP].iloc[0]).all():
-            held.append(frame)
-            continue
-        done = pd.concat([*held, frame.iloc[:first_of_last]])
-        held = [frame.iloc[first_of_last:]]
-        for size, part in done.groupby(done["vector"].map(len)) if len(done) else ():
-            found = _linked(part)
+    def linked(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for _, part in rows.groupby(rows["vector"].map(len)) if len(rows) else ():
+            found = _linked(part, stored)
             if found is not None:
                 yield found
-    if held:
-        found = _linked(pd.concat(held))
-        if found is not None:
-            yield found
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for frame in frames:
+            if not len(frame):
+                continue
+            last = (frame[GROUP] == frame[GROUP].iloc[-1]).all(axis=1).to_numpy()
+            first_of_last = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if held and first_of_last == 0 and (held[-1][GROUP].iloc[-1] == frame[GROUP].iloc[0]).all():
+                held.append(frame)
+                continue
+            yield from linked(pd.concat([*held, frame.iloc[:first_of_last]]))
+            held = [frame.iloc[first_of_last:]]
+        if held:
+            yield from linked(pd.concat(held))
+
+    return run
 
 
 def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -222,14 +241,15 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
     spark = vectors.sparkSession
     given = vectors.select(F.col(vec).alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"))
     kind = dict(given.dtypes)["vec_id"]
-    rows = given.mapInArrow(_usable, f"vec_id {kind}, key binary, vector binary")
+    numbers = "float32" if dict(vectors.dtypes)[embedding] == "array<float>" else "float64"  # as they came
+    rows = given.mapInArrow(_usable(numbers), f"vec_id {kind}, key binary, vector binary")
     stored = workspace.write_table(rows, workspace.new_path(spark, "vectors"))
     classes = workspace.write_table(
         stored.where("key IS NOT NULL").groupBy("key").agg(
             F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")),
         workspace.new_path(spark, "classes"))
     codes = workspace.write_table(
-        classes.select("key", "vector").mapInPandas(_codes, "key binary, buckets array<long>, codes binary"), workspace.new_path(spark, "codes"))
+        classes.select("key", "vector").mapInPandas(_codes(numbers), "key binary, buckets array<long>, codes binary"), workspace.new_path(spark, "codes"))
 
     places = codes.select("key", F.explode(F.array_distinct("buckets")).alias("bucket"))
     shared = places.groupBy("bucket").agg(F.count("*").alias("weight")).where("weight > 1")
@@ -239,7 +259,7 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
     full = narrow.join(classes.select("key", "copies", "vector").join(codes.select("key", "codes"), "key"), "key")
     found = (
         full.repartition(*GROUP).sortWithinPartitions(*GROUP)
-        .mapInPandas(_links, "key binary, links long, near binary")
+        .mapInPandas(_links(numbers), "key binary, links long, near binary")
     )
     found = workspace.write_table(found, workspace.new_path(spark, "links"))
     return named_links(stored, classes, found, "vec_id").select("vec_id", "n_links", "component_id", "kept")
