@@ -76,3 +76,32 @@ def test_odd_rows(spark, clashing):
     assert [f[0] for f in found] == ["1", "2", "3", "3", "None"]
     assert found[0][1:] == found[1][1:] == ("", 0) and found[2][1] == found[3][1] == "Text here, of a page."
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("inside, lines", [
+    ("<p>One.</p><svg class='i'/><p>Two.</p><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><math/><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</p><svg><title/><style/><path d='M0'/></svg><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</p><svg><path d='M0'><p>Two.</p><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><button><p>Two.</p><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><button><p>Two.</p><button>Go</button><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><div><canvas></div><p>Two.</p><canvas>no</canvas>", ["One.", "Two."]),
+    ("<p>One.</p><select><option><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</p><object data=x><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One <button>no<div>no</div><a>no</button> and <svg><g><text>no</text></g></svg>two.</p><p>Three.</p>", ["One and two.", "Three."]),
+    ("<p>One.</p><template><div>no</div></div></p></template><p>Two.</p>", ["One.", "Two."]),
+    ("<p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds.</p>", ["Here x=2 holds."]),
+    ("<p>A <object>film</object> of <noscript>it</noscript>.</p>", ["A film of it."]),
+    ("<p class=it's>One.</p><p>Two.</p><p>It's three.</p>", ["One.", "Two.", "It's three."]),
+    ("<p class=a\"b>One.</p><p>Two.</p><p title=\"c > d\">Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p title = 'a>b' it's>One.</p><p ='x>Two.</p><p a='b'c>It's.</p>", ["One.", "Two.", "It's."]),
+])
+def test_no_paragraph_is_lost(inside, lines):
+    page = html_text.parse(f"<article>{inside}</article><footer>End.</footer>")
+    assert [t for _, t in page.pieces] == [*lines, "End."]
+
+
+def test_many_unclosed_elements_take_no_longer():
+    for tag in ("button", "svg", "math", "select", "canvas", "template", "svg><desc"):
+        page = html_text.parse(f"<{tag}>x " * 20000)
+        assert sum(t.count("x") for _, t in page.pieces) == 20000

@@ -30,7 +30,13 @@ SMOOTH = 10.0  # pages of each state that are taken to show every feature
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr br img".split())
-RAW = frozenset("script style textarea title noscript template svg iframe select button object xmp noembed noframes math canvas".split())
+RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())  # text up to their end tag, or to the end
+HIDDEN = frozenset("svg button select canvas template".split())  # left out when they are closed; unclosed, their text stays
+SEEN_THROUGH = INLINE | {"object", "noscript"}
+FOREIGN = frozenset("svg math annotation style script".split())  # no HTML right inside; style and script only below svg or math
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())  # elements of svg and math
+LEAVES_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu "
+                           "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main menu nav ol p pre section table ul".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -38,7 +44,7 @@ SCOPES = frozenset("ul ol dl table html body".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?/](?![a-zA-Z])[^>]*(?:>|\Z)|<![^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)?)*+)(/?)(?:>|\Z)", re.S)
 MARKS = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?]")
@@ -77,20 +83,79 @@ class Page:
     linked: Counter = field(default_factory=Counter)
 
 
+@dataclass
+class Mark:
+    """An open element that is no node, and what the page was before it. ``floor`` and ``wall``: nodes below stay open inside."""
+
+    name: str
+    hidden: bool
+    floor: int  # for start tags that end a block, and </p>
+    wall: int  # for all tags
+    depth: int
+    nodes: int
+    pieces: int
+    text: list[str]
+    texts: int
+    links: int
+    linked: int
+
+
 def parse(source: str) -> Page:
-    """The blocks of a page, also of one that is cut off or not well formed. Only block elements become nodes."""
+    """The blocks of a page, also of one that is cut off or not well formed. Only block elements become nodes.
+
+    Scripts, forms of raw text, and closed elements of ``HIDDEN`` are left out. Formulas and what stands in for objects and
+    scripts are text like any other.
+    """
     page, stack, at, size = Page(), [0], 0, len(source)
     text: list[str] = []
     links = 0
+    marks: list[Mark] = []
 
     def flush() -> None:
+        nonlocal text
         joined = "".join(text)
-        text.clear()
+        text = []  # marks may hold the old list
         if joined:
             plain = " ".join((html.unescape(joined) if "&" in joined else joined).split())
             if plain:
                 page.pieces.append((stack[-1], plain))
 
+    def cut(depth: int) -> None:
+        del stack[depth:]
+        while marks and marks[-1].depth > depth:
+            marks.pop()
+
+    def open_mark(name: str, hidden: bool) -> None:
+        depth = len(stack)
+        floor, wall = (marks[-1].floor, marks[-1].wall) if marks else (0, 0)
+        marks.append(Mark(
+            name, hidden, depth if name in ("button", "select", "template") else floor, depth if name == "template" else wall,
+            depth, len(page.tags), len(page.pieces), text, len(text), links, page.linked[stack[-1]]))
+
+    def close_mark(name: str) -> bool:
+        nonlocal text, links
+        for i in range(len(marks) - 1, -1, -1):
+            mark = marks[i]
+            if mark.name != name:
+                continue
+            del marks[i:]
+            if not mark.hidden:
+                if len(stack) > mark.depth:
+                    flush()
+                    del stack[mark.depth:]
+                return True
+            del stack[mark.depth:]
+            for node in range(mark.nodes, len(page.tags)):
+                page.linked.pop(node, None)
+            for column in (page.tags, page.parents, page.marks, page.labels):
+                del column[mark.nodes:]
+            del page.pieces[mark.pieces:]
+            text, links, page.linked[stack[-1]] = mark.text, mark.links, mark.linked
+            del text[mark.texts:]
+            text.append(" ")
+            return True
+        return False
+
     while at < size:
         found = TOKEN.search(source, at)
         start = found.start() if found else size
@@ -101,10 +166,21 @@ def parse(source: str) -> Page:
         if not found:
             break
         at = found.end()
-        ends, tag = found[1] or found[4], (found[2] or found[5] or "").lower()
+        ends, tag = found[1], (found[2] or "").lower()
         if not tag:
             continue
-        if tag in INLINE:
+        foreign = bool(marks) and marks[-1].name in FOREIGN
+        if foreign and (tag == "p" if ends else tag in LEAVES_FOREIGN):
+            while marks and marks[-1].name in FOREIGN:
+                marks.pop()
+            foreign = False
+        if ends and marks and close_mark(tag):
+            continue
+        if foreign and not ends:
+            if not found[4] and (tag in FOREIGN or tag in HTML_INSIDE):
+                open_mark(tag, tag not in HTML_INSIDE - {"annotation-xml"} and tag != "math")
+            continue
+        if tag in SEEN_THROUGH:
             if tag == "a":
                 links = 0 if ends else 1
             elif tag == "br":
@@ -115,36 +191,50 @@ def parse(source: str) -> Page:
             at = closing.end() if closing else size
             text.append(" ")
             continue
+        if tag in HIDDEN or tag == "math":
+            if ends or found[4] and tag in FOREIGN:
+                text.append(" ")
+                continue
+            if tag in ("button", "select"):  # one inside another ends it
+                last = next((m for m in reversed(marks) if m.name == tag), None)
+                if last and last.depth > last.wall:
+                    if len(stack) > last.depth:
+                        flush()
+                    del marks[marks.index(last):]
+                    cut(last.depth)
+            open_mark(tag, tag in HIDDEN)
+            continue
+        floor, wall = (marks[-1].floor, marks[-1].wall) if marks else (0, 0)
         flush()
         links = 0
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, max(0, (floor if tag == "p" else wall) - 1), -1):
                 if page.tags[stack[i]] == tag:
-                    del stack[i:]
+                    cut(i)
                     break
             continue
         top = page.tags[stack[-1]]
-        if top == "p" and tag in CLOSES_P:
-            stack.pop()
+        if top == "p" and tag in CLOSES_P and len(stack) > floor:
+            cut(len(stack) - 1)
         elif tag in ENDED_BY:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, max(0, (wall if tag in ("tr", "td", "th") else floor) - 1), -1):
                 if page.tags[stack[i]] in ENDED_BY[tag]:
-                    del stack[i:]
+                    cut(i)
                     break
                 if page.tags[stack[i]] in SCOPES:
                     break
-        marks, label = [], None
-        rest = found[3] or found[6]
+        words, label = [], None
+        rest = found[3]
         if rest:
             for name, *values in MARKS.findall(rest):
                 value = "".join(values).lower()
                 if name.lower() == "data-label":
                     label = value == "1"
                 else:
-                    marks += WORD.findall(value)
+                    words += WORD.findall(value)
         page.tags.append(tag)
         page.parents.append(stack[-1])
-        page.marks.append(marks)
+        page.marks.append(words)
         page.labels.append(label)
         if tag not in VOID:
             stack.append(len(page.tags) - 1)
