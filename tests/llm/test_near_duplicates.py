@@ -85,6 +85,32 @@ def test_recall_at_the_threshold():
     assert met.mean() > 0.995
 
 
+@pytest.mark.parametrize("size", [2, 3, 16, 128, 256, 768])
+def test_recall_at_other_sizes(size):
+    random = np.random.default_rng(size)
+    one, two = [], []
+    for _ in range(4):
+        a = random.normal(size=(250, size))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b = random.normal(size=a.shape)
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        one.append(embedding_dedup.bucket_codes(a))
+        two.append(embedding_dedup.bucket_codes(b))
+    met = (np.concatenate(one)[:, :, :, None] == np.concatenate(two)[:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() >= 0.998
+
+
+def test_links_of_wide_vectors(spark):
+    random = np.random.default_rng(9)
+    rows = []
+    for center in random.normal(size=(60, 768)):
+        rows += [(len(rows) + i, [float(x) for x in center + s * random.normal(size=768)]) for i, s in enumerate((0, 0.3, 0.3, 0.47))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = embedding_dedup.near_duplicates(df).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == vectors_by_hand(rows)
+
+
 def shingle_set(text):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x7f" else c for c in text or ""))
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,11 @@ from txguard.llm.blocks import block_pairs
 from txguard.llm.links import named_links
 
 COSINE = 0.9
-TABLES, ROTATIONS, PROBES = 12, 4, 8  # a pair at cosine 0.9 of 64 numbers is missed about once in a thousand
+RECALL = 0.9995  # wanted share of the pairs exactly at the cosine that share a bucket
+PROBES = 8
+# By padded size: rotations, and the measured share of pairs at the cosine that meet in one table.
+MEET = {64: (4, 0.478), 128: (4, 0.368), 256: (3, 0.564), 512: (3, 0.496), 1024: (3, 0.451), 2048: (3, 0.386), 4096: (3, 0.343)}
+LESS = 0.85  # beyond, from one size to the next
 CANDIDATES = 4  # corners of a rotation that probes choose from
 BLOCK = 1024  # vectors of a block
 SMALL = 32  # groups up to this size are compared many at a time
@@ -43,11 +48,27 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x.reshape(rows, n) / np.sqrt(n)
 
 
-def bucket_codes(x: np.ndarray, tables: int = TABLES, rotations: int = ROTATIONS, probes: int = PROBES, seed: int = 1) -> np.ndarray:
+def padded(size: int) -> int:
+    """The power of two that vectors of ``size`` numbers are turned in."""
+    return max(min(MEET), 1 << (size - 1).bit_length())
+
+
+def tables_for(size: int, recall: float = RECALL) -> tuple[int, int]:
+    """Tables and rotations with which a pair of ``size`` numbers at the cosine shares a bucket with probability ``recall``."""
+    wide, last = padded(size), max(MEET)
+    rotations, meet = MEET[min(wide, last)]
+    meet *= LESS ** max(0, wide.bit_length() - last.bit_length())
+    return math.ceil(math.log(1 - recall) / math.log(1 - meet)), rotations
+
+
+def bucket_codes(x: np.ndarray, probes: int = PROBES, seed: int = 1) -> np.ndarray:
     """Codes of the most likely buckets, ``rows x tables x probes``, the likeliest first. Rows have length 1."""
     rows, size = x.shape
-    wide = max(2, 1 << (size - 1).bit_length())
-    x = np.pad(x, ((0, 0), (0, wide - size)))
+    wide, (tables, rotations) = padded(size), tables_for(size)
+    if size < min(MEET):  # signs alone would turn few numbers in few ways
+        x = x @ np.linalg.qr(np.random.default_rng([seed, size]).normal(size=(wide, size)))[0].T
+    else:
+        x = np.pad(x, ((0, 0), (0, wide - size)))
     random = np.random.default_rng(seed)
     picked = min(CANDIDATES, wide)
     choices = np.array(list(itertools.product(range(picked), repeat=rotations)))
@@ -98,8 +119,7 @@ def _unit(values, stored: str) -> np.ndarray:
 
 def _code_type(size: int) -> type:
     """The smallest kind of number that holds a bucket's code for vectors of ``size`` numbers."""
-    wide = max(2, 1 << (size - 1).bit_length())
-    return np.int32 if (2 * wide) ** ROTATIONS < 1 << 31 else np.int64
+    return np.int32 if (2 * padded(size)) ** tables_for(size)[1] < 1 << 31 else np.int64
 
 
 def _names(codes: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
@@ -190,7 +210,7 @@ def _linked(rows: pd.DataFrame, stored: str) -> pd.DataFrame | None:
         a, b = a[kept], b[kept]
     if len(a):
         size = x.shape[1]
-        codes = np.frombuffer(b"".join(rows["codes"]), _code_type(size)).reshape(len(rows), TABLES, -1)
+        codes = np.frombuffer(b"".join(rows["codes"]), _code_type(size)).reshape(len(rows), tables_for(size)[0], -1)
         kept = np.concatenate([_first_shared(codes[p], codes[q], rows["bucket"].to_numpy()[p], size) for p, q in (
             (a[at:at + PAIRS_AT_ONCE], b[at:at + PAIRS_AT_ONCE]) for at in range(0, len(a), PAIRS_AT_ONCE))])
         a, b = a[kept], b[kept]
