@@ -68,6 +68,14 @@ def test_vectors_like_by_hand(spark, clashing, monkeypatch, block):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == vectors_by_hand(rows)
 
 
+def test_very_long_and_very_short_vectors(spark):
+    rows = [(at, [x * scale for x in (1.0, 0.5, -1.0, 0.25)]) for at, scale in enumerate((1.0, 1e308, 1e155, 1e-170, 3e-308, 2e-322))]
+    rows += [(6, [1e308] * 4), (7, [1e-200] * 4), (8, [0.0] * 4), (9, [float("inf")] * 4)]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found)
+    assert got == [(i, 5, 0) for i in range(6)] + [(6, 1, 6), (7, 1, 6), (8, 0, 8), (9, 0, 9)]
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(empty).count() == 0

@@ -99,9 +99,7 @@ def _usable(stored: str):
                 key = raw = None
                 if value is not None and len(value) and all(v is not None for v in value):
                     own = np.array(value, np.float64) + 0.0
-                    with np.errstate(all="ignore"):
-                        length = np.linalg.norm(own)
-                    if np.isfinite(own).all() and np.isfinite(length) and length > 0:
+                    if np.isfinite(own).all() and own.any():
                         raw = own.astype(stored).tobytes()
                         key = hashlib.blake2b(raw, digest_size=16).digest()
                 keys.append(key)
@@ -114,6 +112,7 @@ def _usable(stored: str):
 
 def _unit(values, stored: str) -> np.ndarray:
     x = np.frombuffer(b"".join(values), stored).reshape(len(values), -1).astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
