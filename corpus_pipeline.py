@@ -1,4 +1,5 @@
-"""Corpus pipeline: good documents of a known language, one of each near-duplicate group, clean of benchmarks, as token ids.
+"""Corpus pipeline: good documents of a known language, one of each near-duplicate group, clean of benchmarks, as token ids
+and the text they decode to.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a table that is written as Parquet and read again as the next
 one's ``docs``. All stages but the last return rows of ``documents`` with all their columns.
@@ -33,10 +34,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``lang``, ``source`` and the token ``ids`` of each whole text, with their number."""
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``lang``, ``source``, the token ``ids`` of each whole text, with their number, and the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode(docs, path, ["doc_id", "lang", "source"], decoded=False)
+    return bpe.encode(docs, path, ["doc_id", "lang", "source"])
 
 
 STAGES = [
@@ -44,7 +45,7 @@ STAGES = [
     ("language ID", keep_known_language),
     ("n-gram Jaccard join", keep_one_of_each_group),
     ("benchmark decontamination", drop_contaminated),
-    ("BPE encoding", encode),
+    ("BPE encoding and decoding", encode_and_decode),
 ]
 
 #: The learnt stages have no equal in SQL; the tests check every stage against its rule.

@@ -36,3 +36,17 @@ def test_stages_take_odd_rows(spark, documents, clashing, name, stage):
     odd = [(1, None), (2, ""), (3, "same text here for both"), (3, "same text here for both"), (None, "a b c"), (5, "x" * 100_000)]
     assert stage(spark, clashing(documents(*odd)), FOLDER).count() <= len(odd)
     assert stage(spark, documents(), FOLDER).count() == 0
+
+
+def test_the_last_stage_decodes_what_it_encodes(spark, documents):
+    import public_tokenizers
+
+    from txguard.llm import bpe
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        model = bpe.WordBpe(file.read())
+    name, stage = corpus_pipeline.STAGES[-1]
+    rows = stage(spark, documents((1, "One text, it's 12 words or so."), (2, None), (3, "Größe <|endoftext|> x")), FOLDER).collect()
+    assert "decoding" in name and len(rows) == 3
+    assert all(r["decoded"] == " ".join(model.text[i] for i in r["ids"]) and r["n_tokens"] == len(r["ids"]) for r in rows)
+    assert {r["doc_id"]: r["decoded"] for r in rows}[1].replace("</w>", "").replace(" ", "") == "onetext,it's12wordsorso."
