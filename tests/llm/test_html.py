@@ -105,3 +105,25 @@ def test_many_unclosed_elements_take_no_longer():
     for tag in ("button", "svg", "math", "select", "canvas", "template", "svg><desc"):
         page = html_text.parse(f"<{tag}>x " * 20000)
         assert sum(t.count("x") for _, t in page.pieces) == 20000
+
+
+def test_the_sample_is_drawn_among_labelled_pages(spark):
+    rows = [(i, "<article><p>Some text.</p></article>" if i % 50 == 0 else "<div><p>Some text.</p></div>") for i in range(1000)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    seeds = html_text.seeds()
+    assert [html_text.fit(pages, sample=n)[2, 0, 0, 1] - seeds[2, 0, 0, 1] for n in (20, 7)] == [40, 14]
+
+
+@pytest.mark.parametrize("source, content", [
+    ("<article><p>Text.</p><div class='ad'><p>Buy.</p></div><section id=comments><h3>Said</h3><article><p>Nice.</p></article></section></article>", ["Text."]),
+    ("<article><p>Text.</p><article><p>A comment.</p></article><p>More.</p></article>", ["Text.", "More."]),
+    ("<main><article><p>Text.</p></article></main><aside><article><p>No.</p></article></aside><nav><article>No.</article></nav>", ["Text."]),
+    ("<article><p>Text.</p></article><div class=comments><article class=comment><p>No.</p></article></div>", ["Text."]),
+    ("<div class='sidebar-left'><main><p>Text.</p></main></div>", ["Text."]),
+    ("<form><article class='post entry'><p>Text.</p><div class='cookie-notice'>No.</div></article></form>", ["Text."]),
+    ("<body class='has-sidebar'><article><p>Text.</p><form><p>No.</p></form></article></body>", ["Text."]),
+])
+def test_weak_labels_leave_out_what_is_no_main_text(source, content):
+    page = html_text.parse(source)
+    states = html_text.true_states(page, False)
+    assert [t for node, t in page.pieces if states[node]] == content

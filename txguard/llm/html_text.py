@@ -47,6 +47,10 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)?)*+)(/?)(?:>|\Z)", re.S)
 MARKS = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
+LABELLED = r"(?i)<(?:article|main)(?:[\s/>]|$)"
+# Words of class, id and role that are no main text when they stand inside an article, or around one.
+NO_TEXT = frozenset("comment comments reply replies respond discussion ad ads advert adverts advertisement advertising sponsored promo "
+                    "cookie cookies consent sidebar widget newsletter subscribe signup popup related share social".split())
 SENTENCE = re.compile(r"[.!?]")
 
 # Hand-labelled pages: what the contract counts as main text (data-label=1) and what not, in other layouts than <article>.
@@ -272,13 +276,25 @@ def evidence(page: Page) -> list[list[int]]:
 
 
 def true_states(page: Page, marked: bool) -> list[int] | None:
-    """States of a labelled page: below a marked block, or below ``article`` or ``main``; None if it has no such block."""
+    """States of a labelled page: below a marked block, or below ``article`` or ``main``; None if it has no such block.
+
+    Inside an article, notices, adverts and comments by their marks are no content, nor are articles in an article, in
+    ``aside`` or ``nav``, or below such marks: those are comments and teasers.
+    """
     states, any_content = [], False
     outside = ("nav", "footer", "aside", "form", "head")
+    barred, in_article = [False] * len(page.tags), [False] * len(page.tags)  # no article in here counts; one has begun
     for node, tag in enumerate(page.tags):
-        up = states[page.parents[node]] if node else 0
-        inside = page.labels[node] if marked and page.labels[node] is not None else (
-            up if marked else int(tag in ("article", "main") or (up and tag not in outside)))
+        above = page.parents[node]
+        up = states[above] if node else 0
+        if marked:
+            inside = up if page.labels[node] is None else page.labels[node]
+        else:
+            odd = tag not in ("html", "body", "main") and not NO_TEXT.isdisjoint(page.marks[node])
+            nested = tag == "article" and node and in_article[above]
+            barred[node] = tag != "main" and bool(node and barred[above] or odd or nested or tag in ("nav", "aside"))
+            in_article[node] = bool(tag == "article" or node and in_article[above])
+            inside = not barred[node] and (tag in ("article", "main") or (up and tag not in outside))
         states.append(int(inside or 0))
         any_content |= bool(inside)
     return states if any_content else None
@@ -384,9 +400,10 @@ def seeds() -> Counter:
 def fit(pages: DataFrame, page: str = "page_id", source: str = "html", sample: int = SAMPLE) -> dict:
     """Counts behind the potentials: the hand-labelled pages, and at most ``sample`` pages with an ``article`` or ``main``.
 
-    The sample are the pages with the smallest hashes of their id. What reaches the driver is bounded by the slots.
+    The sample are those of them with the smallest hashes of their id. What reaches the driver is bounded by the slots.
     """
     order = F.xxhash64(F.col(page).cast("string"))
+    pages = pages.where(F.col(source).rlike(LABELLED))
     last = pages.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o")).first()[0]
     chosen = pages.where(order <= F.lit(last).cast("long")).select(F.col(source).alias("html"))
     found = chosen.mapInArrow(_count, "kind int, slot int, up int, state int, n long")
