@@ -50,3 +50,16 @@ def test_the_last_stage_decodes_what_it_encodes(spark, documents):
     assert "decoding" in name and len(rows) == 3
     assert all(r["decoded"] == " ".join(model.text[i] for i in r["ids"]) and r["n_tokens"] == len(r["ids"]) for r in rows)
     assert {r["doc_id"]: r["decoded"] for r in rows}[1].replace("</w>", "").replace(" ", "") == "onetext,it's12wordsorso."
+
+
+def test_texts_stay_if_no_language_is_learnt(spark):
+    docs = spark.createDataFrame([(1, None, "some text"), (2, None, "12."), (3, None, None), (4, None, "слово")], "doc_id long, lang string, text string")
+    assert sorted(r["doc_id"] for r in language.keep_known(docs).collect()) == [1, 4]
+
+
+def test_many_related_languages_lose_no_documents(spark):
+    # Twenty languages in five families: the words of a family's four languages are the same.
+    words = ["lorem ipsum dolor sit amet", "kaze umi yama kawa sora", "brod hleb voda zemlja nebo", "maji moto nyumba samaki ndege", "tlen xochitl calli cuauhtli"]
+    rows = [(n * 20 + k, f"l{k}", " ".join([words[k // 4]] * 3)) for n in range(12) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert language.keep_known(docs).count() == len(rows)

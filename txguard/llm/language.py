@@ -20,7 +20,8 @@ LEAD = 0.2  # ... and from this part of its largest share in any language on
 HASHES = 3
 SLOTS_PER_GRAM = 12
 UNKNOWN = "und"
-MIN_SCORE = 0.3  # a document whose language is less certain is rejected
+MIN_SCORE = 0.3  # a document whose language is less certain is rejected, with up to MIN_SCORE_LANGUAGES of them
+MIN_SCORE_LANGUAGES = 4  # with more, certainty is shared among more, and the threshold is less in proportion
 
 _BYTES = np.arange(256)
 #: Letters folded, everything below 128 that is no letter a space.
@@ -199,8 +200,14 @@ def identify(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str
 
 def keep_known(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang",
                min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without rows of unknown or uncertain language; all columns stay as they are."""
+    """``docs`` without rows of unknown or uncertain language; all columns stay as they are.
+
+    If no language was learnt, all texts with a letter stay.
+    """
     filters = fit(docs, ~held_out(doc, 3, 1), text, lang)
+    if filters is None:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    min_score *= min(1.0, MIN_SCORE_LANGUAGES / len(filters.names))
     names = (fresh("lang_pred", docs.columns), fresh("lang_score", docs.columns))
     found = guess(docs, filters, text, names)
     return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score)).select(docs.columns)
