@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txguard.llm import (
-    bpe, decontaminate, embedding_dedup, html_text, jaccard_forest, language, license_scan, quality, url_filter, warc)
+    bpe, decontaminate, divergence, embedding_dedup, html_text, jaccard_forest, language, license_scan, quality, url_filter, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,29 @@ def op10(spark, folder):
     import public_tokenizers
 
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op13_source_audit", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+e AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM e GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM e SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+ls AS (SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+gs AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT gs.lang, gs.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (gs.total + 5 * ls.v) AS p,
+    1 + (1000000000 * (k.n + 5)::HUGEINT) // (ls.total + 5 * ls.v) AS q
+  FROM gs JOIN ls USING (lang) JOIN kept k USING (lang) LEFT JOIN c ON c.lang = gs.lang AND c.source = gs.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM gs a JOIN gs b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS s, y.source AS t, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+    AND x.source <> y.source GROUP BY ALL) x ON x.lang = a.lang AND x.s = a.source AND x.t = b.source),
+every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 50""")
+def op13(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
