@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txguard.llm import (
-    bpe, decontaminate, divergence, embedding_dedup, html_text, jaccard_forest, language, license_scan, quality, url_filter, warc)
+    bpe, decontaminate, divergence, embedding_dedup, html_text, jaccard_forest, language, license_scan, periodic_runs, quality, url_filter,
+    warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +158,50 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 WHERE part = 'pair' OR rank <= 50""")
 def op13(spark, folder):
     return divergence.audit(table(spark, folder, "documents"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; a text whose id has a checksum that ends in 0 repeats, from some word on, the words that follow there.
+
+    Rows without an id and texts without words stay as they are.
+    """
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    # Only the tenth of the texts that changes is split here.
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, split)).selectExpr("*", "h div 10 AS g", "size(w) AS n")
+    rows = rows.selectExpr("*", "CASE WHEN n > 0 THEN g % n END AS a", "CASE WHEN n > 0 THEN 1 + (n - g % n) div (3 + g % 8) END AS p")
+    again = "array_join(transform(sequence(0, n - 1), i -> get(w, CAST(IF(i >= a, a + (i - a) % p, i) AS INT))), ' ')"
+    return rows.selectExpr("doc_id", f"CASE WHEN n > 0 THEN {again} ELSE text END AS text")
+
+
+@query("op12_periodic_runs", r"""
+WITH RECURSIVE raw AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+  CAST(doc_id AS VARCHAR) AS s FROM documents),
+h AS (SELECT rid, doc_id, w, xor(4294967295, list_reduce(flatten(list_transform(range(1, len(s) + 1), lambda i:
+    [CAST(unicode(substr(s, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+    lambda c, x: xor(xor(c, x) >> 1, CASE WHEN xor(c, x) & 1 = 1 THEN 3988292384 ELSE 0 END), 4294967295)) AS h FROM raw),
+g AS (SELECT rid, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 END AS g FROM h),
+a AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM g),
+d AS (SELECT rid, doc_id, n, CASE WHEN g IS NULL THEN w ELSE list_transform(range(n), lambda i:
+  w[1 + (CASE WHEN i >= a THEN a + (i - a) % p ELSE i END)]) END AS w FROM a),
+e AS (SELECT rid, n, unnest(range(n)) AS i, unnest(w) AS t FROM d),
+pairs AS (SELECT x.rid, x.i, y.i - x.i AS q FROM e x JOIN e y ON x.rid = y.rid AND x.t = y.t AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT rid, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs) GROUP BY rid, q, island),
+runs AS (SELECT rid, start, length, min(q) AS period FROM islands WHERE length >= greatest(24, 3 * q) GROUP BY rid, start, length),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY (CAST(length AS HUGEINT) * 1000000000000) // period DESC, start, period) AS nth FROM runs),
+digest AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM runs GROUP BY rid),
+dropped AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT e.rid, string_agg(t, ' ' ORDER BY e.i) AS s FROM e ANTI JOIN dropped ON e.rid = dropped.rid AND e.i = dropped.i GROUP BY e.rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+  CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(digest.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN digest USING (rid) LEFT JOIN (SELECT * FROM best WHERE nth = 1) b USING (rid) LEFT JOIN kept USING (rid)""")
+def op12(spark, folder):
+    found = periodic_runs.find(with_planted_periods(table(spark, folder, "documents")), keep=["doc_id"])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
