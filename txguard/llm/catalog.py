@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.llm import (
-    bpe, decontaminate, divergence, embedding_dedup, html_text, jaccard_forest, language, license_scan, periodic_runs, quality, url_filter,
-    warc)
+    bpe, decontaminate, divergence, embedding_dedup, html_text, jaccard_forest, language, license_scan, periodic_runs, quality, toxicity,
+    url_filter, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,6 +160,11 @@ def op13(spark, folder):
     return divergence.audit(table(spark, folder, "documents"))
 
 
+@query("op11_toxicity")
+def op11(spark, folder):
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``; a text whose id has a checksum that ends in 0 repeats, from some word on, the words that follow there.
 
