@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from txguard.functions.features import eda_features, mismatch, stream_features, training_features
 from txguard.functions.rules import drain_rule, method_is, rate_band, reason
-from txguard.operators.lookup import drop_members, flag_members, hot_keys, keep_members, lookup, unmatched
+from txguard.operators import bloom
+from txguard.operators.lookup import drop_members, flag_members, hot_keys, keep_members, listed, lookup, unmatched
 from txguard.plans.detection import blacklist_flag, detect
 
 
@@ -88,11 +89,15 @@ def test_stream_features_only_add(tx):
     assert column(built, "is_transfer_or_cashout") == [1, 0]
 
 
+#: A list that is broadcast; one whose occurring members are; one whose filter is; one that is too large for all of that.
+WAYS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "known_bytes": 0}, {"broadcast_bytes": 0, "filter_bytes": 0}]
+
+
 def test_missing_account_is_not_listed(spark, tx):
     rows = tx({"nameOrig": None}, {"nameOrig": "A"})
     listed = spark.createDataFrame([(None,), ("A",), ("A",)], "account string")
-    for size in (64 << 20, 0):
-        flagged = flag_members(rows, listed, "nameOrig", "f", broadcast_bytes=size)
+    for sizes in WAYS:
+        flagged = flag_members(rows, listed, "nameOrig", "f", **sizes)
         assert sorted((r.nameOrig or "", r.f) for r in flagged.collect()) == [("", 0), ("A", 1)]
 
 
@@ -100,7 +105,9 @@ def test_both_sides(spark, tx):
     rows = tx({"nameOrig": "A", "nameDest": "X"}, {"nameOrig": "X", "nameDest": "A"}, {"nameOrig": "X", "nameDest": "X"})
     listed = accounts(spark, "A")
     assert column(blacklist_flag(rows, listed), "blacklist_flag") == [1, 0, 0]
-    assert column(blacklist_flag(rows, listed, sides="both"), "blacklist_flag") == [1, 1, 0]
+    for sizes in WAYS:
+        found = blacklist_flag(rows, listed, sides="both", **sizes).orderBy(F.desc("blacklist_flag"), "nameOrig")
+        assert [(r.nameOrig, r.blacklist_flag) for r in found.collect()] == [("A", 1), ("X", 1), ("X", 0)]
     with pytest.raises(ValueError):
         blacklist_flag(rows, listed, sides="receiver")
 
@@ -108,9 +115,10 @@ def test_both_sides(spark, tx):
 def test_semi_and_anti_split_the_rows(spark, tx):
     rows = tx(*[{"nameOrig": n} for n in ("A", "A", "B", None)])
     listed = accounts(spark, "A", "Z")
-    for size in (64 << 20, 0):
-        assert column(keep_members(rows, listed, "nameOrig", broadcast_bytes=size), "nameOrig") == ["A", "A"]
-        kept = column(drop_members(rows, listed, "nameOrig", broadcast_bytes=size), "nameOrig")
+    for sizes in WAYS:
+        assert keep_members(rows, listed, "nameOrig", **sizes).columns == rows.columns
+        assert column(keep_members(rows, listed, "nameOrig", **sizes), "nameOrig") == ["A", "A"]
+        kept = column(drop_members(rows, listed, "nameOrig", **sizes), "nameOrig")
         assert sorted(kept, key=str) == ["B", None]
 
 
@@ -125,12 +133,44 @@ def test_lookup_keeps_every_row_of_hot_keys(spark):
     rows = skewed(spark)
     listed = spark.createDataFrame([("hot",), *[(f"k{i}",) for i in range(0, 500, 2)]], "account string")
     small = flag_members(rows, listed, "key", "f")
-    large = flag_members(rows, listed, "key", "f", broadcast_bytes=0)
-    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
-    assert large.count() == 30_000 and small.agg(F.sum("f")).first()[0] > 10_000
+    for sizes in WAYS[1:]:
+        large = flag_members(rows, listed, "key", "f", **sizes)
+        assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty() and large.count() == 30_000
+    assert small.agg(F.sum("f")).first()[0] > 10_000
     assert sorted(column(hot_keys(rows, "key", 10), "key")) == ["cold", "hot"]
 
 
+def test_filter_never_loses_a_member_and_lets_few_others_pass(spark):
+    members = spark.range(20_000).select(F.concat(F.lit("m"), "id").alias("account"))
+    blocks = bloom.blocks_for(20_000)
+    table = bloom.build(members.unionByName(members.limit(50)), "account", blocks)
+    assert table.count() <= blocks and blocks * bloom.BLOCK_BYTES == bloom.bytes_for(20_000) < 4 * 20_000
+    others = spark.range(100_000).select(F.concat(F.lit("x"), "id").alias("account"))
+    missing = spark.createDataFrame([(None,)], "account string")
+    assert bloom.mark(members, table, blocks, ["account"], "m").where("NOT m").isEmpty()
+    passed = bloom.mark(others, table, blocks, ["account"], "m").where("m").count()
+    assert 0 < passed < 1000
+    assert bloom.mark(missing, table, blocks, ["account"], "m").first().m is False
+    empty = bloom.build(members.limit(0), "account", bloom.blocks_for(0))
+    assert bloom.mark(members, empty, 1, ["account"], "m").where("m").isEmpty()
+
+
+def test_only_possible_members_move(spark):
+    """20,000 listed accounts, 300,000 rows of which 1 % are theirs: the shuffles carry a fixed multiple of the hits."""
+    rows = spark.range(300_000).select("id", F.when(F.col("id") % 100 == 0, F.concat(F.lit("m"), F.col("id") % 7000)).otherwise(
+        F.concat(F.lit("x"), F.col("id") % 50_000)).alias("key"))
+    members = spark.range(20_000).select(F.concat(F.lit("m"), "id").alias("account"))
+    hits = rows.join(members, rows.key == members.account, "left_semi")
+    found = listed(rows, members, ["key"], broadcast_bytes=0)
+    assert found.fits and found.known.count() == hits.select("key").distinct().count()
+    never, maybe = found.split(rows, ["key"])
+    assert hits.count() <= maybe.count() <= 2 * hits.count() and never.count() + maybe.count() == 300_000
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan(never)
+    flagged = flag_members(rows, members, "key", "f", broadcast_bytes=0)
+    assert "Exchange hashpartitioning" not in plan(flagged) and flagged.where("f = 1").count() == hits.count()
+
+
 def test_hot_rows_spread_over_tasks(spark):
     """On the shuffle path no task may receive the rows of a hot key together."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}

@@ -151,12 +151,32 @@ def blacklist_anti(spark, folder):
 
 @query("blacklist_large", on_detected("SELECT tx_id, nameOrig, blacklist_flag FROM det"))
 def blacklist_large(spark, folder):
-    """The flag by the way taken when the list is too large to broadcast."""
+    """The flag by the way taken when the list is too large to broadcast: a Bloom filter, then the members that occur."""
     return detection.blacklist_flag(
         transactions(spark, folder), blacklist(spark, folder), broadcast_bytes=0).select(
         "tx_id", "nameOrig", "blacklist_flag")
 
 
+@query("blacklist_large_rows", on_detected("SELECT tx_id, nameOrig, blacklist_flag FROM det"))
+def blacklist_large_rows(spark, folder):
+    """The same where the members that occur are too many to broadcast as well: the rows that pass the filter move."""
+    return detection.blacklist_flag(
+        transactions(spark, folder), blacklist(spark, folder), broadcast_bytes=0, known_bytes=0).select(
+        "tx_id", "nameOrig", "blacklist_flag")
+
+
+@query("blacklist_semi_large", on_blacklist("SELECT tx_id, nameOrig FROM tx WHERE nameOrig IN (SELECT account FROM bl)"))
+def blacklist_semi_large(spark, folder):
+    return lookup.keep_members(
+        transactions(spark, folder).select("tx_id", "nameOrig"), blacklist(spark, folder), "nameOrig", broadcast_bytes=0, known_bytes=0)
+
+
+@query("blacklist_anti_large", on_blacklist("SELECT tx_id, nameOrig FROM tx WHERE nameOrig NOT IN (SELECT account FROM bl)"))
+def blacklist_anti_large(spark, folder):
+    return lookup.drop_members(
+        transactions(spark, folder).select("tx_id", "nameOrig"), blacklist(spark, folder), "nameOrig", broadcast_bytes=0, known_bytes=0)
+
+
 @query("detect", on_detected("SELECT * FROM det"))
 def detect(spark, folder):
     return detected(spark, folder)

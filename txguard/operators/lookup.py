@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txguard import workspace
 from txguard.functions.features import all_of
+from txguard.operators import bloom
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+FILTER_BYTES = 256 * 1024 * 1024  # of a Bloom filter: some 80 million members
 HOT_KEYS = 1000  # a key is hot from 1/1000 of the rows on ...
 TASK_ROWS = 5_000_000  # ... and from as many rows as one task should hold
 
@@ -61,32 +67,92 @@ def lookup(df: DataFrame, table: DataFrame, key: str, value: str, *,
     )
 
 
-def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str, *, member: str = "account",
-                 broadcast_bytes: int = BROADCAST_BYTES, **options) -> DataFrame:
-    """0/1 column ``flag``: is ``df[key]`` in ``members[member]``? A missing key is never a member."""
-    small = fits_broadcast(members, member, broadcast_bytes)
-    table = members.select(F.col(member).alias(key)).where(F.col(key).isNotNull()).distinct()
-    found = lookup(df, table.withColumn(flag, F.lit(1)), key, flag, small=small, **options)
-    return found.withColumn(flag, F.coalesce(flag, F.lit(0)))
+@dataclass
+class Listed:
+    """Members of a large list, made ready for tests against many rows."""
+
+    known: DataFrame  # column ``__member``; those that occur in the rows, where a filter could tell
+    fits: bool  # may ``known`` be broadcast?
+    filter: DataFrame | None = None  # a Bloom filter of the whole list
+    blocks: int = 0
+
+    def split(self, df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Rows that surely have no member in ``keys``, where they are, and the other rows, stored."""
+        marked = bloom.mark(df, self.filter, self.blocks, keys, "__maybe")
+        maybe = marked.where("__maybe").drop("__maybe")
+        return marked.where("NOT __maybe").drop("__maybe"), workspace.write_table(
+            maybe, workspace.new_path(df.sparkSession, "possible"))
+
 
+def listed(df: DataFrame, members: DataFrame, keys: list[str], member: str = "account", *, broadcast_bytes: int = BROADCAST_BYTES,
+           filter_bytes: int = FILTER_BYTES, known_bytes: int = BROADCAST_BYTES) -> Listed:
+    """Find the cheapest exact way to test ``keys`` of ``df`` against ``members``; every size is counted first.
 
-def _by_membership(df: DataFrame, members: DataFrame, key: str, how: str, wanted: int, member: str = "account",
-                   broadcast_bytes: int = BROADCAST_BYTES, **options) -> DataFrame:
+    A list below ``broadcast_bytes`` is broadcast. Of a larger one a Bloom filter is broadcast, if that stays below
+    ``filter_bytes`` (about three bytes a member), and only the distinct keys that pass it meet the list in a shuffle: a row
+    for each member that occurs, and one in some hundred other keys. What they find is stored, and broadcast if it is below
+    ``known_bytes``; then no row of ``df`` moves. Otherwise only the rows that pass the filter do.
+    """
+    plain = members.select(F.col(member).cast("string").alias("__member")).where("__member IS NOT NULL")
     if fits_broadcast(members, member, broadcast_bytes):
-        table = members.select(F.col(member).alias(key)).where(F.col(key).isNotNull())
-        return df.join(F.broadcast(table), key, how)
-    flagged = flag_members(df, members, key, "__member", member=member, broadcast_bytes=broadcast_bytes, **options)
-    return flagged.where(F.col("__member") == wanted).drop("__member")
+        return Listed(plain.distinct(), True)
+    rows = plain.count()
+    if bloom.bytes_for(rows) > filter_bytes:
+        return Listed(plain.distinct(), False)
+    blocks = bloom.blocks_for(rows)
+    table = bloom.build(plain, "__member", blocks)
+    seen = [df.select(F.col(k).cast("string").alias("__member")) for k in keys]
+    possible = bloom.mark(reduce(DataFrame.unionByName, seen), table, blocks, ["__member"], "__maybe").where("__maybe")
+    known = workspace.write_table(
+        possible.select("__member").distinct().join(plain, "__member", "left_semi"), workspace.new_path(df.sparkSession, "members"))
+    return Listed(known, fits_broadcast(known, "__member", known_bytes), table, blocks)
+
+
+def _exact_flags(df: DataFrame, known: DataFrame, keys: list[str], flag: str, small: bool, **options) -> DataFrame:
+    kept, names = df.columns, [f"__f{i}" for i in range(len(keys))]
+    for key, name in zip(keys, names):
+        table = known.select(F.col("__member").cast(df.schema[key].dataType).alias(key), F.lit(1).alias(name))
+        df = lookup(df, table, key, name, small=small, **options)
+    return df.select(*kept, F.greatest(F.lit(0), *[F.coalesce(n, F.lit(0)) for n in names]).alias(flag))
+
+
+SIZES = ("broadcast_bytes", "filter_bytes", "known_bytes")
+
+
+def flag_members(df: DataFrame, members: DataFrame, key: str | list[str], flag: str, *, member: str = "account", **options) -> DataFrame:
+    """0/1 column ``flag``: is ``df[key]``, or any of several keys, in ``members[member]``? A missing key is never a member.
+
+    ``options`` are the sizes of ``listed`` and the hot keys of ``lookup``. A large list may read ``df`` twice.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    sizes = {k: options.pop(k) for k in SIZES if k in options}
+    found = listed(df, members, keys, member, **sizes)
+    if found.fits or found.filter is None:
+        return _exact_flags(df, found.known, keys, flag, found.fits, **options)
+    never, maybe = found.split(df, keys)
+    return _exact_flags(maybe, found.known, keys, flag, False, **options).unionByName(never.withColumn(flag, F.lit(0)))
+
+
+def _by_membership(df: DataFrame, members: DataFrame, key: str, wanted: int, member: str = "account", **options) -> DataFrame:
+    sizes = {k: options.pop(k) for k in SIZES if k in options}
+    found = listed(df, members, [key], member, **sizes)
+    if found.fits:
+        table = found.known.select(F.col("__member").cast(df.schema[key].dataType).alias(key))
+        return df.join(F.broadcast(table), key, "left_semi" if wanted else "left_anti").select(df.columns)
+    never, rows = (None, df) if found.filter is None else found.split(df, [key])
+    flagged = _exact_flags(rows, found.known, [key], "__member", False, **options)
+    kept = flagged.where(F.col("__member") == wanted).drop("__member")
+    return kept if wanted or never is None else kept.unionByName(never)
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Semi form: only rows whose key is a member."""
-    return _by_membership(df, members, key, "left_semi", 1, **options)
+    return _by_membership(df, members, key, 1, **options)
 
 
 def drop_members(df: DataFrame, members: DataFrame, key: str, **options) -> DataFrame:
     """Anti form: only rows whose key is not a member; rows without a key stay."""
-    return _by_membership(df, members, key, "left_anti", 0, **options)
+    return _by_membership(df, members, key, 0, **options)
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: list[str] | None = None) -> DataFrame:

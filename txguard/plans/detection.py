@@ -14,15 +14,9 @@ from txguard.operators.lookup import flag_members
 
 def blacklist_flag(df: DataFrame, blacklist: DataFrame, sides: str = "sender", **options) -> DataFrame:
     """``blacklist_flag``: the sender, or with ``sides="both"`` sender or receiver, is listed."""
-    flagged = flag_members(df, blacklist, "nameOrig", "blacklist_flag", **options)
-    if sides == "sender":
-        return flagged
-    if sides != "both":
+    if sides not in ("sender", "both"):
         raise ValueError(f"sides must be 'sender' or 'both', not {sides!r}")
-    return (
-        flag_members(flagged, blacklist, "nameDest", "__receiver", **options)
-        .withColumn("blacklist_flag", F.greatest("blacklist_flag", "__receiver")).drop("__receiver")
-    )
+    return flag_members(df, blacklist, ["nameOrig", "nameDest"][:1 if sides == "sender" else 2], "blacklist_flag", **options)
 
 
 def detect(df: DataFrame, blacklist: DataFrame, sides: str = "sender", **options) -> DataFrame:
