@@ -1,38 +1,40 @@
 """Quantiles, profiles, histograms, frequencies, samples, search and contracts."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from txguard.operators import explore, quality
+from txguard.operators import explore, quality, radix
 from txguard.operators.frequency import encode_frequency, rare_rows, value_frequencies
 from txguard.operators.histogram import histogram
 from txguard.operators.profile import duplicate_count, missing_counts, numeric_profile, string_profile
 from txguard.operators.quantiles import exact_quantiles
 from txguard.operators.explore import page, page_after
-from txguard.operators.sampling import first_rows, sample_fraction, sample_rows, split_by_id
+from txguard.operators.sampling import first_rows, nth_smallest, sample_fraction, sample_rows, sample_with_replacement, split_by_id
 from txguard.schema import DISPLAY_NAMES
 
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
-def quantiles(df, groups, accuracy):
-    found = exact_quantiles(df, groups, "v", PROBABILITIES, accuracy=accuracy)
+def quantiles(df, groups, few):
+    found = exact_quantiles(df, groups, "v", PROBABILITIES, few)
     return {tuple(r[g] for g in groups) + (r.p,): r.quantile for r in found.collect()}
 
 
-@pytest.mark.parametrize("accuracy", [20, 200, 100_000])
+@pytest.mark.parametrize("few", [0, 300, 100_000])
 @pytest.mark.parametrize("shape", ["uniform", "ties", "heavy", "tiny", "signed"])
-def test_quantiles_equal_numpy(spark, shape, accuracy):
-    """A coarse sketch gives wide brackets and many outside rows; the answer stays exact."""
+def test_quantiles_equal_numpy(spark, shape, few):
+    """With all four rounds, with three, and with the second one by whole keys."""
     rng = np.random.default_rng(7)
     values = {
         "uniform": rng.uniform(0, 1e6, 5000), "ties": rng.integers(0, 5, 5000).astype(float),
         "heavy": np.where(rng.uniform(size=5000) < 0.6, 42.0, rng.lognormal(5, 3, 5000)),
         "tiny": np.array([3.0, 1.0, 2.0]), "signed": rng.normal(0, 1, 997)}[shape]
     df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(5)
-    found = quantiles(df, [], accuracy)
+    found = quantiles(df, [], few)
     for p in PROBABILITIES:
         assert found[(p,)] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
@@ -44,6 +46,47 @@ def test_quantiles_by_group_ignore_missing(spark):
     assert found[(None, 0.5)] == 1.5
 
 
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 2.0, 1 - 2**-53, 1 + 2**-52, 1.7976931348623157e308,
+         -1.7976931348623157e308, 8.98846567431158e307, float("inf"), float("-inf"), 0.1, -1e-300, 3.0, 7.999999999999999, 8.0, 2**53 - 1.0]
+
+
+def test_keys_order_all_doubles(spark):
+    """The key is the bits with the sign, for edges, powers of two and random bit patterns; and it leads back."""
+    rng = np.random.default_rng(11)
+    patterns = rng.integers(0, 2**63 - 1, 20_000, dtype=np.int64).view(np.float64)
+    powers = [float(np.ldexp(m, e)) for e in range(-1074, 1024, 7) for m in (1.0, 1 - 2**-53, 1 + 2**-52) if 0 < np.ldexp(m, e) < np.inf]
+    values = np.array([*EDGES, *powers, *patterns[~np.isnan(patterns)], *-patterns[~np.isnan(patterns)][:5000]])
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    found = df.select("v", radix.sortable_bits(F.col("v")).alias("k")).select("v", "k", radix.from_bits(F.col("k")).alias("back")).toPandas()
+    bits = np.abs(found["v"].to_numpy()).view(np.int64)
+    assert (found["k"].to_numpy() == np.where(found["v"] < 0, -bits, bits)).all() and (found["v"] == found["back"]).all()
+    odd = spark.createDataFrame([(float("nan"),), (None,)], "v double").select(radix.sortable_bits(F.col("v")).alias("k"))
+    assert [r.k for r in odd.collect()] == [2**63 - 1, None]
+
+
+def test_rounds_count_digits_not_rows(spark):
+    """200,000 different values: a round puts out at most a digit's worth of rows below a prefix."""
+    rows = spark.range(200_000).select(radix.sortable_bits(F.rand(3)).alias("__key"), F.lit(0).cast("long").alias("parent"))
+    assert radix._count(rows, [], 48).count() < 500
+    below = rows.withColumn("parent", F.shiftright("__key", 48))
+    largest = radix._count(below, [], 32).groupBy("parent").agg(F.count("*").alias("n"), F.sum("c").alias("rows")).agg(F.max("n"), F.sum("rows")).first()
+    assert largest[0] <= 1 << radix.DIGIT and largest[1] == 200_000
+
+
+def test_ranks_with_counts_below(spark):
+    rows = spark.createDataFrame([("a", v) for v in (5, -3, 5, 9, 5)] + [(None, 2**62), (None, -(2**63))], "g string, v long")
+    found = radix.select_ranks(rows, ["g"], F.col("v"), lambda n: F.array(F.lit(0), F.lit(2), n - 1, n).cast("array<long>"), 0)
+    assert sorted(tuple(r) for r in found.collect() if r.g) == [("a", 5, 0, 0, -3), ("a", 5, 2, 1, 5), ("a", 5, 4, 4, 9)]
+    assert sorted(tuple(r)[1:] for r in found.collect() if r.g is None) == [(2, 0, 0, -(2**63)), (2, 1, 1, 2**62)]
+    assert radix.select_ranks(rows.limit(0), [], F.col("v"), lambda n: F.array(F.lit(0).cast("long"))).count() == 0
+
+
+def test_nth_smallest(spark):
+    rows = spark.createDataFrame([(i % 7 - 3, (i % 5) / 2 - 1.0) for i in range(70)] + [(None, None)], "v int, w double")
+    assert nth_smallest(rows, "v", 1) == (-3, 0) and nth_smallest(rows, "v", 70, few=0) == (3, 60) and nth_smallest(rows, "v", 71) is None
+    assert nth_smallest(rows, "w", 15) == (-0.5, 14)
+
+
 def test_quantiles_of_many_groups(spark):
     """More groups than are broadcast meet their rows in a shuffle."""
     rows = spark.range(30_003).select((F.col("id") % 10_001).alias("g"), F.col("id").cast("double").alias("v"))
@@ -222,3 +265,20 @@ def test_histogram_of_odd_numbers(spark):
     rows = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "v double")
     cells = histogram(rows, F.col("v"), F.lit("all"), 2).collect()
     assert sorted((r.bin, r.n) for r in cells) == [(0, 1), (1, 1)]
+
+
+@pytest.mark.parametrize("mean", [0.1, 0.5, 1.0, 3.0, 40.0])
+def test_sample_with_replacement(spark, mean):
+    """The share of rows drawn k times is Poisson's, whatever the partitions."""
+    rows = spark.range(20_000).withColumnRenamed("id", "tx_id")
+    drawn = sample_with_replacement(rows, mean, ["tx_id"])
+    times = drawn.groupBy("tx_id").agg(F.count("*").alias("k"))
+    assert times.exceptAll(sample_with_replacement(rows.repartition(9), mean, ["tx_id"]).groupBy("tx_id").agg(F.count("*").alias("k"))).isEmpty()
+    seen = {r.k: r["count"] for r in times.groupBy("k").count().collect()}
+    seen[0] = 20_000 - sum(seen.values())
+    assert sum(k * n for k, n in seen.items()) == pytest.approx(20_000 * mean, rel=5 / (20_000 * mean) ** 0.5)
+    for k in range(int(mean) + 3):
+        share = math.exp(-mean) * mean**k / math.factorial(k)
+        assert abs(seen.get(k, 0) - 20_000 * share) < 5 * (20_000 * share) ** 0.5 + 1
+    with pytest.raises(ValueError):
+        sample_with_replacement(rows, 0, ["tx_id"])

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def brute_limiter(events, limit, window):
     return result
 
 
-@pytest.mark.parametrize("window", [60, 1, 700])
+@pytest.mark.parametrize("window", [60, 1, 700, 640, 5000, 100_000])
 def test_trailing_counts(spark, window):
     events = history(window)
     found = trailing_counts(frame(spark, events), "account", "ts", window).collect()
@@ -71,6 +72,34 @@ def test_trailing_counts(spark, window):
     assert len(found) == len(brute_trailing(events, window))
 
 
+def test_edges_of_long_windows(spark):
+    """Events right at the bounds of buckets and windows, before 1970 too, and gaps of many windows."""
+    window = 6400
+    moments = [sign * (k * 100 + d) for k in (0, 1, 63, 64, 65, 128, 1000) for d in (0.0, 0.000001, 99.999999) for sign in (1, -1)]
+    events = [("a", m - START.timestamp()) for m in moments] + [("b", m) for m in moments]
+    found = trailing_counts(frame(spark, events), "account", "ts", window).collect()
+    assert {(r.account, r.ts): (r.n, r.n_window) for r in found} == {
+        (k, at(m)): (n, sum(1 for a, o in events if a == k and at(m) - dt.timedelta(seconds=window) < at(o) <= at(m)))
+        for (k, m), n in Counter(events).items()}
+
+
+def test_a_hot_account_spreads_over_tasks_in_a_long_window(spark):
+    """One account with half of the rows, a window of a third of the time: no task counts more than a small share of them."""
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 900)).alias("account"),
+        F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        found = trailing_counts(rows, "account", "ts", 800_000)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert sum(sizes) == 40_000 and len(sizes) == 16 and max(sizes) < 2 * 40_000 / 16
+
+
 @pytest.mark.parametrize("limit, window, seed", [(3, 60, 1), (1, 60, 2), (10, 60, 3), (5, 700, 4), (100, 60, 5)])
 def test_limiter(spark, limit, window, seed):
     events = history(seed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from txguard.catalog.base import RATIO, RISKY, RULE, detected, on_detected, on_transactions, query, transactions
 from txguard.operators import profile, velocity
 from txguard.plans import dashboard, exploration
+from txguard.schema import TX_COLUMNS
 
 _MONEY = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -185,9 +186,9 @@ def alert_feed(spark, folder):
 
 
 @query("chart_sample", on_detected("""SELECT tx_id, amount, is_fraud_detected FROM det WHERE amount < 2000000
-ORDER BY CAST('0x' || substr(md5(tx_id || ':42'), 1, 15) AS BIGINT) LIMIT 15000"""))
+ORDER BY CAST('0x' || substr(md5(tx_id || ':42'), 1, 15) AS BIGINT) LIMIT 1500"""))
 def chart_sample(spark, folder):
-    return dashboard.chart_sample(detected(spark, folder))
+    return dashboard.chart_sample(detected(spark, folder), 1_500)
 
 
 # Exploration
@@ -315,10 +316,13 @@ def duplicate_count(spark, folder):
     return profile.duplicate_count(spark.read.parquet(f"{folder}/documents.parquet").select("text"))
 
 
-@query("duplicate_records", on_transactions("""SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows FROM (
-  SELECT COUNT(*) AS n FROM tx GROUP BY step, type, nameOrig, nameDest)"""))
+@query("duplicate_records", on_transactions(f"""SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows FROM (
+  SELECT COUNT(*) AS n FROM (SELECT {', '.join(TX_COLUMNS)} FROM tx UNION ALL SELECT {', '.join(TX_COLUMNS)} FROM tx WHERE step <= 100)
+  GROUP BY {', '.join(TX_COLUMNS)})"""))
 def duplicate_records(spark, folder):
-    return profile.duplicate_count(transactions(spark, folder).select("step", "type", "nameOrig", "nameDest"))
+    """Whole records that came twice: all transactions, with the first hundred hours sent again."""
+    rows = transactions(spark, folder).select(TX_COLUMNS)
+    return profile.duplicate_count(rows.unionByName(rows.where("step <= 100")))
 
 
 @query("union_labelled", on_transactions(f"""SELECT step, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, isFraud

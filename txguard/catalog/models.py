@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txguard import workspace
-from txguard.catalog.base import RISKY, blacklist, blacklist_path, on_transactions, query, transactions
+from txguard.catalog.base import RISKY, RULE, blacklist, blacklist_path, on_transactions, query, transactions
 from txguard.catalog.streams import topic
 from txguard.functions.features import mismatch
+from txguard.functions.rules import drain_rule
 from txguard.operators.frequency import encode_frequency
-from txguard.plans import anomaly, detection, training
+from txguard.plans import anomaly, detection, ranking, training
 from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES
 from txguard.sources.transactions import text_stream
 from txguard.streaming import detection as streaming
@@ -121,6 +122,54 @@ def ml_test_rows(spark, folder):
     return ml_metrics(spark, folder).groupBy("label").agg(F.sum("n").alias("n"))
 
 
+# The rule as a classifier, the amount as the score: the same measures as for a forest, on predictions that SQL can make too.
+_PREDICTED = f"""p AS (SELECT isFraud AS label, {RULE} AS predicted, amount AS score FROM tx),
+c AS (SELECT score, COUNT(*) FILTER (label = 1) AS pos, COUNT(*) FILTER (label <> 1) AS neg FROM p GROUP BY score),
+r AS (SELECT *, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () AS positives, SUM(neg) OVER () AS negatives
+  FROM c WINDOW w AS (ORDER BY score DESC)),
+k AS (SELECT *, tp::DOUBLE / (tp + fp) AS here, CASE WHEN tp + fp > pos + neg
+  THEN (tp - pos)::DOUBLE / (tp + fp - pos - neg) ELSE tp::DOUBLE / (tp + fp) END AS earlier FROM r),
+areas AS (SELECT SUM(neg * (2 * tp - pos))::DOUBLE / (2 * ANY_VALUE(positives) * ANY_VALUE(negatives)) AS auc_roc,
+  SUM(pos * (here + earlier) / 2) / ANY_VALUE(positives) AS auprc FROM k)"""
+_CLASS = """SELECT {0} AS class, COUNT(*) FILTER (label = {0} AND predicted = {0}) / CAST(COUNT(*) FILTER (predicted = {0}) AS DOUBLE) AS precision,
+  COUNT(*) FILTER (label = {0} AND predicted = {0}) / CAST(COUNT(*) FILTER (label = {0}) AS DOUBLE) AS recall,
+  COUNT(*) FILTER (label = {0}) / CAST(COUNT(*) AS DOUBLE) AS share FROM p"""
+
+
+def rule_predictions(spark, folder):
+    rows = transactions(spark, folder).select(
+        "isFraud", drain_rule().cast("double").alias("prediction"), F.col("amount").alias("score"))
+    return workspace.write_table(rows, workspace.new_path(spark, "predictions"))
+
+
+@query("ranking_metrics", on_transactions(f""", {_PREDICTED}
+SELECT (SELECT CAST(SUM(pos) AS BIGINT) FROM c) AS positives, (SELECT CAST(SUM(neg) AS BIGINT) FROM c) AS negatives,
+  ROUND(auc_roc, 9) AS auc_roc, ROUND(auprc, 9) AS auprc FROM areas"""))
+def ranking_query(spark, folder):
+    found = ranking.ranking_metrics(rule_predictions(spark, folder))
+    return found.withColumns({c: F.round(c, 9) for c in ("auc_roc", "auprc")})
+
+
+@query("ranking_curve", on_transactions(f""", {_PREDICTED}
+SELECT score, pos, neg, CAST(tp - pos AS BIGINT) AS before_pos, CAST(fp - neg AS BIGINT) AS before_neg FROM r"""))
+def ranking_curve(spark, folder):
+    return ranking.ranking_curve(rule_predictions(spark, folder))
+
+
+@query("ml_rule_metrics", on_transactions(f""", {_PREDICTED},
+classes AS (SELECT *, 2 * precision * recall / (precision + recall) AS f1 FROM ({_CLASS.format(0)} UNION ALL {_CLASS.format(1)})),
+named AS (SELECT UNNEST([{{'metric': 'auprc', 'value': auprc}}, {{'metric': 'auc_roc', 'value': auc_roc}}]) AS m FROM areas
+UNION ALL SELECT UNNEST([{{'metric': 'f1_score', 'value': SUM(f1 * share)}}, {{'metric': 'precision', 'value': SUM(precision * share)}},
+  {{'metric': 'recall', 'value': SUM(recall * share)}}]) FROM classes
+UNION ALL SELECT UNNEST([{{'metric': 'fraud_f1_score', 'value': f1}}, {{'metric': 'fraud_precision', 'value': precision}},
+  {{'metric': 'fraud_recall', 'value': recall}}]) FROM classes WHERE class = 1)
+SELECT m.metric AS metric, ROUND(m.value, 9) AS value FROM named"""))
+def ml_rule_metrics(spark, folder):
+    """All measures that a training run records, for the rule."""
+    values = training.metrics(rule_predictions(spark, folder))
+    return spark.createDataFrame([(k, round(v, 9)) for k, v in sorted(values.items())], "metric string, value double")
+
+
 @query("ml_run_metrics", "SELECT * FROM (VALUES " + ", ".join(f"('run-1', '{s}', '{m}')" for s, m in [
     *(("FINISHED", m) for m in ("auprc", "auc_roc", "f1_score", "precision", "recall", "fraud_f1_score", "fraud_precision", "fraud_recall")),
     ("PROMOTED", "fraud_f1_score")]) + ") v(run, status, metric)")

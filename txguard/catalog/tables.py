@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.catalog.base import detected, on_detected, on_transactions, query, transactions
-from txguard.operators.sampling import sample_rows, split_by_id
+from txguard.operators.sampling import poisson_bounds, sample_rows, sample_with_replacement, split_by_id
 from txguard.plans import jobs
 from txguard.schema import TX_COLUMNS
 from txguard.sources import jdbc
@@ -79,14 +79,25 @@ def relational_retry(spark, folder):
     return jdbc.rows_to_write(batch, 7, stored)
 
 
-@query("save_sample", on_transactions(f"SELECT {', '.join(TX_COLUMNS)} FROM tx ORDER BY {SAMPLE_ORDER} LIMIT 200000"))
+@query("save_sample", on_transactions(f"SELECT {', '.join(TX_COLUMNS)} FROM tx ORDER BY {SAMPLE_ORDER} LIMIT 2000"))
 def save_sample(spark, folder):
     path = workspace.new_path(spark, "sample")
-    rows = sample_rows(transactions(spark, folder).select("tx_id", *TX_COLUMNS), 200_000, ["tx_id"])
+    rows = sample_rows(transactions(spark, folder).select("tx_id", *TX_COLUMNS), 2_000, ["tx_id"])
     rows.drop("tx_id").write.option("header", True).csv(path)
     return read_csv(spark, path)
 
 
+_TIMES = " + ".join(f"CASE WHEN {SAMPLE_ORDER} >= {bound} THEN 1 ELSE 0 END" for bound in poisson_bounds(0.5))
+
+
+@query("sample_replacement", on_transactions(f"""SELECT tx_id, type, amount, isFraud FROM
+  (SELECT tx_id, type, amount, isFraud, unnest(range({_TIMES})) AS copy FROM tx)"""))
+def sample_replacement(spark, folder):
+    """Half as many rows as the table has, drawn with replacement."""
+    rows = transactions(spark, folder).select("tx_id", "type", "amount", "isFraud")
+    return sample_with_replacement(rows, 0.5, ["tx_id"])
+
+
 @query("train_test_split", on_transactions(
     "SELECT tx_id, CASE WHEN tx_id % 10 < 8 THEN 'train' ELSE 'test' END AS split FROM tx"))
 def train_test_split(spark, folder):

@@ -1,82 +1,25 @@
-"""Exact percentiles without holding a group's values in one task.
-
-``percentile`` keeps every distinct value of a group in one aggregation buffer. Here a bounded sketch
-first brackets each wanted rank; the rows outside the brackets then collapse to one count per gap, and
-only the few values inside are ordered.
-"""
+"""Exact percentiles without holding a group's values, or a sketch of them, in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard import workspace
-from txguard.functions.features import all_of
-
-BROADCAST_GROUPS = 10_000  # brackets of so many groups are broadcast; more meet their rows in a shuffle
-ACCURACY = 100_000  # ranks from the sketch are off by at most rows/ACCURACY
+from txguard.operators.radix import FEW, from_bits, select_ranks, sortable_bits
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities: list[float],
-                    accuracy: int = ACCURACY) -> DataFrame:
+def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities: list[float], few: int = FEW) -> DataFrame:
     """Rows ``(*groups, p, quantile)`` with linear interpolation between neighbouring ranks.
 
-    Missing values are ignored. The brackets of all groups are stored and counted; a small table of them is broadcast. What
-    is ordered per group is at most ``4 * len(probabilities) * rows / accuracy`` distinct values.
+    Missing values are ignored, NaN is larger than any number. The ranks come from counts of key prefixes (``radix``), up to
+    three or four passes over ``df``.
     """
-    data = df.select(*groups, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL")
-    slack = 2.0 / accuracy
-    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-slack, slack)]
-    sketch = data.groupBy(*groups).agg(F.percentile_approx("__v", edges, accuracy).alias("__edges"))
-
-    if groups:
-        spark = df.sparkSession
-        brackets = workspace.write_table(sketch, workspace.new_path(spark, "brackets"))
-        few = brackets.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-        same = all_of([F.col(f"d.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups])
-        with_edges = data.alias("d").join((F.broadcast(brackets) if few else brackets).alias("b"), same).select("d.*", "b.__edges")
-    else:
-        with_edges = data.withColumn("__edges", sketch.scalar())
-    lows = [F.col("__edges")[2 * i] for i in range(len(probabilities))]
-    highs = [F.col("__edges")[2 * i + 1] for i in range(len(probabilities))]
-    slot = sum((F.when(edge < F.col("__v"), 1).otherwise(0) for edge in lows + highs), F.lit(0))
-    inside = F.lit(False)
-    for low, high in zip(lows, highs):
-        inside = inside | F.col("__v").between(low, high)
-
-    counts = (
-        with_edges.select(*groups, "__v", slot.alias("__slot"), F.when(inside, F.col("__v")).alias("__exact"))
-        .groupBy(*groups, "__slot", "__exact")
-        .agg(F.count("*").alias("__c"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    )
-    order = Window.partitionBy(*groups).orderBy("__slot", F.col("__exact").asc_nulls_first())
-    whole = Window.partitionBy(*groups)
-    ranked = counts.withColumns(
-        {
-            "__upto": F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "__n": F.sum("__c").over(whole),
-        }
-    ).withColumn("__from", F.col("__upto") - F.col("__c"))
-
-    wanted = ranked.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    position = F.col("p") * (F.col("__n") - 1)
-    wanted = wanted.withColumns(
-        {"__pos": position, "__lo": F.floor(position), "__hi": F.ceil(position)})
-
-    def value_at(rank: str):
-        here = (F.col("__from") <= F.col(rank)) & (F.col(rank) < F.col("__upto"))
-        known = (
-            F.when(F.col("__min") == F.col("__max"), F.col("__min"))
-            .when(F.col(rank) == F.col("__from"), F.col("__min"))
-            .when(F.col(rank) == F.col("__upto") - 1, F.col("__max"))
-            .otherwise(F.raise_error(F.lit("a wanted rank fell outside its bracket")).cast("double"))
-        )
-        return F.max(F.when(here, known))
-
-    low, high = F.col("__low"), F.col("__high")
-    return (
-        wanted.groupBy(*groups, "p")
-        .agg(value_at("__lo").alias("__low"), value_at("__hi").alias("__high"),
-             F.max(F.col("__pos") - F.col("__lo")).alias("__part"))
-        .select(*groups, "p", (low + (high - low) * F.col("__part")).alias("quantile"))
-    )
+    position = lambda p: F.lit(float(p)) * (F.col("n") - 1)
+    either = [edge(position(p)).cast("long") for p in probabilities for edge in (F.floor, F.ceil)]
+    ranks = select_ranks(df, groups, sortable_bits(F.col(value)), lambda n: F.array(*either), few)
+    # A row for each group, with two values for each probability at most.
+    at = ranks.groupBy(*groups, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", from_bits(F.col("key"))))).alias("at"))
+    each = at.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    where = F.col("p") * (F.col("n") - 1)
+    low, high = (F.col("at")[edge(where).cast("long")] for edge in (F.floor, F.ceil))
+    return each.select(*groups, "p", F.when(low == high, low).otherwise(low + (high - low) * (where - F.floor(where))).alias("quantile"))

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txguard.operators.radix import FEW, from_bits, select_ranks, sortable_bits
+
+
+HASHES = 1 << 60
+
 
 def hash_order(seed: int, *keys: str) -> Column:
     """A reproducible pseudo-random order of rows identified by ``keys``: 60 bits of an MD5, which other engines have too."""
@@ -12,31 +19,16 @@ def hash_order(seed: int, *keys: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def nth_smallest(df: DataFrame, key: str, n: int, accuracy: int = 10_000, few: int = 20_000):
-    """The ``n``-th smallest value of ``key`` and how many rows are below it; None when there are fewer values.
+def nth_smallest(df: DataFrame, key: str, n: int, few: int = FEW):
+    """The ``n``-th smallest value of ``key``, a number, and how many rows are below it; None when there are fewer values.
 
-    Each round sketches the values between two bounds, counts them, and keeps the part that holds the rank, until few are
-    left; only those are ordered. A round is one pass with partial aggregation.
+    Found by counting key prefixes (``radix``): as a rule three passes over that one column.
     """
-    rows = df.select(key).where(F.col(key).isNotNull())
-    below, left = 0, rows.count()
-    if n > left:
-        return None
-    while left > few:
-        want = n - below
-        edges = [max(0.0, want / left - 2 / accuracy), min(1.0, want / left + 2 / accuracy)]
-        low, high = rows.agg(F.percentile_approx(key, edges, accuracy)).first()[0]
-        under, inside = rows.agg(F.count_if(F.col(key) < low), F.count_if(F.col(key).between(low, high))).first()
-        if low == high:  # ties at the wanted rank
-            return low, below + under
-        if inside == left:  # no progress: few distinct values, so counting them is cheap
-            upto = rows.groupBy(key).agg(F.count("*").alias("n")).withColumn(
-                "upto", F.sum("n").over(Window.orderBy(key))).where(F.col("upto") >= want).orderBy(key).first()
-            return upto[0], below + upto["upto"] - upto["n"]
-        below, left = below + under, inside
-        rows = rows.where(F.col(key).between(low, high))
-    value = rows.orderBy(key).offset(n - below - 1).first()[0]
-    return value, below + rows.where(F.col(key) < value).count()
+    fraction = df.schema[key].dataType.typeName() in ("float", "double", "decimal")
+    long = sortable_bits(F.col(key)) if fraction else F.col(key).cast("long")
+    found = select_ranks(df, [], long, lambda _: F.array(F.lit(n - 1).cast("long")), few)
+    row = found.select((from_bits(F.col("key")) if fraction else F.col("key")).alias("key"), "below").first()
+    return None if row is None else (row["key"], row["below"])
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
@@ -64,6 +56,36 @@ def sample_fraction(df: DataFrame, fraction: float, *, replace: bool = False, se
     return df.sample(withReplacement=replace, fraction=fraction, seed=seed)
 
 
+def poisson_bounds(mean: float) -> list[int]:
+    """Hash values, of 60 bits, from which on a row is drawn at least 1, 2, ... times at that mean."""
+    bounds, upto, share = [], math.exp(-mean), math.exp(-mean)
+    while (bound := math.ceil(upto * HASHES)) < HASHES and len(bounds) < 1000:
+        bounds.append(bound)
+        share *= mean / len(bounds)
+        if share * HASHES < 1 and len(bounds) > mean:
+            break
+        upto += share
+    return bounds
+
+
+def draw_counts(hashed: Column, mean: float) -> Column:
+    """How often a row is drawn: Poisson distributed, by the inverse distribution function of its hash."""
+    return sum((F.when(hashed >= bound, 1).otherwise(0) for bound in poisson_bounds(mean)), F.lit(0))
+
+
+def sample_with_replacement(df: DataFrame, fraction: float, keys: list[str], seed: int = 42) -> DataFrame:
+    """About ``fraction`` times as many rows as ``df``, each drawn on its own and perhaps several times.
+
+    The number of copies of a row follows from its ``keys`` and the seed alone, so the sample is the same however the rows
+    are spread and whichever task is run again. One narrow pass.
+    """
+    if not 0 < fraction <= 100:
+        raise ValueError("fraction must be above 0 and at most 100")
+    times = draw_counts(hash_order(seed, *keys), fraction)
+    drawn = df.withColumn("__times", times).where("__times > 0")
+    return drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(df.columns)
+
+
 def split_by_id(df: DataFrame, key: str, train_tenths: int = 8) -> DataFrame:
     """Column ``split``: ``train`` or ``test`` by the id alone, so reruns and repartitions agree."""
     return df.withColumn(

@@ -2,6 +2,7 @@
 
 An account's history is cut into time slices. Each slice also gets the last window of the slice before
 it, so slices are counted independently and a hot account spreads over as many tasks as it has slices.
+Windows that are longer than a slice are counted on two levels, from buckets and their edges.
 Events of one account at one instant collapse into a count before anything is shuffled.
 """
 
@@ -19,6 +20,7 @@ from txguard import workspace
 
 MICROS = 1_000_000
 MIN_SLICE_SECONDS = 600
+BUCKETS = 64  # of a window longer than a slice; a divisor of a million, so buckets are whole microseconds
 
 
 def micros(ts: str) -> Column:
@@ -59,17 +61,44 @@ def _in_slice(start: int, end: int) -> WindowSpec:
 def trailing_counts(df: DataFrame, key: str, ts: str, window_seconds: int = 60) -> DataFrame:
     """Rows ``(key, ts, n, n_window)``: events at each instant and in the window that ends there.
 
-    An event that is exactly ``window_seconds`` old has left the window.
+    An event that is exactly ``window_seconds`` old has left the window. Short windows look back within time slices; for
+    longer ones see ``_by_buckets``.
     """
     window = window_seconds * MICROS
-    counted = (
-        _sliced(_per_instant(df, key, ts), _width(window_seconds), window)
-        .withColumn("n_window", F.sum("n").over(_in_slice(-(window - 1), 0))).where("own")
-    )
+    instants = _per_instant(df, key, ts)
+    if window_seconds > MIN_SLICE_SECONDS:
+        counted = _by_buckets(instants, window)
+    else:
+        counted = _sliced(instants, _width(window_seconds), window).withColumn(
+            "n_window", F.sum("n").over(_in_slice(-(window - 1), 0))).where("own")
     return counted.select(
         F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "n_window")
 
 
+def _by_buckets(instants: DataFrame, window: int) -> DataFrame:
+    """``n_window`` on two levels, for ``instants`` ``(key, at, n)``: whole buckets are counted once, only their edges event by event.
+
+    The window of an instant in bucket ``k`` starts in bucket ``k - BUCKETS``. It holds what the buckets from there to
+    ``k - 1`` have, plus what bucket ``k`` has had so far, less what the first of them has lost: its events come back one
+    window later with a minus. So a bucket is counted from its own rows and those of one other bucket, and an account's
+    events spread over as many tasks as it has buckets, though the window is ``BUCKETS`` times as long.
+    """
+    width = window // BUCKETS
+    slot = F.floor(F.col("at") / F.lit(width)).cast("long")
+    totals = instants.select("key", slot.alias("at"), "n").groupBy("key", "at").agg(F.sum("n").alias("c"))
+    # Sums over the buckets before, within slices of buckets: a row for each bucket, whatever it holds.
+    lasting = Window.partitionBy("key", "slice").orderBy("at").rangeBetween(-BUCKETS, -1)
+    carried = _sliced(totals, 4 * BUCKETS, BUCKETS).withColumn("carry", F.coalesce(F.sum("c").over(lasting), F.lit(0))).where("own")
+    start = F.lit(0).cast("long")
+    carried = carried.select(
+        "key", F.col("at").alias("slice"), (F.col("at") * width - 1).alias("at"), start.alias("n"), F.col("carry").alias("change"), F.lit(False).alias("own"))
+    arrive = F.struct(slot.alias("slice"), F.col("at").alias("at"), F.col("n").alias("n"), F.col("n").alias("change"), F.lit(True).alias("own"))
+    leave = F.struct((slot + BUCKETS).alias("slice"), (F.col("at") + window).alias("at"), start.alias("n"), (-F.col("n")).alias("change"), F.lit(False).alias("own"))
+    moves = instants.select("key", F.explode(F.array(arrive, leave)).alias("m")).select("key", "m.*")
+    so_far = Window.partitionBy("key", "slice").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    return moves.unionByName(carried).withColumn("n_window", F.sum("change").over(so_far)).where("own")
+
+
 def _marked(df: DataFrame, key: str, ts: str, window: int, width: int, limit: int) -> DataFrame:
     """Instants with their trailing count and whether a busy one (over the limit) is one window behind or ahead.
 

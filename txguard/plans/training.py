@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,7 @@ from txguard import workspace
 from txguard.functions.features import is_risky_type, training_features
 from txguard.operators.sampling import split_by_id
 from txguard.plans.exploration import class_counts, rule_residual, with_class_weight
+from txguard.plans.ranking import ranking_metrics
 from txguard.schema import FEATURE_COLUMNS, RESIDUAL_FEATURES, TX_SCHEMA
 from txguard.sources import files
 
@@ -97,15 +98,13 @@ def confusion(predictions: DataFrame) -> DataFrame:
 def metrics(predictions: DataFrame) -> dict[str, float]:
     """AUPRC, AUC-ROC and the weighted F1, precision and recall, next to those of the fraud class alone.
 
-    The weighted numbers are dominated by the normal class, so the fraud class is reported by itself too.
+    Takes ``isFraud``, ``prediction`` and ``score``; pass a stored table. The areas are exact (``ranking``), 0 where a class
+    is missing. The weighted numbers are dominated by the normal class, so the fraud class is reported by itself too.
     """
     cells = {(r["label"], r["prediction"]): r["n"] for r in confusion(predictions).collect()}
     total = sum(cells.values()) or 1
-    result = {
-        name: BinaryClassificationEvaluator(
-            labelCol="isFraud", rawPredictionCol="rawPrediction", metricName=metric).evaluate(predictions)
-        for name, metric in (("auprc", "areaUnderPR"), ("auc_roc", "areaUnderROC"))
-    }
+    areas = ranking_metrics(predictions).first()
+    result = {name: areas[name] or 0.0 for name in ("auprc", "auc_roc")}
     weighted = {"f1_score": 0.0, "precision": 0.0, "recall": 0.0}
     for label in (0.0, 1.0):
         hit = cells.get((label, label), 0)
@@ -122,7 +121,7 @@ def metrics(predictions: DataFrame) -> dict[str, float]:
 
 def evaluate(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
     """Metrics of a model on rows with features; its predictions are stored once for all of them."""
-    predictions = model.transform(rows).select("isFraud", "prediction", "rawPrediction")
+    predictions = model.transform(rows).select("isFraud", "prediction", vector_to_array("rawPrediction")[1].alias("score"))
     return metrics(workspace.write_table(predictions, workspace.new_path(rows.sparkSession, "predictions")))
 
 
