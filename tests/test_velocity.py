@@ -139,3 +139,21 @@ def test_streamed_limiter_equals_batch(spark):
     found = table.read().withColumn("ts", F.expr("timestampadd(MICROSECOND, at, TIMESTAMP_NTZ'1970-01-01 00:00:00')"))
     expected = {k: v[:2] for k, v in brute_limiter(events, 3, 60).items()}
     assert {(r.key, r.ts): (r.n, r.allowed) for r in found.collect()} == expected
+
+
+def test_forgotten_accounts_leave_the_state(spark):
+    """Five hundred accounts, then silence for all but one: the state shrinks to what its window still needs, verdicts stay right."""
+    root = workspace.new_path(spark, "limiter-expiry")
+    batches = [[(f"c{i}", float(i % 50)) for i in range(500)] + [("kept", 10.0)] * 3 + [(None, 10.0)] * 4, [("kept", 5000.0), ("kept", 5010.0)], [("kept", 5020.0), ("kept", 9000.0)]]
+    table, sizes = LakeTable(spark, f"{root}/decisions"), []
+    for events in batches:
+        frame(spark, events).coalesce(1).write.mode("append").parquet(f"{root}/rows")
+        stream = spark.readStream.schema(frame(spark, events).schema).parquet(f"{root}/rows")
+        query = limiter.limit_stream(stream, "account", "ts", 2, 60, "1 minute").writeStream.foreachBatch(table.append).option(
+            "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        detection.run_to_end(query)
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    expected = {k: v[:2] for k, v in brute_limiter([e for b in batches for e in b], 2, 60).items()}
+    found = table.read().withColumn("ts", F.expr("timestampadd(MICROSECOND, at, TIMESTAMP_NTZ'1970-01-01 00:00:00')"))
+    assert {(r.key, r.ts): (r.n, r.allowed) for r in found.collect()} == expected
+    assert sizes[0] >= 500 and sizes[1] < 20 and sizes[2] < 20
