@@ -24,7 +24,7 @@ def test_jobs_work_together(spark, capsys):
     assert "promoted" in capsys.readouterr().out
     main(["detect", "--messages", f"{root}/messages", "--blacklist", f"{root}/blacklist", "--root", f"{root}/lake",
           "--checkpoint", f"{root}/checkpoint", "--registry", f"{root}/registry", "--once"])
-    main(["tidy", "--root", f"{root}/lake", "--retain-hours", "0"])
+    main(["tidy", "--root", f"{root}/lake", "--to", f"{root}/tidy"])
 
     columns = [c for c in SCORED_SCHEMA.names if c != "ingested_at"]
     stored = LakeTable(spark, f"{root}/lake/transactions", ["type"], SCORED_SCHEMA).read().select(columns)
@@ -35,6 +35,11 @@ def test_jobs_work_together(spark, capsys):
     assert LakeTable(spark, f"{root}/lake/fraud_transactions").read().where("is_fraud_detected <> 1").isEmpty()
 
 
+def test_tidy_of_parquet_needs_a_target():
+    with pytest.raises(SystemExit):
+        main(["tidy", "--root", "r"])
+
+
 def test_detection_needs_a_checkpoint():
     with pytest.raises(SystemExit):
         parser().parse_args(["detect", "--messages", "m", "--blacklist", "b", "--root", "r"])

@@ -1,7 +1,5 @@
 """Lake tables, the relational sink and the blacklist versions."""
 
-import datetime as dt
-
 import pytest
 from conftest import accounts
 from pyspark.sql import functions as F
@@ -9,8 +7,9 @@ from pyspark.sql import functions as F
 from txguard import workspace
 from txguard.plans import blacklist, jobs
 from txguard.sources import files, jdbc
-from txguard.sources.lake import LakeTable, delta_available
+from txguard.sources.lake import DeltaTable, LakeTable, delta_available
 from txguard.sources.transactions import kafka_options
+from txguard.streaming import detection
 
 
 @pytest.fixture
@@ -40,83 +39,73 @@ def test_type_is_a_folder_and_prunes(spark, table):
     assert "PartitionFilters: [isnotnull(type" in plan
 
 
-def test_compaction_keeps_rows_and_history(spark, table):
+def test_compaction_keeps_rows_and_leaves_the_table(spark, table):
     for i in range(3):
         table.append(rows(spark, 10 * i, 10 * i + 10), i)
-    table.compact(["id"])
-    assert table.pointer() == (1, 1)  # the newest batch may still be repeated
-    assert ids(table.read()) == list(range(30)) and ids(table.read(as_of=1)) == list(range(20))
+    written, through = table.compact(["id"])
+    assert through == 1 and ids(written) == list(range(20))  # the newest batch may still be repeated
+    assert {r.batch_id for r in written.where("id >= 10").collect()} == {1}
     table.append(rows(spark, 50, 60), 2)
-    assert ids(table.read()) == [*range(20), *range(50, 60)]
-    with pytest.raises(ValueError, match="closed"):
-        table.append(rows(spark, 0, 1), 1)
-    table.append(rows(spark, 30, 35), 3)
-    table.compact()
-    assert table.pointer() == (2, 2) and ids(table.read()) == [*range(20), *range(30, 35), *range(50, 60)]
-    assert ids(table.read(as_of=1)) == list(range(20))
-    table.compact()
-    assert table.pointer() == (2, 2)
-
-
-def test_compaction_writes_only_new_batches(spark, table):
-    for i in range(3):
-        table.append(rows(spark, 10 * i, 10 * i + 10), i)
-        table.compact()
-    assert table.pointer() == (2, 1)
-    assert ids(spark.read.parquet(f"{table.path}/snapshots/2")) == list(range(10, 20))
-
-
-def test_vacuum_respects_the_limit(spark, table):
-    for i in range(3):
-        table.append(rows(spark, 10 * i, 10 * i + 10), i)
-    table.compact()
-    assert table.vacuum() == []
-    later = dt.datetime.now() + dt.timedelta(hours=169)
-    assert table.vacuum(now=later) == ["appends/batch_id=0", "appends/batch_id=1"]
-    assert ids(table.read()) == list(range(30)) and ids(table.read(as_of=0)) == list(range(10))
-
-
-def test_half_written_batches_are_not_seen(spark, table):
-    for i in range(3):
-        table.append(rows(spark, 10 * i, 10 * i + 10), i)
-    files.remove(spark, f"{table.path}/appends/batch_id=1/attempt=0/_SUCCESS")
-    assert ids(table.read()) == [*range(10), *range(20, 30)]
-    table.compact(keep_open=0)
-    assert table.pointer() == (1, 0)  # nothing behind the gap is closed
-    table.append(rows(spark, 10, 20), 1)
-    assert ids(table.read()) == list(range(30))
+    assert ids(written.unionByName(table.read().where("batch_id > 1"))) == [*range(20), *range(50, 60)]
+    assert ids(table.read()) == [*range(20), *range(50, 60)] and ids(table.read(as_of=0)) == list(range(10))
+    everything, through = table.compact(keep_open=0)
+    assert through == 2 and ids(everything) == ids(table.read())
+    assert len(everything.inputFiles()) <= 2  # one for each type
 
 
-def test_a_repeat_is_seen_when_it_is_complete(spark, table):
+def test_a_repeat_replaces_its_batch_also_with_nothing(spark, table):
     table.append(rows(spark, 0, 10), 0)
-    table.append(rows(spark, 5, 10), 0)
-    assert ids(table.read()) == list(range(5, 10))
-    files.remove(spark, f"{table.path}/appends/batch_id=0/attempt=1/_SUCCESS")
+    table.append(rows(spark, 10, 20), 1)
+    table.append(rows(spark, 12, 13), 1)  # one type only: the other one's folder goes
+    assert ids(table.read()) == [*range(10), 12]
+    table.append(rows(spark, 0, 0), 1)
     assert ids(table.read()) == list(range(10))
 
 
-def test_schema_evolves(spark):
-    table = LakeTable(spark, workspace.new_path(spark, "lake-test"))
+def test_schema_evolves_and_survives_compaction(spark):
+    """A column that a later batch adds, and one that a declared schema does not know."""
+    known = spark.range(1).schema
+    table = LakeTable(spark, workspace.new_path(spark, "lake-test"), schema=known)
     table.append(spark.range(2), 0)
     table.append(spark.range(2, 4).withColumn("note", F.lit("x")), 1)
-    assert {r.id: r.note for r in table.read().collect()} == {0: None, 1: None, 2: "x", 3: "x"}
-    table.compact(keep_open=0)
-    assert {r.id: r.note for r in table.read().collect()} == {0: None, 1: None, 2: "x", 3: "x"}
-
-
-def test_declared_schema_spares_the_footers(spark, table):
-    table.append(rows(spark, 0, 10), 0)
-    table.append(rows(spark, 10, 12), 1)
-    table.compact()
-    declared = LakeTable(spark, table.path, ["type"], rows(spark, 0, 1).schema)
-    assert ids(declared.read()) == list(range(12)) and ids(declared.read(as_of=0)) == list(range(10))
-
-
-def test_tidy_job_reports_what_it_removed(spark, table):
-    table.append(rows(spark, 0, 10), 0)
-    table.append(rows(spark, 10, 12), 1)
-    assert jobs.tidy_lake([table], ["id"], retain_hours=0) == {table.path: ["appends/batch_id=0"]}
-    assert ids(table.read()) == list(range(12))
+    table.append(spark.range(4, 5), 2)
+    want = {0: None, 1: None, 2: "x", 3: "x"}
+    assert {r.id: r.note for r in table.read().collect()} == {**want, 4: None}
+    written, _ = table.compact()
+    assert written.columns == ["id", "note", "batch_id"] and {r.id: r.note for r in written.collect()} == want
+
+
+def test_scored_rows_keep_the_model_columns(spark, tmp_path):
+    """Tables are tidied without knowing that a model had been at work."""
+    root = workspace.new_path(spark, "lake-test")
+    scored = spark.createDataFrame([("A", 1, 0.9, "Model"), ("B", 0, 0.1, None)], "type string, ml_fraud_flag int, ml_probability double, reason string")
+    for batch_id in range(3):
+        for table in detection.lake_tables(spark, root, with_model=True):
+            table.append(scored, batch_id)
+    done = jobs.tidy_lake(detection.lake_tables(spark, root), ["ingested_at", "ml_probability"], to=f"{root}/tidy")
+    assert sorted(p.split("/")[-1] for p in done) == ["fraud_transactions", "quarantine", "transactions"]
+    for name in ("transactions", "fraud_transactions", "quarantine"):
+        for path, n in ((f"{root}/tidy/{name}", 4), (f"{root}/{name}", 6)):
+            found = spark.read.parquet(path)
+            assert {"ml_fraud_flag", "ml_probability", "reason"} <= set(found.columns)
+            assert found.count() == n and found.where("ml_probability IS NULL").isEmpty()
+
+
+def test_delta_tables_hand_over_to_the_connector(spark, monkeypatch):
+    table = DeltaTable(spark, "s3a://lake/transactions", ["type"])
+    assert table.append_options(7) == {"mergeSchema": "true", "txnAppId": "s3a://lake/transactions", "txnVersion": "7"}
+    assert table.maintenance(24) == ["OPTIMIZE delta.`s3a://lake/transactions`", "VACUUM delta.`s3a://lake/transactions` RETAIN 24 HOURS"]
+    with pytest.raises(ValueError, match="connector"):
+        detection.lake_tables(spark, "root", kind="delta")
+    monkeypatch.setattr("txguard.sources.lake.delta_available", lambda _: True)
+    assert {type(t) for t in detection.lake_tables(spark, "root", kind="delta")} == {DeltaTable}
+
+
+def test_a_table_without_files(spark):
+    table = LakeTable(spark, workspace.new_path(spark, "lake-test"), schema=rows(spark, 0, 1).schema)
+    assert table.read().columns == ["id", "type", "batch_id"] and table.read().count() == 0
+    written, through = table.compact()
+    assert through == -1 and written.count() == 0
 
 
 def test_empty_table_is_an_error(table):
@@ -172,3 +161,10 @@ def test_refresh_refuses_an_empty_list(spark, tx):
     with pytest.raises(RuntimeError, match="history_present"):
         jobs.refresh_blacklist(tx({}).limit(0), path)
     assert jobs.refresh_blacklist(tx({"isFraud": 1}), path).count() == 2
+
+
+def test_refresh_drops_old_versions(spark, tx):
+    path = workspace.new_path(spark, "blacklist-test")
+    for _ in range(4):
+        jobs.refresh_blacklist(tx({"isFraud": 1}), path, keep=2)
+    assert blacklist.versions(spark, path) == [3, 4]

@@ -1,6 +1,7 @@
 """The detection stream: equal to batch, one copy after a retry, no gap after a restart."""
 
 import json
+import threading
 
 import pytest
 from conftest import accounts
@@ -125,6 +126,33 @@ def test_restart_goes_on_without_a_gap(spark, topic, run):
     assert sorted(r.step for r in LakeTable(spark, f"{run.root}/transactions").read().collect()) == [1, 2, 3]
 
 
+def test_service_mode_ends_between_batches(spark, topic, run):
+    """Asked to stop while it runs, the service has finished what it took; a failure is raised."""
+    blacklist.publish(accounts(spark, "B"), run.listed)
+    topic(message(step=1))
+    stopped, seen = threading.Event(), []
+
+    def report(batch_id, size):
+        seen.append(size)
+        if len(seen) < 2:
+            topic(message(step=2), message(step=3))
+        else:
+            stopped.set()
+
+    query = detection.start_detection(
+        text_stream(spark, topic.path), run.listed, detection.lake_sinks(spark, run.root), f"{run.root}/checkpoint",
+        interval="100 milliseconds", report=report)
+    detection.serve(query, stopped, 0.2)
+    assert not query.isActive and [s["rows"] for s in seen] == [1, 2]
+    assert sorted(r.step for r in LakeTable(spark, f"{run.root}/transactions").read().collect()) == [1, 2, 3]
+    failing = detection.lake_sinks(spark, run.root)
+    failing.extra = [lambda rows, batch_id: 1 / 0]
+    topic(message(step=4))
+    query = detection.start_detection(text_stream(spark, topic.path), run.listed, failing, f"{run.root}/checkpoint")
+    with pytest.raises(Exception, match="division by zero"):
+        detection.serve(query, threading.Event(), 0.2)
+
+
 def test_a_refreshed_blacklist_is_seen_by_the_next_batch(spark, topic, run):
     topic(message(type="DEBIT", nameOrig="N", step=1))
     run()

@@ -9,7 +9,7 @@ from txguard.plans import jobs
 from txguard.session import build_session, object_store_conf
 from txguard.schema import DETECTED_SCHEMA
 from txguard.sources import files, messages
-from txguard.sources.lake import LakeTable
+from txguard.sources.lake import DeltaTable, LakeTable
 from txguard.sources.transactions import kafka_stream, read_csv, text_stream
 from txguard.streaming import detection
 
@@ -22,6 +22,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--history", required=True, help="lake table of the detection job, or CSV with a header")
     job.add_argument("--to", required=True)
     job.add_argument("--until-step", type=int)
+    job.add_argument("--keep", type=int, default=10, help="versions of the list that stay")
 
     job = sub.add_parser("publish", help="send risky transactions as messages, ordered by step")
     job.add_argument("--history", required=True)
@@ -41,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--registry", help="model registry; adds the promoted model to the verdict")
     job.add_argument("--jdbc-url", help="also fill tables of a relational store (user and password from the environment)")
     job.add_argument("--jdbc-schema", help="schema of those tables")
+    job.add_argument("--format", choices=["parquet", "delta"], default="parquet", help="kind of the lake tables")
+    job.add_argument("--interval", help="time between batches, like '30 seconds'; by default one follows the other")
     job.add_argument("--once", action="store_true", help="work off what is there and stop")
 
     job = sub.add_parser("train", help="train, record and, if it is better, promote a model")
@@ -50,21 +53,25 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--trees", type=int, default=100)
     job.add_argument("--depth", type=int, default=10)
 
-    job = sub.add_parser("tidy", help="compact the lake tables and drop what has expired")
+    job = sub.add_parser("tidy", help="compact the lake tables; of Delta tables also drop what has expired")
     job.add_argument("--root", required=True)
+    job.add_argument("--to", help="folder of the compacted copies of Parquet tables")
+    job.add_argument("--format", choices=["parquet", "delta"], default="parquet")
     job.add_argument("--retain-hours", type=float, default=168)
     return top
 
 
 def history_of(spark, path: str):
     """Labelled history: the detection job's table of all rows, or CSV with a header."""
-    if files.exists(spark, f"{path}/appends") or files.exists(spark, f"{path}/snapshots"):
+    if files.exists(spark, f"{path}/_delta_log"):
+        return DeltaTable(spark, path).read()
+    if any(name.startswith("batch_id=") for name in files.folders(spark, path)):
         return LakeTable(spark, path, ["type"], DETECTED_SCHEMA).read()
     return read_csv(spark, path)
 
 
 def detect(spark, args) -> None:
-    sinks = detection.lake_sinks(spark, args.root, with_model=bool(args.registry))
+    sinks = detection.lake_sinks(spark, args.root, bool(args.registry), args.format)
     if args.servers:
         source = kafka_stream(spark, args.servers, args.topic, per_trigger=args.per_trigger)
         sinks.alert = lambda rows, batch_id: messages.publish_kafka(rows, args.servers, args.alert_topic)
@@ -73,8 +80,12 @@ def detect(spark, args) -> None:
     if args.jdbc_url:
         login = {k: os.environ[f"JDBC_{k.upper()}"] for k in ("user", "password", "driver") if f"JDBC_{k.upper()}" in os.environ}
         sinks.extra = detection.relational_sinks(args.jdbc_url, args.jdbc_schema, **login)
-    detection.run_to_end(detection.start_detection(
-        source, args.blacklist, sinks, args.checkpoint, once=args.once, registry=args.registry))
+    query = detection.start_detection(
+        source, args.blacklist, sinks, args.checkpoint, once=args.once, registry=args.registry, interval=args.interval)
+    if args.once:
+        detection.run_to_end(query)
+    else:
+        detection.serve(query, detection.stop_on_signals())
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -82,11 +93,13 @@ def main(argv: list[str] | None = None) -> None:
     args = top.parse_args(argv)
     if getattr(args, "servers", None) and not args.topic:
         top.error("--servers needs --topic")
+    if args.job == "tidy" and args.format == "parquet" and not args.to:
+        top.error("tidy of Parquet tables needs --to")
     if args.job == "detect" and ((args.servers and not args.alert_topic) or (args.jdbc_url and not args.jdbc_schema)):
         top.error("--servers needs --alert-topic, --jdbc-url needs --jdbc-schema")
     spark = build_session(f"txguard-{args.job}", **object_store_conf())
     if args.job == "blacklist":
-        jobs.refresh_blacklist(history_of(spark, args.history), args.to, args.until_step).show()
+        jobs.refresh_blacklist(history_of(spark, args.history), args.to, args.until_step, args.keep).show()
     elif args.job == "publish":
         ordered = messages.ordered_envelopes(history_of(spark, args.history), ["nameOrig", "amount"])
         if args.servers:
@@ -100,9 +113,8 @@ def main(argv: list[str] | None = None) -> None:
         promoted = jobs.retrain(spark, history, args.registry, args.run, key=None, trees=args.trees, depth=args.depth)
         print("promoted" if promoted else "not promoted")
     elif args.job == "tidy":
-        tables = [LakeTable(spark, f"{args.root}/transactions", ["type"], DETECTED_SCHEMA),
-                  LakeTable(spark, f"{args.root}/fraud_transactions", schema=DETECTED_SCHEMA)]
-        print(jobs.tidy_lake(tables, ["ingested_at"], args.retain_hours))
+        tables = detection.lake_tables(spark, args.root, kind=args.format)
+        print(jobs.tidy_lake(tables, ["ingested_at"], args.retain_hours, to=args.to))
 
 
 if __name__ == "__main__":

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.catalog.analytics import LIMITER_BY_RECEIVER
-from txguard.catalog.base import DETECTED, TX, blacklist_path, detected, on_detected, on_transactions, query, transactions
+from txguard.catalog.base import (
+    BLACKLIST, DETECTED, TX, blacklist_path, detected, on_detected, on_transactions, query, transactions)
 from txguard.plans import blacklist as blacklists
 from txguard.schema import ALERT_COLUMNS, DETECTION_COLUMNS, TX_COLUMNS
 from txguard.sources import files, jdbc, messages
@@ -71,6 +72,22 @@ def stream_dual_write(spark, folder):
     return counts[0].unionByName(counts[1])
 
 
+@query("stream_batch_counts", f"""WITH {TX}, {BLACKLIST}, {DETECTED}
+SELECT 'rows' AS counted, COUNT(*) AS n FROM det UNION ALL SELECT 'fraud', COUNT(*) FROM fraud
+UNION ALL SELECT 'quarantined', COUNT(*) FROM documents""")
+def stream_batch_counts(spark, folder):
+    """What the batches say about themselves while they are written, added up; texts that are no messages are set aside."""
+    root, said = workspace.new_path(spark, "detection"), []
+    sent = topic(spark, folder)
+    spark.read.parquet(f"{folder}/documents.parquet").select(F.concat(F.lit("no message: "), F.regexp_replace(
+        F.coalesce("text", F.lit("")), r"[\r\n]+", " ")).alias("value")).write.mode("append").text(f"{sent}/part=prose")
+    detection.run_to_end(detection.start_detection(
+        text_stream(spark, sent, files_per_trigger=2).select("value"), blacklist_path(spark, folder), detection.lake_sinks(spark, root),
+        f"{root}/checkpoint", once=True, report=lambda batch_id, counts: said.append((batch_id, *(int(counts[k]) for k in ("rows", "fraud", "quarantined"))))))
+    told = spark.createDataFrame(said, "batch_id long, rows long, fraud long, quarantined long")
+    return told.unpivot("batch_id", ["rows", "fraud", "quarantined"], "counted", "n").groupBy("counted").agg(F.sum("n").alias("n"))
+
+
 @query("stream_fraud_sink", on_detected(f"SELECT {_FIELDS}, {_VERDICTS} FROM fraud"))
 def stream_fraud_sink(spark, folder):
     _, sinks = _run(spark, folder)

@@ -1,4 +1,4 @@
-"""Queries on lake tables: idempotent appends, as-of reads, compaction, schema evolution, samples."""
+"""Queries on lake tables: idempotent appends, as-of reads, compaction, schema evolution; samples."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from txguard import workspace
 from txguard.catalog.base import detected, on_detected, on_transactions, query, transactions
 from txguard.operators.sampling import poisson_bounds, sample_rows, sample_with_replacement, split_by_id
-from txguard.plans import jobs
 from txguard.schema import TX_COLUMNS
 from txguard.sources import jdbc
 from txguard.sources.lake import LakeTable
@@ -29,7 +28,6 @@ def _periods(spark, folder):
 def _in_batches(spark, folder, name: str, last: int = PERIODS) -> LakeTable:
     """The detected rows appended period by period; the second batch is written twice."""
     table, rows = LakeTable(spark, workspace.new_path(spark, name), ["type"]), _periods(spark, folder)
-    table.schema = rows.drop("period").schema
     for batch_id in [*range(last), 1]:
         table.append(rows.where(F.col("period") == batch_id).drop("period"), batch_id)
     return table
@@ -47,12 +45,22 @@ def lake_as_of(spark, folder):
 
 @query("lake_compact", on_detected(f"SELECT *, {_BATCH} AS batch_id FROM det"))
 def lake_compact(spark, folder):
-    """Batches, compaction and expiry of the closed ones, a repeat of the open one, more batches: the rows stay the same."""
-    table, rows = _in_batches(spark, folder, "lake", last=2), _periods(spark, folder)
-    for batch_id in (1, 2, 3):
-        jobs.tidy_lake([table], ["ingested_at"], retain_hours=0)
-        table.append(rows.where(F.col("period") == batch_id).drop("period"), batch_id)
-    return table.read()
+    """The closed batches written together, the open one from the table: the rows stay the same."""
+    table = _in_batches(spark, folder, "lake")
+    rows, through = table.compact(["ingested_at"])
+    return rows.unionByName(table.read().where(F.col("batch_id") > through))
+
+
+@query("lake_compact_evolved", on_transactions("""SELECT tx_id, amount, CASE WHEN step > 180 THEN nameDest END AS nameDest,
+  CASE WHEN step > 180 AND step <= 360 THEN isFraud END AS isFraud, CASE WHEN step > 360 THEN 2 WHEN step > 180 THEN 1 ELSE 0 END::BIGINT AS batch_id FROM tx"""))
+def lake_compact_evolved(spark, folder):
+    """Columns that come and go over the batches, all of them still there after compaction."""
+    table, tx = LakeTable(spark, workspace.new_path(spark, "lake")), transactions(spark, folder)
+    table.append(tx.where("step <= 180").select("tx_id", "amount"), 0)
+    table.append(tx.where("step > 180 AND step <= 360").select("tx_id", "amount", "nameDest", "isFraud"), 1)
+    table.append(tx.where("step > 360").select("tx_id", "amount", "nameDest"), 2)
+    rows, through = table.compact(["tx_id"])
+    return rows.unionByName(table.read().where(F.col("batch_id") > through))
 
 
 @query("lake_schema_evolve", on_transactions("""SELECT tx_id, amount, CASE WHEN step > 360 THEN nameDest END AS nameDest,

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from txguard.operators.quality import expectation, require
 from txguard.plans import blacklist, training
-from txguard.sources.lake import RETAIN_HOURS, LakeTable
+from txguard.sources.lake import RETAIN_HOURS, DeltaTable, LakeTable
 
 
-def refresh_blacklist(history: DataFrame, path: str, until_step: int | None = None) -> DataFrame:
-    """Daily: rebuild and verify the list."""
-    return blacklist.refresh(history, path, until_step)
+def refresh_blacklist(history: DataFrame, path: str, until_step: int | None = None, keep: int = 10) -> DataFrame:
+    """Daily: rebuild and verify the list, then drop all but the newest ``keep`` versions."""
+    checked = blacklist.refresh(history, path, until_step)
+    blacklist.expire(history.sparkSession, path, keep)
+    return checked
 
 
 def retrain(spark: SparkSession, history: DataFrame, root: str, run: str, **options) -> bool:
@@ -27,10 +29,21 @@ def retrain(spark: SparkSession, history: DataFrame, root: str, run: str, **opti
     return training.promote(spark, root, test_rows=test_rows)
 
 
-def tidy_lake(tables: list[LakeTable], sort_by: list[str] | None = None, retain_hours: float = RETAIN_HOURS) -> dict[str, list[str]]:
-    """Daily: compact every table, then drop what has been replaced for longer than the limit."""
-    removed = {}
+def tidy_lake(tables: list[LakeTable | DeltaTable], sort_by: list[str] | None = None, retain_hours: float = RETAIN_HOURS, *,
+              to: str | None = None) -> dict[str, str]:
+    """Daily: compact every table; says what was done for each.
+
+    The connector compacts and expires a Delta table itself. Of a Parquet table the closed batches are written together
+    below ``to``, with all columns of all batches, and nothing is removed.
+    """
+    done = {}
     for table in tables:
-        table.compact(sort_by)
-        removed[table.path] = table.vacuum(retain_hours)
-    return removed
+        if isinstance(table, DeltaTable):
+            for command in table.maintenance(retain_hours):
+                table.spark.sql(command)
+            done[table.path] = "optimized and vacuumed"
+            continue
+        order = [c for c in sort_by or [] if c in table.read().columns]
+        rows, through = table.compact(order, to=to and f"{to}/{table.path.rstrip('/').split('/')[-1]}")
+        done[table.path] = f"batches up to {through} in {len(rows.inputFiles())} files"
+    return done

@@ -1,40 +1,33 @@
-"""Lake tables on plain Parquet: idempotent appends, as-of reads, compaction, expiry.
+"""Lake tables: idempotent appends by batch id, as-of reads, compaction jobs; on Delta, or on plain Parquet folders.
 
-Layout of a table folder::
-
-    appends/batch_id=<n>/attempt=<k>/[type=<t>/]   a micro-batch; the newest attempt with ``_SUCCESS`` counts
-    snapshots/<k>/[type=<t>/]                      compacted batches, batch_id kept as a column
-    pointers/                                      one row per compaction: which snapshot goes up to which batch
-
-A reader takes the snapshots up to the newest pointer and the committed appends behind it, so it sees a batch whole or not
-at all. Where a Delta connector is on the classpath, ``delta_append``, ``delta_optimize`` and ``delta_vacuum`` use that
-instead.
+A Parquet table is a folder partitioned by ``batch_id``, and below that by what the table asks for. It has no versions of its
+own: as-of is a filter on the batch id, and a repeated batch replaces its folder. Transactions over several writers, time
+travel over compaction and expiry are what the Delta connector is for; ``DeltaTable`` hands them to it.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txguard.sources import files
+from txguard import workspace
 
-POINTER = T.StructType(
-    [
-        T.StructField("snapshot", T.LongType()),
-        T.StructField("through", T.LongType()),
-        T.StructField("created_at", T.TimestampType()),
-    ]
-)
 RETAIN_HOURS = 168
 
 
+def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Merges small and splits large output partitions, so a type that holds most rows is written by many tasks and no task
+    writes a sliver of every type."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 @dataclass
 class LakeTable:
-    """A table folder; ``schema`` (without batch_id) spares the reader a pass over all file footers."""
+    """A Parquet table; ``schema`` is what a table without a single file reads as (else that is an error)."""
 
     spark: SparkSession
     path: str
@@ -42,108 +35,74 @@ class LakeTable:
     schema: T.StructType | None = None
 
     def append(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch; the same id again replaces it, unless it has been compacted, which is an error.
-
-        ``rebalance`` merges small and splits large output partitions, so a type that holds most rows is
-        written by many tasks and no task writes a sliver of every type.
-        """
-        current = self.pointer()
-        if current and batch_id <= current[1]:
-            raise ValueError(f"batch {batch_id} of {self.path} is closed: compacted up to {current[1]}")
-        folder = f"{self.path}/appends/batch_id={int(batch_id)}"
-        attempts = sorted(int(n.split("=")[1]) for n in files.folders(self.spark, folder))
-        target = attempts[-1] + 1 if attempts else 0
-        self._balanced(df).write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{folder}/attempt={target}")
-        # The attempt before stays for readers that have just opened it.
-        for old in attempts[:-1]:
-            files.remove(self.spark, f"{folder}/attempt={old}")
-
-    def committed(self) -> dict[int, str | None]:
-        """Batch ids of the appends, each with the folder of its newest complete attempt (None: it has none yet)."""
-        found = {}
-        for name in files.folders(self.spark, f"{self.path}/appends"):
-            folder = f"{self.path}/appends/{name}"
-            attempts = sorted((int(n.split("=")[1]) for n in files.folders(self.spark, folder)), reverse=True)
-            done = (f"{folder}/attempt={k}" for k in attempts if files.exists(self.spark, f"{folder}/attempt={k}/_SUCCESS"))
-            found[int(name.split("=")[1])] = next(done, None)
-        return found
-
-    def _balanced(self, df: DataFrame) -> DataFrame:
-        return df.hint("rebalance", *[F.col(c) for c in self.partition_by])
-
-    def _scan(self, base: str, paths: list[str]) -> DataFrame:
-        reader = self.spark.read.option("basePath", base)
-        if self.schema is None:
-            rows = reader.option("mergeSchema", True).parquet(*paths)
-        else:
-            rows = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(*paths)
-        return rows.withColumn("batch_id", F.col("batch_id").cast("long")).drop("attempt")
-
-    def pointer(self) -> tuple[int, int] | None:
-        """Newest ``(snapshot, through)``."""
-        if not files.exists(self.spark, f"{self.path}/pointers"):
-            return None
-        newest = self.spark.read.schema(POINTER).parquet(f"{self.path}/pointers").agg(
-            F.max(F.struct("snapshot", "through")).alias("p")).first()["p"]
-        return (newest["snapshot"], newest["through"]) if newest else None
+        """Write one batch; the same id again replaces it, also with nothing."""
+        balanced(df, self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(
+            f"{self.path}/batch_id={int(batch_id)}")
 
     def read(self, as_of: int | None = None) -> DataFrame:
-        """All rows with their ``batch_id``, or those of batches up to ``as_of``.
+        """All rows with their ``batch_id``, or those of batches up to ``as_of``, whose folders alone are read then.
 
-        Columns added by later batches are null in earlier ones.
+        The schemas of all files are merged: a column that some batches lack is null there, and none is ever lost.
         """
-        current = self.pointer()
-        snapshots = [f"{self.path}/snapshots/{k}" for k in range(1, current[0] + 1)] if current else []
-        appends = [p for i, p in sorted(self.committed().items())
-                   if p and (current is None or i > current[1]) and (as_of is None or i <= as_of)]
-        parts = [self._scan(p, [p]) for p in snapshots]
-        if appends:
-            parts.append(self._scan(f"{self.path}/appends", appends))
-        if not parts:
-            raise ValueError(f"no data in {self.path}")
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
+        try:
+            rows = self.spark.read.option("mergeSchema", True).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+            if self.schema is None:
+                raise ValueError(f"no data in {self.path}") from error
+            rows = self.spark.createDataFrame([], T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())]))
+        rows = rows.withColumn("batch_id", F.col("batch_id").cast("long"))
         return rows if as_of is None else rows.where(F.col("batch_id") <= as_of)
 
-    def compact(self, sort_by: list[str] | None = None, keep_open: int = 1) -> None:
-        """Write the closed batches since the last compaction as a snapshot of advisory-size files, then point at it.
+    def newest(self) -> int | None:
+        """The newest batch id."""
+        return self.read().agg(F.max("batch_id")).first()[0]
+
+    def compact(self, sort_by: list[str] | None = None, *, to: str | None = None, keep_open: int = 1) -> tuple[DataFrame, int]:
+        """One job that writes the closed batches together, in files of the advisory size, as a table at ``to``.
 
-        The newest ``keep_open`` batches stay as they are, because a stream may still repeat them; so does everything from
-        the first batch without a complete attempt on. What was compacted before is not touched. Readers see the appends
-        until the pointer row is there. Sorting inside the files gives the Parquet statistics a time filter can skip by.
+        Closed are all but the newest ``keep_open`` batch ids, which a stream may still repeat. Returns the rows, with their
+        batch ids as a column and every column of every batch, and the last id among them (-1: none). The table itself is
+        only read: readers move to the copy, or stay. Sorting inside the files gives statistics a time filter can skip by.
         """
-        current = self.pointer()
-        fresh = {i: p for i, p in self.committed().items() if current is None or i > current[1]}
-        closed = []
-        for i in sorted(fresh)[:len(fresh) - keep_open]:
-            if fresh[i] is None:
-                break
-            closed.append(i)
-        if not closed:
-            return
-        snapshot = current[0] + 1 if current else 1
-        rows = self._balanced(self._scan(f"{self.path}/appends", [fresh[i] for i in closed]))
+        last = self.newest()
+        through = -1 if last is None else last - keep_open
+        rows = balanced(self.read(through), self.partition_by)
         if sort_by:
             rows = rows.sortWithinPartitions(*self.partition_by, *sort_by)
-        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/snapshots/{snapshot}")
-        now = dt.datetime.now()
-        self.spark.createDataFrame([(snapshot, closed[-1], now)], POINTER).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/pointers")
-
-    def vacuum(self, retain_hours: float = RETAIN_HOURS, now: dt.datetime | None = None) -> list[str]:
-        """Remove appends a compaction replaced longer ago than the limit; returns what was removed."""
-        if not files.exists(self.spark, f"{self.path}/pointers"):
-            return []
-        limit = (now or dt.datetime.now()) - dt.timedelta(hours=retain_hours)
-        settled = self.spark.read.schema(POINTER).parquet(f"{self.path}/pointers").where(F.col("created_at") <= limit)
-        through = settled.agg(F.max("through")).first()[0]
-        if through is None:
-            return []
-        stale = [f"appends/{n}" for n in files.folders(self.spark, f"{self.path}/appends") if int(n.split("=")[1]) <= through]
-        for name in stale:
-            files.remove(self.spark, f"{self.path}/{name}")
-        return stale
+        target = to or workspace.new_path(self.spark, "compacted")
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
+        written = self.spark.read.schema(rows.schema).parquet(target)
+        if written.count() != self.read(through).count():
+            raise RuntimeError(f"{target} does not hold the rows of {self.path} up to batch {through}")
+        return written, through
+
+
+@dataclass
+class DeltaTable:
+    """The same table kept by the Delta connector: its commits, versions, compaction and expiry."""
+
+    spark: SparkSession
+    path: str
+    partition_by: list[str] = field(default_factory=list)
+    schema: T.StructType | None = None
+
+    def append(self, df: DataFrame, batch_id: int) -> None:
+        """An append that the connector skips if it has committed that batch id of this table before."""
+        rows = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        rows.write.format("delta").mode("append").options(**self.append_options(batch_id)).partitionBy(*self.partition_by).save(self.path)
+
+    def append_options(self, batch_id: int) -> dict[str, str]:
+        return {"mergeSchema": "true", "txnAppId": self.path, "txnVersion": str(int(batch_id))}
+
+    def read(self, version: int | None = None) -> DataFrame:
+        reader = self.spark.read.format("delta")
+        return (reader if version is None else reader.option("versionAsOf", version)).load(self.path)
+
+    def maintenance(self, retain_hours: float = RETAIN_HOURS) -> list[str]:
+        """What compacts the table and drops files that no version younger than the limit needs."""
+        return [f"OPTIMIZE delta.`{self.path}`", f"VACUUM delta.`{self.path}` RETAIN {int(retain_hours)} HOURS"]
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -155,22 +114,8 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
-def delta_append(df: DataFrame, path: str, batch_id: int, app: str, partition_by: list[str] | None = None) -> None:
-    """Delta append that skips a batch id it has already committed."""
-    (
-        df.write.format("delta").mode("append").option("mergeSchema", True)
-        .option("txnAppId", app).option("txnVersion", batch_id)
-        .partitionBy(*(partition_by or [])).save(path)
-    )
-
-
-def delta_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.format("delta").option("versionAsOf", version).load(path)
-
-
-def delta_optimize(spark: SparkSession, path: str) -> None:
-    spark.sql(f"OPTIMIZE delta.`{path}`")
-
-
-def delta_vacuum(spark: SparkSession, path: str, retain_hours: int = RETAIN_HOURS) -> None:
-    spark.sql(f"VACUUM delta.`{path}` RETAIN {int(retain_hours)} HOURS")
+def table_kind(spark: SparkSession, name: str) -> type[LakeTable] | type[DeltaTable]:
+    """``parquet`` or ``delta``; the latter needs its connector on the classpath."""
+    if name == "delta" and not delta_available(spark):
+        raise ValueError("the Delta connector is not on the classpath")
+    return {"parquet": LakeTable, "delta": DeltaTable}[name]

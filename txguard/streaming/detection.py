@@ -8,11 +8,13 @@ batch therefore leaves one copy in agreement with all other sinks, and a restart
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -24,7 +26,7 @@ from txguard.plans import training
 from txguard.plans.detection import detect, detect_with_model
 from txguard.schema import DETECTED_SCHEMA, SCORED_SCHEMA, TX_SCHEMA
 from txguard.sources import files, jdbc, messages
-from txguard.sources.lake import LakeTable
+from txguard.sources.lake import DeltaTable, LakeTable, table_kind
 from txguard.sources.transactions import CORRUPT, decode
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -40,22 +42,30 @@ class Sinks:
     ``work`` is a folder for what belongs to a batch in flight: what it is judged by, and its judged rows.
     """
 
-    transactions: LakeTable
+    transactions: LakeTable | DeltaTable
     work: str
-    fraud: LakeTable | None = None
-    quarantine: LakeTable | None = None
+    fraud: LakeTable | DeltaTable | None = None
+    quarantine: LakeTable | DeltaTable | None = None
     alert: BatchSink | None = None
     extra: list[BatchSink] = field(default_factory=list)
 
 
-def lake_sinks(spark: SparkSession, root: str, with_model: bool = False) -> Sinks:
+def lake_tables(spark: SparkSession, root: str, with_model: bool = False, kind: str = "parquet") -> list[LakeTable | DeltaTable]:
+    """The tables of all rows, of flagged rows and of unreadable rows."""
+    table, schema = table_kind(spark, kind), SCORED_SCHEMA if with_model else DETECTED_SCHEMA
+    return [
+        table(spark, f"{root}/transactions", ["type"], schema), table(spark, f"{root}/fraud_transactions", schema=schema),
+        table(spark, f"{root}/quarantine", schema=QUARANTINE_SCHEMA)]
+
+
+def lake_sinks(spark: SparkSession, root: str, with_model: bool = False, kind: str = "parquet") -> Sinks:
     """All and flagged rows as lake tables, unreadable rows in quarantine, alerts as JSON files."""
-    schema = SCORED_SCHEMA if with_model else DETECTED_SCHEMA
+    transactions, fraud, quarantine = lake_tables(spark, root, with_model, kind)
     return Sinks(
-        transactions=LakeTable(spark, f"{root}/transactions", ["type"], schema),
+        transactions=transactions,
         work=f"{root}/work",
-        fraud=LakeTable(spark, f"{root}/fraud_transactions", schema=schema),
-        quarantine=LakeTable(spark, f"{root}/quarantine", schema=QUARANTINE_SCHEMA),
+        fraud=fraud,
+        quarantine=quarantine,
         alert=lambda rows, batch_id: messages.publish_files(rows, f"{root}/alerts/batch_id={batch_id}"),
     )
 
@@ -122,11 +132,11 @@ def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks, *, regi
             "failed_rules", F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.col("failed_rules")))
         # Stored once for all sinks, in the folder that executors share, for as long as the batch takes.
         stage = f"{sinks.work}/judged/batch_id={int(batch_id)}"
-        judged = workspace.write_table(judged, stage)
-        valid = F.size("failed_rules") == 0
-        size = judged.agg(
-            F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
-            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")).first().asDict()
+        valid, counted = F.size("failed_rules") == 0, Observation()
+        judged = workspace.write_table(judged.observe(
+            counted, F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
+            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")), stage)
+        size = counted.get  # counted by the write itself
         detected = valid_rows(judged).drop(CORRUPT)
         flagged = detected.where("is_fraud_detected = 1")
         sinks.transactions.append(detected, batch_id)
@@ -149,9 +159,9 @@ def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks, *, regi
 
 
 def start_detection(source: DataFrame, blacklist_path: str, sinks: Sinks, checkpoint: str, *, once: bool = False,
-                    registry: str | None = None,
+                    registry: str | None = None, interval: str | None = None,
                     report: Callable[[int, dict], None] | None = None) -> StreamingQuery:
-    """Start the query; ``once`` works off what is there and stops, else it runs until stopped.
+    """Start the query; ``once`` works off what is there and stops, else it runs until stopped, a batch every ``interval``.
 
     With a model ``registry`` the promoted model is the third layer of the verdict.
     """
@@ -160,7 +170,11 @@ def start_detection(source: DataFrame, blacklist_path: str, sinks: Sinks, checkp
         stamped(source).writeStream.foreachBatch(work)
         .outputMode("append").option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
+    return writer.start()
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -169,6 +183,22 @@ def run_to_end(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def serve(spark: SparkSession) -> None:
-    """Block while any query of the session runs; queries stop gracefully at the end of their batch."""
-    spark.streams.awaitAnyTermination()
+def serve(query: StreamingQuery, stopped: threading.Event | None = None, poll_seconds: float = 1.0) -> None:
+    """Service mode: wait until the query ends or ``stopped`` is set, and then stop between two batches.
+
+    A batch in work is finished first, so that its sinks need no repeat. Raises what ended the query, if it failed.
+    """
+    stopped = stopped or threading.Event()
+    while not query.awaitTermination(poll_seconds):
+        if stopped.is_set() and not query.status["isTriggerActive"]:
+            query.stop()
+    if query.exception():
+        raise query.exception()
+
+
+def stop_on_signals() -> threading.Event:
+    """An event that a request to end the process sets, for ``serve``."""
+    stopped = threading.Event()
+    for name in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(name, lambda *_: stopped.set())
+    return stopped
