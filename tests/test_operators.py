@@ -57,16 +57,16 @@ def test_keys_order_all_doubles(spark):
     powers = [float(np.ldexp(m, e)) for e in range(-1074, 1024, 7) for m in (1.0, 1 - 2**-53, 1 + 2**-52) if 0 < np.ldexp(m, e) < np.inf]
     values = np.array([*EDGES, *powers, *patterns[~np.isnan(patterns)], *-patterns[~np.isnan(patterns)][:5000]])
     df = spark.createDataFrame(pd.DataFrame({"v": values}))
-    found = df.select("v", radix.sortable_bits(F.col("v")).alias("k")).select("v", "k", radix.from_bits(F.col("k")).alias("back")).toPandas()
+    found = radix.with_sortable_bits(df, F.col("v"), "k").select("v", "k", radix.from_bits(F.col("k")).alias("back")).toPandas()
     bits = np.abs(found["v"].to_numpy()).view(np.int64)
     assert (found["k"].to_numpy() == np.where(found["v"] < 0, -bits, bits)).all() and (found["v"] == found["back"]).all()
-    odd = spark.createDataFrame([(float("nan"),), (None,)], "v double").select(radix.sortable_bits(F.col("v")).alias("k"))
+    odd = radix.with_sortable_bits(spark.createDataFrame([(float("nan"),), (None,)], "v double"), F.col("v"), "k")
     assert [r.k for r in odd.collect()] == [2**63 - 1, None]
 
 
 def test_rounds_count_digits_not_rows(spark):
     """200,000 different values: a round puts out at most a digit's worth of rows below a prefix."""
-    rows = spark.range(200_000).select(radix.sortable_bits(F.rand(3)).alias("__key"), F.lit(0).cast("long").alias("parent"))
+    rows = radix.with_sortable_bits(spark.range(200_000).select(F.lit(0).cast("long").alias("parent"), F.rand(3).alias("v")), F.col("v"))
     assert radix._count(rows, [], 48).count() < 500
     below = rows.withColumn("parent", F.shiftright("__key", 48))
     largest = radix._count(below, [], 32).groupBy("parent").agg(F.count("*").alias("n"), F.sum("c").alias("rows")).agg(F.max("n"), F.sum("rows")).first()
@@ -75,10 +75,10 @@ def test_rounds_count_digits_not_rows(spark):
 
 def test_ranks_with_counts_below(spark):
     rows = spark.createDataFrame([("a", v) for v in (5, -3, 5, 9, 5)] + [(None, 2**62), (None, -(2**63))], "g string, v long")
-    found = radix.select_ranks(rows, ["g"], F.col("v"), lambda n: F.array(F.lit(0), F.lit(2), n - 1, n).cast("array<long>"), 0)
+    found = radix.select_ranks(rows, ["g"], "v", lambda n: F.array(F.lit(0), F.lit(2), n - 1, n).cast("array<long>"), 0)
     assert sorted(tuple(r) for r in found.collect() if r.g) == [("a", 5, 0, 0, -3), ("a", 5, 2, 1, 5), ("a", 5, 4, 4, 9)]
     assert sorted(tuple(r)[1:] for r in found.collect() if r.g is None) == [(2, 0, 0, -(2**63)), (2, 1, 1, 2**62)]
-    assert radix.select_ranks(rows.limit(0), [], F.col("v"), lambda n: F.array(F.lit(0).cast("long"))).count() == 0
+    assert radix.select_ranks(rows.limit(0), [], "v", lambda n: F.array(F.lit(0).cast("long"))).count() == 0
 
 
 def test_nth_smallest(spark):

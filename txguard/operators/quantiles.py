@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.operators.radix import FEW, from_bits, select_ranks, sortable_bits
+from txguard.operators.radix import FEW, from_bits, select_ranks, with_sortable_bits
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities: list[float], few: int = FEW) -> DataFrame:
@@ -16,7 +16,8 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probabilities:
     """
     position = lambda p: F.lit(float(p)) * (F.col("n") - 1)
     either = [edge(position(p)).cast("long") for p in probabilities for edge in (F.floor, F.ceil)]
-    ranks = select_ranks(df, groups, sortable_bits(F.col(value)), lambda n: F.array(*either), few)
+    keyed = with_sortable_bits(df.select(*groups, F.col(value).alias("__v")).where("__v IS NOT NULL"), F.col("__v"))
+    ranks = select_ranks(keyed, groups, "__key", lambda n: F.array(*either), few)
     # A row for each group, with two values for each probability at most.
     at = ranks.groupBy(*groups, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", from_bits(F.col("key"))))).alias("at"))
     each = at.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))

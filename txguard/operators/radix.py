@@ -27,28 +27,31 @@ def _power(exponent: Column) -> Column:
     return F.pow(F.lit(2.0), exponent)
 
 
-def sortable_bits(value: Column) -> Column:
-    """A long that orders doubles: the bits of the absolute value, with the sign. Both zeros are 0; NaN comes last; null stays.
+def with_sortable_bits(df: DataFrame, value: Column, name: str = "__key") -> DataFrame:
+    """``df`` plus a long ``name`` that orders doubles: the bits of the absolute value, with the sign.
 
-    Spark has no function for the bits of a double, so they are put together from exponent and fraction; scaling by powers
-    of two is exact.
+    Both zeros are 0; NaN comes last; null stays. Spark has no function for the bits of a double, so they are put together
+    from exponent and fraction; scaling by powers of two is exact. One projection for each step, as each step needs the one
+    before several times and an inlined logarithm would be computed as often.
     """
-    value = value.cast("double")
-    size = F.abs(value)
-    near = F.floor(F.log2(size)).cast("int")
-    exponent = near + F.when(size >= _power(near + 1), 1).otherwise(0) - F.when(size < _power(near), 1).otherwise(0)
-    half = F.floor(exponent / 2).cast("int")
-    fraction = size * _power(-half) * _power(half - exponent) - 1.0  # in two steps, since 2 ** 1023 has no normal inverse
+    kept = df.columns
+    size, near, ratio = F.col("__size"), F.col("__near"), F.col("__ratio")
+    df = df.withColumn("__value", value.cast("double")).withColumn("__size", F.abs("__value"))
+    df = df.withColumn("__near", F.least(F.floor(F.log2(size)), F.lit(1023)).cast("int"))  # off by one at most
+    df = df.withColumn("__ratio", size / _power(near))
+    exponent = near + F.when(ratio >= 2.0, 1).when(ratio < 1.0, -1).otherwise(0)
+    fraction = F.when(ratio >= 2.0, ratio / 2.0).when(ratio < 1.0, ratio * 2.0).otherwise(ratio) - 1.0
     normal = (exponent.cast("long") + 1023) * F.lit(1 << 52) + (fraction * float(1 << 52)).try_cast("long")
     tiny = (size * 2.0 ** 537 * 2.0 ** 537).try_cast("long")
     bits = (
-        F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(size == float("inf"), F.lit(INFINITE))
+        F.when(F.isnan("__value"), F.lit((1 << 63) - 1)).when(size == float("inf"), F.lit(INFINITE))
         .when(size < LEAST_NORMAL, tiny).otherwise(normal))
-    return F.when(value < 0, -bits).otherwise(bits)
+    df = df.withColumn("__bits", bits)
+    return df.select(*kept, F.when(F.col("__value") < 0, -F.col("__bits")).otherwise(F.col("__bits")).alias(name))
 
 
 def from_bits(key: Column) -> Column:
-    """The double of a key of ``sortable_bits``."""
+    """The double of a key of ``with_sortable_bits``."""
     bits = F.abs(key)
     exponent = F.shiftrightunsigned(bits, 52).cast("int")
     fraction = bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
@@ -69,16 +72,16 @@ def _count(rows: DataFrame, groups: list[str], shift: int) -> DataFrame:
     return rows.groupBy(*groups, "parent", prefix).agg(F.count("*").alias("c"))
 
 
-def select_ranks(rows: DataFrame, groups: list[str], key: Column, wanted: Callable[[Column], Column], few: int = FEW) -> DataFrame:
+def select_ranks(rows: DataFrame, groups: list[str], key: str, wanted: Callable[[Column], Column], few: int = FEW) -> DataFrame:
     """``(*groups, n, rank, below, key)``: for each group its number of rows, and for each wanted rank (from 0) the key there
     and how many rows have a smaller one.
 
-    ``key`` is a long, rows without one don't count; ``wanted`` gives an array of longs for a number of rows, ranks outside
+    ``key`` is a column of longs, rows without one don't count; ``wanted`` gives an array of longs for a number of rows, ranks outside
     the group are left out; groups may be null. Each round reads the rows once and stores its few targets.
     """
     spark = rows.sparkSession
     store = lambda df: workspace.write_table(df, workspace.new_path(spark, "ranks"))
-    data = rows.select(*groups, key.alias("__key")).where("__key IS NOT NULL")
+    data = rows.select(*groups, F.col(key).alias("__key")).where("__key IS NOT NULL")
     shift = 64 - DIGIT
     counts = store(_count(data.withColumn("parent", F.lit(0).cast("long")), groups, shift))
     sizes = counts.groupBy(*groups).agg(F.sum("c").alias("n"))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txguard.operators.radix import FEW, from_bits, select_ranks, sortable_bits
+from txguard.operators.radix import FEW, from_bits, select_ranks, with_sortable_bits
 
 
 HASHES = 1 << 60
@@ -25,8 +25,9 @@ def nth_smallest(df: DataFrame, key: str, n: int, few: int = FEW):
     Found by counting key prefixes (``radix``): as a rule three passes over that one column.
     """
     fraction = df.schema[key].dataType.typeName() in ("float", "double", "decimal")
-    long = sortable_bits(F.col(key)) if fraction else F.col(key).cast("long")
-    found = select_ranks(df, [], long, lambda _: F.array(F.lit(n - 1).cast("long")), few)
+    keys = df.select(F.col(key).alias("__v"))
+    keyed = with_sortable_bits(keys, F.col("__v")) if fraction else keys.select(F.col("__v").cast("long").alias("__key"))
+    found = select_ranks(keyed, [], "__key", lambda _: F.array(F.lit(n - 1).cast("long")), few)
     row = found.select((from_bits(F.col("key")) if fraction else F.col("key")).alias("key"), "below").first()
     return None if row is None else (row["key"], row["below"])
 
