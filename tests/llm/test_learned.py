@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +64,35 @@ def test_language_on_held_out_rows(tables):
     assert found.where("held_out <> (crc32(CAST(doc_id AS STRING)) % 3 = 1)").count() == 0
 
 
+@pytest.mark.parametrize("min_rate", [0.0, 2e-3])
+def test_masks_are_those_of_the_exact_sets(documents, min_rate):
+    """Every language that contains an n-gram is found; others pass about as often as the rates say; popcounts are corrected."""
+    import numpy as np
+
+    rng = random.Random(8)
+    letters = {"xx": "abcdef", "yy": "defghi", "zz": "ghiäö", "ww": "abcdef"}
+    rows = [(i, " ".join("".join(rng.choices(letters[lang], k=rng.randint(1, 7))) for _ in range(60)), lang) for i, lang in enumerate(list(letters) * 12)]
+    docs = documents(*[r[:2] for r in rows]).drop("lang")
+    docs = docs.join(docs.sparkSession.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, lang string"), "doc_id")
+    counts = {lang: Counter() for lang in letters}
+    for _, text, lang in rows:
+        padded = b"  " + text.encode() + b"  "
+        counts[lang].update(padded[j:j + 4] for j in range(len(padded) - 3) if padded[j:j + 4] != b"    ")
+    exact = {lang: {g for g, n in c.items() if n >= min_rate * sum(c.values())} for lang, c in counts.items()}
+    filters = language.fit(docs, min_rate=min_rate)
+    assert filters.names == sorted(letters)
+    every = sorted(set().union(*counts.values()))
+    found = np.array([int.from_bytes(g, "little") for g in every], np.uint32)
+    masks = np.bitwise_and.reduce([filters.table[at, 0] for at in filters.slots(found, len(filters.table))])
+    for i, lang in enumerate(filters.names):
+        said = ((masks >> i) & 1).astype(bool)
+        inside = np.array([g in exact[lang] for g in every])
+        assert said[inside].all() and said[~inside].mean() <= filters.rate[i] + 0.02
+    best, share = filters.guess(found, np.array([0, len(found)]))
+    most = max(len(s) for s in exact.values())
+    assert len(exact[filters.names[best[0]]]) >= 0.97 * most and share[0] == pytest.approx(most / len(every), abs=0.03)
+
+
 def test_language_of_odd_rows(documents, clashing, tables):
     filters = language.fit(tables["documents"])
     found = {r["doc_id"]: (r["lang_pred"], r["lang_score"]) for r in language.guess(clashing(documents(*ODD)), filters).collect()}

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +16,15 @@ from txguard.llm import textarrays as ta
 from txguard.llm.quality import fresh, held_out
 
 SIZE = 4  # bytes in an n-gram
-MIN_RATE = 2e-5  # an n-gram belongs to a language from this share of its n-grams on: at most 1 / MIN_RATE of them
-LEAD = 0.2  # ... and from this part of its largest share in any language on
+# A language contains an n-gram that makes this share of its n-grams, whatever other languages do. With 0 one foreign passage in
+# one text would do, and in a large corpus every language would contain the n-grams of all.
+MIN_RATE = 2e-5
 HASHES = 3
-SLOTS_PER_GRAM = 12
+SLOTS_PER_GRAM = 12  # slots for each distinct n-gram, of whatever language ...
+MAX_SLOTS = 1 << 24  # ... up to so many: the filters' size is bounded; fuller ones err more often, which the rates correct
+BLOCK = 1 << 12  # slots that come to the driver in one piece
 UNKNOWN = "und"
-MIN_SCORE = 0.3  # a document whose language is less certain is rejected, with up to MIN_SCORE_LANGUAGES of them
-MIN_SCORE_LANGUAGES = 4  # with more, certainty is shared among more, and the threshold is less in proportion
+MIN_SCORE = 0.3  # a document of whose n-grams its language has a smaller share is rejected
 
 _BYTES = np.arange(256)
 #: Letters folded, everything below 128 that is no letter a space.
@@ -94,20 +97,23 @@ class Filters:
 
     @classmethod
     def build(cls, names: list[str], members: list[np.ndarray], usual: int) -> Filters:
-        most = max((len(m) for m in members), default=1)
-        size = 1 << max(10, int(np.ceil(np.log2(max(1, most * SLOTS_PER_GRAM)))))
-        words = (len(names) + 63) // 64
-        table = np.zeros((size, words), np.uint64)
+        """Filters of the given n-grams of each language."""
+        size = slot_count(len(np.unique(np.concatenate([*members, np.zeros(0, np.uint64)]))))
+        table = np.zeros((size, (len(names) + 63) // 64), np.uint64)
         for i, own in enumerate(members):
             for at in cls.slots(own, size):
                 table[at, i // 64] |= np.uint64(1) << np.uint64(i % 64)
+        return cls.of(names, table, usual)
+
+    @classmethod
+    def of(cls, names: list[str], table: np.ndarray, usual: int) -> Filters:
         if len(names) <= 8:
             table = table.astype(np.uint8)
         fill = np.array([float(((table[:, i // 64] >> table.dtype.type(i % 64)) & table.dtype.type(1)).mean()) for i in range(len(names))])
-        return cls(names, table, fill ** HASHES, usual)
+        return cls(names, table, np.minimum(fill ** HASHES, 1 - 1e-9), usual)
 
     def guess(self, found: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and score of each document: its share of the corrected counts of all languages."""
+        """Language and score of each document: the corrected share of its n-grams that the language has, whatever others have."""
         n = np.diff(bounds).astype(float)
         hits = np.zeros((len(self.names), len(n)))
         for word in range(self.table.shape[1]):
@@ -118,34 +124,74 @@ class Filters:
                 hits[i] = ta.sums((masks >> masks.dtype.type(i % 64)) & masks.dtype.type(1), bounds)
         rate = self.rate[:, None]
         true = np.clip((hits - n * rate) / (1 - rate), 0, None)
-        total, best = true.sum(0), true.argmax(0)
-        known = total > 1e-9
-        return np.where(known, best, self.usual), np.where(known, true.max(0) / np.maximum(total, 1e-9), 1 / len(self.names))
+        most, best = true.max(0), true.argmax(0)
+        return np.where(most > 1e-9, best, self.usual), most / np.maximum(n, 1)
+
+
+def slot_count(distinct: int) -> int:
+    """Slots, a power of two, for so many distinct n-grams."""
+    return min(MAX_SLOTS, 1 << max(BLOCK.bit_length() - 1, int(np.ceil(np.log2(max(1, distinct * SLOTS_PER_GRAM))))))
+
+
+def _set_bits(names: list[str], size: int):
+    """``(block, slot, word, bits)`` of the n-grams in a batch; those of a slot are one row."""
+    number = {name: i for i, name in enumerate(names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
+            found = batch.column("gram").to_numpy().astype(np.uint64)
+            words = (len(names) + 63) // 64
+            keys = np.concatenate([at.astype(np.int64) * words + lang // 64 for at in Filters.slots(found, size)])
+            bits = np.tile(np.uint64(1) << (lang % 64).astype(np.uint64), HASHES)
+            order = np.argsort(keys, kind="stable")
+            keys, bits = keys[order], bits[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+            merged = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+            slot = keys[first] // words
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((slot // BLOCK).astype(np.int32)), pa.array(keys[first]), pa.array(merged.view(np.int64))], names=["block", "at", "bits"])
+
+    return run
+
+
+def _pack(words: int):
+    """A block of the table as bytes, from its slots in any order."""
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros(BLOCK * words, np.uint64)
+        table[part["at"].to_numpy() - key[0] * BLOCK * words] = part["bits"].to_numpy().view(np.uint64)
+        return pd.DataFrame({"block": [key[0]], "data": [table.tobytes()]})
+
+    return run
 
 
-def fit(docs: DataFrame, learn: Column | None = None, text: str = "text", lang: str = "lang",
+def fit(docs: DataFrame, learn: Column | None = None, text: str = "text", lang: str = "lang", *,
         min_rate: float = MIN_RATE) -> Filters | None:
     """Filters learnt from all rows with a language (where ``learn`` holds); None if there is no such row.
 
-    Counts cover all those texts. What reaches the driver are n-grams above ``min_rate``: at most ``1 / min_rate`` of a
-    language. A lower-case name of any length is a language; there may be any number of them.
+    Counts cover all those texts. A filter look-up returns every language that contains the n-gram, by ``min_rate`` (0:
+    that has it at all). Spark puts the bits together; the driver gets the filters themselves, at most ``MAX_SLOTS`` slots
+    with a bit for each language, and no n-grams. A name of any length is a language; there may be any number of them.
     """
+    spark = docs.sparkSession
     rows = docs if learn is None else docs.where(learn)
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     counted = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    stored = workspace.write_table(counted, workspace.new_path(docs.sparkSession, "language"))
-    totals = stored.groupBy("lang").agg(F.sum("n").alias("total"))
-    sizes = {r["lang"]: r["total"] for r in totals.collect()}
+    stored = workspace.write_table(counted, workspace.new_path(spark, "language"))
+    sizes = {r["lang"]: r["n"] for r in stored.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not sizes:
         return None
-    names = sorted(sizes)
-    rated = stored.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
-    common = rated.where(F.col("rate") >= min_rate)
-    top = common.groupBy("gram").agg(F.max("rate").alias("top"))
-    members = common.join(top, "gram").where(F.col("rate") >= LEAD * F.col("top")).groupBy("lang").agg(F.collect_list("gram").alias("grams"))
-    own = {r["lang"]: np.array(r["grams"], np.uint64) for r in members.collect()}
-    none = np.zeros(0, np.uint64)
-    return Filters.build(names, [own.get(n, none) for n in names], names.index(max(names, key=lambda n: (sizes[n], n))))
+    names, words = sorted(sizes), (len(sizes) + 63) // 64
+    total = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])  # a number for each language
+    usual = stored.where(F.col("n") >= min_rate * total[F.col("lang")]).select("lang", "gram")
+    members = workspace.write_table(usual, workspace.new_path(spark, "members"))
+    size = slot_count(members.select("gram").distinct().count())
+    bits = members.mapInArrow(_set_bits(names, size), "block int, at long, bits long")
+    bits = bits.groupBy("block", "at").agg(F.bit_or("bits").alias("bits"))
+    table = np.zeros(size * words, np.uint64)
+    for row in bits.groupBy("block").applyInPandas(_pack(words), "block int, data binary").toLocalIterator():
+        table[row["block"] * BLOCK * words:(row["block"] + 1) * BLOCK * words] = np.frombuffer(row["data"], np.uint64)
+    return Filters.of(names, table.reshape(size, words), names.index(max(names, key=lambda n: (sizes[n], n))))
 
 
 def _has_letter(text: str | None) -> bool:
@@ -177,13 +223,14 @@ def _guesser(shared, text: str, names: list[str], out: list[str]):
 
 
 def guess(docs: DataFrame, filters: Filters | None, text: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
-    """``docs`` plus two columns (``names``, not taken yet): the language of the whole text and its certainty.
+    """``docs`` plus two columns (``names``, not taken yet): the language of the whole text and the share of its n-grams that
+    the language has.
 
     ``und`` with 0 for null, for texts without a letter, and if nothing was learnt.
     """
     from pyspark.sql.types import DoubleType, StringType, StructType
 
-    shared = docs.sparkSession.sparkContext.broadcast(vars(filters) if filters else None)  # bounded by 1 / MIN_RATE n-grams per language
+    shared = docs.sparkSession.sparkContext.broadcast(vars(filters) if filters else None)  # at most MAX_SLOTS slots
     schema = StructType(list(docs.schema.fields)).add(names[0], StringType()).add(names[1], DoubleType())
     return docs.mapInArrow(_guesser(shared, text, docs.columns, list(names)), schema)
 
@@ -200,14 +247,13 @@ def identify(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str
 
 def keep_known(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang",
                min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without rows of unknown or uncertain language; all columns stay as they are.
+    """``docs`` without texts that have no letter or that no learnt language has ``min_score`` of; all columns stay as they are.
 
-    If no language was learnt, all texts with a letter stay.
+    The share does not depend on the number of languages or on how alike they are. If none was learnt, texts with a letter stay.
     """
     filters = fit(docs, ~held_out(doc, 3, 1), text, lang)
     if filters is None:
         return docs.where(F.col(text).rlike(r"\p{L}"))
-    min_score *= min(1.0, MIN_SCORE_LANGUAGES / len(filters.names))
     names = (fresh("lang_pred", docs.columns), fresh("lang_score", docs.columns))
     found = guess(docs, filters, text, names)
     return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score)).select(docs.columns)
