@@ -186,7 +186,7 @@ def test_no_texts(documents):
     assert jaccard_forest.keep_one(documents()).count() == 0
 
 
-def test_depth_shortens_until_the_recall():
+def test_prefixes_are_as_long_as_the_recall_allows():
     d = jaccard_forest.match_depth()
     found = [1 - (1 - 0.8 ** k) ** jaccard_forest.TREES for k in (d, d + 1)]
     assert found[0] >= jaccard_forest.RECALL > found[1]

@@ -4,6 +4,7 @@ import uuid
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from txguard.llm import warc
 
@@ -59,6 +60,32 @@ def test_bundles_are_seekable(spark, pages, folder):
     assert sorted((r["url"] for r in back), key=str) == sorted((u for _, u, _ in ROWS), key=str)
 
 
+def test_records_are_found_by_their_identifier(spark, pages, folder):
+    index = warc.write(pages(), folder, frame_bytes=200).collect()
+    assert len({r["record_id"] for r in index}) == len(ROWS)
+    for r in index:
+        head, body = warc.fetch_record(spark, folder, r["record_id"])
+        assert head["WARC-Record-ID"] == f"<{r['record_id']}>"
+        if r["page_id"] is None:  # reachable all the same
+            assert head["WARC-Target-URI"] == "n" and head["WARC-Type"] == "revisit"
+    assert warc.fetch_record(spark, folder, "urn:uuid:none") is None
+
+
+def test_reading_tasks_follow_the_bytes(spark, pages, folder, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 50_000)
+    plain = sum(r["length"] for r in warc.write(pages([(i, "u", f"{i:05d}" * 2000) for i in range(100)]), folder, frame_bytes=20_000).collect())
+    found = warc.read(spark, folder)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert found.rdd.getNumPartitions() == -(-plain // 50_000) == 21 and sum(sizes) == 100 and len(sizes) > 10
+
+
+def test_object_stores_by_their_arrow_names():
+    assert warc.arrow_uri("file:///x/y") == "file:///x/y" and warc.arrow_uri("/x/y") == "/x/y"
+    assert warc.arrow_uri("s3a://bucket/x", {}) == "s3://bucket/x"
+    assert warc.arrow_uri("s3a://bucket/x", {"OBJECT_STORE_ENDPOINT": "http://store:9000"}) == "s3://bucket/x?scheme=http&endpoint_override=store:9000"
+    assert warc.arrow_uri("s3a://bucket/x", {"OBJECT_STORE_ENDPOINT": "store:9000"}) == "s3://bucket/x?scheme=https&endpoint_override=store:9000"
+
+
 def test_files_outside_the_index_do_not_count(spark, pages, folder):
     warc.write(pages(), folder)
     with open(f"{folder.removeprefix('file://')}/left-behind.warc.zst", "wb") as file:

@@ -1,9 +1,9 @@
-"""Jaccard join of texts on word shingles: a MinHash LSH forest finds candidates, the shingle sets decide.
+"""Jaccard join of texts on word shingles: MinHash prefixes find candidates, the shingle sets decide.
 
-Each tree of the forest is a sorted prefix trie of signatures: a document's label in a tree is a sequence of min-hashes, and
-documents under the same prefix are candidates. The matched prefix starts at the full label and is shortened until a pair
-just at the threshold shares it in some tree with the target probability; that depth is the trie level that groups are
-read at.
+In each of several trees a document's label is a sequence of min-hashes, and documents with the same prefix are candidates.
+The prefix's length is that at which a pair just at the threshold shares it in some tree with the target probability. It
+follows from similarity, trees and target alone and is the same for all documents: this is banding, the level of an LSH
+forest that a join at one threshold has to read. No trie is stored, and no prefix is shortened for a single document.
 """
 
 from __future__ import annotations

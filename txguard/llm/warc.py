@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import struct
 import uuid
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from txguard import workspace
 
 FRAME = 1 << 20  # plain bytes from which on a frame is closed; a larger record is a frame of its own
 BUNDLE = 256 << 20  # plain bytes from which on a file is closed
+READ_BYTES = 16 << 20  # plain bytes that a reading task gets
 LEVEL = 3
 COPIES_BROADCAST = 200_000  # so many repeated payloads are broadcast; more meet their pages in a shuffle
 
@@ -46,12 +48,16 @@ def _plain(value: str) -> str:
     return unquote(value)
 
 
+def record_name(number: int) -> str:
+    return f"urn:uuid:{uuid.UUID(int=number)}"
+
+
 def record(number: int, page_id, url, payload: bytes, refers_to) -> bytes:
     """A WARC 1.1 record; ``refers_to`` makes it a revisit, whose payload is that of the page it names."""
     revisit = refers_to is not None
     body = b"" if revisit else payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.UUID(int=number)}>",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_name(number)}>",
         f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", f"X-Payload-Length: {len(payload)}",
         "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}",
     ]
@@ -96,11 +102,28 @@ def read_seek_table(read_at, size: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def arrow_uri(folder: str, environ: dict[str, str] | None = None) -> str:
+    """The folder under the name that Arrow's file systems know it by: ``s3a://`` is ``s3://`` there, with the endpoint that
+    the environment gives for both."""
+    scheme, rest = folder.split("://", 1) if "://" in folder else ("", folder)
+    if scheme not in ("s3a", "s3n"):
+        return folder
+    host = (os.environ if environ is None else environ).get("OBJECT_STORE_ENDPOINT")
+    if not host:
+        return f"s3://{rest}"
+    kind, _, name = host.rpartition("://")
+    return f"s3://{rest}?scheme={kind or 'https'}&endpoint_override={name}"
+
+
+def opened(folder: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(arrow_uri(folder))
+
+
 class _Bundle:
     """One file being written: under a name of its own, so that a repeated task never touches another's file."""
 
     def __init__(self, folder: str):
-        self.fs, path = pafs.FileSystem.from_uri(folder)
+        self.fs, path = opened(folder)
         self.fs.create_dir(path, recursive=True)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.file = self.fs.open_output_stream(f"{path}/{self.name}", compression=None)
@@ -121,10 +144,10 @@ class _Bundle:
 
 
 def _writer(folder: str, frame_bytes: int, bundle_bytes: int, page_type: pa.DataType):
-    names = ["page_id", "bundle", "frame", "frame_offset", "at", "length"]
+    names = ["record_id", "page_id", "bundle", "frame", "frame_offset", "at", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundle, held, held_bytes, ids, number = None, [], 0, [], 0
+        bundle, held, held_bytes, ids, record_ids, number = None, [], 0, [], [], 0
         base = uuid.uuid4().int & ~((1 << 48) - 1)
 
         def close_frame():
@@ -134,7 +157,7 @@ def _writer(folder: str, frame_bytes: int, bundle_bytes: int, page_type: pa.Data
                 ends.append(at)
                 at += len(part)
             return pa.RecordBatch.from_arrays([
-                pa.array(ids, page_type), pa.array([bundle.name] * len(held), pa.string()), pa.array([frame] * len(held), pa.int32()),
+                pa.array(record_ids, pa.string()), pa.array(ids, page_type), pa.array([bundle.name] * len(held), pa.string()), pa.array([frame] * len(held), pa.int32()),
                 pa.array([offset] * len(held), pa.int64()), pa.array(ends, pa.int64()), pa.array([len(p) for p in held], pa.int64())], names=names)
 
         for batch in batches:
@@ -142,11 +165,12 @@ def _writer(folder: str, frame_bytes: int, bundle_bytes: int, page_type: pa.Data
                 bundle = bundle or _Bundle(folder)
                 held.append(record(base + number, page_id, url, (html or "").encode("utf-8"), refers))
                 ids.append(page_id)
+                record_ids.append(record_name(base + number))
                 held_bytes += len(held[-1])
                 number += 1
                 if held_bytes >= frame_bytes:
                     yield close_frame()
-                    held, held_bytes, ids = [], 0, []
+                    held, held_bytes, ids, record_ids = [], 0, [], []
                     if bundle.plain >= bundle_bytes:
                         bundle.close()
                         bundle = None
@@ -172,7 +196,7 @@ def write(pages: DataFrame, folder: str, page: str = "page_id", url: str = "url"
           frame_bytes: int = FRAME, bundle_bytes: int = BUNDLE) -> DataFrame:
     """Write a record per row of ``pages`` into bundles in ``folder``; return the index of the records.
 
-    The index (page id, ``bundle``, ``frame``, ``frame_offset``, ``at`` and ``length`` within the frame) is stored as a
+    The index (``record_id``, page id, ``bundle``, ``frame``, ``frame_offset``, ``at`` and ``length`` within the frame) is stored as a
     table below ``folder`` and names all files that count: what a lost or repeated task left behind is not in it. Of rows
     with equal payloads of at least ``min_bytes`` those with the largest id are responses, the others revisits that refer
     to it; where no such row has an id, all are responses. Null html is an empty payload. ``folder`` is a URI that all
@@ -188,14 +212,14 @@ def write(pages: DataFrame, folder: str, page: str = "page_id", url: str = "url"
     from pyspark.sql.pandas.types import to_arrow_type
 
     index = joined.mapInArrow(
-        _writer(folder, frame_bytes, bundle_bytes, to_arrow_type(rows.schema["page_id"].dataType)),
-        f"page_id {kind}, bundle string, frame int, frame_offset long, at long, length long")
+        _writer(arrow_uri(folder), frame_bytes, bundle_bytes, to_arrow_type(rows.schema["page_id"].dataType)),
+        f"record_id string, page_id {kind}, bundle string, frame int, frame_offset long, at long, length long")
     return workspace.write_table(index, f"{folder}/index")
 
 
 def _frames_of(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = pafs.FileSystem.from_uri(folder)
+        fs, path = opened(folder)
         for batch in batches:
             for name in batch.column("bundle").to_pylist():
                 size = fs.get_file_info(f"{path}/{name}").size
@@ -213,7 +237,7 @@ def _reader(folder: str):
     names = ["page", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = pafs.FileSystem.from_uri(folder)
+        fs, path = opened(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{path}/{row['bundle']}") as file:
@@ -240,11 +264,12 @@ def read(spark: SparkSession, folder: str, page_type: str = "bigint") -> DataFra
     """All records of the bundles that the index names, each frame read on its own and checked against its digests."""
     index = spark.read.parquet(f"{folder}/index")
     frames = index.select("bundle").distinct().mapInArrow(
-        _frames_of(folder), "bundle string, frame int, offset long, packed long, plain long")
-    # Frames of a crowded bundle spread over tasks.
-    dealt = frames.repartition("bundle", "frame")
+        _frames_of(arrow_uri(folder)), "bundle string, frame int, offset long, packed long, plain long")
+    # Frames of a crowded bundle spread over tasks, as many as the records' bytes ask for: the rows here only name them.
+    plain = index.agg(F.sum("length")).first()[0] or 0
+    dealt = frames.repartition(max(1, -(-plain // READ_BYTES)), "bundle", "frame")
     found = dealt.mapInArrow(
-        _reader(folder), "page string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, "
+        _reader(arrow_uri(folder)), "page string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, "
                          "bundle string, frame int, at long")
     return found.select(
         F.col("page").cast(page_type).alias("page_id"), "url", "payload_bytes", "payload_digest", "record_type",
@@ -253,7 +278,7 @@ def read(spark: SparkSession, folder: str, page_type: str = "bigint") -> DataFra
 
 def fetch(folder: str, bundle: str, frame_offset: int, at: int) -> tuple[dict, bytes]:
     """One record by its index entry: only its frame is read and decompressed."""
-    fs, path = pafs.FileSystem.from_uri(folder)
+    fs, path = opened(folder)
     with fs.open_input_file(f"{path}/{bundle}") as file:
         file.seek(frame_offset)
         data = zstandard.ZstdDecompressor().stream_reader(file, read_across_frames=False).read()
@@ -261,6 +286,12 @@ def fetch(folder: str, bundle: str, frame_offset: int, at: int) -> tuple[dict, b
     return head, body
 
 
+def fetch_record(spark: SparkSession, folder: str, record_id: str) -> tuple[dict, bytes] | None:
+    """One record by its identifier, by way of the index; None if there is none. Also records without a page id have one."""
+    entry = spark.read.parquet(f"{folder}/index").where(F.col("record_id") == record_id).first()
+    return None if entry is None else fetch(folder, entry["bundle"], entry["frame_offset"], entry["at"])
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write all ``pages`` into a new folder below the shared root, then read every record back."""
     spark = pages.sparkSession
