@@ -9,7 +9,7 @@ from conftest import accounts
 from pyspark.sql import functions as F
 
 from txguard import workspace
-from txguard.operators.sampling import split_by_id
+from txguard.operators.sampling import hash_order, sample_rows, split_by_id
 from txguard.plans import anomaly, blacklist, detection, jobs, training
 from txguard.plans.exploration import class_counts, full_totals, labelled_residual, rule_confusion, with_class_weight
 from txguard.schema import SCORED_SCHEMA
@@ -188,3 +188,37 @@ def test_split_without_an_id_does_not_depend_on_partitions(history):
     rows = history.drop("tx_id")
     one, two = (training.split(r)[0].count() for r in (rows.repartition(1), rows.repartition(7)))
     assert one == two and 0.7 < one / rows.count() < 0.9
+
+
+def isolation_by_hand(sample, columns, depth, seed, rows):
+    """Every tree grown and walked row by row, from the definition."""
+    def average(n):
+        return 2 * (np.log(n - 1) + anomaly.EULER_GAMMA) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+
+    def path(tree, node, part, level, row):
+        varying = [c for c in columns if len({p[c] for p in part}) > 1]
+        if level == depth or len(part) < 2 or not varying:
+            return level + average(len(part))
+        column = varying[int(anomaly.draw(seed, tree, node, "column") * len(varying))]
+        low, high = min(p[column] for p in part), max(p[column] for p in part)
+        cut = low + anomaly.draw(seed, tree, node, "cut") * (high - low)
+        left = row[column] <= cut
+        return path(tree, 2 * node + (1 if left else 2), [p for p in part if (p[column] <= cut) == left], level + 1, row)
+
+    typical = np.mean([average(len(part)) for part in sample.values()])
+    return [2 ** (-np.mean([path(tree, 0, part, 0, row) for tree, part in sample.items()]) / typical) for row in rows]
+
+
+def test_isolation_forest_like_by_hand(spark):
+    """Splits follow from seed, tree and node, so a restatement on the same samples gives the same scores."""
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame({"id": range(400), "x": rng.normal(0, 1, 400).round(2), "y": rng.integers(0, 4, 400).astype(float), "z": 7.0})
+    frame.loc[:2, "x"] = [50.0, -60.0, 40.0]
+    rows, columns = spark.createDataFrame(frame), ["x", "y", "z"]
+    forest = anomaly.grow_forest(rows.repartition(5), columns, ["id"], trees=7, subsample=32, seed=3)
+    found = {r.id: r.anomaly_score for r in anomaly.anomaly_scores(rows, forest, columns, 32).collect()}
+    # The samples, dealt in the order of the hashes.
+    order = sample_rows(rows, 7 * 32, ["id"], 3).withColumn("h", hash_order(3, "id")).orderBy("h", "id").collect()
+    sample = {t: [r.asDict() for i, r in enumerate(order) if i % 7 == t] for t in range(7)}
+    expected = isolation_by_hand(sample, columns, 5, 3, [r.asDict() for r in rows.orderBy("id").collect()])
+    assert [found[i] for i in range(400)] == pytest.approx(expected)

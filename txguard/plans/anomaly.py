@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,11 +23,16 @@ def average_path(n):
                     np.where(n == 2, 1.0, 0.0))
 
 
+def draw(seed: int, tree: int, node: int, what: str) -> float:
+    """A number in [0, 1) that follows from its arguments alone: 53 bits of an MD5, which any restatement can make."""
+    return (int.from_bytes(hashlib.md5(f"{seed}:{tree}:{node}:{what}".encode()).digest()[:8], "big") >> 11) / 2.0 ** 53
+
+
 def _grow(columns: list[str], depth: int, seed: int):
+    """The split of a node takes a column that varies there and a cut between its ends, both drawn for that node."""
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        values, nodes = rows.sort_values(columns)[columns].to_numpy("float64"), []
+        values, nodes = rows[columns].to_numpy("float64"), []
         pending = [(0, values, 0)]
         while pending:
             node, part, level = pending.pop()
@@ -33,8 +40,9 @@ def _grow(columns: list[str], depth: int, seed: int):
             if level == depth or len(part) < 2 or not spans.any():
                 nodes.append((tree, node, -1, 0.0, len(part)))
                 continue
-            feature = int(rng.choice(np.flatnonzero(spans)))
-            cut = float(rng.uniform(part[:, feature].min(), part[:, feature].max()))
+            varying = np.flatnonzero(spans)
+            feature = int(varying[int(draw(seed, tree, node, "column") * len(varying))])
+            cut = float(part[:, feature].min() + draw(seed, tree, node, "cut") * spans[feature])
             left = part[:, feature] <= cut
             nodes.append((tree, node, feature, cut, len(part)))
             pending += [(2 * node + 1, part[left], level + 1), (2 * node + 2, part[~left], level + 1)]
