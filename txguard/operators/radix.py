@@ -8,6 +8,7 @@ are counted by their whole key at once; four rounds always do.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,24 +70,26 @@ def _same(left: str, right: str, columns: list[str]) -> Column:
 def _count(rows: DataFrame, groups: list[str], shift: int) -> DataFrame:
     """Rows of each prefix that the key without its last ``shift`` bits gives, below each parent."""
     prefix = F.shiftright("__key", shift).alias("prefix")
-    return rows.groupBy(*groups, "parent", prefix).agg(F.count("*").alias("c"))
+    return rows.groupBy(*groups, "parent", prefix).agg(F.count("*").alias("c"), F.min("__key").alias("lo"), F.max("__key").alias("hi"))
 
 
 def select_ranks(rows: DataFrame, groups: list[str], key: str, wanted: Callable[[Column], Column], few: int = FEW) -> DataFrame:
     """``(*groups, n, rank, below, key)``: for each group its number of rows, and for each wanted rank (from 0) the key there
     and how many rows have a smaller one.
 
-    ``key`` is a column of longs, rows without one don't count; ``wanted`` gives an array of longs for a number of rows, ranks outside
-    the group are left out; groups may be null. Each round reads the rows once and stores its few targets.
+    ``key`` is a column of longs without missing ones (a filter here would be pushed below a computed key and compute it
+    twice); ``wanted`` gives an array of longs for a number of rows, ranks outside the group are left out; groups may be
+    null. Each round reads the rows once and stores its few targets; a prefix with one key in it needs no more rounds.
     """
     spark = rows.sparkSession
     store = lambda df: workspace.write_table(df, workspace.new_path(spark, "ranks"))
-    data = rows.select(*groups, F.col(key).alias("__key")).where("__key IS NOT NULL")
+    data = rows.select(*groups, F.col(key).alias("__key"))
     shift = 64 - DIGIT
     counts = store(_count(data.withColumn("parent", F.lit(0).cast("long")), groups, shift))
     sizes = counts.groupBy(*groups).agg(F.sum("c").alias("n"))
     targets = sizes.select(*groups, "n", F.explode(F.array_distinct(wanted(F.col("n")))).alias("rank"))
     targets = targets.where("rank >= 0 AND rank < n").withColumns({"below": F.lit(0).cast("long"), "parent": F.lit(0).cast("long")})
+    finished = []
     while True:
         # At most as many digits, or whole keys of few rows, as a window holds.
         order = Window.partitionBy(*groups, "parent").orderBy("prefix")
@@ -95,15 +98,17 @@ def select_ranks(rows: DataFrame, groups: list[str], key: str, wanted: Callable[
         found = targets.alias("t").join(placed.alias("p"), _same("t", "p", [*groups, "parent"]))
         inside = (F.col("t.rank") >= F.col("t.below") + F.col("p.before")) & (
             F.col("t.rank") < F.col("t.below") + F.col("p.before") + F.col("p.c"))
-        targets = store(found.where(inside).select(
+        placed = store(found.where(inside).select(
             *[F.col(f"t.{g}").alias(g) for g in groups], "t.n", "t.rank", (F.col("t.below") + F.col("p.before")).alias("below"),
-            F.col("p.prefix").alias("parent"), F.col("p.c").alias("c")))
-        if shift == 0:
-            return targets.select(*groups, "n", "rank", "below", F.col("parent").alias("key"))
+            F.col("p.prefix").alias("parent"), "p.c", "p.lo", "p.hi"))
+        finished.append(placed.where("lo = hi").select(*groups, "n", "rank", "below", F.col("lo").alias("key")))
+        targets = placed.where("lo < hi")
         parents = targets.groupBy(*groups, "parent").agg(F.max("c").alias("c"))
         many, left = parents.agg(F.count("*"), F.sum("c")).first()
+        if not many:
+            return reduce(DataFrame.unionByName, finished)
         parents = F.broadcast(parents) if many <= BROADCAST_TARGETS else parents
         at = data.withColumn("parent", F.shiftright("__key", shift))
         within = at.alias("d").join(parents.alias("q"), _same("d", "q", [*groups, "parent"]), "left_semi")
-        shift = 0 if (left or 0) <= few else shift - DIGIT
+        shift = 0 if left <= few else shift - DIGIT
         counts = store(_count(within, groups, shift))

@@ -25,7 +25,7 @@ def nth_smallest(df: DataFrame, key: str, n: int, few: int = FEW):
     Found by counting key prefixes (``radix``): as a rule three passes over that one column.
     """
     fraction = df.schema[key].dataType.typeName() in ("float", "double", "decimal")
-    keys = df.select(F.col(key).alias("__v"))
+    keys = df.select(F.col(key).alias("__v")).where("__v IS NOT NULL")
     keyed = with_sortable_bits(keys, F.col("__v")) if fraction else keys.select(F.col("__v").cast("long").alias("__key"))
     found = select_ranks(keyed, [], "__key", lambda _: F.array(F.lit(n - 1).cast("long")), few)
     row = found.select((from_bits(F.col("key")) if fraction else F.col("key")).alias("key"), "below").first()
