@@ -15,6 +15,7 @@ def column(df, name):
     return [row[name] for row in df.collect()]
 
 
+# The inputs and results of the next three tests are the contract of features, rule and verdict.
 def test_features_of_two_rows(tx):
     rows = training_features(tx(
         {"type": "TRANSFER", "amount": 1000.0, "oldbalanceOrg": 1000.0, "newbalanceOrig": 0.0,

@@ -48,12 +48,9 @@ def test_sanitize_removes_injections(apply):
         assert not any(mark in cleaned for mark in ("'", ";", "--", "="))
 
 
-def test_sanitize_examples(apply):
-    texts = ["'; DROP TABLE shop.transactions; --", "<script>alert('xss')</script>", "C1234567890", "", None, "  C123  ", "C123🔥💀"]
-    cleaned = apply(protect.sanitize, texts)
-    assert "DROP" in cleaned[0] and ";" not in cleaned[0] and "--" not in cleaned[0]
-    assert "<" not in cleaned[1] and ">" not in cleaned[1]
-    assert cleaned[2:] == ["C1234567890", "", "", "C123", "C123"]
+def test_sanitize_keeps_letters_digits_and_joins(apply):
+    texts = ["M77-b_3 ok", 'note="<b>paid</b>" -- x', "\t M42\n", "42€ ✔ M42", "", None, "--", "a---b"]
+    assert apply(protect.sanitize, texts) == ["M77-b_3 ok", "notebpaidb  x", "M42", "42  M42", "", "", "", "a-b"]
 
 
 def test_sanitize_cuts(apply):

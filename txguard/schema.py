@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names, order and types of a transaction's fields.
 TX_SCHEMA = T.StructType(
     [
         T.StructField("step", T.LongType()),
@@ -21,16 +22,6 @@ TX_SCHEMA = T.StructType(
 )
 TX_COLUMNS = TX_SCHEMA.names
 
-DETECTION_COLUMNS = [
-    "balance_diff_orig",
-    "balance_diff_dest",
-    "is_transfer_or_cashout",
-    "amount_to_balance_ratio",
-    "blacklist_flag",
-    "rule_fraud_flag",
-    "is_fraud_detected",
-]
-
 # A detected transaction as the stream stores it.
 DETECTED_SCHEMA = T.StructType(
     [
@@ -55,6 +46,10 @@ SCORED_SCHEMA = T.StructType(
     ]
 )
 
+# What detection adds, in that order.
+DETECTION_COLUMNS = [n for n in DETECTED_SCHEMA.names if n not in (*TX_COLUMNS, "ingested_at")]
+
+# The fields of an alert message.
 ALERT_COLUMNS = [
     "nameOrig",
     "nameDest",
