@@ -76,7 +76,7 @@ def stream_dual_write(spark, folder):
 SELECT 'rows' AS counted, COUNT(*) AS n FROM det UNION ALL SELECT 'fraud', COUNT(*) FROM fraud
 UNION ALL SELECT 'quarantined', COUNT(*) FROM documents""")
 def stream_batch_counts(spark, folder):
-    """What the batches say about themselves while they are written, added up; texts that are no messages are set aside."""
+    """What the batches report, added up; texts that are no messages are set aside."""
     root, said = workspace.new_path(spark, "detection"), []
     sent = topic(spark, folder)
     spark.read.parquet(f"{folder}/documents.parquet").select(F.concat(F.lit("no message: "), F.regexp_replace(

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -132,11 +132,12 @@ def batch_writer(spark: SparkSession, blacklist_path: str, sinks: Sinks, *, regi
             "failed_rules", F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.col("failed_rules")))
         # Stored once for all sinks, in the folder that executors share, for as long as the batch takes.
         stage = f"{sinks.work}/judged/batch_id={int(batch_id)}"
-        valid, counted = F.size("failed_rules") == 0, Observation()
-        judged = workspace.write_table(judged.observe(
-            counted, F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
-            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")), stage)
-        size = counted.get  # counted by the write itself
+        judged = workspace.write_table(judged, stage)
+        valid = F.size("failed_rules") == 0
+        # Not an Observation: once a session has one, models fitted in it cannot be sent to tasks any more.
+        size = judged.agg(
+            F.count_if(valid).alias("rows"), F.count_if(~valid).alias("quarantined"),
+            F.count_if(valid & (F.col("is_fraud_detected") == 1)).alias("fraud")).first().asDict()
         detected = valid_rows(judged).drop(CORRUPT)
         flagged = detected.where("is_fraud_detected = 1")
         sinks.transactions.append(detected, batch_id)
