@@ -191,3 +191,74 @@ def test_prefixes_are_as_long_as_the_recall_allows():
     found = [1 - (1 - 0.8 ** k) ** jaccard_forest.TREES for k in (d, d + 1)]
     assert found[0] >= jaccard_forest.RECALL > found[1]
     assert jaccard_forest.match_depth(0.1, 1) == 1
+
+
+def test_labels_sort_as_a_trie():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 60, 50).astype(np.uint64)) for _ in range(30)]
+    sets += [np.append(s[:45], s[:1] + np.uint64(9)) for s in sets]
+    label = jaccard_forest.labels(sets)
+    assert label.shape == (60, jaccard_forest.TREES, jaccard_forest.LABEL)
+    assert (jaccard_forest.labels([sets[3]])[0] == label[3]).all()
+    for tree in range(jaccard_forest.TREES):
+        rows = sorted(range(60), key=lambda i: label[i, tree].tobytes())
+        assert rows == sorted(range(60), key=lambda i: tuple(label[i, tree]))
+        for depth in range(1, jaccard_forest.LABEL + 1):
+            nodes = [jaccard_forest.prefixes(label, depth)[i, tree] for i in rows]
+            runs = 1 + sum(a != b for a, b in zip(nodes, nodes[1:]))
+            assert runs == len(set(nodes)) == len({tuple(x) for x in label[:, tree, :depth]})
+
+
+def test_agreeing_min_hashes_estimate_the_similarity():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 60, 900).astype(np.uint64)) for _ in range(200)]
+    one, two = jaccard_forest.labels([s[:810] for s in sets]), jaccard_forest.labels([s[90:] for s in sets])
+    share = (one == two).mean(axis=(1, 2))
+    assert abs(share.mean() - 0.8) < 0.01 and share.min() > jaccard_forest.AGREE
+
+
+def test_only_documents_with_links_near_the_threshold_are_short(spark):
+    depth = jaccard_forest.match_depth()
+
+    def missed(s):
+        return [float(1 / jaccard_forest.meeting(s, d) - 1) for d in range(1, depth + 1)]
+
+    found = spark.createDataFrame(
+        [(b"far", 1, missed(0.95)), (b"near", 1, missed(0.8)), (b"both", 1, missed(0.8)), (b"both", 999, [0.0] * depth)],
+        "key binary, seen long, missed array<double>")
+    assert [bytes(r["key"]) for r in jaccard_forest.short_of_links(found, depth).collect()] == [b"near"]
+    assert jaccard_forest.short_of_links(found, 1).count() == 0
+
+
+def near_the_threshold():
+    """Groups of versions of a text: those of one group link at 0.8 to 0.95 or miss the threshold by little."""
+    rng = random.Random(11)
+    vocabulary = [a + b for a in "bcdfglmnprstvz" for b in ("a", "e", "io", "ur", "ent")]
+    rows = []
+    for _ in range(25):
+        base = rng.choices(vocabulary, k=200)
+        for _ in range(8):
+            own = list(base)
+            for _ in range(rng.randint(1, 3)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(own)))
+    return rows
+
+
+def test_shorter_prefixes_find_what_the_first_depth_misses(documents, monkeypatch):
+    rows = near_the_threshold()
+    expected = sum(n for _, _, n, _, _ in texts_by_hand(rows))
+    monkeypatch.setattr(jaccard_forest, "match_depth", lambda: 8)  # a pair at 0.8 meets with probability 0.93 there
+    read = []
+    real = jaccard_forest._read
+    monkeypatch.setattr(jaccard_forest, "_read", lambda given, classes, depth, floor, short: read.append(
+        (depth, None if short is None else short.count())) or real(given, classes, depth, floor, short))
+    found = jaccard_forest.near_duplicates(documents(*rows)).collect()
+    assert sum(r["n_links"] for r in found) >= 0.999 * expected
+    assert read[0] == (8, None) and len(read) > 2
+    assert all(b[1] <= a[1] for a, b in zip(read[1:], read[2:]))
+    assert sorted((r["doc_id"], r["class_id"], r["kept"]) for r in found) == [(i, c, k) for i, _, _, c, k in texts_by_hand(rows)]
+
+    monkeypatch.setattr(jaccard_forest, "DOCUMENT_RECALL", 0.0)
+    fixed = jaccard_forest.near_duplicates(documents(*rows)).collect()
+    assert sum(r["n_links"] for r in fixed) < sum(r["n_links"] for r in found)

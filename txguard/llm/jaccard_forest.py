@@ -1,9 +1,11 @@
-"""Jaccard join of texts on word shingles: MinHash prefixes find candidates, the shingle sets decide.
-
-In each of several trees a document's label is a sequence of min-hashes, and documents with the same prefix are candidates.
-The prefix's length is that at which a pair just at the threshold shares it in some tree with the target probability. It
-follows from similarity, trees and target alone and is the same for all documents: this is banding, the level of an LSH
-forest that a join at one threshold has to read. No trie is stored, and no prefix is shortened for a single document.
+"""Jaccard join of texts on word shingles: a MinHash LSH forest finds candidates, the shingle sets decide.
+
+In each of several trees a document's label is a sequence of min-hashes. Labels are stored whole; sorted, a tree's labels are
+a prefix trie, whose nodes are the runs of labels with a common prefix. A join at a threshold can't stop while a pair just at
+it may still lie apart, so all documents are read at the depth where such a pair shares a node with probability ``RECALL``.
+From there on prefixes get shorter document by document: the verified links of a document, each weighed by how likely a pair of
+its similarity meets at that depth, say how many links it has beside the ones found, and where they say that less than
+``DOCUMENT_RECALL`` of them was found, the document is read a level higher, among all members of its nodes there.
 """
 
 from __future__ import annotations
@@ -25,17 +27,25 @@ from txguard.llm.links import named_links
 WORDS = 5
 SIMILARITY = 0.8
 TREES, LABEL = 14, 8
-RECALL = 0.999
+RECALL = 0.999  # of a pair just at the threshold, at the depth that all documents are read at
+DOCUMENT_RECALL = 0.99995  # of a document's links, as its verified ones let expect; below it its prefixes are shortened
+AGREE = 0.5  # share of equal min-hashes from which a pair is verified; a pair at 0.8 falls below it once in 10^11 times
 BLOCK = 400_000  # shingles of a block
+NODE_ROWS, MOST_TASKS = 8_000, 20_000  # members of nodes that a task takes, unless there would be more tasks than that
 BROADCAST_ROWS = 500_000  # so many ids and keys of candidates are broadcast to the texts; more meet them in a shuffle
 SEED = 7
-GROUP = ["bucket", "low", "high"]
+GROUP = ["tree", "bucket", "low", "high"]
+
+
+def meeting(similarity, depth: int, trees: int = TREES):
+    """The probability that a pair of that similarity shares a prefix of that length in some tree."""
+    return 1 - (1 - similarity ** depth) ** trees
 
 
 def match_depth(similarity: float = SIMILARITY, trees: int = TREES, label: int = LABEL, recall: float = RECALL) -> int:
     """The longest prefix at which a pair of that similarity meets in some tree with probability ``recall``; 1 at least."""
     depth = label
-    while depth > 1 and 1 - (1 - similarity ** depth) ** trees < recall:
+    while depth > 1 and meeting(similarity, depth, trees) < recall:
         depth -= 1
     return depth
 
@@ -47,40 +57,45 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> list[n
     return [np.unique(found[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
 
-def prefixes(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
-    """A number for each tree and document: the first ``depth`` min-hashes of its label. Sets are not empty."""
+def labels(sets: list[np.ndarray]) -> np.ndarray:
+    """The label of each document in each tree: ``LABEL`` min-hashes. Sets are not empty."""
     random = np.random.default_rng(SEED)
-    factors = random.integers(1, 1 << 63, (trees, depth), np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = random.integers(0, 1 << 63, (trees, depth), np.uint64)
+    factors = random.integers(1, 1 << 63, (TREES, LABEL), np.uint64) * np.uint64(2) + np.uint64(1)
+    shifts = random.integers(0, 1 << 63, (TREES, LABEL), np.uint64)
     every = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.zeros((len(sets), trees), np.uint64)
-    for tree in range(trees):
-        for level in range(depth):
+    out = np.zeros((len(sets), TREES, LABEL), ">u4")  # in this order of bytes labels sort as their min-hashes do
+    for tree in range(TREES):
+        for level in range(LABEL):
             least = np.minimum.reduceat((every ^ shifts[tree, level]) * factors[tree, level], starts)
-            out[:, tree] = ta.mix(out[:, tree] * ta.RADIX + least + np.uint64(tree + 1))
-    return out.view(np.int64)
+            out[:, tree, level] = ta.mix(least) >> np.uint64(32)
+    return out
 
 
-def _signatures(depth: int, names: list[str]):
+def _signatures(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in ta.chunks(batch.column("text")):
                 sets = shingles(data, offsets)
                 some = [i for i, s in enumerate(sets) if len(s)]
-                labels: list = [None] * len(sets)
+                label: list = [None] * len(sets)
                 if some:
-                    for i, row in zip(some, prefixes([sets[i] for i in some], TREES, depth)):
-                        labels[i] = row
+                    for i, row in zip(some, labels([sets[i] for i in some])):
+                        label[i] = row.tobytes()
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n).slice(a, b - a) for n in names] + [
                         pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(labels, pa.list_(pa.int64()))], names=[*names, "key", "n", "buckets"])
+                        pa.array(label, pa.binary())], names=[*names, "key", "n", "label"])
 
     return run
 
 
+def _nodes(depth: int):
+    """For each tree the node of a row's label at that depth."""
+    return F.array(*[F.xxhash64(F.lit(t), F.substring("label", 4 * LABEL * t + 1, 4 * depth)) for t in range(TREES)])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in ta.chunks(batch.column("text")):
@@ -89,77 +104,182 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("key").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "set"])
 
 
-def _met_first(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Prefixes and blocks of a group's members, and the tree that the group belongs to."""
-    codes = np.stack(group["buckets"].to_numpy())
-    return codes, group["block"].to_numpy(), int(np.flatnonzero(codes[0] == int(group["bucket"].iloc[0]))[0])
+def prefixes(label: np.ndarray, depth: int) -> np.ndarray:
+    """A number for the prefix of each row's label in each tree."""
+    out = np.zeros(label.shape[:2], np.uint64)
+    for level in range(depth):
+        out = ta.mix(out * ta.RADIX + label[:, :, level].astype(np.uint64) + np.uint64(1))
+    return out
+
+
+class _Node:
+    """Members of a node in the order of their labels, and who of them is compared with whom there."""
+
+    def __init__(self, group: pd.DataFrame, depth: int, floor: int):
+        label = np.frombuffer(b"".join(group["label"]), ">u4").reshape(len(group), TREES, LABEL)
+        self.tree = int(group["tree"].iloc[0])
+        self.met = prefixes(label, depth)
+        self.before = prefixes(label, depth + 1) if depth < floor else None
+        self.label = np.ascontiguousarray(label.reshape(len(group), -1).astype(np.uint32))
+        self.sizes = group["n"].to_numpy()
+        self.short = group["short"].to_numpy()
+        self.block = group["block"].to_numpy() if group["low"].iloc[0] != group["high"].iloc[0] else None
+
+    def partners(self, i: int) -> np.ndarray:
+        """Members before ``i`` that meet it here first and agree in enough min-hashes, with sizes that allow the similarity."""
+        sizes, tree = self.sizes, self.tree
+        fits = np.minimum(sizes[:i], sizes[i]) >= SIMILARITY * np.maximum(sizes[:i], sizes[i]) - 1e-9
+        if self.block is not None:
+            fits &= self.block[:i] != self.block[i]
+        if not self.short[i]:
+            fits &= self.short[:i]
+        at = np.flatnonzero(fits)
+        at = at[self.met[at, tree] == self.met[i, tree]]
+        if tree and len(at):
+            at = at[~(self.met[at, :tree] == self.met[i, :tree]).any(axis=1)]
+        if self.before is not None and len(at):
+            at = at[~(self.before[at] == self.before[i]).any(axis=1)]
+        if len(at):
+            at = at[(self.label[at] == self.label[i]).sum(axis=1) >= AGREE * TREES * LABEL]
+        return at
+
+
+def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for group in sorted_groups(frames, GROUP):
+        group = group.drop_duplicates("key")
+        if len(group) > 1:
+            yield group
+
+
+def _useful(depth: int, floor: int):
+    """The members of each node that have somebody to be verified with there."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames):
+            node, useful = _Node(group, depth, floor), np.zeros(len(group), bool)
+            for i in range(1, len(group)):
+                at = node.partners(i)
+                if len(at):
+                    useful[i] = True
+                    useful[at] = True
+            if useful.any():
+                yield group.loc[useful, [*GROUP, "block", "short", "key"]]
 
+    return run
 
-def _comparable(codes: np.ndarray, sizes: np.ndarray, block: np.ndarray | None, tree: int, i: int, end: int) -> np.ndarray:
-    """Which of the first ``end`` members meet member ``i`` here first, and have a size that allows the similarity."""
-    fits = np.minimum(sizes[:end], sizes[i]) >= SIMILARITY * np.maximum(sizes[:end], sizes[i]) - 1e-9
-    if block is not None:
-        fits &= block[:end] != block[i]
-    if tree:
-        fits &= ~(codes[:end, :tree] == codes[i, :tree]).any(axis=1)
-    return fits
 
+def _links(depth: int, floor: int):
+    """Verified links of each node: for each key how many documents it links with, and edges that span its links.
 
-def _useful(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The members of each group that have somebody to be compared with there. A pair is compared where it meets first."""
-    for group in sorted_groups(frames, GROUP):
-        group = group.drop_duplicates("key")
-        if len(group) < 2:
-            continue
-        codes, block, tree = _met_first(group)
-        across = block if group["low"].iloc[0] != group["high"].iloc[0] else None
-        sizes, useful = group["n"].to_numpy(), np.zeros(len(group), bool)
-        for i in range(1, len(group)):
-            fits = _comparable(codes, sizes, across, tree, i, i)
-            if fits.any():
-                useful[i] = True
-                useful[:i] |= fits
-        if useful.any():
-            yield group.loc[useful, [*GROUP, "block", "key"]]
-
-
-def _links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Verified links of each group: for each key how many documents it links with, and edges that span its links.
-
-    A pair counts in the first tree whose prefix it shares, so it counts once however often it meets.
+    A pair counts in the first tree whose prefix it shares at the first depth that it is read at, so it counts once however
+    often it meets. ``seen`` counts the linked classes; ``missed`` has for each depth from 1 how many more classes these let expect that
+    no tree brings together at that depth.
     """
-    for group in sorted_groups(frames, GROUP):
-        group = group.drop_duplicates("key")
-        if len(group) < 2:
-            continue
-        codes, block, tree = _met_first(group)
-        across = block if group["low"].iloc[0] != group["high"].iloc[0] else None
-        sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
-        sizes = np.array([len(s) for s in sets])
-        _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        mark = np.zeros(int(inverse.max()) + 1, np.int8)
-        copies = group["copies"].to_numpy()
-        links, root = np.zeros(len(group), np.int64), np.arange(len(group))
-        for i in range(1, len(group)):
-            fits = _comparable(codes, sizes, across, tree, i, i)
-            if not fits.any():
-                continue
-            mine = inverse[starts[i]:starts[i + 1]]
-            mark[mine] = 1
-            common = np.add.reduceat(mark[inverse[:starts[i]]].astype(np.int32), starts[:i])
-            mark[mine] = 0
-            near = np.flatnonzero(fits & (common >= SIMILARITY * (sizes[:i] + sizes[i] - common) - 1e-9))
-            if len(near):
-                links[i] += copies[near].sum()
-                links[near] += copies[i]
-                old = np.unique(np.append(root[near], root[i]))
-                if len(old) > 1:
-                    root[np.isin(root, old)] = old[0]
-        some = np.flatnonzero(links)
-        if len(some):
-            keys = group["key"].to_numpy()
-            yield pd.DataFrame({"key": keys[some], "links": links[some], "near": keys[root[some]]})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames):
+            node = _Node(group, depth, floor)
+            sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
+            sizes = np.array([len(s) for s in sets])
+            _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            mark = np.zeros(int(inverse.max()) + 1, np.int8)
+            copies = group["copies"].to_numpy()
+            links, seen, root = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64), np.arange(len(group))
+            missed = np.zeros((len(group), floor))
+            for i in range(1, len(group)):
+                at = node.partners(i)
+                if not len(at):
+                    continue
+                mine = inverse[starts[i]:starts[i + 1]]
+                mark[mine] = 1
+                common = np.add.reduceat(mark[inverse[:starts[i]]].astype(np.int32), starts[:i])[at]
+                mark[mine] = 0
+                either = sizes[at] + sizes[i] - common
+                near = common >= SIMILARITY * either - 1e-9
+                at, alike = at[near], (common / either)[near]
+                if len(at):
+                    links[i] += copies[at].sum()
+                    links[at] += copies[i]
+                    seen[i] += len(at)
+                    seen[at] += 1
+                    more = np.stack([1 / meeting(alike, d) - 1 for d in range(1, floor + 1)], axis=1)
+                    missed[i] += more.sum(axis=0)
+                    missed[at] += more
+                    old = np.unique(np.append(root[at], root[i]))
+                    if len(old) > 1:
+                        root[np.isin(root, old)] = old[0]
+            some = np.flatnonzero(links)
+            if len(some):
+                keys = group["key"].to_numpy()
+                yield pd.DataFrame({"key": keys[some], "links": links[some], "near": keys[root[some]],
+                                    "seen": seen[some], "missed": list(missed[some])})
+
+    return run
+
+
+def short_of_links(found: DataFrame, depth: int) -> DataFrame:
+    """``key`` of the classes of which reading at ``depth`` has found less than ``DOCUMENT_RECALL`` of their links."""
+    return found.groupBy("key").agg(
+        F.sum("seen").alias("seen"), F.sum(F.element_at("missed", depth)).alias("missed")
+    ).where(F.col("missed") > (1 - DOCUMENT_RECALL) * (F.col("seen") + F.col("missed"))).select("key")
+
+
+def _tasks(rows: int) -> int:
+    return min(MOST_TASKS, rows // NODE_ROWS + 1)
+
+
+def _read(given: DataFrame, classes: DataFrame, depth: int, floor: int, short: DataFrame | None) -> DataFrame:
+    """Verified links of the nodes at one depth: of all members, or with ``short`` (keys) of pairs with one of those."""
+    spark = given.sparkSession
+    if short is None:
+        classes = classes.withColumn("short", F.lit(True))
+    else:
+        classes = classes.join(short.withColumn("short", F.lit(True)), "key", "left").withColumn(
+            "short", F.coalesce("short", F.lit(False)))
+    places = classes.select("key", "n", "short", F.posexplode(_nodes(depth)).alias("tree", "bucket"))
+    # A member weighs its shingles and its label, in numbers of eight bytes.
+    shared = places.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.sum(F.col("n") + TREES * LABEL // 2).alias("weight"), F.max("short").alias("read")
+    ).where("members > 1 AND read")
+    shared = workspace.write_table(shared, workspace.new_path(spark, "shared"))
+    rows = shared.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]
+    members = places.select("key", "tree", "bucket").join(shared, "bucket", "left_semi")
+    narrow = block_pairs(members, shared, "bucket", "key", BLOCK).join(classes.select("key", "n", "label", "short"), "key")
+    useful = workspace.write_table(
+        narrow.repartition(_tasks(rows), *GROUP).sortWithinPartitions(*GROUP, "label").mapInPandas(
+            _useful(depth, floor), "tree int, bucket long, low int, high int, block int, short boolean, key binary"),
+        workspace.new_path(spark, "useful"))
+
+    # Only texts that are verified with another one are read again, one text for each set.
+    wanted = classes.join(useful.select("key").distinct(), "key", "left_semi").select(
+        "key", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    wanted = workspace.write_table(wanted, workspace.new_path(spark, "wanted"))
+    small = wanted.count() <= BROADCAST_ROWS
+    texts = given.join(F.broadcast(wanted) if small else wanted, (
+        F.col("text_key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("one_id"))).select("key", "text")
+    sets = texts.mapInArrow(_sets, "key binary, set binary")
+    full = classes.select("key", "n", "copies", "label").join(sets, "key")
+    found = (
+        useful.join(full, "key").repartition(_tasks(4 * useful.count()), *GROUP).sortWithinPartitions(*GROUP, "label")
+        .mapInPandas(_links(depth, floor), "key binary, links long, near binary, seen long, missed array<double>")
+    )
+    return workspace.write_table(found, workspace.new_path(spark, "links"))
+
+
+def _all_links(given: DataFrame, classes: DataFrame) -> DataFrame:
+    """Verified links of all classes, with prefixes shortened class by class."""
+    spark = given.sparkSession
+    floor = match_depth()
+    found = _read(given, classes, floor, floor, None)
+    short = None
+    for depth in range(floor - 1, 0, -1):
+        weak = short_of_links(found, depth + 1)
+        if short is not None:
+            weak = weak.join(short, "key", "left_semi")
+        short = workspace.write_table(weak, workspace.new_path(spark, "short"))
+        if short.isEmpty():
+            break
+        found = found.unionByName(_read(given, classes, depth, floor, short))
+    return found
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,43 +291,19 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     are copies of each other. An empty table gives an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
-    depth = match_depth()
     text_key = F.md5(F.encode(text, "UTF-8"))
     given = docs.select(F.col(doc).alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text"))
     kind = dict(given.dtypes)["doc_id"]
     stored = workspace.write_table(
-        given.mapInArrow(_signatures(depth, ["doc_id", "text_key"]),
-                         f"doc_id {kind}, text_key string, key binary, n long, buckets array<long>"),
+        given.mapInArrow(_signatures(["doc_id", "text_key"]),
+                         f"doc_id {kind}, text_key string, key binary, n long, label binary"),
         workspace.new_path(spark, "signatures"))
     classes = workspace.write_table(
         stored.where("key IS NOT NULL").groupBy("key").agg(
             F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.any_value("n").alias("n"),
-            F.any_value("buckets").alias("buckets"), F.min(F.struct("doc_id", "text_key")).alias("one")),
+            F.any_value("label").alias("label"), F.min(F.struct("doc_id", "text_key")).alias("one")),
         workspace.new_path(spark, "classes"))
-
-    places = classes.select("key", "n", F.explode("buckets").alias("bucket"))
-    shared = places.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
-    shared = workspace.write_table(shared, workspace.new_path(spark, "shared"))
-    members = places.select("key", "bucket").join(shared, "bucket", "left_semi")
-    narrow = block_pairs(members, shared, "bucket", "key", BLOCK).join(classes.select("key", "n", "buckets"), "key")
-    useful = workspace.write_table(
-        narrow.repartition(*GROUP).sortWithinPartitions(*GROUP)
-        .mapInPandas(_useful, "bucket long, low int, high int, block int, key binary"), workspace.new_path(spark, "useful"))
-
-    # Only texts that share a prefix with another one are read again, one text for each set.
-    wanted = classes.join(useful.select("key").distinct(), "key", "left_semi").select(
-        "key", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
-    wanted = workspace.write_table(wanted, workspace.new_path(spark, "wanted"))
-    small = wanted.count() <= BROADCAST_ROWS
-    texts = given.join(F.broadcast(wanted) if small else wanted, (
-        F.col("text_key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("one_id"))).select("key", "text")
-    sets = texts.mapInArrow(_sets, "key binary, set binary")
-    full = classes.select("key", "copies", "buckets").join(sets, "key")
-    found = (
-        useful.join(full, "key").repartition(*GROUP).sortWithinPartitions(*GROUP)
-        .mapInPandas(_links, "key binary, links long, near binary")
-    )
-    found = workspace.write_table(found, workspace.new_path(spark, "links"))
+    found = _all_links(given, classes)
     return named_links(stored, classes, found, "doc_id", "text_key").select(
         "doc_id", "text_key", F.coalesce("first", "doc_id").alias("copy_id"), "n_links",
         F.col("component_id").alias("class_id"), "kept")
