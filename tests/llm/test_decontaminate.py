@@ -50,13 +50,41 @@ def items(spark):
     return build
 
 
-@pytest.mark.parametrize("full", [False, True])
-def test_like_by_hand(documents, items, clashing, monkeypatch, full):
-    if full:  # the join on hashes that replaces a full filter
-        monkeypatch.setattr(native, "FILTER_GRAMS", 0)
-    found = decontaminate.scan(clashing(documents(*DOCS)), items(ITEMS))
+@pytest.mark.parametrize("limits", [
+    {}, {"FILTER_GRAMS": 4}, {"FILTER_GRAMS": 0}, {"FILTER_GRAMS": 0, "FILTER_BYTES": 0}, {"BROADCAST_BYTES": 0}])
+def test_like_by_hand(documents, items, clashing, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(decontaminate if name == "BROADCAST_BYTES" else native, name, value)
+    more = [(100, "some other words that no document has " + " ".join(map(str, range(40))))]
+    found = decontaminate.scan(clashing(documents(*DOCS)), items(ITEMS + more))
     rows = [tuple(r) for r in found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()]
-    assert sorted(rows, key=str) == sorted(by_hand(DOCS, ITEMS), key=str)
+    assert sorted(rows, key=str) == sorted(by_hand(DOCS, ITEMS + more), key=str)
+
+
+def test_windows_that_do_not_occur_need_no_join_of_places(documents, items, monkeypatch):
+    monkeypatch.setattr(native, "FILTER_GRAMS", 4)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(50)] + [(60, ITEM)]
+    plan = decontaminate.scan(documents(*DOCS), items(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_only_candidates_are_joined(documents, items, monkeypatch):
+    monkeypatch.setattr(native, "FILTER_GRAMS", 0)
+    kept = []
+    real = native.all_places
+    monkeypatch.setattr(native, "all_places", lambda *a: kept.append(real(*a)) or kept[-1])
+    docs = [(i, " ".join(f"d{i}x{j}" for j in range(500))) for i in range(40)] + DOCS
+    decontaminate.scan(documents(*docs), items(ITEMS)).collect()
+    assert kept[0].where("gram IS NULL").count() == len(docs)
+    assert kept[0].where("gram IS NOT NULL").count() <= 60
+
+
+@pytest.mark.parametrize("limits", [{"FILTER_GRAMS": 0}, {}])
+def test_empty_tables_on_either_path(documents, items, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(native, name, value)
+    assert decontaminate.scan(documents(), items(ITEMS)).count() == 0
+    assert decontaminate.scan(documents((1, "a b"), (2, None)), items(ITEMS)).where("n_hit > 0").count() == 0
 
 
 def test_empty_tables(documents, items):

@@ -11,6 +11,7 @@ from txguard.llm import native
 WINDOW = 13
 SHARE = 20  # contaminated from one hit word in so many on
 BROADCAST_KEYS = 500_000  # keys of contaminated texts
+BROADCAST_BYTES = 64 << 20  # words and item ids of the windows that are broadcast
 
 
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -39,19 +40,36 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add, lambda done: done["n"])
 
 
+def _measure(grams: DataFrame) -> tuple[list[int], int, int]:
+    """Sizes of the windows, their number, and the bytes of their words and items."""
+    held = F.octet_length("gram") + F.coalesce(F.octet_length(F.array_join("items", ",")), F.lit(0)) + 64
+    known = grams.groupBy("n").agg(F.count("*").alias("count"), F.sum(held).alias("bytes")).collect()  # a row for each size
+    return sorted(r["n"] for r in known), sum(r["count"] for r in known), sum(r["bytes"] for r in known)
+
+
 def _hits(docs: DataFrame, benchmark: DataFrame, item: str, text: str, size: int) -> DataFrame:
-    """Verified hits: the columns of ``docs`` but ``w``, ``at``, ``end``, ``items`` (null in a row without a hit)."""
-    grams = windows(benchmark, item, text, size)
-    known = grams.groupBy("n").count().collect()  # at most ``size`` rows
-    sizes, total = sorted(r["n"] for r in known) or [size], sum(r["count"] for r in known)
-    small = total <= native.FILTER_GRAMS
-    places = native.gram_places(docs, sizes, grams, small)
-    table = grams.select("gram", "n", "items")
-    # The broadcast has at most FILTER_GRAMS rows of at most ``size`` words; beyond that Spark shuffles both sides.
-    found = places.join(F.broadcast(table) if small else table, "gram", "left")
-    return found.select(
-        *[c for c in docs.columns if c != "w"], F.when(F.col("n").isNotNull(), F.col("at")).alias("at"),
-        (F.col("at") + F.col("n")).alias("end"), "items")
+    """Verified hits: the columns of ``docs`` but ``w``, ``at``, ``end``, ``items`` (null in a row without a hit).
+
+    Of a benchmark with more windows than the bit filter holds, those that occur in ``docs`` at all are found first, by
+    their hashes; mostly they are few, and broadcast. If not, the places that pass a Bloom filter of them are stored and meet
+    them in a shuffle by their words; documents without such a place take no part in that.
+    """
+    spark = docs.sparkSession
+    grams = workspace.write_table(windows(benchmark, item, text, size), workspace.new_path(spark, "windows"))
+    sizes, total, held = _measure(grams)
+    if total > native.FILTER_GRAMS:
+        grams = native.occurring(docs, sizes, grams, total)
+        sizes, total, held = _measure(grams)
+    sizes, table = sizes or [size], grams.select("gram", "n", "items")
+    own = [c for c in docs.columns if c != "w"]
+    if total <= native.FILTER_GRAMS and held <= BROADCAST_BYTES:
+        found = native.gram_places(docs, sizes, grams).join(F.broadcast(table), "gram", "left")
+        return found.select(
+            *own, F.when(F.col("n").isNotNull(), F.col("at")).alias("at"), (F.col("at") + F.col("n")).alias("end"), "items")
+    places = native.all_places(docs, sizes, grams, total)
+    hits = places.where("gram IS NOT NULL").join(table, "gram")
+    hits = hits.select(*own, "at", (F.col("at") + F.col("n")).alias("end"), "items")
+    return hits.unionByName(places.where("gram IS NULL").select(*own, "at"), allowMissingColumns=True)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",

@@ -76,7 +76,7 @@ def spans(rows: DataFrame, templates: DataFrame, k: int = K, gap: int = GAP) ->
     compares the words themselves, so a span is verified.
     """
     key = [c for c in rows.columns if c != "w"]
-    places = native.gram_places(rows, [k], templates, True)
+    places = native.gram_places(rows, [k], templates)
     # The templates are a parameter, a few thousand grams at most: a bounded broadcast.
     known = places.join(F.broadcast(templates.select("gram", "at_template")), "gram", "left")
     votes = known.select(*key, "at", F.explode_outer("at_template").alias("t"))

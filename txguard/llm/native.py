@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txguard import workspace
+from txguard.operators import bloom
+
 # The word characters of the contract, for texts whose letters A-Z are in lower case already.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FILTER_BITS = 1 << 18  # size of the bit filter that travels with the plan: 4096 numbers
-FILTER_GRAMS = 1 << 16  # above so many n-grams the filter would be full, and a join on hashes replaces it
+FILTER_GRAMS = 1 << 16  # above so many n-grams that filter would be full, and a Bloom filter sized by them replaces it
+FILTER_BYTES = 256 << 20  # of a broadcast Bloom filter: some 80 million n-grams
 
 
 def ascii_lower(text: Column) -> Column:
@@ -66,31 +70,60 @@ def _places_of(starts: Column, size: int) -> Column:
         (i - 1).alias("at"), F.array_join(F.slice("w", i, size), " ").alias("gram")))
 
 
-def _hashed_places(hashes: Column, size: int) -> Column:
-    return F.transform(hashes, lambda h, i: F.struct(
-        i.alias("at"), h.alias("h"), F.array_join(F.slice("w", i + 1, size), " ").alias("gram")))
+def _with_hashes(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    frame = docs.withColumn("wh", F.transform("w", lambda w: F.xxhash64(w)))
+    for size in sizes:
+        frame = frame.withColumn(f"h{size}", gram_hashes(F.col("wh"), size))
+    return frame
+
+
+def _possible(rows: DataFrame, grams: DataFrame, count: int) -> DataFrame:
+    """``rows`` whose hash ``h`` may be one of ``grams``, or is null. No row moves; a filter that would not fit passes all."""
+    if bloom.bytes_for(count) > FILTER_BYTES:
+        return rows
+    blocks = bloom.blocks_for(count)
+    marked = bloom.mark(rows, bloom.build(grams, "h", blocks), blocks, ["h"], "__maybe")
+    return marked.where("__maybe OR h IS NULL").drop("__maybe")
+
+
+def occurring(docs: DataFrame, sizes: list[int], grams: DataFrame, count: int) -> DataFrame:
+    """Stored: those of ``count`` ``grams`` whose hash occurs among the words ``w`` of ``docs``.
+
+    Of the documents only distinct hashes move, and of those only such as pass a filter of the n-grams.
+    """
+    frame = _with_hashes(docs.select("w"), sizes)
+    hashes = frame.select(F.explode(F.concat(*[F.col(f"h{size}") for size in sizes])).alias("h"))
+    seen = _possible(hashes, grams, count).distinct()
+    return workspace.write_table(grams.join(seen, "h", "left_semi"), workspace.new_path(docs.sparkSession, "occurring"))
 
 
-def gram_places(docs: DataFrame, sizes: list[int], grams: DataFrame, filtered: bool) -> DataFrame:
+def gram_places(docs: DataFrame, sizes: list[int], grams: DataFrame) -> DataFrame:
     """One row for each place of a document whose words may be one of ``grams``, and one for a document without any.
 
     ``docs`` has the words in ``w``; its other columns stay and should be short. Out: those columns, ``at`` (from
-    0, null if none) and ``gram`` (the words, joined by a space). With ``filtered`` the bit filter of ``grams``
-    (column ``h``) decides inside the row, so that words without a match never become rows; otherwise every place
-    becomes a narrow row and a join on the hash decides.
+    0, null if none) and ``gram`` (the words, joined by a space). A bit filter of ``grams`` (column ``h``, at most
+    ``FILTER_GRAMS``) decides inside the row, so that words without a match never become rows.
     """
     keep = [c for c in docs.columns if c != "w"]
-    frame = docs.withColumn("wh", F.transform("w", lambda w: F.xxhash64(w)))
-    for size in sizes:
-        frame = frame.withColumn(f"h{size}", gram_hashes(F.col("wh"), size))
-    if filtered:
-        bits = bit_filter(grams)
-        found = [_places_of(may_match(F.col(f"h{size}"), bits), size) for size in sizes]
-        frame = frame.select(*keep, F.explode_outer(F.concat(*found)).alias("x"))
-        return frame.select(*keep, F.col("x.at").alias("at"), F.col("x.gram").alias("gram"))
-    every = [_hashed_places(F.col(f"h{size}"), size) for size in sizes]
-    frame = frame.select(*keep, F.explode_outer(F.concat(*every)).alias("x"))
-    known = grams.select("h", F.lit(True).alias("__known")).distinct()
-    frame = frame.select(*keep, F.col("x.at").alias("at"), F.col("x.h").alias("h"), F.col("x.gram").alias("gram"))
-    return frame.join(known, "h", "left").select(
-        *keep, F.when(F.col("__known"), F.col("at")).alias("at"), F.when(F.col("__known"), F.col("gram")).alias("gram"))
+    bits = bit_filter(grams)
+    found = [_places_of(may_match(F.col(f"h{size}"), bits), size) for size in sizes]
+    frame = _with_hashes(docs, sizes).select(*keep, F.explode_outer(F.concat(*found)).alias("x"))
+    return frame.select(*keep, F.col("x.at").alias("at"), F.col("x.gram").alias("gram"))
+
+
+def all_places(docs: DataFrame, sizes: list[int], grams: DataFrame, count: int) -> DataFrame:
+    """As ``gram_places``, for any number of ``grams``, stored; every document has a row with a null ``gram`` beside its places.
+
+    Every place becomes a row, and a broadcast Bloom filter drops the others before any shuffle.
+    """
+    keep = [c for c in docs.columns if c != "w"]
+    none = F.array(F.struct(
+        F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("string").alias("gram")))
+
+    def places(size: int) -> Column:
+        return F.transform(F.col(f"h{size}"), lambda h, i: F.struct(
+            i.alias("at"), h.alias("h"), F.array_join(F.slice("w", i + 1, size), " ").alias("gram")))
+
+    frame = _with_hashes(docs, sizes).select(*keep, F.explode(F.concat(none, *map(places, sizes))).alias("x"))
+    frame = frame.select(*keep, "x.at", "x.h", "x.gram")
+    return workspace.write_table(_possible(frame, grams, count).drop("h"), workspace.new_path(docs.sparkSession, "places"))
