@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from txguard import workspace
 from txguard.llm import textarrays as ta
-from txguard.llm.blocks import block_pairs, sorted_groups
+from txguard.llm.blocks import block_pairs
 from txguard.llm.links import named_links
 
 WORDS = 5
@@ -31,7 +31,7 @@ RECALL = 0.999  # of a pair just at the threshold, at the depth that all documen
 DOCUMENT_RECALL = 0.99995  # of a document's links, as its verified ones let expect; below it its prefixes are shortened
 AGREE = 0.5  # share of equal min-hashes from which a pair is verified; a pair at 0.8 falls below it once in 10^11 times
 BLOCK = 400_000  # shingles of a block
-NODE_ROWS, MOST_TASKS = 8_000, 20_000  # members of nodes that a task takes, unless there would be more tasks than that
+NODE_ROWS, MOST_TASKS = 4_000, 20_000  # members of nodes that a task takes, unless there would be more tasks than that
 BROADCAST_ROWS = 500_000  # so many ids and keys of candidates are broadcast to the texts; more meet them in a shuffle
 SEED = 7
 GROUP = ["tree", "bucket", "low", "high"]
@@ -112,57 +112,73 @@ def prefixes(label: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-class _Node:
-    """Members of a node in the order of their labels, and who of them is compared with whom there."""
+class _Nodes:
+    """Whole nodes of a stream, their members in the order of their labels, and who is compared with whom there."""
 
-    def __init__(self, group: pd.DataFrame, depth: int, floor: int):
-        label = np.frombuffer(b"".join(group["label"]), ">u4").reshape(len(group), TREES, LABEL)
-        self.tree = int(group["tree"].iloc[0])
+    def __init__(self, frame: pd.DataFrame, bounds: np.ndarray, depth: int, floor: int):
+        label = np.frombuffer(b"".join(frame["label"]), ">u4").reshape(len(frame), TREES, LABEL).astype(np.uint32)
+        self.frame, self.bounds = frame, bounds
         self.met = prefixes(label, depth)
         self.before = prefixes(label, depth + 1) if depth < floor else None
-        self.label = np.ascontiguousarray(label.reshape(len(group), -1).astype(np.uint32))
-        self.sizes = group["n"].to_numpy()
-        self.short = group["short"].to_numpy()
-        self.block = group["block"].to_numpy() if group["low"].iloc[0] != group["high"].iloc[0] else None
-
-    def partners(self, i: int) -> np.ndarray:
-        """Members before ``i`` that meet it here first and agree in enough min-hashes, with sizes that allow the similarity."""
-        sizes, tree = self.sizes, self.tree
-        fits = np.minimum(sizes[:i], sizes[i]) >= SIMILARITY * np.maximum(sizes[:i], sizes[i]) - 1e-9
-        if self.block is not None:
-            fits &= self.block[:i] != self.block[i]
+        self.label = label.reshape(len(frame), -1)
+        self.tree, self.sizes, self.short = (frame[c].to_numpy() for c in ("tree", "n", "short"))
+        self.block, self.cut = frame["block"].to_numpy(), (frame["low"] != frame["high"]).to_numpy()
+
+    def each(self) -> Iterator[tuple[int, int]]:
+        """First and end row of each node with more than one member."""
+        return ((a, b) for a, b in zip(self.bounds[:-1], self.bounds[1:]) if b - a > 1)
+
+    def partners(self, a: int, i: int) -> np.ndarray:
+        """Rows from ``a`` on and before ``i`` that meet ``i`` here first, agree in enough min-hashes, and have a fitting size."""
+        sizes, tree = self.sizes[a:i], self.tree[i]
+        fits = np.minimum(sizes, self.sizes[i]) >= SIMILARITY * np.maximum(sizes, self.sizes[i]) - 1e-9
+        fits &= self.met[a:i, tree] == self.met[i, tree]
+        if self.cut[i]:
+            fits &= self.block[a:i] != self.block[i]
         if not self.short[i]:
-            fits &= self.short[:i]
-        at = np.flatnonzero(fits)
-        at = at[self.met[at, tree] == self.met[i, tree]]
-        if tree and len(at):
-            at = at[~(self.met[at, :tree] == self.met[i, :tree]).any(axis=1)]
-        if self.before is not None and len(at):
-            at = at[~(self.before[at] == self.before[i]).any(axis=1)]
+            fits &= self.short[a:i]
+        if tree:
+            fits &= ~(self.met[a:i, :tree] == self.met[i, :tree]).any(axis=1)
+        if self.before is not None and fits.any():
+            fits &= ~(self.before[a:i] == self.before[i]).any(axis=1)
+        at = a + np.flatnonzero(fits)
         if len(at):
             at = at[(self.label[at] == self.label[i]).sum(axis=1) >= AGREE * TREES * LABEL]
         return at
 
 
-def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for group in sorted_groups(frames, GROUP):
-        group = group.drop_duplicates("key")
-        if len(group) > 1:
-            yield group
+def _nodes_of(frames: Iterator[pd.DataFrame], depth: int, floor: int) -> Iterator[_Nodes]:
+    """The nodes of a sorted stream, as many at once as a frame holds; one that is not complete waits for the next frame."""
+    held = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        if held is not None:
+            frame = pd.concat([held, frame], ignore_index=True)
+        new = np.zeros(len(frame) - 1, bool)
+        for name in GROUP:
+            values = frame[name].to_numpy()
+            new |= values[1:] != values[:-1]
+        starts = np.append(0, np.flatnonzero(new) + 1)
+        held = frame.iloc[starts[-1]:].reset_index(drop=True)
+        if len(starts) > 1:
+            yield _Nodes(frame.iloc[:starts[-1]], starts, depth, floor)
+    if held is not None:
+        yield _Nodes(held, np.array([0, len(held)]), depth, floor)
 
 
 def _useful(depth: int, floor: int):
     """The members of each node that have somebody to be verified with there."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames):
-            node, useful = _Node(group, depth, floor), np.zeros(len(group), bool)
-            for i in range(1, len(group)):
-                at = node.partners(i)
-                if len(at):
-                    useful[i] = True
-                    useful[at] = True
-            if useful.any():
-                yield group.loc[useful, [*GROUP, "block", "short", "key"]]
+        for nodes in _nodes_of(frames, depth, floor):
+            useful = np.zeros(len(nodes.frame), bool)
+            for a, b in nodes.each():
+                for i in range(a + 1, b):
+                    at = nodes.partners(a, i)
+                    if len(at):
+                        useful[i] = True
+                        useful[at] = True
+            yield nodes.frame.loc[useful, [*GROUP, "block", "short", "key"]]
 
     return run
 
@@ -175,41 +191,41 @@ def _links(depth: int, floor: int):
     no tree brings together at that depth.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames):
-            node = _Node(group, depth, floor)
-            sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
-            sizes = np.array([len(s) for s in sets])
-            _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            mark = np.zeros(int(inverse.max()) + 1, np.int8)
-            copies = group["copies"].to_numpy()
-            links, seen, root = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64), np.arange(len(group))
-            missed = np.zeros((len(group), floor))
-            for i in range(1, len(group)):
-                at = node.partners(i)
-                if not len(at):
-                    continue
-                mine = inverse[starts[i]:starts[i + 1]]
-                mark[mine] = 1
-                common = np.add.reduceat(mark[inverse[:starts[i]]].astype(np.int32), starts[:i])[at]
-                mark[mine] = 0
-                either = sizes[at] + sizes[i] - common
-                near = common >= SIMILARITY * either - 1e-9
-                at, alike = at[near], (common / either)[near]
-                if len(at):
-                    links[i] += copies[at].sum()
-                    links[at] += copies[i]
-                    seen[i] += len(at)
-                    seen[at] += 1
-                    more = np.stack([1 / meeting(alike, d) - 1 for d in range(1, floor + 1)], axis=1)
-                    missed[i] += more.sum(axis=0)
-                    missed[at] += more
-                    old = np.unique(np.append(root[at], root[i]))
-                    if len(old) > 1:
-                        root[np.isin(root, old)] = old[0]
+        for nodes in _nodes_of(frames, depth, floor):
+            every, keys, copies = nodes.frame["set"].to_numpy(), nodes.frame["key"].to_numpy(), nodes.frame["copies"].to_numpy()
+            links, seen = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            root, missed = np.arange(len(keys)), np.zeros((len(keys), floor))
+            for a, b in nodes.each():
+                sets = [np.frombuffer(s, np.uint64) for s in every[a:b]]
+                sizes = np.array([len(s) for s in sets])
+                _, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+                starts = np.concatenate([[0], np.cumsum(sizes)])
+                mark = np.zeros(int(inverse.max()) + 1, np.int8)
+                for i in range(1, b - a):
+                    at = nodes.partners(a, a + i) - a
+                    if not len(at):
+                        continue
+                    mine = inverse[starts[i]:starts[i + 1]]
+                    mark[mine] = 1
+                    common = np.add.reduceat(mark[inverse[:starts[i]]].astype(np.int32), starts[:i])[at]
+                    mark[mine] = 0
+                    either = sizes[at] + sizes[i] - common
+                    near = common >= SIMILARITY * either - 1e-9
+                    at, alike = a + at[near], (common / either)[near]
+                    if len(at):
+                        links[a + i] += copies[at].sum()
+                        links[at] += copies[a + i]
+                        seen[a + i] += len(at)
+                        seen[at] += 1
+                        more = np.stack([1 / meeting(alike, d) - 1 for d in range(1, floor + 1)], axis=1)
+                        missed[a + i] += more.sum(axis=0)
+                        missed[at] += more
+                        old = np.unique(np.append(root[at], root[a + i]))
+                        if len(old) > 1:
+                            own = root[a:b]
+                            own[np.isin(own, old)] = old[0]
             some = np.flatnonzero(links)
             if len(some):
-                keys = group["key"].to_numpy()
                 yield pd.DataFrame({"key": keys[some], "links": links[some], "near": keys[root[some]],
                                     "seen": seen[some], "missed": list(missed[some])})
 
