@@ -20,3 +20,8 @@ def folder(spark, tmp_path_factory):
 def test_chart_sample(spark, folder):
     rows = QUERIES["chart_sample"](spark, folder).select("tx_id")
     assert rows.count() == rows.distinct().count() == 15_000
+
+
+def test_scan_limit(spark, folder):
+    ids = QUERIES["scan_limit"](spark, folder).agg(F.count("*"), F.countDistinct("tx_id"), F.max("tx_id")).first()
+    assert tuple(ids) == (300_000, 300_000, 299_999)
