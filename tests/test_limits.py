@@ -25,3 +25,7 @@ def test_chart_sample(spark, folder):
 def test_scan_limit(spark, folder):
     ids = QUERIES["scan_limit"](spark, folder).agg(F.count("*"), F.countDistinct("tx_id"), F.max("tx_id")).first()
     assert tuple(ids) == (300_000, 300_000, 299_999)
+
+
+def test_save_sample(spark, folder):
+    assert QUERIES["save_sample"](spark, folder).count() == 200_000
