@@ -222,3 +222,22 @@ def test_isolation_forest_like_by_hand(spark):
     sample = {t: [r.asDict() for i, r in enumerate(order) if i % 7 == t] for t in range(7)}
     expected = isolation_by_hand(sample, columns, 5, 3, [r.asDict() for r in rows.orderBy("id").collect()])
     assert [found[i] for i in range(400)] == pytest.approx(expected)
+
+
+def test_fitting_takes_all_cores(history, monkeypatch):
+    """A file of one row group, or rows of few bytes, are dealt out: a pass costs by rows and trees."""
+    cores = history.sparkSession.sparkContext.defaultParallelism
+    assert history.rdd.getNumPartitions() < cores
+    assert training.stored_rows(history).rdd.getNumPartitions() >= cores
+    monkeypatch.setattr(training.Pipeline, "fit", lambda _, rows: rows)
+    assert training.train_residual(history).rdd.getNumPartitions() >= cores
+
+
+def test_kept_nodes_grow_the_same_trees(history):
+    """Levels don't walk the trees from the root for every row; the forest is the one that they would grow."""
+    rows = training.stored_rows(history)
+    kept, walked = training.pipeline(6, 6), training.pipeline(6, 6)
+    forest = walked.getStages()[-1]
+    assert forest.getCacheNodeIds()
+    forest.setCacheNodeIds(False)
+    assert kept.fit(rows).stages[-1].toDebugString.split("\n")[1:] == walked.fit(rows).stages[-1].toDebugString.split("\n")[1:]
