@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from txguard import workspace
+from txguard.operators import velocity
 from txguard.operators.velocity import limit_rate, trailing_counts
 from txguard.sources.lake import LakeTable
 from txguard.streaming import detection, limiter
@@ -157,3 +159,11 @@ def test_forgotten_accounts_leave_the_state(spark):
     found = table.read().withColumn("ts", F.expr("timestampadd(MICROSECOND, at, TIMESTAMP_NTZ'1970-01-01 00:00:00')"))
     assert {(r.key, r.ts): (r.n, r.allowed) for r in found.collect()} == expected
     assert sizes[0] >= 500 and sizes[1] < 20 and sizes[2] < 20
+
+
+def test_no_window_over_instants_slides(spark):
+    """A sliding frame adds up every window anew: an account's work would grow as the square of its events."""
+    rows = frame(spark, [("a", 0.0)])
+    for df in (velocity._marked(rows, "account", "ts", 60_000_000, 600_000_000, 2), trailing_counts(rows, "account", "ts", 60)):
+        starts = re.findall(r"specifiedwindowframe\(\w+, ([^,]+),", df._jdf.queryExecution().toString())
+        assert starts and set(starts) == {"unboundedpreceding$()"}

@@ -54,8 +54,24 @@ def _per_instant(df: DataFrame, key: str, ts: str) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def _in_slice(start: int, end: int) -> WindowSpec:
-    return Window.partitionBy("key", "slice").orderBy("at").rangeBetween(start, end)
+def _in_slice(order: Column | None = None) -> WindowSpec:
+    return Window.partitionBy("key", "slice").orderBy("at" if order is None else order)
+
+
+def _with_window_sum(sliced: DataFrame, window: int) -> DataFrame:
+    """``n_window`` for instants in slices: a running sum to which each adds what it has, and takes it off one window later.
+
+    The work is in proportion to the instants. A frame that slides would add up each window anew, so an account's work would
+    grow as the square of its events.
+    """
+    arrive = F.struct("at", "n", "own", F.col("n").alias("change"), F.lit(True).alias("here"))
+    leave = F.struct(
+        (F.col("at") + window).alias("at"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("own"),
+        (-F.col("n")).alias("change"), F.lit(False).alias("here"))
+    dealt = sliced.repartition("key", "slice")  # once for all windows over slices, before the rows are doubled
+    moves = dealt.select("key", "slice", F.explode(F.array(arrive, leave)).alias("m")).select("key", "slice", "m.*")
+    so_far = _in_slice().rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return moves.withColumn("n_window", F.sum("change").over(so_far)).where("here").drop("change", "here")
 
 
 def trailing_counts(df: DataFrame, key: str, ts: str, window_seconds: int = 60) -> DataFrame:
@@ -69,8 +85,7 @@ def trailing_counts(df: DataFrame, key: str, ts: str, window_seconds: int = 60)
     if window_seconds > MIN_SLICE_SECONDS:
         counted = _by_buckets(instants, window)
     else:
-        counted = _sliced(instants, _width(window_seconds), window).withColumn(
-            "n_window", F.sum("n").over(_in_slice(-(window - 1), 0))).where("own")
+        counted = _with_window_sum(_sliced(instants, _width(window_seconds), window), window).where("own")
     return counted.select(
         F.col("key").cast(df.schema[key].dataType).alias(key), from_micros("at").alias(ts), "n", "n_window")
 
@@ -103,17 +118,20 @@ def _marked(df: DataFrame, key: str, ts: str, window: int, width: int, limit: in
     """Instants with their trailing count and whether a busy one (over the limit) is one window behind or ahead.
 
     A slice sees two windows back, so that the counts one window back are whole, and one ahead. All
-    three windows share one shuffle and one sort.
+    windows share one shuffle, and each goes through a slice once: the nearest busy instants tell whether
+    there is one in reach.
     """
     sliced = _sliced(_per_instant(df, key, ts), width, 2 * window, window)
-    counted = sliced.withColumn("n_window", F.sum("n").over(_in_slice(-(window - 1), 0)))
-    busy = counted.withColumn("busy", F.col("n_window") > limit)
-    return busy.withColumns(
+    busy_at = F.when(F.col("n_window") > limit, F.col("at"))
+    last = F.max(busy_at).over(_in_slice().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = F.min(busy_at).over(_in_slice(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1))
+    near = _with_window_sum(sliced, window).withColumn("last", last).withColumn("following", following)
+    return near.where("own").withColumns(
         {
-            "after_busy": F.coalesce(F.max("busy").over(_in_slice(-(window - 1), 0)), F.lit(False)),
-            "before_busy": F.coalesce(F.max("busy").over(_in_slice(1, window - 1)), F.lit(False)),
+            "after_busy": F.coalesce(F.col("at") - F.col("last") < window, F.lit(False)),
+            "before_busy": F.coalesce(F.col("following") - F.col("at") < window, F.lit(False)),
         }
-    ).where("own").drop("own", "busy")
+    ).drop("own", "last", "following")
 
 
 def _runs(replayed: DataFrame, window: int) -> DataFrame:
